@@ -2,37 +2,45 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from dataclasses import dataclass
-from datetime import date
+from collections.abc import Callable, Iterator, Mapping
+from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from closebook.sources.schemas import KNOWN_DATES, SCHEMAS, UNIQUE_KEYS
 
 
-@dataclass(frozen=True)
 class Relations:
-    """Input tables by name; `relations["accounts"]` or `relations.accounts`."""
+    """Input tables by name; `relations["accounts"]` or `relations.accounts`.
 
-    tables: Mapping[str, DataFrame]
+    A table may be given as a function, which is called on first use only, so
+    a query opens no more files than it reads.
+    """
+
+    def __init__(self, tables: Mapping[str, DataFrame | Callable[[], DataFrame]]):
+        self._tables = dict(tables)
+
+    def __contains__(self, name: str) -> bool:
+        return name in self._tables
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._tables)
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self.tables[name]
+        table = self._tables[name]
+        if not isinstance(table, DataFrame):
+            table = self._tables[name] = table()
+        return table
 
     def __getattr__(self, name: str) -> DataFrame:
-        # dunder lookups come from copy and pickle before `tables` exists
-        if name.startswith("__") or name not in self.tables:
+        # private and special names are looked up before `_tables` exists
+        if name.startswith("_") or name not in self._tables:
             raise AttributeError(name)
-        return self.tables[name]
+        return self[name]
 
-    @property
-    def spark(self) -> SparkSession:
-        return next(iter(self.tables.values())).sparkSession
-
-    def replace(self, **tables: DataFrame) -> Relations:
-        return Relations({**self.tables, **tables})
+    def replace(self, **tables: DataFrame | Callable[[], DataFrame]) -> Relations:
+        return Relations({**self._tables, **tables})
 
     def known_by(self, as_of: date) -> Relations:
         """Only rows dated on or before `as_of`, for restating a past date.
@@ -40,11 +48,13 @@ class Relations:
         Off by default in every operator.  Relations without a date (tasks,
         budgets, project status) stay as they are now.
         """
-        end = F.date_add(F.lit(as_of), 1)
+        def cut(name: str, column: str) -> Callable[[], DataFrame]:
+            return lambda: self[name].filter(
+                F.col(column) < F.lit(as_of + timedelta(days=1))
+            )
+
         return self.replace(**{
-            name: self.tables[name].filter(F.col(column) < end)
-            for name, column in KNOWN_DATES.items()
-            if name in self.tables
+            name: cut(name, column) for name, column in KNOWN_DATES.items() if name in self
         })
 
     def check_unique_keys(self) -> None:
@@ -54,11 +64,9 @@ class Relations:
         Runs one grouped count per dimension; call it once per load.
         """
         for name, key in UNIQUE_KEYS.items():
-            if name not in self.tables:
+            if name not in self:
                 continue
-            repeated = (
-                self.tables[name].groupBy(key).count().filter("count > 1").limit(5).collect()
-            )
+            repeated = self[name].groupBy(key).count().filter("count > 1").limit(5).collect()
             if repeated:
                 raise ValueError(f"{name}: repeated {key}: {[row[key] for row in repeated]}")
 
