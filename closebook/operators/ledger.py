@@ -53,7 +53,8 @@ def ledger_lines(rel: Relations, overbillings: str = OVERBILLINGS) -> DataFrame:
         "contract_id",
         "tran_date",
         # a missing ledger type counts as not profit and loss
-        F.coalesce(~F.col("gl_type_id").isin(*NOT_PROFIT_AND_LOSS), F.lit(False)).alias("is_pl"),
+        (F.col("gl_type_id").isNotNull() & ~F.col("gl_type_id").isin(*NOT_PROFIT_AND_LOSS))
+        .alias("is_pl"),
         net_debit().alias("net"),
         *ATTRIBUTES,
     )

@@ -33,6 +33,8 @@ def sum_measures(rows: DataFrame, measures: Iterable[Measure], by: Iterable = ()
     """
     measures = list(measures)
     kept = rows.filter(reduce(or_, [m.where for m in measures]))
+    if len(measures) == 1:
+        return kept.groupBy(*by).agg(F.sum(measures[0].value).alias(measures[0].name))
     return kept.groupBy(*by).agg(
         *[F.sum(F.when(m.where, m.value)).alias(m.name) for m in measures]
     )
