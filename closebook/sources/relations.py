@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from closebook.sources.schemas import KNOWN_DATES, SCHEMAS, UNIQUE_KEYS
@@ -39,6 +39,10 @@ class Relations:
             raise AttributeError(name)
         return self[name]
 
+    @property
+    def spark(self) -> SparkSession:
+        return self[next(iter(self))].sparkSession
+
     def replace(self, **tables: DataFrame | Callable[[], DataFrame]) -> Relations:
         return Relations({**self._tables, **tables})
 
