@@ -183,8 +183,19 @@ def ledger_cells(rel: Relations, as_of: AsOf) -> DataFrame:
         ),
         "tran_date": latest_boundary(F.col("tran_date"), as_of.boundaries),
     })
-    return lines.groupBy("contract_id", "tran_date", "is_pl", *ATTRIBUTES).agg(
-        F.sum("net").alias("net")
+    return sum_cells(lines, "contract_id", "tran_date")
+
+
+def sum_cells(lines: DataFrame, *keys: str) -> DataFrame:
+    """Sum ledger lines by `keys` and everything the flows look at.
+
+    The account attributes form one struct key, which keeps the generated loop
+    over the lines small enough for the JIT compiler.
+    """
+    return (
+        lines.groupBy(*keys, "is_pl", F.struct(*ATTRIBUTES).alias("account"))
+        .agg(F.sum("net").alias("net"), F.count("*").alias("lines"))
+        .select(*keys, "is_pl", "account.*", "net", "lines")
     )
 
 
@@ -196,7 +207,8 @@ def ledger_report(rel: Relations, as_of: AsOf) -> DataFrame:
     """
     cells = ledger_cells(rel, as_of)
     return sum_measures(
-        cells, measures_at(as_of, {**WINDOWED, **PER_CONTRACT}), by=["contract_id"]
+        cells, measures_at(as_of, {**WINDOWED, **PER_CONTRACT}), by=["contract_id"],
+        prefilter=False,
     )
 
 

@@ -39,13 +39,10 @@ def flows_by_day(rel: Relations) -> DataFrame:
     At most one row per flow and calendar day, however large the ledger.  The
     flow `lines` counts ledger lines, so each day with a line has a row.
     """
-    cells = (
-        G.ledger_lines(rel).filter(F.col("tran_date").isNotNull())
-        .groupBy("tran_date", "is_pl", *G.ATTRIBUTES)
-        .agg(F.sum("net").alias("net"), F.count("*").alias("lines"))
-    )
+    lines = G.ledger_lines(rel).filter(F.col("tran_date").isNotNull())
+    cells = G.sum_cells(lines, "tran_date")
     measures = [*G.flows().values(), Measure("lines", F.col("lines"), F.col("lines") > 0)]
-    days = sum_measures(cells, measures, by=["tran_date"])
+    days = sum_measures(cells, measures, by=["tran_date"], prefilter=False)
     ledger = days.select("tran_date", F.inline(F.array(*[
         F.struct(F.lit(m.name).alias("flow"), F.col(m.name).cast(_TOTAL).alias("amount"))
         for m in measures

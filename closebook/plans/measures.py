@@ -24,18 +24,21 @@ class Measure:
         return Measure(name, self.value, self.where & period)
 
 
-def sum_measures(rows: DataFrame, measures: Iterable[Measure], by: Iterable = ()) -> DataFrame:
+def sum_measures(rows: DataFrame, measures: Iterable[Measure], by: Iterable = (),
+                 prefilter: bool = True) -> DataFrame:
     """Compute every measure in one aggregate over `rows`.
 
-    Rows that count in no measure are filtered first, so for a single measure
-    its date and code conditions reach the scan.  A measure that no row
-    qualifies for is null.
+    Rows that count in no measure are filtered first, so that the date and
+    code conditions of a few measures reach the scan.  Pass `prefilter=False`
+    for rows that are sums already: their conditions would be tested on every
+    detail row below.  A measure that no row qualifies for is null.
     """
     measures = list(measures)
-    kept = rows.filter(reduce(or_, [m.where for m in measures]))
-    if len(measures) == 1:
-        return kept.groupBy(*by).agg(F.sum(measures[0].value).alias(measures[0].name))
-    return kept.groupBy(*by).agg(
+    if prefilter:
+        rows = rows.filter(reduce(or_, [m.where for m in measures]))
+        if len(measures) == 1:
+            return rows.groupBy(*by).agg(F.sum(measures[0].value).alias(measures[0].name))
+    return rows.groupBy(*by).agg(
         *[F.sum(F.when(m.where, m.value)).alias(m.name) for m in measures]
     )
 

@@ -31,20 +31,12 @@ FILES = {
               "value DOUBLE, props STRING",
 }
 
-# Account type code -> description; other codes are "Other Asset"
-ACCOUNT_TYPES = {
-    2: "Accounts Receivable",
-    3: "Bank",
-    4: "Accounts Payable",
-    5: "Cost of Goods Sold",
-    6: "Credit Card Account",
-    7: "Expense",
-    8: "Other Current Liability",
-    9: "Income",
-    10: "Long Term Liability",
-    11: "Other Expense",
-    12: "Other Income",
-}
+# Descriptions of the account type codes 0 to 12
+ACCOUNT_TYPES = (
+    "Other Asset", "Other Asset", "Accounts Receivable", "Bank", "Accounts Payable",
+    "Cost of Goods Sold", "Credit Card Account", "Expense", "Other Current Liability", "Income",
+    "Long Term Liability", "Other Expense", "Other Income",
+)
 
 
 def _money(value: Column) -> Column:
@@ -108,9 +100,7 @@ class RetailTables:
 
     def accounts(self) -> DataFrame:
         key, kind = F.col("p_partkey"), F.col("account_type_id")
-        description = F.lit("Other Asset")
-        for code, text in ACCOUNT_TYPES.items():
-            description = F.when(kind == code, F.lit(text)).otherwise(description)
+        description = F.get(F.array(*[F.lit(text) for text in ACCOUNT_TYPES]), kind)
         return (
             self.file("part")
             .withColumn("account_type_id", (key % 13).cast("int"))
