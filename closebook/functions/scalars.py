@@ -1,51 +1,61 @@
-"""Scalar rules shared by all metrics, as Spark column expressions."""
+"""Scalar rules shared by all metrics, as Spark SQL expressions.
+
+Each helper takes and returns expression text, so a metric reads as the SQL a
+user would write and reaches Spark as one expression.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import date, timedelta
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 
-def zero_if_null(value: Column) -> Column:
-    return F.coalesce(value, F.lit(0))
+def literal(value: str | date) -> str:
+    if isinstance(value, date):
+        return f"DATE'{value.isoformat()}'"
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
-def net_debit(debit: str = "debit", credit: str = "credit") -> Column:
-    return zero_if_null(F.col(debit)) - zero_if_null(F.col(credit))
+def one_of(value: str, options: Iterable) -> str:
+    items = ", ".join(literal(o) if isinstance(o, (str, date)) else str(o) for o in options)
+    return f"{value} IN ({items})"
 
 
-def net_credit(debit: str = "debit", credit: str = "credit") -> Column:
-    return zero_if_null(F.col(credit)) - zero_if_null(F.col(debit))
+def is_text(value: str, *texts: str) -> str:
+    """Equality that ignores case and trailing blanks, as business databases do."""
+    return one_of(f"lower(rtrim({value}))", [t.lower().rstrip() for t in texts])
 
 
-def is_text(value: Column, *texts: str) -> Column:
-    """Equality that ignores case and trailing blanks, as business databases do."""
-    return F.lower(F.rtrim(value)).isin(*[t.lower().rstrip() for t in texts])
+def zero_if_null(value: str) -> str:
+    return f"coalesce({value}, 0)"
 
 
-def ratio(numerator: Column, denominator: Column, digits: int) -> Column:
+def ratio(numerator: str, denominator: str, digits: int) -> str:
     """Rounded quotient in DOUBLE; null when the denominator is zero or null."""
-    bottom = denominator.cast("double")
-    return F.round(numerator.cast("double") / F.nullif(bottom, F.lit(0.0)), digits)
+    return (
+        f"round(CAST({numerator} AS DOUBLE) / nullif(CAST({denominator} AS DOUBLE), 0D), {digits})"
+    )
 
 
-def minutes_crossed(start: Column, end: Column) -> Column:
+def minutes_crossed(start: str, end: str) -> str:
     """Minute boundaries between two timestamps, so 08:00:59 to 08:01:01 counts 1."""
-    return F.timestamp_diff(
-        "MINUTE", F.date_trunc("MINUTE", start), F.date_trunc("MINUTE", end)
+    return (
+        f"timestampdiff(MINUTE, date_trunc('MINUTE', {start}), date_trunc('MINUTE', {end}))"
     )
 
 
-def latest_boundary(day: Column, boundaries: list[date]) -> Column:
+def latest_boundary(day: str, boundaries: list[date]) -> str:
     """The last boundary on or before `day`.
 
     Windows that open and close on the boundaries hold for a day exactly when
     they hold for its boundary, so rows can be grouped by the result before
     any window is tested.  Days before all boundaries share one earlier label.
     """
-    label = F.when(day < F.lit(boundaries[0]), F.lit(boundaries[0] - timedelta(days=1)))
-    for opened, closed in zip(boundaries, boundaries[1:]):
-        label = label.when(day < F.lit(closed), F.lit(opened))
-    return label.when(day >= F.lit(boundaries[-1]), F.lit(boundaries[-1]))
+    opened = [boundaries[0] - timedelta(days=1), *boundaries[:-1]]
+    branches = " ".join(
+        f"WHEN {day} < {literal(closed)} THEN {literal(label)}"
+        for label, closed in zip(opened, boundaries)
+    )
+    last = literal(boundaries[-1])
+    return f"CASE {branches} WHEN {day} >= {last} THEN {last} END"

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from closebook.calendar import AsOf
-from closebook.functions.scalars import zero_if_null
+from closebook.functions.scalars import literal, zero_if_null
 from closebook.operators.ledger import ledger_by_contract
+from closebook.plans.measures import Measure
 from closebook.sources.relations import Relations
 
 # Project status that counts as open, number of the overhead project
@@ -24,14 +25,13 @@ def wip_totals(rel: Relations, dates: Mapping[str, date]) -> DataFrame:
     `dates` maps a column suffix to a date; all dates are answered by one pass
     over the contract activity, one row per contract.
     """
-    day = F.col("tran_date")
     sums = [
-        F.sum(F.when(day <= F.lit(end), F.col(source))).alias(f"{target}{suffix}")
+        Measure(f"{target}{suffix}", source, f"tran_date <= {literal(end)}").sum()
         for suffix, end in dates.items()
         for source, target in (("change_order", "change_orders"), ("billed", "total_amount"))
     ]
     moved = (
-        rel.contract_activity.filter(day <= F.lit(max(dates.values())))
+        rel.contract_activity.filter(f"tran_date <= {literal(max(dates.values()))}")
         .groupBy("contract_id").agg(*sums)
     )
     return rel.contract_values.join(moved, "contract_id", "left")
@@ -42,25 +42,22 @@ def contract_positions(rel: Relations, dates: Mapping[str, date]) -> DataFrame:
     return rel.projects.join(wip_totals(rel, dates), "contract_id")
 
 
-def revised_value(suffix: str = "") -> Column:
-    return zero_if_null(F.col("original_value")) + zero_if_null(F.col(f"change_orders{suffix}"))
+def revised_value(suffix: str = "") -> str:
+    return f"{zero_if_null('original_value')} + {zero_if_null('change_orders' + suffix)}"
 
 
-def in_backlog(suffix: str = "") -> Column:
+def in_backlog(suffix: str = "") -> str:
     """Open status, a value, and not the overhead project."""
     return (
-        (F.col("status_id") == OPEN_STATUS)
-        & ((zero_if_null(F.col("original_value")) > 0)
-           | (zero_if_null(F.col(f"change_orders{suffix}")) > 0))
-        & (F.rtrim("project_number") != OVERHEAD_PROJECT)
+        f"status_id = {OPEN_STATUS} AND (original_value > 0 OR change_orders{suffix} > 0)"
+        f" AND rtrim(project_number) <> {literal(OVERHEAD_PROJECT)}"
     )
 
 
-def is_open(suffix: str = "") -> Column:
+def is_open(suffix: str = "") -> str:
     """In backlog and not yet billed in full."""
-    return in_backlog(suffix) & (
-        zero_if_null(F.col(f"total_amount{suffix}")) < revised_value(suffix)
-    )
+    billed = zero_if_null(f"total_amount{suffix}")
+    return f"{in_backlog(suffix)} AND {billed} < {revised_value(suffix)}"
 
 
 def open_contracts(rel: Relations, end: date) -> DataFrame:
@@ -78,14 +75,14 @@ def of_open_contracts(per_contract: DataFrame, rel: Relations, as_of: AsOf) -> D
 
 
 def tasks_by_contract(rel: Relations) -> DataFrame:
-    return rel.contract_tasks.filter(F.col("contract_id").isNotNull()).groupBy("contract_id").agg(
-        F.sum(zero_if_null(F.col("quantity"))).alias("budgeted_hours"),
-        F.sum(zero_if_null(F.col("amount"))).alias("budgeted_labor"),
+    return rel.contract_tasks.filter("contract_id IS NOT NULL").groupBy("contract_id").agg(
+        F.expr("sum(coalesce(quantity, 0)) AS budgeted_hours"),
+        F.expr("sum(coalesce(amount, 0)) AS budgeted_labor"),
     )
 
 
 def budget_by_contract(rel: Relations) -> DataFrame:
-    return rel.budget_items.filter(F.col("contract_id").isNotNull()).groupBy("contract_id").agg(
+    return rel.budget_items.filter("contract_id IS NOT NULL").groupBy("contract_id").agg(
         F.sum("amount").alias("budget")
     )
 
@@ -105,7 +102,8 @@ def wip_cost(rel: Relations, as_of: AsOf) -> DataFrame:
 
 
 def budgeted_hours(rel: Relations, as_of: AsOf) -> DataFrame:
-    return of_open_contracts(tasks_by_contract(rel).select("contract_id", "budgeted_hours"), rel, as_of)
+    rows = tasks_by_contract(rel).select("contract_id", "budgeted_hours")
+    return of_open_contracts(rows, rel, as_of)
 
 
 def wip_budget_labor(rel: Relations, as_of: AsOf) -> DataFrame:
@@ -118,4 +116,4 @@ def wip_budget_labor(rel: Relations, as_of: AsOf) -> DataFrame:
 def contract_budget_labor(rel: Relations, as_of: AsOf) -> DataFrame:
     """Budgeted money per open contract, where there is any."""
     rows = tasks_by_contract(rel).select("contract_id", "budgeted_labor")
-    return of_open_contracts(rows, rel, as_of).filter(F.col("budgeted_labor") > 0)
+    return of_open_contracts(rows, rel, as_of).filter("budgeted_labor > 0")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from closebook.calendar import AsOf
-from closebook.functions.scalars import ratio, zero_if_null
+from closebook.functions.scalars import literal, ratio
 from closebook.operators import ledger as G
 from closebook.plans.measures import sum_measures
 from closebook.sources.relations import Relations
@@ -22,22 +24,19 @@ def department_health(rel: Relations, as_of: AsOf) -> DataFrame:
     before the contract is turned into its department, so the lookup handles
     sums and a large contract or department costs no more than a small one.
     """
-    in_year = G.window("ytd", as_of)
-    week = F.date_trunc("WEEK", F.col("tran_date")).cast("date")
-    known = G.flows()
+    ytd = G.window("ytd", as_of)
     money = sum_measures(
-        G.ledger_lines(rel).filter(in_year & F.col("contract_id").isNotNull()),
-        [known[name] for name in FLOWS],
-        by=["contract_id", week.alias("week_start")],
+        G.ledger_lines(rel).filter(f"{ytd} AND contract_id IS NOT NULL"),
+        [G.FLOWS[name] for name in FLOWS],
+        by=["contract_id", F.expr("CAST(date_trunc('WEEK', tran_date) AS DATE) AS week_start")],
     )
-    day = F.col("in_time").cast("date")
+    first, after = literal(as_of.year_start), literal(as_of.today + timedelta(days=1))
     hours = (
         rel.daily_time.filter(
-            F.col("contract_id").isNotNull()
-            & (day >= F.lit(as_of.year_start)) & (day <= F.lit(as_of.today))
+            f"contract_id IS NOT NULL AND in_time >= {first} AND in_time < {after}"
         )
-        .groupBy("contract_id", F.date_trunc("WEEK", F.col("in_time")).cast("date").alias("week_start"))
-        .agg(F.sum(zero_if_null(F.col("total"))).alias("hours"))
+        .groupBy("contract_id", F.expr("CAST(date_trunc('WEEK', in_time) AS DATE) AS week_start"))
+        .agg(F.expr("sum(coalesce(total, 0)) AS hours"))
     )
     sums = (*FLOWS, "hours")
     weeks = (
@@ -51,7 +50,7 @@ def department_health(rel: Relations, as_of: AsOf) -> DataFrame:
     )
     return weeks.select(
         "department", "week_start", *sums,
-        ratio(F.col("revenue") - zero_if_null(F.col("cogs")), F.col("revenue"), 4).alias("gm_pct"),
+        F.expr(ratio("revenue - coalesce(cogs, 0)", "revenue", 4)).alias("gm_pct"),
         F.sum("revenue").over(so_far).alias("ytd_revenue"),
         F.sum("net_income").over(so_far).alias("ytd_net_income"),
     )

@@ -15,14 +15,12 @@ def sheet_to_long(sheet: DataFrame, year: int) -> DataFrame:
 
     The period is the month end; empty cells are left out.
     """
-    months = F.inline(F.array(*[
-        F.struct(
-            F.last_day(F.make_date(F.lit(year), F.lit(m), F.lit(1))).alias("period"),
-            F.col(f"m{m:02d}").cast("double").alias("value"),
-        )
-        for m in range(1, 13)
-    ]))
-    return sheet.select("metric", months).filter(F.col("value").isNotNull())
+    months = ", ".join(
+        f"last_day(DATE'{year}-{m:02d}-01'), CAST(m{m:02d} AS DOUBLE)" for m in range(1, 13)
+    )
+    return sheet.selectExpr("metric", f"stack(12, {months}) AS (period, value)").filter(
+        "value IS NOT NULL"
+    )
 
 
 def external_metrics(rel: Relations, as_of: AsOf, sheet_year: int) -> DataFrame:

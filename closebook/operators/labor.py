@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from closebook.calendar import AsOf
-from closebook.functions.scalars import minutes_crossed, zero_if_null
+from closebook.functions.scalars import literal, minutes_crossed
 from closebook.operators.contracts import (
     budgeted_hours,
     contract_budget_labor,
@@ -16,27 +16,27 @@ from closebook.operators.contracts import (
 from closebook.operators.ledger import ledger_by_contract
 from closebook.sources.relations import Relations
 
+#: permanent employees with a wage
+IN_STAFF = "coalesce(temp_hire, 0) <> 1 AND coalesce(wage, 0) > 0"
 
-def is_in_staff() -> Column:
-    """Permanent employees with a wage."""
-    return (zero_if_null(F.col("temp_hire")) != 1) & (zero_if_null(F.col("wage")) > 0)
+MINUTES = minutes_crossed("in_time", "out_time")
 
 
-def clocked_ytd(as_of: AsOf) -> Column:
+def clocked_ytd(as_of: AsOf) -> str:
     """Clock-in from the start of the year up to the start of the as-of day."""
-    return F.col("in_time").between(F.lit(as_of.year_start), F.lit(as_of.today))
+    return f"in_time BETWEEN {literal(as_of.year_start)} AND {literal(as_of.today)}"
 
 
 def wip_time_cost(rel: Relations, as_of: AsOf) -> DataFrame:
     """Timesheet lines of open contracts by permanent staff, with their cost."""
-    lines = rel.daily_time.filter(F.col("contract_id").isNotNull()).select(
+    lines = rel.daily_time.filter("contract_id IS NOT NULL").select(
         "contract_id", "employee_id", "hours"
     )
-    staff = rel.employees.filter(is_in_staff()).select("employee_id", "wage")
+    staff = rel.employees.filter(IN_STAFF).select("employee_id", "wage")
     return (
         lines.join(open_contracts(rel, as_of.today), "contract_id", "left_semi")
         .join(staff, "employee_id")
-        .select("contract_id", "hours", "wage", (F.col("hours") * F.col("wage")).alias("cost"))
+        .selectExpr("contract_id", "hours", "wage", "hours * wage AS cost")
     )
 
 
@@ -48,31 +48,27 @@ def time_by_contract(rel: Relations, as_of: AsOf) -> DataFrame:
     combined in the tasks that read it.  Cost is the wage times the summed
     hours, which equals the sum of line costs because both are exact decimals.
     """
-    pairs = rel.daily_time.filter(F.col("contract_id").isNotNull()).groupBy(
+    pairs = rel.daily_time.filter("contract_id IS NOT NULL").groupBy(
         "contract_id", "employee_id"
     ).agg(
-        F.sum("hours").cast("decimal(22,4)").alias("hours"),
-        F.sum(zero_if_null(F.col("total"))).alias("total"),
-        F.sum(F.when(
-            clocked_ytd(as_of), minutes_crossed(F.col("in_time"), F.col("out_time"))
-        )).alias("minutes"),
+        F.expr("CAST(sum(hours) AS DECIMAL(22,4)) AS hours"),
+        F.expr("sum(coalesce(total, 0)) AS total"),
+        F.expr(f"sum(CASE WHEN {clocked_ytd(as_of)} THEN {MINUTES} END) AS minutes"),
     )
-    wages = rel.employees.select(
-        "employee_id", F.col("wage").cast("decimal(15,4)").alias("wage"),
-        is_in_staff().alias("in_staff"),
+    wages = rel.employees.selectExpr(
+        "employee_id", "CAST(wage AS DECIMAL(15,4)) AS wage", f"{IN_STAFF} AS in_staff"
     )
-    staff = F.col("in_staff")
     return pairs.join(wages, "employee_id", "left").groupBy("contract_id").agg(
-        F.sum("total").alias("actual_hours"),
-        F.sum(F.when(staff, F.col("hours"))).alias("staff_hours"),
-        F.sum(F.when(staff, F.col("hours") * F.col("wage"))).alias("staff_cost"),
-        F.sum(F.when(staff, F.col("minutes"))).alias("staff_minutes_ytd"),
+        F.expr("sum(total) AS actual_hours"),
+        F.expr("sum(CASE WHEN in_staff THEN hours END) AS staff_hours"),
+        F.expr("sum(CASE WHEN in_staff THEN hours * wage END) AS staff_cost"),
+        F.expr("sum(CASE WHEN in_staff THEN minutes END) AS staff_minutes_ytd"),
     )
 
 
 def total_hours_by_contract(rel: Relations) -> DataFrame:
-    return rel.daily_time.filter(F.col("contract_id").isNotNull()).groupBy("contract_id").agg(
-        F.sum(zero_if_null(F.col("total"))).alias("actual_hours")
+    return rel.daily_time.filter("contract_id IS NOT NULL").groupBy("contract_id").agg(
+        F.expr("sum(coalesce(total, 0)) AS actual_hours")
     )
 
 
@@ -84,11 +80,11 @@ def actual_hours(rel: Relations, as_of: AsOf) -> DataFrame:
 def combined_hours(rel: Relations, as_of: AsOf) -> DataFrame:
     """Budgeted and actual hours over open contracts with a budget, one row."""
     return (
-        budgeted_hours(rel, as_of).filter(F.col("budgeted_hours") > 0)
+        budgeted_hours(rel, as_of).filter("budgeted_hours > 0")
         .join(total_hours_by_contract(rel), "contract_id", "left")
         .agg(
             F.sum("budgeted_hours").alias("budgeted_hours"),
-            F.sum(zero_if_null(F.col("actual_hours"))).alias("actual_hours"),
+            F.expr("sum(coalesce(actual_hours, 0)) AS actual_hours"),
         )
     )
 
@@ -106,24 +102,24 @@ def total_hours_with_budget_labor(rel: Relations, as_of: AsOf) -> DataFrame:
 
 def in_staff_minutes(rel: Relations, as_of: AsOf) -> DataFrame:
     """Clock minutes of permanent staff per contract in the year to date."""
-    pairs = rel.daily_time.filter(F.col("contract_id").isNotNull() & clocked_ytd(as_of)).groupBy(
+    pairs = rel.daily_time.filter(f"contract_id IS NOT NULL AND {clocked_ytd(as_of)}").groupBy(
         "contract_id", "employee_id"
-    ).agg(F.sum(minutes_crossed(F.col("in_time"), F.col("out_time"))).alias("minutes"))
-    staff = rel.employees.filter(is_in_staff()).select("employee_id")
+    ).agg(F.expr(f"sum({MINUTES}) AS minutes"))
+    staff = rel.employees.filter(IN_STAFF).select("employee_id")
     return pairs.join(staff, "employee_id", "left_semi").groupBy("contract_id").agg(
         F.sum("minutes").alias("staff_minutes_ytd")
     )
 
 
 def in_staff_hours(rel: Relations, as_of: AsOf) -> DataFrame:
-    return in_staff_minutes(rel, as_of).select(
-        "contract_id", (F.col("staff_minutes_ytd") / F.lit(60.0)).alias("in_staff_hours")
+    return in_staff_minutes(rel, as_of).selectExpr(
+        "contract_id", "staff_minutes_ytd / 60D AS in_staff_hours"
     )
 
 
-def earns_with_staff(revenue: str, labor: str, minutes: str) -> Column:
+def earns_with_staff(revenue: str, labor: str, minutes: str) -> str:
     """Contracts that count in the hourly rate: all three are positive."""
-    return (F.col(revenue) > 0) & (F.col(labor) > 0) & (F.col(minutes) > 0)
+    return f"{revenue} > 0 AND {labor} > 0 AND {minutes} > 0"
 
 
 def project_level_ytd(rel: Relations, as_of: AsOf) -> DataFrame:
@@ -140,11 +136,11 @@ def project_level_ytd(rel: Relations, as_of: AsOf) -> DataFrame:
         .filter(earns_with_staff(
             "contract_ytd_revenue", "contract_ytd_in_staff_labor", "staff_minutes_ytd"
         ))
-        .select(
+        .selectExpr(
             "contract_id",
-            F.col("contract_ytd_revenue").alias("total_revenue_ytd"),
-            F.col("contract_ytd_in_staff_labor").alias("in_staff_labor_ytd"),
-            F.coalesce("contract_ytd_cogs", F.lit(0)).alias("total_cogs_ytd"),
-            (F.col("staff_minutes_ytd") / F.lit(60.0)).alias("in_staff_hours_ytd"),
+            "contract_ytd_revenue AS total_revenue_ytd",
+            "contract_ytd_in_staff_labor AS in_staff_labor_ytd",
+            "coalesce(contract_ytd_cogs, 0) AS total_cogs_ytd",
+            "staff_minutes_ytd / 60D AS in_staff_hours_ytd",
         )
     )

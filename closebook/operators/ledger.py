@@ -9,11 +9,11 @@ however many metrics there are, and the metrics are then sums over cells.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from closebook.calendar import AsOf
-from closebook.functions.scalars import is_text, latest_boundary, net_credit, net_debit
+from closebook.functions.scalars import is_text, latest_boundary, literal, one_of
 from closebook.plans.measures import Measure, sum_measures
 from closebook.sources.relations import Relations
 
@@ -35,75 +35,77 @@ ATTRIBUTES = (
 
 
 def account_attributes(rel: Relations, overbillings: str = OVERBILLINGS) -> DataFrame:
-    return rel.accounts.select(
+    return rel.accounts.selectExpr(
         "account_id", "account_type_id", "account_type", "is_asset", "is_liability",
-        is_text(F.col("code_name"), overbillings).alias("is_overbillings"),
-        F.coalesce("is_in_staff", F.lit(False)).alias("is_in_staff"),
+        f"{is_text('code_name', overbillings)} AS is_overbillings",
+        "coalesce(is_in_staff, false) AS is_in_staff",
     )
 
 
 def ledger_lines(rel: Relations, overbillings: str = OVERBILLINGS) -> DataFrame:
-    """Ledger lines with the attributes of their account.
+    """Ledger lines with the attributes of their account; `net` is debit minus credit.
+
+    A missing ledger type counts as not profit and loss.
 
     The join carries no hint: Spark broadcasts the chart of accounts while its
     size is under `spark.sql.autoBroadcastJoinThreshold`, and otherwise sorts
     both sides, where adaptive execution splits an account with many lines.
     """
-    return rel.gl_debit_credit.join(account_attributes(rel, overbillings), "account_id").select(
+    excluded = one_of("gl_type_id", NOT_PROFIT_AND_LOSS)
+    return rel.gl_debit_credit.join(account_attributes(rel, overbillings), "account_id").selectExpr(
         "contract_id",
         "tran_date",
-        # a missing ledger type counts as not profit and loss
-        (F.col("gl_type_id").isNotNull() & ~F.col("gl_type_id").isin(*NOT_PROFIT_AND_LOSS))
-        .alias("is_pl"),
-        net_debit().alias("net"),
+        f"gl_type_id IS NOT NULL AND NOT {excluded} AS is_pl",
+        "coalesce(debit, 0) - coalesce(credit, 0) AS net",
         *ATTRIBUTES,
     )
 
 
-def flows() -> dict[str, Measure]:
+def _flows() -> dict[str, Measure]:
     """Every signed sum the metrics need, without dates, over `ledger_lines`.
 
-    `net` is debit minus credit.  Balances round each line before summing.
+    Balances round each line before summing.
     """
-    pl, kind, net = F.col("is_pl"), F.col("account_type_id"), F.col("net")
-    asset, liability = F.col("is_asset") == 1, F.col("is_liability") == 1
-    credit, debit = -net, net
-    rounded_debit, rounded_credit = F.round(debit, 2), F.round(credit, 2)
-    statement = F.when(kind.isin(COGS, EXPENSE, OTHER_EXPENSE), debit).otherwise(credit)
-    statement_types = kind.isin(COGS, EXPENSE, INCOME, OTHER_EXPENSE, OTHER_INCOME)
+    cash = one_of("account_type_id", CASH_TYPES)
+    contract_types = one_of("account_type_id", (COGS, INCOME))
+    statement_types = one_of("account_type_id", (COGS, EXPENSE, INCOME, OTHER_EXPENSE, OTHER_INCOME))
+    debit_types = one_of("account_type_id", (COGS, EXPENSE, OTHER_EXPENSE))
+    statement = f"CASE WHEN {debit_types} THEN net ELSE -net END"
 
-    def described(*texts: str) -> Column:
-        return is_text(F.col("account_type"), *texts)
+    def described(*texts: str) -> str:
+        return is_text("account_type", *texts)
 
+    income = described("Income")
+    payable = described("Accounts Payable", "Credit Card Account")
     return {m.name: m for m in (
-        Measure("revenue", credit, (kind == INCOME) & pl),
-        Measure("cogs", debit, (kind == COGS) & pl),
-        Measure("in_staff_labor", debit, F.col("is_in_staff") & kind.isin(COGS, INCOME) & pl),
-        Measure("net_income", credit, kind.isin(COGS, EXPENSE, INCOME, OTHER_INCOME) & pl),
-        Measure("income", statement, described("Income") & statement_types & pl),
+        Measure("revenue", "-net", f"account_type_id = {INCOME} AND is_pl"),
+        Measure("cogs", "net", f"account_type_id = {COGS} AND is_pl"),
+        Measure("in_staff_labor", "net", f"is_in_staff AND {contract_types} AND is_pl"),
+        Measure("net_income", "-net",
+                f"{one_of('account_type_id', (COGS, EXPENSE, INCOME, OTHER_INCOME))} AND is_pl"),
+        Measure("income", statement, f"{income} AND {statement_types} AND is_pl"),
         Measure(
             "ordinary_income",
-            F.when(described("Income"), statement).otherwise(-statement),
-            described("Income", "Cost of Goods Sold", "Expense") & statement_types & pl,
-        ),
-        Measure("income_lines", credit, described("Income") & pl),
-        Measure(
-            "net_profit", credit,
-            described("Income", "Cost of Goods Sold", "Expense", "Other Income") & pl,
+            f"CASE WHEN {income} THEN 1 ELSE -1 END * {statement}",
+            f"{described('Income', 'Cost of Goods Sold', 'Expense')} AND {statement_types} AND is_pl",
         ),
-        Measure("gross_profit", credit, described("Income", "Cost of Goods Sold") & pl),
-        Measure("cash", rounded_debit, asset & kind.isin(*CASH_TYPES)),
-        Measure("receivable", rounded_debit, asset & (kind == RECEIVABLE)),
+        Measure("income_lines", "-net", f"{income} AND is_pl"),
         Measure(
-            "payable", rounded_credit,
-            liability & (described("Accounts Payable", "Credit Card Account")
-                         | F.col("is_overbillings")),
+            "net_profit", "-net",
+            f"{described('Income', 'Cost of Goods Sold', 'Expense', 'Other Income')} AND is_pl",
         ),
-        Measure("current_liabilities", rounded_credit,
-                liability & (kind != LONG_TERM_LIABILITY)),
+        Measure("gross_profit", "-net", f"{described('Income', 'Cost of Goods Sold')} AND is_pl"),
+        Measure("cash", "round(net, 2)", f"is_asset = 1 AND {cash}"),
+        Measure("receivable", "round(net, 2)",
+                f"is_asset = 1 AND account_type_id = {RECEIVABLE}"),
+        Measure("payable", "round(-net, 2)", f"is_liability = 1 AND ({payable} OR is_overbillings)"),
+        Measure("current_liabilities", "round(-net, 2)",
+                f"is_liability = 1 AND account_type_id <> {LONG_TERM_LIABILITY}"),
     )}
 
 
+FLOWS = _flows()
+
 #: measure -> (flow, window)
 WINDOWED = {
     "ytd_revenue": ("revenue", "ytd"),
@@ -133,26 +135,25 @@ PER_CONTRACT = {
 }
 
 
-def window(name: str, as_of: AsOf, day: str = "tran_date") -> Column:
-    """Condition on a date column for one of the reporting windows."""
-    column = F.col(day)
-    first_last = {
+def window(name: str, as_of: AsOf) -> str:
+    """Condition on `tran_date` for one of the reporting windows."""
+    bounds = {
         "ytd": (as_of.year_start, as_of.today),
         "last_12m": (as_of.start_12m, as_of.month_end),
         "last_month": (as_of.month_start, as_of.month_end),
+        "balance": (None, as_of.month_end),
+        "prior_balance": (None, as_of.prior_month_end),
     }
-    if name in first_last:
-        first, last = first_last[name]
-        return (column >= F.lit(first)) & (column <= F.lit(last))
-    end = {"balance": as_of.month_end, "prior_balance": as_of.prior_month_end}[name]
-    return column <= F.lit(end)
+    first, last = bounds[name]
+    if first is None:
+        return f"tran_date <= {literal(last)}"
+    return f"tran_date BETWEEN {literal(first)} AND {literal(last)}"
 
 
 def measures_at(as_of: AsOf, wanted: dict[str, tuple[str, str | None]]) -> list[Measure]:
-    known = flows()
     return [
-        known[flow].within(name, window(period, as_of)) if period
-        else Measure(name, known[flow].value, known[flow].where)
+        FLOWS[flow].within(name, window(period, as_of)) if period
+        else Measure(name, FLOWS[flow].value, FLOWS[flow].where)
         for name, (flow, period) in wanted.items()
     ]
 
@@ -169,6 +170,13 @@ def ledger_by_contract(rel: Relations, as_of: AsOf, names=None) -> DataFrame:
     return sum_measures(ledger_lines(rel), measures_at(as_of, wanted), by=["contract_id"])
 
 
+def sum_cells(lines: DataFrame, *keys: str) -> DataFrame:
+    """Sum ledger lines by `keys` and everything the flows look at."""
+    return lines.groupBy(*keys, "is_pl", *ATTRIBUTES).agg(
+        F.sum("net").alias("net"), F.count("*").alias("lines")
+    )
+
+
 def ledger_cells(rel: Relations, as_of: AsOf) -> DataFrame:
     """The ledger summed by account attributes and date interval.
 
@@ -177,43 +185,33 @@ def ledger_cells(rel: Relations, as_of: AsOf) -> DataFrame:
     carries the opening day of its interval as `tran_date`; windows start and
     end on interval borders, so the measures apply to cells unchanged.
     """
+    keeps_contract = f"{one_of('account_type_id', (COGS, INCOME))} AND is_pl"
     lines = ledger_lines(rel).withColumns({
-        "contract_id": F.when(
-            F.col("account_type_id").isin(COGS, INCOME) & F.col("is_pl"), F.col("contract_id")
-        ),
-        "tran_date": latest_boundary(F.col("tran_date"), as_of.boundaries),
+        "contract_id": F.expr(f"CASE WHEN {keeps_contract} THEN contract_id END"),
+        "tran_date": F.expr(latest_boundary("tran_date", as_of.boundaries)),
     })
     return sum_cells(lines, "contract_id", "tran_date")
 
 
-def sum_cells(lines: DataFrame, *keys: str) -> DataFrame:
-    """Sum ledger lines by `keys` and everything the flows look at.
-
-    The account attributes form one struct key, which keeps the generated loop
-    over the lines small enough for the JIT compiler.
-    """
-    return (
-        lines.groupBy(*keys, "is_pl", F.struct(*ATTRIBUTES).alias("account"))
-        .agg(F.sum("net").alias("net"), F.count("*").alias("lines"))
-        .select(*keys, "is_pl", "account.*", "net", "lines")
-    )
-
-
 def ledger_report(rel: Relations, as_of: AsOf) -> DataFrame:
     """All measures per contract from one read of the ledger.
 
     The row without a contract holds everything that needs none; summing a
     column of WINDOWED over all rows gives the company total.
     """
-    cells = ledger_cells(rel, as_of)
     return sum_measures(
-        cells, measures_at(as_of, {**WINDOWED, **PER_CONTRACT}), by=["contract_id"],
-        prefilter=False,
+        ledger_cells(rel, as_of), measures_at(as_of, {**WINDOWED, **PER_CONTRACT}),
+        by=["contract_id"], prefilter=False,
     )
 
 
+def idc_lines(rel: Relations, period: str) -> DataFrame:
+    """Indirect cost lines of a period: listed ledger types, cost codes with the prefix."""
+    codes = rel.cost_codes.filter(f"startswith(number, {literal(IDC_CODE_PREFIX)})")
+    spent = rel.gl.filter(f"{one_of('gl_type_id', IDC_GL_TYPES)} AND {period}")
+    return spent.join(codes, "cost_code_id")
+
+
 def idc_spend(rel: Relations, as_of: AsOf) -> DataFrame:
     """Indirect cost posted in the last twelve complete months."""
-    codes = rel.cost_codes.filter(F.col("number").startswith(IDC_CODE_PREFIX))
-    spent = rel.gl.filter(F.col("gl_type_id").isin(*IDC_GL_TYPES) & window("last_12m", as_of))
-    return spent.join(codes, "cost_code_id").agg(F.sum("tran_amount").alias("idc_12m"))
+    return idc_lines(rel, window("last_12m", as_of)).agg(F.sum("tran_amount").alias("idc_12m"))

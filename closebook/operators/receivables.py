@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from closebook.calendar import AsOf
+from closebook.functions.scalars import literal, one_of
+from closebook.plans.measures import Measure
 from closebook.sources.relations import Relations
 
 # Document types, days-to-pay windows and aging bucket bounds
@@ -24,70 +26,69 @@ AGING_BUCKETS = {
 
 def invoice_pairs(rel: Relations) -> DataFrame:
     """Latest invoice and latest payment date of documents that have both."""
-    kind, day = F.col("gl_type_name"), F.col("tran_date")
+    def latest(kind: str) -> str:
+        return f"max(CASE WHEN gl_type_name = {literal(kind)} THEN tran_date END)"
+
     return (
-        rel.ar_inquiry.filter(kind.isin(INVOICE, PAYMENT))
+        rel.ar_inquiry.filter(one_of("gl_type_name", (INVOICE, PAYMENT)))
         .groupBy("trans_doc_id")
         .agg(
-            F.max(F.when(kind == INVOICE, day)).alias("invoice_date"),
-            F.max(F.when(kind == PAYMENT, day)).alias("payment_date"),
+            F.expr(latest(INVOICE)).alias("invoice_date"),
+            F.expr(latest(PAYMENT)).alias("payment_date"),
         )
-        .filter(F.col("invoice_date").isNotNull() & F.col("payment_date").isNotNull())
+        .filter("invoice_date IS NOT NULL AND payment_date IS NOT NULL")
     )
 
 
 def days_to_pay(rel: Relations) -> DataFrame:
     """Days from invoice to payment; payments on or before the invoice day are left out."""
-    return invoice_pairs(rel).filter(F.col("payment_date") > F.col("invoice_date")).select(
-        "invoice_date", F.datediff("payment_date", "invoice_date").alias("days_diff")
+    return invoice_pairs(rel).filter("payment_date > invoice_date").selectExpr(
+        "invoice_date", "datediff(payment_date, invoice_date) AS days_diff"
     )
 
 
 def average_days_to_pay(rel: Relations, as_of: AsOf,
                         windows: Iterable[int | None] = (*PAY_WINDOWS, None)) -> DataFrame:
     """One row with `pay_<days>` per window and `pay_all` for None."""
-    days = F.col("days_diff").cast("double")
+    days = "CAST(days_diff AS DOUBLE)"
     return days_to_pay(rel).agg(*[
-        F.avg(days).alias("pay_all") if n is None
-        else F.avg(F.when(F.col("invoice_date") > F.lit(as_of.days_back(n)), days)).alias(f"pay_{n}")
+        F.expr(f"avg({days}) AS pay_all") if n is None
+        else F.expr(f"avg(CASE WHEN invoice_date > {literal(as_of.days_back(n))}"
+                    f" THEN {days} END) AS pay_{n}")
         for n in windows
     ])
 
 
-def open_receivables(rel: Relations, as_of: AsOf) -> DataFrame:
-    """Unpaid rows with a project, and their age in days."""
-    return rel.ar_inquiry.filter(
-        (F.col("balance_due") > 1) & F.col("tran_date").isNotNull() & F.col("project").isNotNull()
-    ).select("balance_due", F.datediff(F.lit(as_of.today), "tran_date").alias("age"))
-
-
 def receivable_aging(rel: Relations, as_of: AsOf) -> DataFrame:
     """One row: average age and the outstanding balance per age bucket.
 
-    Rows dated after the as-of date count in the average but in no bucket.
+    Rows count if unpaid, dated and tied to a project.  Those dated after the
+    as-of date are in the average but in no bucket.
     """
-    age, due = F.col("age"), F.col("balance_due")
+    rows = rel.ar_inquiry.filter(
+        "balance_due > 1 AND tran_date IS NOT NULL AND project IS NOT NULL"
+    ).selectExpr("balance_due", f"datediff({literal(as_of.today)}, tran_date) AS age")
     buckets = [
-        F.sum(F.when(age >= low if high is None else age.between(low, high), due)).alias(name)
+        Measure(name, "balance_due",
+                f"age >= {low}" if high is None else f"age BETWEEN {low} AND {high}").sum()
         for name, (low, high) in AGING_BUCKETS.items()
     ]
-    return open_receivables(rel, as_of).agg(F.avg(age.cast("double")).alias("age_avg"), *buckets)
+    return rows.agg(F.expr("avg(CAST(age AS DOUBLE)) AS age_avg"), *buckets)
 
 
 def aging_bucket(rel: Relations, as_of: AsOf, name: str) -> DataFrame:
     """One bucket alone, read only for its dates."""
     low, high = AGING_BUCKETS[name]
-    day = F.col("tran_date")
-    dated = day <= F.lit(as_of.days_back(low))
+    dated = f"tran_date <= {literal(as_of.days_back(low))}"
     if high is not None:
-        dated = dated & (day >= F.lit(as_of.days_back(high)))
+        dated += f" AND tran_date >= {literal(as_of.days_back(high))}"
     return rel.ar_inquiry.filter(
-        dated & (F.col("balance_due") > 1) & F.col("project").isNotNull()
+        f"{dated} AND balance_due > 1 AND project IS NOT NULL"
     ).agg(F.sum("balance_due").alias(name))
 
 
 def unbilled_retainage(rel: Relations, as_of: AsOf) -> DataFrame:
     """Retainage not yet billed as of the run date."""
-    return rel.retainage.filter(F.col("tran_date") <= F.lit(as_of.today)).agg(
+    return rel.retainage.filter(f"tran_date <= {literal(as_of.today)}").agg(
         F.sum("unpaid_retainage").alias("retainage")
     )

@@ -6,19 +6,18 @@ it names; in the report, all metrics of a subject share the same sums.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from closebook.calendar import AsOf
-from closebook.functions.scalars import ratio, zero_if_null
+from closebook.functions.scalars import literal, ratio, zero_if_null
 from closebook.operators import contracts as C
 from closebook.operators import labor as L
 from closebook.operators import ledger as G
 from closebook.operators import receivables as R
-from closebook.plans.measures import to_long
+from closebook.plans.measures import Measure, to_long
 from closebook.sources.relations import Relations
 
 MONTHS = 12  # averages divide by twelve even when fewer months have rows
@@ -29,118 +28,102 @@ class Metric:
     ordinal: int
     key: str
     name: str
+    #: the sums the formula reads
     sums: tuple[str, ...]
-    formula: Callable[[], Column]
+    #: SQL over the sums
+    formula: str
     #: "flow" and "balance" can be recomputed for past dates; "position" uses current state
     history: str
 
 
-def _col(name: str) -> Callable[[], Column]:
-    return lambda: F.col(name)
+def _gross_margin(revenue: str, cost: str) -> str:
+    return ratio(f"{revenue} - {zero_if_null(cost)}", revenue, 4)
 
 
-def _rounded(name: str, digits: int = 0) -> Callable[[], Column]:
-    return lambda: F.round(F.col(name), digits)
+def _monthly_average(name: str) -> str:
+    return f"round({name} / {MONTHS}, 2)"
 
 
-def _margin(part: str, whole: str) -> Callable[[], Column]:
-    return lambda: ratio(F.col(part), F.col(whole), 4)
-
-
-def _gross_margin(revenue: str, cost: str) -> Callable[[], Column]:
-    return lambda: ratio(F.col(revenue) - zero_if_null(F.col(cost)), F.col(revenue), 4)
-
-
-def _monthly_average(name: str) -> Callable[[], Column]:
-    return lambda: F.round(F.col(name) / F.lit(MONTHS), 2)
-
-
-def _change(current: str, prior: str) -> Callable[[], Column]:
-    return lambda: F.round(F.col(current) - F.col(prior), 2)
-
-
-def _hourly_rate() -> Column:
-    labor, cogs = F.col("rate_labor").cast("double"), F.col("rate_cogs").cast("double")
-    revenue = F.col("rate_revenue").cast("double")
-    hours = F.col("rate_minutes") / F.lit(60.0)
-    none = F.lit(0.0)
-    return F.round(labor / F.nullif(cogs, none) * revenue / F.nullif(hours, none), 2)
+HOURLY_RATE = (
+    "round(CAST(rate_labor AS DOUBLE) / nullif(CAST(rate_cogs AS DOUBLE), 0D)"
+    " * CAST(rate_revenue AS DOUBLE) / nullif(rate_minutes / 60D, 0D), 2)"
+)
 
 
 # The metric names of the report, in report order
 METRICS: tuple[Metric, ...] = tuple(
     Metric(ordinal, *row) for ordinal, row in enumerate([
-        ("open_backlog", "Pipeline", ("backlog",), _col("backlog"), "position"),
+        ("open_backlog", "Pipeline", ("backlog",), "backlog", "position"),
         ("avg_monthly_idc_12m", "AvgMonthlyIDCSpendLast12CompleteMonths",
          ("idc_12m",), _monthly_average("idc_12m"), "flow"),
         ("avg_monthly_cogs_12m", "AvgMonthlyCOGSSpendLast12CompleteMonths",
          ("cogs_12m",), _monthly_average("cogs_12m"), "flow"),
-        ("cash_balance_eom", "CashBalanceAsOfEOM", ("cash",), _col("cash"), "balance"),
+        ("cash_balance_eom", "CashBalanceAsOfEOM", ("cash",), "cash", "balance"),
         ("budget_open_wip_eom", "TotalBudgetForOpenWIPProjectsAsOfEOM",
-         ("open_budget_eom",), _col("open_budget_eom"), "position"),
+         ("open_budget_eom",), "open_budget_eom", "position"),
         ("net_income_last_month", "NetIncomeLastCompletedMonth",
-         ("month_net_income",), _col("month_net_income"), "flow"),
+         ("month_net_income",), "month_net_income", "flow"),
         # previous minus current, null if either balance is missing
         ("ar_mom_delta", "AR_MoM_Delta_LastCompletedMonth",
-         ("prior_receivable", "receivable"), _change("prior_receivable", "receivable"), "balance"),
+         ("prior_receivable", "receivable"), "round(prior_receivable - receivable, 2)", "balance"),
         ("wip_budgeted_hours", "WIPTotalBudgetedHours",
-         ("wip_budgeted_hours",), _col("wip_budgeted_hours"), "position"),
+         ("wip_budgeted_hours",), "wip_budgeted_hours", "position"),
         ("wip_actual_hours", "WIPTotalActualHours",
-         ("wip_actual_hours",), _col("wip_actual_hours"), "position"),
+         ("wip_actual_hours",), "wip_actual_hours", "position"),
         ("wip_hours_ratio", "WIPActualHoursToBudgetedHoursRatio",
          ("wip_actual_hours", "wip_budgeted_hours"),
-         lambda: ratio(F.col("wip_actual_hours"), F.col("wip_budgeted_hours"), 2), "position"),
+         ratio("wip_actual_hours", "wip_budgeted_hours", 2), "position"),
         ("wip_revised_value", "WIPSumRevisedContractValues",
-         ("open_value_eom",), _col("open_value_eom"), "position"),
+         ("open_value_eom",), "open_value_eom", "position"),
         ("total_income_last_month", "TotalIncomeLastCompletedMonth",
-         ("month_income",), _col("month_income"), "flow"),
+         ("month_income",), "month_income", "flow"),
         ("net_ordinary_income_last_month", "NetOrdinaryIncomeLastCompletedMonth",
-         ("month_ordinary_income",), _col("month_ordinary_income"), "flow"),
+         ("month_ordinary_income",), "month_ordinary_income", "flow"),
         ("unbilled_retainage", "ARAgingReportUnbilledRetainage",
-         ("retainage",), _col("retainage"), "position"),
-        ("days_to_pay_30", "ARAvgDaysToPayLast30Days", ("pay_30",), _rounded("pay_30"), "position"),
-        ("days_to_pay_60", "ARAvgDaysToPayLast60Days", ("pay_60",), _rounded("pay_60"), "position"),
-        ("days_to_pay_90", "ARAvgDaysToPayLast90Days", ("pay_90",), _rounded("pay_90"), "position"),
+         ("retainage",), "retainage", "position"),
+        ("days_to_pay_30", "ARAvgDaysToPayLast30Days", ("pay_30",), "round(pay_30, 0)", "position"),
+        ("days_to_pay_60", "ARAvgDaysToPayLast60Days", ("pay_60",), "round(pay_60, 0)", "position"),
+        ("days_to_pay_90", "ARAvgDaysToPayLast90Days", ("pay_90",), "round(pay_90, 0)", "position"),
         ("days_to_pay_180", "ARAvgDaysToPayLast180Days",
-         ("pay_180",), _rounded("pay_180"), "position"),
+         ("pay_180",), "round(pay_180, 0)", "position"),
         ("days_to_pay_365", "ARAvgDaysToPayLast365Days",
-         ("pay_365",), _rounded("pay_365"), "position"),
+         ("pay_365",), "round(pay_365, 0)", "position"),
         ("days_to_pay_all", "ARAvgDaysToPaySinceDawnOfTime",
-         ("pay_all",), _rounded("pay_all"), "position"),
+         ("pay_all",), "round(pay_all, 0)", "position"),
         # current minus previous, a missing balance counts as zero
         ("ap_mom_delta", "AP_MoM_Delta_LastCompletedMonth", ("payable", "prior_payable"),
-         lambda: F.round(zero_if_null(F.col("payable")) - zero_if_null(F.col("prior_payable")), 2),
+         f"round({zero_if_null('payable')} - {zero_if_null('prior_payable')}, 2)",
          "balance"),
         ("current_liabilities_eom", "TotalCurrentLiabilitiesAsOfEOM",
-         ("current_liabilities",), _col("current_liabilities"), "balance"),
+         ("current_liabilities",), "current_liabilities", "balance"),
         ("ar_avg_days_outstanding", "ARAvgDaysOutstanding",
-         ("age_avg",), _rounded("age_avg"), "position"),
+         ("age_avg",), "round(age_avg, 0)", "position"),
         ("ar_aging_0_30", "Outstanding AR (0-30 days old)",
-         ("aging_0_30",), _col("aging_0_30"), "position"),
+         ("aging_0_30",), "aging_0_30", "position"),
         ("ar_aging_31_60", "Outstanding AR (31-60 days old)",
-         ("aging_31_60",), _col("aging_31_60"), "position"),
+         ("aging_31_60",), "aging_31_60", "position"),
         ("ar_aging_61_90", "Outstanding AR (61-90 days old)",
-         ("aging_61_90",), _col("aging_61_90"), "position"),
+         ("aging_61_90",), "aging_61_90", "position"),
         ("ar_aging_91_180", "Outstanding AR (91-180 days old)",
-         ("aging_91_180",), _col("aging_91_180"), "position"),
+         ("aging_91_180",), "aging_91_180", "position"),
         ("ar_aging_181_plus", "Outstanding AR (181-365+ days old)",
-         ("aging_181_plus",), _col("aging_181_plus"), "position"),
+         ("aging_181_plus",), "aging_181_plus", "position"),
         ("wip_budgeted_labor", "WIPTotalBudgetedLabor",
-         ("wip_budgeted_labor",), _col("wip_budgeted_labor"), "position"),
+         ("wip_budgeted_labor",), "wip_budgeted_labor", "position"),
         ("hours_budgeted_projects", "TotalActualHoursForProjectsWithBudgetedLabor",
-         ("wip_hours_with_budget",), _col("wip_hours_with_budget"), "position"),
+         ("wip_hours_with_budget",), "wip_hours_with_budget", "position"),
         ("wip_gm_pct", "WIP_GM_Percent", ("wip_revenue", "wip_cogs"),
          _gross_margin("wip_revenue", "wip_cogs"), "position"),
         ("ytd_gm_pct", "YTD_GM_Percent", ("ytd_revenue", "ytd_cogs"),
          _gross_margin("ytd_revenue", "ytd_cogs"), "flow"),
         ("net_profit_pct_ytd", "NetProfitPercentYTD", ("ytd_net_profit", "ytd_income_lines"),
-         _margin("ytd_net_profit", "ytd_income_lines"), "flow"),
+         ratio("ytd_net_profit", "ytd_income_lines", 4), "flow"),
         ("in_staff_hourly_rate_ytd", "InStaffLaborHourlyRateYTD",
-         ("rate_labor", "rate_cogs", "rate_revenue", "rate_minutes"), _hourly_rate, "flow"),
+         ("rate_labor", "rate_cogs", "rate_revenue", "rate_minutes"), HOURLY_RATE, "flow"),
         ("gross_profit_pct_ytd", "GrossProfitPercentYTD", ("ytd_gross_profit", "ytd_income_lines"),
-         _margin("ytd_gross_profit", "ytd_income_lines"), "flow"),
+         ratio("ytd_gross_profit", "ytd_income_lines", 4), "flow"),
         ("in_staff_labor_efficiency", "InStaffLaborEfficiencyWIP", ("staff_cost", "staff_hours"),
-         lambda: ratio(F.col("staff_cost"), F.col("staff_hours"), 2), "position"),
+         ratio("staff_cost", "staff_hours", 2), "position"),
     ], start=1)
 )
 
@@ -155,51 +138,34 @@ RATE_SUMS = ("rate_labor", "rate_cogs", "rate_revenue", "rate_minutes")
 TODAY, EOM = "_today", "_eom"
 
 
-def _contract_sums() -> dict[str, tuple[tuple[str, ...], Callable[[], Column]]]:
-    """Sums over the contract table: (inputs it needs, summed value)."""
-
-    def over_open(condition_suffix: str, value: Callable[[], Column], *more) -> Callable[[], Column]:
-        def expression() -> Column:
-            keep = C.is_open(condition_suffix)
-            for extra in more:
-                keep = keep & extra()
-            return F.when(keep, value())
-        return expression
-
-    def budgeted(name: str) -> Callable[[], Column]:
-        return lambda: F.col(name) > 0
-
-    def counted(value: Callable[[], Column]) -> Callable[[], Column]:
-        return lambda: F.when(
-            L.earns_with_staff("contract_ytd_revenue", "contract_ytd_in_staff_labor",
-                               "staff_minutes_ytd"),
-            value(),
-        )
-
-    rate = ("ledger", "time")
-    return {
-        "backlog": (("today",), lambda: F.when(
-            C.in_backlog(TODAY),
-            C.revised_value(TODAY) - zero_if_null(F.col(f"total_amount{TODAY}")),
-        )),
-        "open_budget_eom": (("eom", "budget"), over_open(EOM, _col("budget"))),
-        "open_value_eom": (("eom",), over_open(EOM, lambda: C.revised_value(EOM))),
-        "wip_budgeted_hours": (("today", "tasks"), over_open(
-            TODAY, _col("budgeted_hours"), budgeted("budgeted_hours"))),
-        "wip_actual_hours": (("today", "tasks", "time"), over_open(
-            TODAY, lambda: zero_if_null(F.col("actual_hours")), budgeted("budgeted_hours"))),
-        "wip_budgeted_labor": (("today", "tasks"), over_open(TODAY, _col("budgeted_labor"))),
-        "wip_hours_with_budget": (("today", "tasks", "time"), over_open(
-            TODAY, _col("actual_hours"), budgeted("budgeted_labor"))),
-        "wip_revenue": (("today", "ledger"), over_open(TODAY, _col("contract_revenue"))),
-        "wip_cogs": (("today", "ledger"), over_open(TODAY, _col("contract_cogs"))),
-        "staff_cost": (("today", "time"), over_open(TODAY, _col("staff_cost"))),
-        "staff_hours": (("today", "time"), over_open(TODAY, _col("staff_hours"))),
-        "rate_labor": (rate, counted(_col("contract_ytd_in_staff_labor"))),
-        "rate_cogs": (rate, counted(lambda: zero_if_null(F.col("contract_ytd_cogs")))),
-        "rate_revenue": (rate, counted(_col("contract_ytd_revenue"))),
-        "rate_minutes": (rate, counted(_col("staff_minutes_ytd"))),
-    }
+def _contract_sums() -> dict[str, tuple[tuple[str, ...], Measure]]:
+    """Sums over the contract table: name -> (parts it needs, measure)."""
+    open_today, open_eom = C.is_open(TODAY), C.is_open(EOM)
+    earns = L.earns_with_staff(
+        "contract_ytd_revenue", "contract_ytd_in_staff_labor", "staff_minutes_ytd"
+    )
+    has_hours, has_money = "budgeted_hours > 0", "budgeted_labor > 0"
+    rows = (
+        ("backlog", ("today",),
+         f"{C.revised_value(TODAY)} - {zero_if_null('total_amount' + TODAY)}", C.in_backlog(TODAY)),
+        ("open_budget_eom", ("eom", "budget"), "budget", open_eom),
+        ("open_value_eom", ("eom",), C.revised_value(EOM), open_eom),
+        ("wip_budgeted_hours", ("today", "tasks"), "budgeted_hours", f"{open_today} AND {has_hours}"),
+        ("wip_actual_hours", ("today", "tasks", "time"), zero_if_null("actual_hours"),
+         f"{open_today} AND {has_hours}"),
+        ("wip_budgeted_labor", ("today", "tasks"), "budgeted_labor", open_today),
+        ("wip_hours_with_budget", ("today", "tasks", "time"), "actual_hours",
+         f"{open_today} AND {has_money}"),
+        ("wip_revenue", ("today", "ledger"), "contract_revenue", open_today),
+        ("wip_cogs", ("today", "ledger"), "contract_cogs", open_today),
+        ("staff_cost", ("today", "time"), "staff_cost", open_today),
+        ("staff_hours", ("today", "time"), "staff_hours", open_today),
+        ("rate_labor", ("ledger", "time"), "contract_ytd_in_staff_labor", earns),
+        ("rate_cogs", ("ledger", "time"), zero_if_null("contract_ytd_cogs"), earns),
+        ("rate_revenue", ("ledger", "time"), "contract_ytd_revenue", earns),
+        ("rate_minutes", ("ledger", "time"), "staff_minutes_ytd", earns),
+    )
+    return {name: (parts, Measure(name, value, where)) for name, parts, value, where in rows}
 
 
 CONTRACT_SUMS = _contract_sums()
@@ -250,7 +216,7 @@ def contract_sums(rel: Relations, as_of: AsOf, names: tuple[str, ...]) -> DataFr
         inputs = dict.fromkeys(i for name in names for i in _LEDGER_INPUTS.get(name, ()))
         ledger = G.ledger_by_contract(rel, as_of, inputs)
     table = contract_table(rel, as_of, parts, ledger)
-    return table.agg(*[F.sum(CONTRACT_SUMS[name][1]()).alias(name) for name in names])
+    return table.agg(*[CONTRACT_SUMS[name][1].sum() for name in names])
 
 
 def sums_for(rel: Relations, as_of: AsOf, names: tuple[str, ...]) -> DataFrame:
@@ -274,8 +240,8 @@ def kpi(rel: Relations, as_of: AsOf, key: str) -> DataFrame:
     """One metric as a single (metric, value) row."""
     metric = BY_KEY[key]
     sums = sums_for(rel, as_of, metric.sums)
-    return sums.select(
-        F.lit(metric.name).alias("metric"), metric.formula().cast("double").alias("value")
+    return sums.selectExpr(
+        f"{literal(metric.name)} AS metric", f"CAST({metric.formula} AS DOUBLE) AS value"
     )
 
 
@@ -287,7 +253,7 @@ def company_sums(rel: Relations, as_of: AsOf) -> DataFrame:
     )
     return table.agg(
         *[F.sum(name).alias(name) for name in G.WINDOWED],
-        *[F.sum(value()).alias(name) for name, (_, value) in CONTRACT_SUMS.items()],
+        *[measure.sum() for _, measure in CONTRACT_SUMS.values()],
     )
 
 
@@ -302,7 +268,7 @@ def kpi_report(rel: Relations, as_of: AsOf) -> DataFrame:
     )
     parts = [
         to_long(sums(rel, as_of), [
-            (m.ordinal, m.name, m.formula()) for m in METRICS if set(m.sums) <= names
+            (m.ordinal, m.name, m.formula) for m in METRICS if set(m.sums) <= names
         ])
         for sums, names in subjects
     ]

@@ -11,10 +11,10 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from closebook.functions.scalars import minutes_crossed, zero_if_null
+from closebook.functions.scalars import literal
 from closebook.operators import labor as L
 from closebook.operators import ledger as G
 from closebook.operators.report import RATE_SUMS, RESTATABLE
@@ -23,14 +23,12 @@ from closebook.sources.relations import Relations
 
 MONTH, WEEK = "month", "week"
 
-_TOTAL = "decimal(38,2)"
+_TOTAL = "DECIMAL(38,2)"
 
 
-def period_end(day: Column, grain: str) -> Column:
+def period_end(day: str, grain: str) -> str:
     """The as-of date whose period holds `day`: month end, or the week's Sunday."""
-    if grain == MONTH:
-        return F.last_day(day)
-    return F.next_day(F.date_sub(day, 1), "Sunday")
+    return f"last_day({day})" if grain == MONTH else f"next_day(date_sub({day}, 1), 'Sunday')"
 
 
 def flows_by_day(rel: Relations) -> DataFrame:
@@ -39,26 +37,20 @@ def flows_by_day(rel: Relations) -> DataFrame:
     At most one row per flow and calendar day, however large the ledger.  The
     flow `lines` counts ledger lines, so each day with a line has a row.
     """
-    lines = G.ledger_lines(rel).filter(F.col("tran_date").isNotNull())
+    lines = G.ledger_lines(rel).filter("tran_date IS NOT NULL")
     cells = G.sum_cells(lines, "tran_date")
-    measures = [*G.flows().values(), Measure("lines", F.col("lines"), F.col("lines") > 0)]
+    measures = [*G.FLOWS.values(), Measure("lines", "lines", "lines > 0")]
     days = sum_measures(cells, measures, by=["tran_date"], prefilter=False)
-    ledger = days.select("tran_date", F.inline(F.array(*[
-        F.struct(F.lit(m.name).alias("flow"), F.col(m.name).cast(_TOTAL).alias("amount"))
-        for m in measures
-    ])))
-    return ledger.filter(F.col("amount").isNotNull())
+    items = ", ".join(f"{literal(m.name)}, CAST({m.name} AS {_TOTAL})" for m in measures)
+    return days.selectExpr(
+        "tran_date", f"stack({len(measures)}, {items}) AS (flow, amount)"
+    ).filter("amount IS NOT NULL")
 
 
 def idc_by_day(rel: Relations) -> DataFrame:
-    codes = rel.cost_codes.filter(F.col("number").startswith(G.IDC_CODE_PREFIX))
-    return (
-        rel.gl.filter(F.col("gl_type_id").isin(*G.IDC_GL_TYPES) & F.col("tran_date").isNotNull())
-        .join(codes, "cost_code_id")
-        .groupBy("tran_date")
-        .agg(F.sum("tran_amount").cast(_TOTAL).alias("amount"))
-        .withColumn("flow", F.lit("idc"))
-    )
+    return G.idc_lines(rel, "tran_date IS NOT NULL").groupBy("tran_date").agg(
+        F.expr(f"CAST(sum(tran_amount) AS {_TOTAL}) AS amount")
+    ).withColumn("flow", F.lit("idc"))
 
 
 def as_of_dates(days: DataFrame, grain: str, start: date | None = None,
@@ -75,20 +67,16 @@ def as_of_dates(days: DataFrame, grain: str, start: date | None = None,
             F.coalesce(F.lit(start), F.min("tran_date")).alias("first"),
             F.coalesce(F.lit(end), F.max("tran_date")).alias("last"),
         )
-    opening = F.trunc("first", "YEAR")
     if grain == MONTH:
-        dates = F.transform(
-            F.sequence(opening, F.trunc("last", "MM"), F.expr("INTERVAL 1 MONTH")), F.last_day
-        )
+        dates = ("transform(sequence(trunc(first, 'YEAR'), trunc(last, 'MM'), INTERVAL 1 MONTH),"
+                 " m -> last_day(m))")
     else:
-        dates = F.sequence(
-            period_end(opening, grain), period_end(F.col("last"), grain), F.expr("INTERVAL 7 DAY")
-        )
-    dates = span.filter(F.col("first").isNotNull()).select("first", "last", F.explode(dates).alias("as_of"))
-    last = F.col("last") if end is not None else period_end(F.col("last"), grain)
-    return dates.select(
-        "as_of", ((F.col("as_of") >= F.col("first")) & (F.col("as_of") <= last)).alias("wanted")
-    )
+        opening, closing = period_end("trunc(first, 'YEAR')", grain), period_end("last", grain)
+        dates = f"sequence({opening}, {closing}, INTERVAL 7 DAY)"
+    last = "last" if end is not None else period_end("last", grain)
+    return span.filter("first IS NOT NULL").selectExpr(
+        "first", "last", f"explode({dates}) AS as_of"
+    ).selectExpr("as_of", f"as_of BETWEEN first AND {last} AS wanted")
 
 
 def windowed_sums(days: DataFrame, calendar: DataFrame) -> DataFrame:
@@ -126,41 +114,33 @@ def windowed_sums(days: DataFrame, calendar: DataFrame) -> DataFrame:
     ])
 
 
-def _in_own_year(day: Column, grain: str) -> Column:
-    """Period end of a day if it falls in the same year; later dates never see the day."""
-    closing = period_end(day, grain)
-    return F.when(F.year(closing) == F.year(day), closing)
-
-
 def contract_earnings(rel: Relations, grain: str) -> DataFrame:
     """Ledger and clock sums per contract and period end of the year.
 
     Both facts are summed per contract and period by the tasks that read them.
-    A clock-in after midnight counts from the next day on, because the as-of
-    date stands for its first instant.
+    A row whose period ends in the next year is never inside a year to date
+    and is left out.  A clock-in after midnight counts from the next day on,
+    because the as-of date stands for its first instant.
     """
-    known = G.flows()
-    lines = G.ledger_lines(rel).filter(F.col("contract_id").isNotNull()).withColumn(
-        "as_of", _in_own_year(F.col("tran_date"), grain)
-    ).filter(F.col("as_of").isNotNull())
+    closing = period_end("tran_date", grain)
     money = sum_measures(
-        lines, [known["revenue"], known["cogs"], known["in_staff_labor"]],
+        G.ledger_lines(rel).filter(
+            f"contract_id IS NOT NULL AND year(tran_date) = year({closing})"
+        ).withColumn("as_of", F.expr(closing)),
+        [G.FLOWS["revenue"], G.FLOWS["cogs"], G.FLOWS["in_staff_labor"]],
         by=["contract_id", "as_of"],
     )
-
-    midnight = F.date_trunc("DAY", F.col("in_time"))
-    counted_from = F.date_add(
-        F.col("in_time").cast("date"), F.when(F.col("in_time") == midnight, 0).otherwise(1)
+    counted_from = (
+        "date_add(CAST(in_time AS DATE),"
+        " CASE WHEN in_time = date_trunc('DAY', in_time) THEN 0 ELSE 1 END)"
     )
     closing = period_end(counted_from, grain)
     pairs = (
-        rel.daily_time.filter(F.col("contract_id").isNotNull())
-        .withColumn("as_of", F.when(F.year(closing) == F.year("in_time"), closing))
-        .filter(F.col("as_of").isNotNull())
-        .groupBy("contract_id", "as_of", "employee_id")
-        .agg(F.sum(minutes_crossed(F.col("in_time"), F.col("out_time"))).alias("minutes"))
+        rel.daily_time.filter(f"contract_id IS NOT NULL AND year(in_time) = year({closing})")
+        .groupBy("contract_id", F.expr(closing).alias("as_of"), "employee_id")
+        .agg(F.expr(f"sum({L.MINUTES}) AS minutes"))
     )
-    staff = rel.employees.filter(L.is_in_staff()).select("employee_id")
+    staff = rel.employees.filter(L.IN_STAFF).select("employee_id")
     clocked = pairs.join(staff, "employee_id", "left_semi").groupBy("contract_id", "as_of").agg(
         F.sum("minutes").alias("minutes")
     )
@@ -187,13 +167,11 @@ def hourly_rate_sums(rel: Relations, calendar: DataFrame, grain: str) -> DataFra
     running = contract_earnings(rel, grain).withColumns(
         {name: F.sum(source).over(so_far) for name, source in inputs.items()}
     )
-    counts = F.coalesce(
-        L.earns_with_staff("rate_revenue", "rate_labor", "rate_minutes"), F.lit(False)
-    )
-    amounts = {name: F.when(counts, zero_if_null(F.col(name))).otherwise(0) for name in RATE_SUMS}
-    counted = running.select(
-        "contract_id", "as_of", *[value.alias(name) for name, value in amounts.items()],
-        F.when(counts, 1).otherwise(0).alias("contracts"),
+    counts = L.earns_with_staff("rate_revenue", "rate_labor", "rate_minutes")
+    counted = running.selectExpr(
+        "contract_id", "as_of",
+        *[f"CASE WHEN {counts} THEN coalesce({c}, 0) ELSE 0 END AS {c}" for c in RATE_SUMS],
+        f"CASE WHEN {counts} THEN 1 ELSE 0 END AS contracts",
     )
     totals = (*RATE_SUMS, "contracts")
     changes = counted.select(
@@ -224,7 +202,7 @@ def snapshot(rel: Relations, grain: str, start: date | None = None, end: date |
     rates = hourly_rate_sums(rel, calendar, grain)
     return to_long(
         sums.join(rates, "as_of"),
-        [(m.ordinal, m.name, m.formula()) for m in RESTATABLE],
+        [(m.ordinal, m.name, m.formula) for m in RESTATABLE],
         "as_of",
     )
 

@@ -4,24 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from closebook.functions.scalars import literal
+
 
 @dataclass(frozen=True)
 class Measure:
-    """A named sum of `value` over the rows where `where` holds."""
+    """A named sum of `value` over the rows where `where` holds, both SQL text."""
 
     name: str
-    value: Column
-    where: Column
+    value: str
+    where: str
 
-    def within(self, name: str, period: Column) -> Measure:
+    def within(self, name: str, period: str) -> Measure:
         """The same sum limited to a period."""
-        return Measure(name, self.value, self.where & period)
+        return Measure(name, self.value, f"({self.where}) AND ({period})")
+
+    def sum(self) -> Column:
+        return F.expr(f"sum(CASE WHEN {self.where} THEN {self.value} END)").alias(self.name)
 
 
 def sum_measures(rows: DataFrame, measures: Iterable[Measure], by: Iterable = (),
@@ -35,22 +38,21 @@ def sum_measures(rows: DataFrame, measures: Iterable[Measure], by: Iterable = ()
     """
     measures = list(measures)
     if prefilter:
-        rows = rows.filter(reduce(or_, [m.where for m in measures]))
+        rows = rows.filter(" OR ".join(f"({m.where})" for m in measures))
         if len(measures) == 1:
-            return rows.groupBy(*by).agg(F.sum(measures[0].value).alias(measures[0].name))
-    return rows.groupBy(*by).agg(
-        *[F.sum(F.when(m.where, m.value)).alias(m.name) for m in measures]
-    )
+            only = F.expr(f"sum({measures[0].value})").alias(measures[0].name)
+            return rows.groupBy(*by).agg(only)
+    return rows.groupBy(*by).agg(*[m.sum() for m in measures])
 
 
-def to_long(one_row: DataFrame, rows: Iterable[tuple[int, str, Column]], *keys: str) -> DataFrame:
-    """Turn wide results into (ordinal, metric, value) rows, nulls included."""
+def to_long(wide: DataFrame, rows: Iterable[tuple[int, str, str]], *keys: str) -> DataFrame:
+    """Turn wide results into (ordinal, metric, value) rows, nulls included.
+
+    `rows` holds the ordinal, the name and the SQL formula of each metric.
+    """
     items = [
-        F.struct(
-            F.lit(ordinal).alias("ordinal"),
-            F.lit(metric).alias("metric"),
-            value.cast("double").alias("value"),
-        )
-        for ordinal, metric, value in rows
+        f"{ordinal}, {literal(metric)}, CAST({formula} AS DOUBLE)"
+        for ordinal, metric, formula in rows
     ]
-    return one_row.select(*keys, F.inline(F.array(*items)))
+    stacked = f"stack({len(items)}, {', '.join(items)}) AS (ordinal, metric, value)"
+    return wide.selectExpr(*keys, stacked)
