@@ -2,8 +2,8 @@
 
 Only metrics that follow from dated rows can be restated for past dates
 (`report.RESTATABLE`).  The ledger is read once whatever the number of dates:
-it is summed by day, the days of each flow are merged with the calendar's
-as-of dates, and window frames over days and months give every date its
+it is summed by calendar interval, the intervals of each flow are merged with
+the as-of dates, and window frames over days and months give every date its
 year-to-date, monthly, yearly and balance sums.
 """
 
@@ -31,39 +31,55 @@ def period_end(day: str, grain: str) -> str:
     return f"last_day({day})" if grain == MONTH else f"next_day(date_sub({day}, 1), 'Sunday')"
 
 
-def flows_by_day(rel: Relations) -> DataFrame:
-    """Every ledger flow per day, as (flow, tran_date, amount).
+def interval_end(grain: str) -> str:
+    """Last day that shares both the period and the month of `tran_date`.
 
-    At most one row per flow and calendar day, however large the ledger.  The
-    flow `lines` counts ledger lines, so each day with a line has a row.
+    No window of any as-of date opens or closes inside such an interval, so
+    the ledger can be summed by it without changing a result.
     """
-    lines = G.ledger_lines(rel).filter("tran_date IS NOT NULL")
+    if grain == MONTH:
+        return "last_day(tran_date)"
+    return f"least({period_end('tran_date', grain)}, last_day(tran_date))"
+
+
+def flows_by_interval(rel: Relations, grain: str) -> DataFrame:
+    """Every ledger flow per interval, as (flow, tran_date, amount).
+
+    At most one row per flow and calendar interval, however large the ledger.
+    The flow `lines` counts ledger lines, so an interval with lines has a row.
+    """
+    lines = G.ledger_lines(rel).filter("tran_date IS NOT NULL").withColumn(
+        "tran_date", F.expr(interval_end(grain))
+    )
     cells = G.sum_cells(lines, "tran_date")
     measures = [*G.FLOWS.values(), Measure("lines", "lines", "lines > 0")]
-    days = sum_measures(cells, measures, by=["tran_date"], prefilter=False)
+    intervals = sum_measures(cells, measures, by=["tran_date"], prefilter=False)
     items = ", ".join(f"{literal(m.name)}, CAST({m.name} AS {_TOTAL})" for m in measures)
-    return days.selectExpr(
+    return intervals.selectExpr(
         "tran_date", f"stack({len(measures)}, {items}) AS (flow, amount)"
     ).filter("amount IS NOT NULL")
 
 
-def idc_by_day(rel: Relations) -> DataFrame:
-    return G.idc_lines(rel, "tran_date IS NOT NULL").groupBy("tran_date").agg(
-        F.expr(f"CAST(sum(tran_amount) AS {_TOTAL}) AS amount")
-    ).withColumn("flow", F.lit("idc"))
+def idc_by_interval(rel: Relations, grain: str) -> DataFrame:
+    return (
+        G.idc_lines(rel, "tran_date IS NOT NULL")
+        .groupBy(F.expr(interval_end(grain)).alias("tran_date"))
+        .agg(F.expr(f"CAST(sum(tran_amount) AS {_TOTAL}) AS amount"))
+        .withColumn("flow", F.lit("idc"))
+    )
 
 
-def as_of_dates(days: DataFrame, grain: str, start: date | None = None,
+def as_of_dates(flows: DataFrame, grain: str, start: date | None = None,
                 end: date | None = None) -> DataFrame:
     """The calendar as rows (as_of, wanted), dense from the start of the first year.
 
-    Without `start` or `end` the calendar covers the days that have ledger
+    Without `start` or `end` the calendar covers the intervals that have ledger
     lines.  Dates before `start` are only there to carry year-to-date sums.
     """
     if start is not None and end is not None:
-        span = days.sparkSession.range(1).select(F.lit(start).alias("first"), F.lit(end).alias("last"))
+        span = flows.sparkSession.range(1).select(F.lit(start).alias("first"), F.lit(end).alias("last"))
     else:
-        span = days.filter(F.col("flow") == "lines").agg(
+        span = flows.filter(F.col("flow") == "lines").agg(
             F.coalesce(F.lit(start), F.min("tran_date")).alias("first"),
             F.coalesce(F.lit(end), F.max("tran_date")).alias("last"),
         )
@@ -79,10 +95,10 @@ def as_of_dates(days: DataFrame, grain: str, start: date | None = None,
     ).selectExpr("as_of", f"as_of BETWEEN first AND {last} AS wanted")
 
 
-def windowed_sums(days: DataFrame, calendar: DataFrame) -> DataFrame:
+def windowed_sums(flows: DataFrame, calendar: DataFrame) -> DataFrame:
     """One row per wanted as-of date with every sum of `ledger.WINDOWED` and `idc_12m`.
 
-    Days and as-of dates of one flow share a window partition, whose size is
+    Intervals and as-of dates of one flow share a window partition, whose size is
     bounded by the calendar.  A frame over month numbers needs no month table:
     months -12..-1 are the last twelve complete ones, anything before month 0
     is the balance at the last month end.
@@ -94,7 +110,7 @@ def windowed_sums(days: DataFrame, calendar: DataFrame) -> DataFrame:
         F.explode(F.array(*[F.lit(n) for n in names])).alias("flow"),
         F.lit(True).alias("is_mark"),
     )
-    series = days.filter(F.col("flow").isin(*names)).withColumn("is_mark", F.lit(False))
+    series = flows.filter(F.col("flow").isin(*names)).withColumn("is_mark", F.lit(False))
     series = series.unionByName(marks, allowMissingColumns=True).withColumn(
         "month", F.year("tran_date") * 12 + F.month("tran_date")
     )
@@ -196,9 +212,9 @@ def snapshot(rel: Relations, grain: str, start: date | None = None, end: date |
     The as-of date keeps its usual meaning: even on a month end, the last
     completed month is the month before.
     """
-    days = flows_by_day(rel)
-    calendar = as_of_dates(days, grain, start, end)
-    sums = windowed_sums(days.unionByName(idc_by_day(rel)), calendar)
+    sums_by_interval = flows_by_interval(rel, grain)
+    calendar = as_of_dates(sums_by_interval, grain, start, end)
+    sums = windowed_sums(sums_by_interval.unionByName(idc_by_interval(rel, grain)), calendar)
     rates = hourly_rate_sums(rel, calendar, grain)
     return to_long(
         sums.join(rates, "as_of"),

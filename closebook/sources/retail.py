@@ -52,9 +52,14 @@ class RetailTables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._files: dict[str, DataFrame] = {}
 
     def file(self, name: str) -> DataFrame:
-        return self.spark.read.schema(FILES[name]).parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._files:
+            self._files[name] = self.spark.read.schema(FILES[name]).parquet(
+                f"{self.folder}/{name}.parquet"
+            )
+        return self._files[name]
 
     @property
     def _lines(self) -> DataFrame:
