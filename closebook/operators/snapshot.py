@@ -130,22 +130,22 @@ def windowed_sums(flows: DataFrame, calendar: DataFrame) -> DataFrame:
     ])
 
 
-def contract_earnings(rel: Relations, grain: str) -> DataFrame:
-    """Ledger and clock sums per contract and period end of the year.
-
-    Both facts are summed per contract and period by the tasks that read them.
-    A row whose period ends in the next year is never inside a year to date
-    and is left out.  A clock-in after midnight counts from the next day on,
-    because the as-of date stands for its first instant.
-    """
-    closing = period_end("tran_date", grain)
-    money = sum_measures(
-        G.ledger_lines(rel).filter(
-            f"contract_id IS NOT NULL AND year(tran_date) = year({closing})"
-        ).withColumn("as_of", F.expr(closing)),
+def contract_flows(rel: Relations, grain: str) -> DataFrame:
+    """Revenue, cost and in-staff labour per contract and interval."""
+    lines = G.ledger_lines(rel).filter("contract_id IS NOT NULL AND tran_date IS NOT NULL")
+    return sum_measures(
+        lines.withColumn("tran_date", F.expr(interval_end(grain))),
         [G.FLOWS["revenue"], G.FLOWS["cogs"], G.FLOWS["in_staff_labor"]],
-        by=["contract_id", "as_of"],
+        by=["contract_id", "tran_date"],
     )
+
+
+def staff_minutes(rel: Relations, grain: str) -> DataFrame:
+    """Clock minutes of permanent staff per contract and period end of the year.
+
+    A clock-in after midnight counts from the next day on, because the as-of
+    date stands for its first instant.
+    """
     counted_from = (
         "date_add(CAST(in_time AS DATE),"
         " CASE WHEN in_time = date_trunc('DAY', in_time) THEN 0 ELSE 1 END)"
@@ -157,17 +157,27 @@ def contract_earnings(rel: Relations, grain: str) -> DataFrame:
         .agg(F.expr(f"sum({L.MINUTES}) AS minutes"))
     )
     staff = rel.employees.filter(L.IN_STAFF).select("employee_id")
-    clocked = pairs.join(staff, "employee_id", "left_semi").groupBy("contract_id", "as_of").agg(
+    return pairs.join(staff, "employee_id", "left_semi").groupBy("contract_id", "as_of").agg(
         F.sum("minutes").alias("minutes")
     )
+
+
+def contract_earnings(money: DataFrame, minutes: DataFrame, grain: str) -> DataFrame:
+    """Ledger and clock sums per contract and period end of the year.
+
+    A row whose period ends in the next year is never inside a year to date
+    and is left out.
+    """
+    closing = period_end("tran_date", grain)
+    money = money.filter(f"year(tran_date) = year({closing})").withColumn("as_of", F.expr(closing))
     return (
-        money.unionByName(clocked, allowMissingColumns=True)
+        money.drop("tran_date").unionByName(minutes, allowMissingColumns=True)
         .groupBy("contract_id", "as_of")
         .agg(*[F.sum(c).alias(c) for c in ("revenue", "cogs", "in_staff_labor", "minutes")])
     )
 
 
-def hourly_rate_sums(rel: Relations, calendar: DataFrame, grain: str) -> DataFrame:
+def hourly_rate_sums(earnings: DataFrame, calendar: DataFrame) -> DataFrame:
     """Sums behind the in-staff hourly rate for every as-of date.
 
     Which contracts count changes from date to date.  Each contract yields
@@ -180,7 +190,7 @@ def hourly_rate_sums(rel: Relations, calendar: DataFrame, grain: str) -> DataFra
     so_far = contract_year.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     inputs = {"rate_labor": "in_staff_labor", "rate_cogs": "cogs",
               "rate_revenue": "revenue", "rate_minutes": "minutes"}
-    running = contract_earnings(rel, grain).withColumns(
+    running = earnings.withColumns(
         {name: F.sum(source).over(so_far) for name, source in inputs.items()}
     )
     counts = L.earns_with_staff("rate_revenue", "rate_labor", "rate_minutes")
@@ -205,6 +215,22 @@ def hourly_rate_sums(rel: Relations, calendar: DataFrame, grain: str) -> DataFra
     )
 
 
+def from_flows(flows: DataFrame, money: DataFrame, minutes: DataFrame, grain: str,
+               start: date | None = None, end: date | None = None) -> DataFrame:
+    """Snapshots from ledger sums by interval, computed now or stored before.
+
+    Several rows for one interval add up, so sums of separate ledger batches
+    can be passed together.
+    """
+    calendar = as_of_dates(flows, grain, start, end)
+    rates = hourly_rate_sums(contract_earnings(money, minutes, grain), calendar)
+    return to_long(
+        windowed_sums(flows, calendar).join(rates, "as_of"),
+        [(m.ordinal, m.name, m.formula) for m in RESTATABLE],
+        "as_of",
+    )
+
+
 def snapshot(rel: Relations, grain: str, start: date | None = None, end: date | None = None,
              ) -> DataFrame:
     """(as_of, ordinal, metric, value) for every period end.
@@ -212,14 +238,9 @@ def snapshot(rel: Relations, grain: str, start: date | None = None, end: date |
     The as-of date keeps its usual meaning: even on a month end, the last
     completed month is the month before.
     """
-    sums_by_interval = flows_by_interval(rel, grain)
-    calendar = as_of_dates(sums_by_interval, grain, start, end)
-    sums = windowed_sums(sums_by_interval.unionByName(idc_by_interval(rel, grain)), calendar)
-    rates = hourly_rate_sums(rel, calendar, grain)
-    return to_long(
-        sums.join(rates, "as_of"),
-        [(m.ordinal, m.name, m.formula) for m in RESTATABLE],
-        "as_of",
+    flows = flows_by_interval(rel, grain).unionByName(idc_by_interval(rel, grain))
+    return from_flows(
+        flows, contract_flows(rel, grain), staff_minutes(rel, grain), grain, start, end
     )
 
 

@@ -50,9 +50,9 @@ def _share(amount: Column, rate: Column) -> Column:
 class RetailTables:
     """The mapping, one method per relation, over the files of one folder."""
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, **files: DataFrame):
         self.spark, self.folder = spark, folder
-        self._files: dict[str, DataFrame] = {}
+        self._files = files
 
     def file(self, name: str) -> DataFrame:
         if name not in self._files:
@@ -253,6 +253,7 @@ RELATIONS = (
 )
 
 
-def relations(spark: SparkSession, sf_dir: str) -> Relations:
-    tables = RetailTables(spark, sf_dir)
+def relations(spark: SparkSession, sf_dir: str, **files: DataFrame) -> Relations:
+    """Relations over a folder; `files` replaces single files, say by a part of one."""
+    tables = RetailTables(spark, sf_dir, **files)
     return Relations({name: getattr(tables, name) for name in RELATIONS})

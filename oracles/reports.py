@@ -199,6 +199,7 @@ def queries(dates: dict[str, str], periods: list[date], sheet_year: int) -> dict
     months, weeks = _snapshot_views(_MONTHS), _snapshot_views(_WEEKS)
     raw = {
         "monthly_snapshot": with_views("SELECT * FROM snap", **months),
+        "incremental_snapshot": with_views("SELECT * FROM snap", **months),
         "weekly_snapshot": with_views("SELECT * FROM snap", **weeks),
         "snapshot_refresh": with_views(
             f"SELECT *, 'day' AS grain, DATE '{{today}}' AS as_of FROM ({report_query()})"
