@@ -39,12 +39,21 @@ def ratio(numerator: str, denominator: str, digits: int) -> str:
 
 
 def minutes_crossed(start: str, end: str) -> str:
-    """Minute boundaries between two timestamps, so 08:00:59 to 08:01:01 counts 1."""
+    """Minute boundaries between two timestamps, so 08:00:59 to 08:01:01 counts 1.
+
+    Counted on the clock face, so the session time zone has no say in it.
+    """
     return (
-        f"timestampdiff(MINUTE, date_trunc('MINUTE', {start}), date_trunc('MINUTE', {end}))"
+        f"datediff({end}, {start}) * 1440 + (hour({end}) - hour({start})) * 60"
+        f" + minute({end}) - minute({start})"
     )
 
 
+def week_start(day: str) -> str:
+    """The Monday on or before a date or timestamp."""
+    return f"trunc(CAST({day} AS DATE), 'WEEK')"
+
+
 def latest_boundary(day: str, boundaries: list[date]) -> str:
     """The last boundary on or before `day`.
 

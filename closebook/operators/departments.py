@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from closebook.calendar import AsOf
-from closebook.functions.scalars import literal, ratio
+from closebook.functions.scalars import literal, ratio, week_start
 from closebook.operators import ledger as G
 from closebook.plans.measures import sum_measures
 from closebook.sources.relations import Relations
@@ -28,14 +28,14 @@ def department_health(rel: Relations, as_of: AsOf) -> DataFrame:
     money = sum_measures(
         G.ledger_lines(rel).filter(f"{ytd} AND contract_id IS NOT NULL"),
         [G.FLOWS[name] for name in FLOWS],
-        by=["contract_id", F.expr("CAST(date_trunc('WEEK', tran_date) AS DATE) AS week_start")],
+        by=["contract_id", F.expr(f"{week_start('tran_date')} AS week_start")],
     )
     first, after = literal(as_of.year_start), literal(as_of.today + timedelta(days=1))
     hours = (
         rel.daily_time.filter(
             f"contract_id IS NOT NULL AND in_time >= {first} AND in_time < {after}"
         )
-        .groupBy("contract_id", F.expr("CAST(date_trunc('WEEK', in_time) AS DATE) AS week_start"))
+        .groupBy("contract_id", F.expr(f"{week_start('in_time')} AS week_start"))
         .agg(F.expr("sum(coalesce(total, 0)) AS hours"))
     )
     sums = (*FLOWS, "hours")

@@ -148,7 +148,7 @@ def staff_minutes(rel: Relations, grain: str) -> DataFrame:
     """
     counted_from = (
         "date_add(CAST(in_time AS DATE),"
-        " CASE WHEN in_time = date_trunc('DAY', in_time) THEN 0 ELSE 1 END)"
+        " CASE WHEN in_time = CAST(in_time AS DATE) THEN 0 ELSE 1 END)"
     )
     closing = period_end(counted_from, grain)
     pairs = (

@@ -19,15 +19,12 @@ def morale_by_department(rel: Relations) -> DataFrame:
         .groupBy("department", F.col("submitted_at").cast("date").alias("day"))
         .agg(F.count("*").alias("responses"), F.sum("score").alias("score_sum"))
     )
-    grains = F.inline(F.array(*[
-        F.struct(
-            F.lit(grain).alias("grain"),
-            F.date_trunc(grain, F.col("day")).cast("date").alias("period_start"),
-        )
-        for grain in ("week", "month")
-    ]))
     periods = (
-        days.select("department", "responses", "score_sum", grains)
+        days.selectExpr(
+            "department", "responses", "score_sum",
+            "stack(2, 'week', trunc(day, 'WEEK'), 'month', trunc(day, 'MONTH'))"
+            " AS (grain, period_start)",
+        )
         .groupBy("grain", "department", "period_start")
         .agg(F.sum("responses").alias("responses"), F.sum("score_sum").alias("score_sum"))
         .withColumn("avg_score", F.col("score_sum").cast("double") / F.col("responses"))

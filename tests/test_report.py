@@ -98,3 +98,10 @@ def test_knowledge_cut_off_only_changes_undated_metrics(small):
     assert then["ARAvgDaysToPaySinceDawnOfTime"] != now["ARAvgDaysToPaySinceDawnOfTime"]
     latest = receivables.days_to_pay(small.known_by(past.today)).selectExpr("max(invoice_date)")
     assert latest.first()[0] <= past.today
+
+
+def test_session_time_zone_does_not_matter(spark, small, as_of, request):
+    request.addfinalizer(lambda: spark.conf.set("spark.sql.session.timeZone", "UTC"))
+    in_utc = values(report.kpi_report(small, as_of))
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    assert values(report.kpi_report(small, as_of)) == in_utc

@@ -74,3 +74,14 @@ def test_cells_shrink_hot_accounts_before_the_shuffle(hot, as_of):
     lines = hot.gl_debit_credit.count()
     assert cells.filter("contract_id IS NULL").count() < lines / 20
     assert cells.agg(F.sum("lines")).first()[0] == lines
+
+
+def test_a_hot_account_is_split_when_accounts_do_not_fit_a_broadcast(hot, as_of, no_broadcast, capsys):
+    from closebook.operators.ledger import ledger_report
+    # lines must come from several tasks for their shuffle output to be split
+    spread = hot.replace(gl_debit_credit=hot.gl_debit_credit.repartition(8))
+    result = ledger_report(spread, as_of)
+    result.collect()
+    result.explain()
+    final = capsys.readouterr().out.split("Initial Plan")[0]
+    assert "SortMergeJoin(skew=true) [account_id" in final
