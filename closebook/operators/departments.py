@@ -1,4 +1,4 @@
-"""Ledger and labour metrics by department and week."""
+"""The metrics by department: contract metrics now, ledger and labour by week."""
 
 from __future__ import annotations
 
@@ -10,11 +10,30 @@ from pyspark.sql import functions as F
 from closebook.calendar import AsOf
 from closebook.functions.scalars import literal, ratio, week_start
 from closebook.operators import ledger as G
-from closebook.plans.measures import sum_measures
+from closebook.operators import report as K
+from closebook.plans.measures import sum_measures, to_long
 from closebook.sources.relations import Relations
 
 FLOWS = ("revenue", "cogs", "net_income")
 
+#: metrics made of sums per contract, so that contracts can be grouped by department
+PER_DEPARTMENT = tuple(m for m in K.METRICS if set(m.sums) <= set(K.CONTRACT_SUMS))
+
+
+def department_performance(rel: Relations, as_of: AsOf) -> DataFrame:
+    """Every contract-based metric of the report per department.
+
+    (department, ordinal, metric, value); the department is the project's.
+    """
+    table = K.contract_table(
+        rel, as_of, {"today", "eom", "tasks", "budget", "time", "ledger"},
+        G.ledger_by_contract(rel, as_of),
+    )
+    sums = table.filter("department IS NOT NULL").groupBy("department").agg(
+        *[measure.sum() for _, measure in K.CONTRACT_SUMS.values()]
+    )
+    return to_long(sums, [(m.ordinal, m.name, m.formula) for m in PER_DEPARTMENT], "department")
+
 
 def department_health(rel: Relations, as_of: AsOf) -> DataFrame:
     """Weekly flows and hours of the year to date per department.

@@ -7,6 +7,7 @@ it names; in the report, all metrics of a subject share the same sums.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -245,11 +246,10 @@ def kpi(rel: Relations, as_of: AsOf, key: str) -> DataFrame:
     )
 
 
-def company_sums(rel: Relations, as_of: AsOf) -> DataFrame:
+def company_sums(rel: Relations, as_of: AsOf, ledger: DataFrame) -> DataFrame:
     """Every ledger and contract sum of the report in one row."""
     table = contract_table(
-        rel, as_of, {"today", "eom", "tasks", "budget", "time", "ledger"},
-        G.ledger_report(rel, as_of),
+        rel, as_of, {"today", "eom", "tasks", "budget", "time", "ledger"}, ledger
     )
     return table.agg(
         *[F.sum(name).alias(name) for name in G.WINDOWED],
@@ -259,20 +259,24 @@ def company_sums(rel: Relations, as_of: AsOf) -> DataFrame:
 
 def kpi_report(rel: Relations, as_of: AsOf) -> DataFrame:
     """All 36 metrics as (ordinal, metric, value), always 36 rows."""
+    return report_from(rel, as_of, G.ledger_report(rel, as_of), G.idc_spend(rel, as_of))
+
+
+def report_from(rel: Relations, as_of: AsOf, ledger: DataFrame, idc: DataFrame) -> DataFrame:
+    """The report with its ledger sums given, computed now or stored before.
+
+    `ledger` has the columns of `ledger.ledger_report`, `idc` the single sum
+    of `ledger.idc_spend`; everything else is read from `rel`.
+    """
     subjects = (
-        (company_sums, {*G.WINDOWED, *CONTRACT_SUMS}),
-        (G.idc_spend, {"idc_12m"}),
-        (R.average_days_to_pay, set(PAY_SUMS)),
-        (R.receivable_aging, set(AGING_SUMS)),
-        (R.unbilled_retainage, {"retainage"}),
+        (company_sums(rel, as_of, ledger), {*G.WINDOWED, *CONTRACT_SUMS}),
+        (idc, {"idc_12m"}),
+        (R.average_days_to_pay(rel, as_of), set(PAY_SUMS)),
+        (R.receivable_aging(rel, as_of), set(AGING_SUMS)),
+        (R.unbilled_retainage(rel, as_of), {"retainage"}),
     )
     parts = [
-        to_long(sums(rel, as_of), [
-            (m.ordinal, m.name, m.formula) for m in METRICS if set(m.sums) <= names
-        ])
+        to_long(sums, [(m.ordinal, m.name, m.formula) for m in METRICS if set(m.sums) <= names])
         for sums, names in subjects
     ]
-    report = parts[0]
-    for part in parts[1:]:
-        report = report.unionByName(part)
-    return report
+    return reduce(DataFrame.unionByName, parts)

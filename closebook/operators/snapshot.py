@@ -21,14 +21,18 @@ from closebook.operators.report import RATE_SUMS, RESTATABLE
 from closebook.plans.measures import Measure, sum_measures, to_long
 from closebook.sources.relations import Relations
 
-MONTH, WEEK = "month", "week"
+DAY, WEEK, MONTH = "day", "week", "month"
 
 _TOTAL = "DECIMAL(38,2)"
 
 
 def period_end(day: str, grain: str) -> str:
-    """The as-of date whose period holds `day`: month end, or the week's Sunday."""
-    return f"last_day({day})" if grain == MONTH else f"next_day(date_sub({day}, 1), 'Sunday')"
+    """The as-of date whose period holds `day`: month end, the week's Sunday, or the day."""
+    return {
+        DAY: day,
+        WEEK: f"next_day(date_sub({day}, 1), 'Sunday')",
+        MONTH: f"last_day({day})",
+    }[grain]
 
 
 def interval_end(grain: str) -> str:
@@ -37,9 +41,9 @@ def interval_end(grain: str) -> str:
     No window of any as-of date opens or closes inside such an interval, so
     the ledger can be summed by it without changing a result.
     """
-    if grain == MONTH:
-        return "last_day(tran_date)"
-    return f"least({period_end('tran_date', grain)}, last_day(tran_date))"
+    if grain == WEEK:
+        return f"least({period_end('tran_date', grain)}, last_day(tran_date))"
+    return period_end("tran_date", grain)
 
 
 def flows_by_interval(rel: Relations, grain: str) -> DataFrame:
@@ -88,7 +92,7 @@ def as_of_dates(flows: DataFrame, grain: str, start: date | None = None,
                  " m -> last_day(m))")
     else:
         opening, closing = period_end("trunc(first, 'YEAR')", grain), period_end("last", grain)
-        dates = f"sequence({opening}, {closing}, INTERVAL 7 DAY)"
+        dates = f"sequence({opening}, {closing}, INTERVAL {7 if grain == WEEK else 1} DAY)"
     last = "last" if end is not None else period_end("last", grain)
     return span.filter("first IS NOT NULL").selectExpr(
         "first", "last", f"explode({dates}) AS as_of"
@@ -252,6 +256,10 @@ def weekly_snapshot(rel: Relations, start: date | None = None, end: date | None
     return snapshot(rel, WEEK, start, end)
 
 
+def daily_snapshot(rel: Relations, start: date | None = None, end: date | None = None) -> DataFrame:
+    return snapshot(rel, DAY, start, end)
+
+
 def wide(snapshots: DataFrame, periods: list[date]) -> DataFrame:
     """One row per metric and one column `p_<year>_<month>_<day>` per period."""
     named = {p: f"p_{p:%Y_%m_%d}" for p in periods}

@@ -34,13 +34,15 @@ def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
     ).parquet(path)
 
 
-def refresh(rel: Relations, as_of: AsOf, path: str, grain: str = "day") -> None:
-    """Compute the full report for one date and store it, replacing that date only.
+def refresh(rel: Relations, as_of: AsOf, path: str, grain: str = "day",
+            report: DataFrame | None = None) -> None:
+    """Store the full report for one date, replacing that date only.
 
     Metrics of current state get their history this way and no other: one
-    stored report per refresh.
+    stored report per refresh.  `report` defaults to a report computed from
+    all relations; pass `rollup.report_from_rollup` to spare the ledger.
     """
-    report = kpi_report(rel, as_of).withColumns(
-        {"grain": F.lit(grain), "as_of": F.lit(as_of.today)}
+    report = kpi_report(rel, as_of) if report is None else report
+    store_snapshot(
+        report.withColumns({"grain": F.lit(grain), "as_of": F.lit(as_of.today)}), path
     )
-    store_snapshot(report, path)

@@ -1,10 +1,11 @@
 """Ledger sums kept up to date from newly arrived lines.
 
 A daily refresh over a large ledger should not read the whole ledger.  The
-sums behind the snapshots add up over lines, so each arriving batch is summed
-once and stored beside the earlier ones; snapshots are then computed from the
-stored sums.  A batch is stored under its number and replaced when it is
-retried, so a failure in between neither loses nor doubles a line.
+sums behind reports and snapshots add up over lines, so each arriving batch is
+summed once by day and stored beside the earlier ones; reports and snapshots
+are then computed from the stored sums.  A batch is stored under its number
+and replaced when it is retried, so a failure in between neither loses nor
+doubles a line.
 
 Lines keep the account attributes they had on arrival; after an account is
 reclassified, rebuild the sums from the ledger.
@@ -18,11 +19,15 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from closebook.calendar import AsOf
+from closebook.operators import ledger as G
 from closebook.operators import snapshot as S
+from closebook.operators.report import report_from
+from closebook.plans.measures import Measure, sum_measures
 from closebook.sources.relations import Relations
 
-#: week intervals cut at month ends serve weekly and monthly snapshots alike
-_GRAIN = S.WEEK
+#: days serve reports of any date and snapshots of any grain
+_GRAIN = S.DAY
 
 
 def store_batch(rel: Relations, batch: int, path: str) -> None:
@@ -32,8 +37,13 @@ def store_batch(rel: Relations, batch: int, path: str) -> None:
         "contract_flows": S.contract_flows(rel, _GRAIN),
     }
     for name, rows in parts.items():
+        # one decimal type in every batch, whatever the sums were computed in
+        stored = [
+            F.col(c).cast("DECIMAL(38,2)" if kind.startswith("decimal") else kind).alias(c)
+            for c, kind in rows.dtypes
+        ]
         (
-            rows.withColumn("batch", F.lit(batch))
+            rows.select(*stored, F.lit(batch).alias("batch"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("batch")
@@ -61,11 +71,49 @@ def add_new_lines(lines: DataFrame, relations_of: Callable[[DataFrame], Relation
     )
 
 
+def stored_flows(spark: SparkSession, path: str) -> DataFrame:
+    """Company flows per day over all batches; its size follows the calendar."""
+    return (
+        spark.read.schema("tran_date DATE, flow STRING, amount DECIMAL(38,2)")
+        .parquet(f"{path}/flows")
+        .groupBy("flow", "tran_date")
+        .agg(F.expr("CAST(sum(amount) AS DECIMAL(38,2)) AS amount"))
+    )
+
+
+def stored_contract_flows(spark: SparkSession, path: str) -> DataFrame:
+    """Revenue, cost and in-staff labour per contract and day, batch by batch."""
+    money = "DECIMAL(38,2)"
+    return spark.read.schema(
+        f"contract_id BIGINT, tran_date DATE, revenue {money}, cogs {money},"
+        f" in_staff_labor {money}"
+    ).parquet(f"{path}/contract_flows")
+
+
 def snapshot_from_rollup(spark: SparkSession, path: str, rel: Relations, grain: str,
                          start: date | None = None, end: date | None = None) -> DataFrame:
     """Snapshots from the stored ledger sums and the timesheets of `rel`."""
-    flows = spark.read.schema("tran_date DATE, flow STRING, amount DECIMAL(38,2)").parquet(
-        f"{path}/flows"
+    return S.from_flows(
+        stored_flows(spark, path), stored_contract_flows(spark, path),
+        S.staff_minutes(rel, grain), grain, start, end,
     )
-    money = spark.read.parquet(f"{path}/contract_flows").drop("batch")
-    return S.from_flows(flows, money, S.staff_minutes(rel, grain), grain, start, end)
+
+
+def _dated(name: str, value: str, condition: str, period: str | None, as_of: AsOf) -> Measure:
+    measure = Measure(name, value, condition)
+    return measure.within(name, G.window(period, as_of)) if period else measure
+
+
+def report_from_rollup(spark: SparkSession, path: str, rel: Relations, as_of: AsOf) -> DataFrame:
+    """The full report of any date without reading the ledger itself."""
+    flows = stored_flows(spark, path)
+    company = sum_measures(flows, [
+        _dated(name, "amount", f"flow = '{flow}'", period, as_of)
+        for name, (flow, period) in G.WINDOWED.items()
+    ])
+    contracts = sum_measures(stored_contract_flows(spark, path), [
+        _dated(name, flow, f"{flow} IS NOT NULL", period, as_of)
+        for name, (flow, period) in G.PER_CONTRACT.items()
+    ], by=["contract_id"])
+    idc = sum_measures(flows, [_dated("idc_12m", "amount", "flow = 'idc'", "last_12m", as_of)])
+    return report_from(rel, as_of, contracts.unionByName(company, allowMissingColumns=True), idc)

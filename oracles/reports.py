@@ -185,6 +185,65 @@ _WORKED = """
     GROUP BY ALL"""
 
 
+def _by_department(value: str, rows: str) -> str:
+    return f"SELECT department, CAST({value} AS DOUBLE) AS value FROM {rows} GROUP BY department"
+
+
+_DEPARTMENT = {
+    "open_backlog": _by_department(
+        "sum(ifnull(original_value, 0) + ifnull(change_orders, 0) - ifnull(total_amount, 0))",
+        """wip_today JOIN projects USING (contract_id)
+           WHERE status_id = 2 AND (original_value > 0 OR change_orders > 0)
+             AND project_number <> '00.000'"""),
+    "budget_open_wip_eom": _by_department(
+        "sum(amount)",
+        "budget_items JOIN open_eom USING (contract_id) JOIN projects USING (contract_id)"),
+    "wip_budgeted_hours": _by_department(
+        "sum(budgeted_hours)",
+        "task_sums JOIN projects USING (contract_id) WHERE budgeted_hours > 0"),
+    "wip_actual_hours": _by_department(
+        "sum(ifnull(actual_hours, 0))",
+        """task_sums JOIN projects USING (contract_id) LEFT JOIN time_sums USING (contract_id)
+           WHERE budgeted_hours > 0"""),
+    "wip_hours_ratio": _by_department(
+        """round(CAST(sum(ifnull(actual_hours, 0)) AS DOUBLE)
+                 / nullif(CAST(sum(budgeted_hours) AS DOUBLE), 0), 2)""",
+        """task_sums JOIN projects USING (contract_id) LEFT JOIN time_sums USING (contract_id)
+           WHERE budgeted_hours > 0"""),
+    "wip_revised_value": _by_department(
+        "sum(revised)", "open_eom JOIN projects USING (contract_id)"),
+    "wip_budgeted_labor": _by_department(
+        "sum(budgeted_labor)", "task_sums JOIN projects USING (contract_id)"),
+    "hours_budgeted_projects": _by_department(
+        "sum(actual_hours)",
+        """time_sums JOIN projects USING (contract_id) JOIN task_sums USING (contract_id)
+           WHERE budgeted_labor > 0"""),
+    "wip_gm_pct": _by_department(
+        """round(CAST(-sum(net) FILTER (WHERE account_type_id = 9)
+                      - ifnull(sum(net) FILTER (WHERE account_type_id = 5), 0) AS DOUBLE)
+                 / nullif(CAST(-sum(net) FILTER (WHERE account_type_id = 9) AS DOUBLE), 0), 4)""",
+        "lines JOIN open_today USING (contract_id) JOIN projects USING (contract_id) WHERE pl"),
+    "in_staff_hourly_rate_ytd": _by_department(
+        """round(CAST(sum(labor) AS DOUBLE) / nullif(CAST(sum(cogs) AS DOUBLE), 0)
+                 * CAST(sum(revenue) AS DOUBLE)
+                 / nullif(sum(minutes) / CAST(60 AS DOUBLE), 0), 2)""",
+        "earning JOIN projects USING (contract_id)"),
+    "in_staff_labor_efficiency": _by_department(
+        """round(CAST(sum(d.hours * wage) AS DOUBLE) / nullif(CAST(sum(d.hours) AS DOUBLE), 0), 2)""",
+        """daily_time d JOIN staff USING (employee_id) JOIN open_today USING (contract_id)
+           JOIN projects USING (contract_id)"""),
+}
+
+
+def _performance() -> str:
+    keys = list(METRICS)
+    return " UNION ALL ".join(
+        f"SELECT d.department, {keys.index(key) + 1} AS ordinal, '{METRICS[key][0]}' AS metric, value "
+        f"FROM (SELECT DISTINCT department FROM projects) d LEFT JOIN ({query}) USING (department)"
+        for key, query in _DEPARTMENT.items()
+    )
+
+
 def _external(year: int) -> str:
     return f"""
         SELECT 'computed' AS source, metric, DATE '{{today}}' AS period, value FROM ({report_query()})
@@ -199,6 +258,7 @@ def queries(dates: dict[str, str], periods: list[date], sheet_year: int) -> dict
     months, weeks = _snapshot_views(_MONTHS), _snapshot_views(_WEEKS)
     raw = {
         "monthly_snapshot": with_views("SELECT * FROM snap", **months),
+        "incremental_report": with_views(report_query()),
         "incremental_snapshot": with_views("SELECT * FROM snap", **months),
         "weekly_snapshot": with_views("SELECT * FROM snap", **weeks),
         "snapshot_refresh": with_views(
@@ -207,6 +267,7 @@ def queries(dates: dict[str, str], periods: list[date], sheet_year: int) -> dict
         "kpi_wide": with_views(_wide(periods), **months),
         "kpi_trend": with_views(_TREND, **months),
         "morale_by_department": with_views(_MORALE),
+        "department_performance": with_views(_performance()),
         "department_health": with_views(_HEALTH, money=_MONEY, worked=_WORKED),
         "external_metrics": with_views(_external(sheet_year)),
     }

@@ -33,6 +33,13 @@ def test_equals_the_report_of_each_date(small, grain):
         assert found[today] == report_at(small, today)
 
 
+def test_every_day_of_a_range(small):
+    days = by_date(snapshot.daily_snapshot(small, date(2000, 12, 30), date(2001, 1, 3)))
+    assert len(days) == 5
+    for today, metrics in days.items():
+        assert metrics == report_at(small, today)
+
+
 def test_weeks_end_on_sunday_and_are_dense(small):
     dates = sorted(by_date(snapshot.weekly_snapshot(small)))
     assert {d.weekday() for d in dates} == {6}
@@ -145,6 +152,10 @@ def test_sums_of_arriving_files_equal_the_whole(spark, tmp_path):
     for grain in (snapshot.MONTH, snapshot.WEEK):
         kept = rollup.snapshot_from_rollup(spark, store, rel, grain)
         assert by_date(kept) == by_date(snapshot.snapshot(rel, grain))
+    for today in ("2001-07-15", "2000-02-29", "1994-01-01"):
+        as_of = AsOf.parse(today)
+        kept = rollup.report_from_rollup(spark, store, rel, as_of)
+        assert values(kept) == values(report.kpi_report(rel, as_of))
 
 
 def test_a_retried_batch_counts_once(spark, small, tmp_path):
