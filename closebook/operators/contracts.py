@@ -23,18 +23,22 @@ def wip_totals(rel: Relations, dates: Mapping[str, date]) -> DataFrame:
     """Value, approved change orders and amount billed per contract.
 
     `dates` maps a column suffix to a date; all dates are answered by one pass
-    over the contract activity, one row per contract.
+    over the contract activity, one row per contract.  With several dates the
+    activity is first summed between them, so a line enters each sum once.
     """
+    ends = sorted(set(dates.values()))
+    moved = rel.contract_activity.filter(f"tran_date <= {literal(ends[-1])}")
+    if len(ends) > 1:
+        between = " ".join(f"WHEN tran_date <= {literal(e)} THEN {literal(e)}" for e in ends)
+        moved = moved.groupBy(
+            "contract_id", F.expr(f"CASE {between} END").alias("tran_date")
+        ).agg(F.sum("change_order").alias("change_order"), F.sum("billed").alias("billed"))
     sums = [
         Measure(f"{target}{suffix}", source, f"tran_date <= {literal(end)}").sum()
         for suffix, end in dates.items()
         for source, target in (("change_order", "change_orders"), ("billed", "total_amount"))
     ]
-    moved = (
-        rel.contract_activity.filter(f"tran_date <= {literal(max(dates.values()))}")
-        .groupBy("contract_id").agg(*sums)
-    )
-    return rel.contract_values.join(moved, "contract_id", "left")
+    return rel.contract_values.join(moved.groupBy("contract_id").agg(*sums), "contract_id", "left")
 
 
 def contract_positions(rel: Relations, dates: Mapping[str, date]) -> DataFrame:
