@@ -93,3 +93,15 @@ def test_snapshot_reads_the_ledger_twice_for_any_number_of_dates(spark):
     final = _plan(frame).split("+- == Initial Plan ==")[0]
     assert final.count("ReusedExchange") >= 1
     assert final.count("Scan parquet") == 8
+
+
+@pytest.mark.parametrize("name", ["kpi_report", "monthly_snapshot", "department_performance"])
+def test_generated_loops_can_be_compiled(spark, name):
+    # the JVM interprets methods of more than 8000 bytes, many times slower
+    frame = entry.queries()[name](spark, SMALL)
+    frame.collect()
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        frame.explain("codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text.getvalue())]
+    assert sizes and max(sizes) < 8000
