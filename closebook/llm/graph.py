@@ -8,10 +8,26 @@ from pyspark.sql import functions as F
 from closebook.llm.storage import stored
 
 
-def _fingerprint(edges: DataFrame) -> tuple[int, int]:
-    row = edges.agg(F.count("*").alias("n"),
-                    F.bit_xor(F.xxhash64("a", "b")).alias("x")).first()
-    return row["n"], row["x"]
+def _round(edges: DataFrame) -> DataFrame:
+    """One large star and one small star."""
+    # large star: of each node's neighbours, the larger ones move to the smallest one
+    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    least = both.groupBy("a").agg(F.min("b").alias("least"))
+    large = both.where("b > a").join(least, "a").select(
+        F.col("b").alias("a"), F.least("a", "least").alias("b")
+    ).distinct()
+    # small star: a node and its smaller neighbours move to the smallest of these
+    least = large.groupBy("a").agg(F.min("b").alias("least"))
+    return large.join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b")) \
+        .where("a <> b").unionByName(least.select("a", F.col("least").alias("b"))).distinct()
+
+
+def _done(edges: DataFrame) -> bool:
+    """Whether every node has one edge to the smallest node of its component."""
+    ends = edges.select("a", F.lit(1).alias("n")).unionByName(
+        edges.select(F.col("b").alias("a"), F.lit(None).cast("int").alias("n")))
+    return ends.groupBy("a").agg(F.count("n").alias("up"), F.count("*").alias("ends")) \
+        .where("up > 1 or up = 1 and ends > 1").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -21,28 +37,13 @@ def components(edges: DataFrame) -> DataFrame:
     The number of rounds follows the logarithm of the longest path.  A hub is one sum per task
     in the aggregate and a side that adaptive execution splits in the join.
     """
+    rows = edges.count()
     edges = stored(
         edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        .distinct(), "edges",
+        .distinct(), "edges", rows,
     )
-    before = _fingerprint(edges)
-    while before[0]:
-        # large star: both directions; larger neighbours move to the smallest one
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least"))
-        large = both.where("b > a").join(least, "a").select(
-            F.col("b").alias("a"), F.col("least").alias("b")
-        ).distinct()
-        large = stored(large, "edges")
-        # small star: a node and its smaller neighbours move to the smallest of these
-        least = large.groupBy("a").agg(F.min("b").alias("least"))
-        small = large.join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b")) \
-            .where("a <> b").unionByName(least.select("a", F.col("least").alias("b"))).distinct()
-        edges = stored(small, "edges")
-        after = _fingerprint(edges)
-        if after == before:
-            break
-        before = after
+    while not _done(edges):
+        edges = stored(_round(edges), "edges", rows)
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         edges.select(F.col("b").alias("node"), F.col("b").alias("component"))
     ).distinct()

@@ -34,7 +34,7 @@ from closebook.llm import words
 from closebook.llm.graph import components
 from closebook.llm.storage import stored
 
-BLOCK_SETS = 512
+BLOCK_SETS = 256
 FAN_OUT = 8
 #: parts beyond the necessary number, so that agreement in empty parts need not count
 SPARE_PARTS, FEW_PARTS = 2, 24
@@ -265,9 +265,10 @@ def _block_edges(percent: int):
 
 
 def _rest_edges(percent: int):
+    """Edges between components, from the sets that ask and those that are told."""
     def edges(table: pa.Table) -> pa.Table:
         asks = table["asks"].to_numpy(zero_copy_only=False)
-        ids, label = table["doc_id"].to_numpy(), table["component"].to_numpy()
+        label = table["component"].to_numpy()
         sets = [np.frombuffer(x.as_py(), np.uint64) for x in table["tokens"]]
         one, two = np.flatnonzero(asks), np.flatnonzero(~asks)
         if not len(one) or not len(two):
@@ -275,7 +276,7 @@ def _rest_edges(percent: int):
         order = np.concatenate([one, two])
         pairs = similar_pairs([sets[k] for k in one], [sets[k] for k in two], percent,
                               label[order])
-        return _edge_table([(ids[order[a]], ids[order[b]]) for a, b in pairs])
+        return _edge_table([(label[order[a]], label[order[b]]) for a, b in pairs])
     return edges
 
 
@@ -293,7 +294,8 @@ def _links(docs: DataFrame, groups: DataFrame, size: int, percent: int) -> DataF
     ).select("center", "block", "doc_id", "blocks")
     firsts = sizes.select("center", F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"),
                           F.col("center").alias("doc_id"), "blocks")
-    placed = stored(members.unionByName(firsts), "blocks")
+    rows = groups.count()
+    placed = stored(members.unionByName(firsts), "blocks", 2 * rows)
     ids = placed.select("doc_id").distinct()
     payload = stored(_payload(docs, ids, size), "sets")
     loaded = placed.join(payload, "doc_id")
@@ -301,13 +303,13 @@ def _links(docs: DataFrame, groups: DataFrame, size: int, percent: int) -> DataF
         loaded.groupBy("center", "block").applyInArrow(_block_edges(percent), EDGE_SCHEMA),
         "links",
     )
-    found = stored(components(edges), "components")
+    found = stored(components(edges), "components", 2 * rows)
     # sets of a group of several blocks that are not connected with its first set
     large = placed.where("blocks > 1 and (block = 0 or doc_id <> center)").join(
         found.withColumnRenamed("node", "doc_id"), "doc_id", "left"
     ).withColumn("component", F.coalesce("component", "doc_id"))
     core = large.where("doc_id = center").select("center", F.col("component").alias("core"))
-    large = stored(large.join(core, "center"), "large")
+    large = stored(large.join(core, "center"), "large", rows)
     apart = large.where("component <> core")
     if apart.isEmpty():
         return found
@@ -325,7 +327,18 @@ def _links(docs: DataFrame, groups: DataFrame, size: int, percent: int) -> DataF
     rest = asks.unionByName(told).join(payload, "doc_id").groupBy(
         "center", "block", "portion"
     ).applyInArrow(_rest_edges(percent), EDGE_SCHEMA)
-    return stored(components(edges.unionByName(rest)), "components")
+    rest = stored(rest, "links")
+    if rest.isEmpty():
+        return found
+    joined = components(rest).select(F.col("node").alias("component"),
+                                     F.col("component").alias("joined"))
+    return found.join(joined, "component", "left").select(
+        "node", F.coalesce("joined", "component").alias("component")
+    ).unionByName(
+        # sets that had no link yet
+        joined.join(found, joined["component"] == found["node"], "left_anti")
+        .select(F.col("component").alias("node"), F.col("joined").alias("component"))
+    )
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
@@ -343,7 +356,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     routed = stored(_route(docs, shingle_words, percent), "routes")
     some = routed.where("n_shingles > 0 and doc_id is not null")
     classes = some.groupBy("n_shingles", "k1", "k2").agg(F.min("doc_id").alias("class_id"))
-    classes = stored(classes, "classes")
+    classes = stored(classes, "classes", routed.count())
     firsts = classes.select(F.col("class_id").alias("doc_id"))
     keyed = some.select("doc_id", "keys").join(firsts, "doc_id", "left_semi").select(
         F.explode("keys").alias("key"), "doc_id")

@@ -7,11 +7,18 @@ from pyspark.sql import DataFrame
 from closebook.sources.shared import shared_folder
 
 
-def stored(frame: DataFrame, purpose: str) -> DataFrame:
+#: small rows that one task may write to one file
+ROWS_PER_FILE, LEAST_FILES = 250_000, 8
+
+
+def stored(frame: DataFrame, purpose: str, rows: int | None = None) -> DataFrame:
     """`frame` written as Parquet to the shared folder and read again.
 
-    This cuts the lineage: what follows reads files that survive a lost executor.
+    This cuts the lineage: what follows reads files that survive a lost executor.  `rows`, an
+    upper bound of the number of rows, lets few rows go to few files.
     """
+    if rows is not None:
+        frame = frame.coalesce(max(LEAST_FILES, rows // ROWS_PER_FILE))
     path = f"{shared_folder(frame.sparkSession, purpose)}/part"
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
