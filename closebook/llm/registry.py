@@ -2,11 +2,30 @@
 
 from __future__ import annotations
 
-from closebook.llm import decontamination, jaccard_join
+from closebook.llm import (
+    decontamination,
+    jaccard_join,
+    language_id,
+    license_scan,
+    line_dedup,
+    mixing,
+    quality_classifier,
+    quality_rules,
+    sanitisation,
+    toxicity,
+)
 
 QUERIES = {
     "op1_decontamination": decontamination.op1,
+    "op2_sanitisation": sanitisation.op2,
+    "op3_quality_classifier": quality_classifier.op3,
+    "op4_license_scan": license_scan.op4,
+    "op5_language_id": language_id.op5,
+    "op6_toxicity": toxicity.op6,
+    "op7_quality_rules": quality_rules.op7,
     "op8_jaccard_join": jaccard_join.op8,
+    "op9_line_dedup": line_dedup.op9,
+    "op10_mixing": mixing.op10,
 }
 
 ORACLE_SQL: dict[str, str] = {}

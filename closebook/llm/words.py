@@ -96,8 +96,11 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray,
 
 
 def hash_words(data: np.ndarray, offsets: np.ndarray, table: np.ndarray,
-               lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """A hash for each word, and for each row the number of its first word."""
+               lower: bool = True, prefix: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """A hash for each word, and for each row the number of its first word.
+
+    With `prefix` only the word's first bytes, so many of them, are hashed.
+    """
     hashes, firsts, total = [], [np.zeros(1, np.int64)], 0
     for first, last in runs(offsets):
         own = offsets[first:last + 1] - offsets[first]
@@ -106,6 +109,8 @@ def hash_words(data: np.ndarray, offsets: np.ndarray, table: np.ndarray,
             part = _LOWER[part]
         if len(part):
             starts, ends, rows = word_bounds(part, own, table)
+            if prefix is not None:
+                ends = np.minimum(ends, starts + prefix)
             size = RUN_BYTES
             while size < len(part):
                 size *= 2

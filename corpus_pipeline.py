@@ -5,15 +5,31 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from closebook.llm import decontamination, jaccard_join
+from closebook.llm import decontamination, jaccard_join, line_dedup, mixing, quality_classifier
 from closebook.llm.storage import stored
 
-COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = quality_classifier.train(docs, quality_classifier.ratings_of(labels))
+    return quality_classifier.selected(docs, model, quality_classifier.LEAST_GRADE,
+                                       quality_classifier.LEAST_TAIL)
+
+
+def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies and near copies of lines go, and documents of nothing else with them."""
+    clean = line_dedup.deduplicate(docs.withColumn("_before", F.length("text")))
+    emptied = (F.col("_before") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    return clean.where(~F.coalesce(emptied, F.lit(False))) \
+        .withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) \
+        .select(*docs.columns)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: the one with the smallest id."""
     found = jaccard_join.near_duplicates(docs)
@@ -28,9 +44,20 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return docs.join(hit, docs["doc_id"].eqNullSafe(hit["doc_id"]), "left_anti")
 
 
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents the mix takes, with the number of times it takes each as `copies`."""
+    taken = mixing.mix(docs).where("copies > 0").groupBy("doc_id").agg(
+        F.max("copies").alias("copies"))
+    return docs.join(taken, docs["doc_id"].eqNullSafe(taken["doc_id"])).select(
+        *[docs[c] for c in docs.columns], "copies")
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("quality classifier", quality),
+    ("line dedup", repeated_lines),
     ("n-gram Jaccard join", near_duplicates),
     ("benchmark decontamination", decontaminate),
+    ("mixing sources to target weights", mixture),
 ]
 
 #: the stages train a model and sample, which SQL cannot express

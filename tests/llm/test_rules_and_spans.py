@@ -1,0 +1,113 @@
+"""Quality rules and personal data against plain restatements."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+from collections import Counter
+
+import pytest
+
+from closebook.llm import quality_rules, sanitisation
+from tests.conftest import SMALL
+from tests.llm import brute
+
+ODD = [
+    (101, None), (102, ""), (103, " \n\t "), (104, "one two three one two three one two three"),
+    (105, "a a a a"), (106, "#$ x | <y> & *%\nline\nline\n\n \nline"), (107, "é" * 5000),
+    (108, "w x " * 4000), (109, "9" * 3000 + " a" * 10), (110, "x@y" + "a" * 3000 + "@b.cc"),
+    (111, "a@b.c_d@e.f, é 4111 1111 1111 1111 +1 (2) 3.4.5-6 7 8 9. 1.2.3.4.5.6.7.256.1"),
+    (112, "+1 2 3 +49 30 1234567. 0001.02.003.255 256.1.1.1 5 5-5 4111-1111-1111-1112"),
+    (113, "4111 1111 1111 1111 4111 1111 1111 1111 4111111111111111"),
+    (114, "user@host.. user@host.com.x-y. a.b%c+d-e@x.y.z @a.b c@d +1"),
+]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    table = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    return table.unionByName(spark.createDataFrame(ODD, "doc_id bigint, text string"))
+
+
+def rules(text: str | None) -> tuple:
+    text = text or ""
+    own = brute.BLANK.findall(text)
+    windows = [tuple(own[k:k + 3]) for k in range(len(own) - 2)]
+    many = Counter(windows)
+    covered = {k + j for k, w in enumerate(windows) if many[w] > 1 for j in range(3)}
+    lines = [x for x in text.split("\n") if brute.BLANK.search(x)]
+    failed = len(own) < 50 or 100 * len(covered) > 50 * len(own)
+    return (len(own), sum(map(len, own)), sum(c in "#*$%&|<>" for c in text),
+            len(lines) - len(set(lines)), len(covered), failed)
+
+
+def test_rules_against_brute_force(docs):
+    got = {r["doc_id"]: tuple(r)[1:6] + (bool(r["failed"] & 3),)
+           for r in quality_rules.ledger(docs).select(
+               "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+               "failed").collect()}
+    assert got == {r["doc_id"]: rules(r["text"]) for r in docs.collect()}
+
+
+def test_ablations_follow_the_bits(spark):
+    rows = spark.createDataFrame([(0,), (1,), (1,), (3,), (4,), (64,)], "failed bigint")
+    got = {(r["policy"], r["rule"]): (r["failing"], r["kept"], r["kept_without"])
+           for r in quality_rules.ablations(rows).collect()}
+    assert got["1", "few_words"] == (3, 3, 5)
+    assert got["1", "repeated_windows"] == (1, 3, 3)
+    assert got["2", "few_letters"] == (1, 1, 2)
+    assert quality_rules.ledger(spark.createDataFrame([], "doc_id int, text string")).count() == 0
+
+
+def luhn(digits: str) -> bool:
+    total = 0
+    for k, d in enumerate(reversed(digits)):
+        x = int(d) * (1 + k % 2)
+        total += x - 9 if x > 9 else x
+    return total % 10 == 0
+
+
+BASE = {
+    "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda v: True),
+    "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+           lambda v: all(int(x) <= 255 for x in v.split("."))),
+    "card": (r"[0-9]([\x20-]?[0-9])+",
+             lambda v: 13 <= len(d := re.sub("[^0-9]", "", v)) <= 19 and luhn(d)),
+    "phone": (r"\+[0-9][\x20().0-9-]+[0-9]",
+              lambda v: 9 <= len(re.sub("[^0-9]", "", v)) <= 15),
+}
+
+
+def spans(text: str | None) -> list[str]:
+    return [f"{kind}:{m.start()}:{m.end()}" for kind, (pattern, good) in BASE.items()
+            for m in re.finditer(pattern, text or "") if good(m[0])]
+
+
+def test_base_spans_against_brute_force(docs):
+    got = {r["doc_id"]: [f"{s['kind']}:{s['start']}:{s['end']}" for s in r["spans"]]
+           for r in sanitisation.findings(docs).collect()}
+    want = {r["doc_id"]: spans(r["text"]) for r in docs.collect()}
+    assert got == want
+    assert {x.split(":")[0] for v in want.values() for x in v} == set(BASE)
+
+
+def test_query_columns(spark):
+    row = next(r for r in sanitisation.op2(spark, SMALL).collect() if r["n_email"])
+    own = [s for s in row["spans"].split(",") if s.split(":")[0] in BASE]
+    assert row["base_sha256"] == hashlib.sha256(",".join(own).encode()).hexdigest()
+
+
+def test_terms_that_reveal_an_entity(spark):
+    rows = [(k, f"The Owl wrote from owl7@x.org, page {k} {'abc'[k % 3]}lpha") for k in range(4)]
+    rows += [(10 + k, f"The page {k} of others, alpha blpha clpha") for k in range(40)]
+    rows += [(60, "Owl\n\nby owl7@x.org"), (61, "once only@y.org uniqueterm")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = sanitisation.findings(docs)
+    added = {r["doc_id"]: [(s["kind"], s["value"]) for s in r["added"]]
+             for r in found.collect()}
+    assert ("removed", "wrote") in added[0] and ("removed", "Owl") in added[0]
+    assert added[60] == [("removed", "Owl")]
+    assert not added[61] and not added[11]
+    assert not any(v == "page" for x in added.values() for _, v in x)
+    clean = {r["doc_id"]: r["text"] for r in sanitisation.sanitised(docs, found).collect()}
+    assert clean[60] == "\n\nby <email>" and clean[11] == rows[5][1]
