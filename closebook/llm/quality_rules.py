@@ -70,7 +70,7 @@ def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     measured = repeated.select(
         "doc_id",
         F.expr("cast(size(w) as bigint)").alias("n_words"),
-        F.expr(r"cast(length(translate(t, ' \t\n\u000b\f\r', '')) as bigint)")
+        F.expr(r"cast(length(translate(t, ' \t\n\u000b\u000c\r', '')) as bigint)")
         .alias("word_chars"),
         F.expr("cast(length(t) - length(translate(t, '#*$%&|<>', '')) as bigint)")
         .alias("n_symbols"),

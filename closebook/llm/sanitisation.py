@@ -94,16 +94,16 @@ def base_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def _mentions(found: DataFrame) -> DataFrame:
-    """`doc_id`, `entity`, `line` (a hash) and its terms, for each base span."""
+    """`doc_id`, `entity`, `line` (a hash) and the other terms of the line, for each base span."""
     lines = found.select("doc_id", "spans", F.explode(F.split("text", "\n")).alias("line"))
     named = lines.select("doc_id", "line", F.explode(F.expr(
         "filter(spans, s -> contains(line, s.value))")).alias("s"))
     terms = F.expr(f"""filter(array_distinct(transform(regexp_extract_all(
-        line, {_quoted(TERM)}, 0), x -> lower(x))), x -> length(x) >= {LEAST_LETTERS})""")
+        replace(line, s.value, ' '), {_quoted(TERM)}, 0), x -> lower(x))),
+        x -> length(x) >= {LEAST_LETTERS})""")
     return named.select(
         "doc_id", F.concat_ws(":", "s.kind", F.lower("s.value")).alias("entity"),
         F.xxhash64("line").alias("line"), terms.alias("terms"),
-        F.lower("s.value").alias("value"),
     )
 
 
@@ -115,8 +115,7 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, least_lines: int = LEAST
     `found` are the documents with base spans.  Counts are lines of the whole corpus.
     """
     mentions = _mentions(found)
-    pairs = mentions.select("entity", "line", "value", F.explode("terms").alias("term")) \
-        .where("not contains(value, term)")
+    pairs = mentions.select("entity", "line", F.explode("terms").alias("term"))
     joint = pairs.groupBy("entity", "term", "line").agg(F.count("*").alias("n")) \
         .groupBy("entity", "term").agg(F.count("*").alias("lines"), F.sum("n").alias("joint")) \
         .where(F.col("lines") >= least_lines)

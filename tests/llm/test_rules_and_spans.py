@@ -13,13 +13,13 @@ from tests.conftest import SMALL
 from tests.llm import brute
 
 ODD = [
-    (101, None), (102, ""), (103, " \n\t "), (104, "one two three one two three one two three"),
-    (105, "a a a a"), (106, "#$ x | <y> & *%\nline\nline\n\n \nline"), (107, "é" * 5000),
-    (108, "w x " * 4000), (109, "9" * 3000 + " a" * 10), (110, "x@y" + "a" * 3000 + "@b.cc"),
-    (111, "a@b.c_d@e.f, é 4111 1111 1111 1111 +1 (2) 3.4.5-6 7 8 9. 1.2.3.4.5.6.7.256.1"),
-    (112, "+1 2 3 +49 30 1234567. 0001.02.003.255 256.1.1.1 5 5-5 4111-1111-1111-1112"),
-    (113, "4111 1111 1111 1111 4111 1111 1111 1111 4111111111111111"),
-    (114, "user@host.. user@host.com.x-y. a.b%c+d-e@x.y.z @a.b c@d +1"),
+    (1001, None), (1002, ""), (1003, " \n\t "), (1004, "one two three one two three one two three"),
+    (1005, "a a a a"), (1006, "#$ x | <y> & *%\nline\nline\n\n \nline"), (1007, "é" * 5000),
+    (1008, "w x " * 4000), (1009, "9" * 3000 + " a" * 10), (1010, "x@y" + "a" * 3000 + "@b.cc"),
+    (1011, "a@b.c_d@e.f, é 4111 1111 1111 1111 +1 (2) 3.4.5-6 7 8 9. 1.2.3.4.5.6.7.256.1"),
+    (1012, "+1 2 3 +49 30 1234567. 0001.02.003.255 256.1.1.1 5 5-5 4111-1111-1111-1112"),
+    (1013, "4111 1111 1111 1111 4111 1111 1111 1111 4111111111111111"),
+    (1014, "user@host.. user@host.com.x-y. a.b%c+d-e@x.y.z @a.b c@d +1"),
 ]
 
 
