@@ -40,10 +40,11 @@ _NULL_ID = "-9223372036854775808L"
 def lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`doc`, `line`, `w`, `copy`: the lines with a word, their words and a hash of these."""
     rows = docs.select(F.expr(f"coalesce(cast({id_col} as bigint), {_NULL_ID})").alias("doc"),
-                       F.posexplode(F.split(text_col, "\n")).alias("line", "t"))
-    return rows.select("doc", "line", F.expr(
+                       # an inner explode would have the optimizer repeat what it explodes in a filter
+                       F.posexplode_outer(F.split(text_col, "\n")).alias("line", "t"))
+    return rows.where(r"t rlike '[^\\x20\\x09-\\x0D]'").select("doc", "line", F.expr(
         r"filter(split(lower(t), '[\\x20\\x09-\\x0D]+'), x -> x <> '')").alias("w"),
-    ).where("size(w) > 0").withColumn("copy", F.xxhash64("w"))
+    ).withColumn("copy", F.xxhash64("w"))
 
 
 def _tokens(words: int) -> Column:
@@ -55,7 +56,7 @@ def _tokens(words: int) -> Column:
 
 def _sketch(rows: DataFrame) -> bytes:
     """For each counter a byte that grows with the logarithm of its count."""
-    counts = rows.select(F.explode("tokens").alias("h")).groupBy(
+    counts = rows.select(F.explode_outer("tokens").alias("h")).groupBy(
         F.pmod("h", F.lit(SKETCH)).cast("int").alias("k")).count()
     out = bytearray(b"\x01" * SKETCH)
     for row in counts.collect():  # at most SKETCH rows
