@@ -34,6 +34,8 @@ SHINGLE_WORDS = 5
 PERCENT = 80
 #: counters of the sketch: one byte each in the plan
 SKETCH = 1 << 16
+#: bytes of the sieve, `SIEVE_BITS` places each
+SIEVE, SIEVE_BITS = 1 << 16, 6
 _NULL_ID = "-9223372036854775808L"
 
 
@@ -43,7 +45,7 @@ def lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                        # an inner explode would have the optimizer repeat what it explodes in a filter
                        F.posexplode_outer(F.split(text_col, "\n")).alias("line", "t"))
     return rows.where(r"t rlike '[^\\x20\\x09-\\x0D]'").select("doc", "line", F.expr(
-        r"filter(split(lower(t), '[\\x20\\x09-\\x0D]+'), x -> x <> '')").alias("w"),
+        r"array_remove(split(lower(t), '[\\x20\\x09-\\x0D]+'), '')").alias("w"),
     ).withColumn("copy", F.xxhash64("w"))
 
 
@@ -76,6 +78,20 @@ def _ordered(sketch: bytes) -> Column:
         | (h & 72057594037927935L))))""")
 
 
+def _sieve(copies: DataFrame) -> Column:
+    """A condition on `copy` that holds for all given copies and for few others.
+
+    It only spares work: what it lets through is joined.  A full sieve lets everything through.
+    """
+    places = copies.select(F.pmod("copy", F.lit(SIEVE * SIEVE_BITS)).alias("k")).distinct()
+    table = bytearray(SIEVE)
+    for row in places.collect():  # at most SIEVE * SIEVE_BITS rows
+        table[row["k"] // SIEVE_BITS] |= 1 << row["k"] % SIEVE_BITS
+    at = f"pmod(copy, {SIEVE * SIEVE_BITS})"
+    return F.expr(f"""ascii(cast(substring(X'{table.hex()}', cast({at} div {SIEVE_BITS} as int)
+        + 1, 1) as string)) & shiftleft(1, cast({at} % {SIEVE_BITS} as int)) <> 0""")
+
+
 def _need(percent: int) -> str:
     """Common tokens that sets of n and m tokens need."""
     return f"ceil({percent} * (n + m) / {100 + percent})"
@@ -104,7 +120,8 @@ def removed_lines(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PE
     every = lines(docs, id_col, text_col)
     tokened = every.withColumn("tokens", _tokens(words))
     sketch = _sketch(tokened.select("tokens"))
-    keyed = tokened.select("doc", "line", "copy", "tokens").withColumn("keys", _ordered(sketch))
+    keys = _ordered(sketch)
+    keyed = tokened.select("doc", "line", "copy", "tokens").withColumn("keys", keys)
     # one row for each different line: its first place and its prefix
     prefix = F.expr(f"slice(keys, 1, size(keys) - cast(ceil({percent} * size(keys) / 100) as int) "
                     "+ 1)")
@@ -113,7 +130,7 @@ def removed_lines(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PE
         .groupBy("copy").agg(F.min(F.struct("doc", "line", "n", "prefix")).alias("s"))
         .select("copy", "s.*"), "lines",
     )
-    near = _near_lines(different, keyed, percent)
+    near = _near_lines(different, every, words, keys, percent)
     first = different.select("copy", F.col("doc").alias("first_doc"),
                              F.col("line").alias("first_line"))
     verdict = first.join(near.withColumn("near", F.lit(True)), "copy", "left")
@@ -121,7 +138,8 @@ def removed_lines(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PE
         "near or doc <> first_doc or line <> first_line").select("doc", "line")
 
 
-def _near_lines(different: DataFrame, keyed: DataFrame, percent: int) -> DataFrame:
+def _near_lines(different: DataFrame, every: DataFrame, words: int, keys: Column,
+                percent: int) -> DataFrame:
     """`copy` of the different lines that resemble an earlier one."""
     tokens = different.select("copy", "n", F.posexplode("prefix").alias("p", "key"))
     shared = tokens.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1")
@@ -130,11 +148,12 @@ def _near_lines(different: DataFrame, keyed: DataFrame, percent: int) -> DataFra
     meeting = stored(
         meeting.join(places, "copy").select(
             "key", "copy", "n", "p", F.struct("doc", "line").alias("at")), "prefixes")
+    # token sets of the lines that meet others, from their words at their first places
+    met = stored(meeting.select("copy", "at.doc", "at.line").distinct(), "met")
     sets = stored(
-        keyed.join(meeting.select("copy").distinct(), "copy", "left_semi")
-        .select("copy", "doc", "line", "keys")
-        .join(meeting.select("copy", "at.doc", "at.line").distinct(), ["copy", "doc", "line"])
-        .select("copy", "keys").dropDuplicates(["copy"]), "sets")
+        every.where(_sieve(met)).join(met, ["copy", "doc", "line"]).select("copy", "w")
+        .dropDuplicates(["copy"]).withColumn("tokens", _tokens(words))
+        .select("copy", keys.alias("keys")), "sets")
     earliest = meeting.groupBy("key").agg(
         F.min(F.struct("at", F.col("copy").alias("other"), F.col("n").alias("m"),
                        F.col("p").alias("q"))).alias("e"))
