@@ -35,18 +35,17 @@ PERCENT = 80
 #: counters of the sketch: one byte each in the plan
 SKETCH = 1 << 16
 #: bytes of the sieve, `SIEVE_BITS` places each
-SIEVE, SIEVE_BITS = 1 << 16, 6
+SIEVE, SIEVE_BITS = 1 << 18, 6
+_WORDS = r"array_remove(split(lower(t), '[\\x20\\x09-\\x0D]+'), '')"
 _NULL_ID = "-9223372036854775808L"
 
 
 def lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`doc`, `line`, `w`, `copy`: the lines with a word, their words and a hash of these."""
+    """`doc`, `line`, `t`, `w`, `copy`: lines with a word, their words and a hash of these."""
     rows = docs.select(F.expr(f"coalesce(cast({id_col} as bigint), {_NULL_ID})").alias("doc"),
                        # an inner explode would have the optimizer repeat what it explodes in a filter
                        F.posexplode_outer(F.split(text_col, "\n")).alias("line", "t"))
-    return rows.where(r"t rlike '[^\\x20\\x09-\\x0D]'").select("doc", "line", F.expr(
-        r"array_remove(split(lower(t), '[\\x20\\x09-\\x0D]+'), '')").alias("w"),
-    ).withColumn("copy", F.xxhash64("w"))
+    return rows.where(r"t rlike '[^\\x20\\x09-\\x0D]'").select("doc", "line", "t", F.expr(_WORDS).alias("w")).withColumn("copy", F.xxhash64("w"))
 
 
 def _tokens(words: int) -> Column:
@@ -151,8 +150,9 @@ def _near_lines(different: DataFrame, every: DataFrame, words: int, keys: Column
     # token sets of the lines that meet others, from their words at their first places
     met = stored(meeting.select("copy", "at.doc", "at.line").distinct(), "met")
     sets = stored(
-        every.where(_sieve(met)).join(met, ["copy", "doc", "line"]).select("copy", "w")
-        .dropDuplicates(["copy"]).withColumn("tokens", _tokens(words))
+        every.where(_sieve(met)).select("copy", "doc", "line", "t")
+        .join(met, ["copy", "doc", "line"]).dropDuplicates(["copy"])
+        .withColumn("w", F.expr(_WORDS)).withColumn("tokens", _tokens(words))
         .select("copy", keys.alias("keys")), "sets")
     earliest = meeting.groupBy("key").agg(
         F.min(F.struct("at", F.col("copy").alias("other"), F.col("n").alias("m"),
