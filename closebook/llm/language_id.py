@@ -11,7 +11,7 @@ id, and at most `WINDOWS_PER_TEXT` evenly spaced windows of each, by Adam in num
 covers every window of every text in one pass without a shuffle.
 
 Edge cases: a null text and one without a letter are `und` with score 0, as is every text when
-no labelled text is given; null languages are not learned; ties go to the language that sorts
+no labelled text is given; null languages and rows without id are not learned; ties go to the language that sorts
 first; an empty table gives an empty result; only id and text are read for a prediction.
 """
 
@@ -148,7 +148,7 @@ def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Network |
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column(0), "x": pa.array(parts, pa.binary()),
                 "lang": batch.column(2)})
-    known = docs.where("lang is not null and text rlike '\\\\p{L}'").select(
+    known = docs.where("doc_id is not null and lang is not null and text rlike '\\\\p{L}'").select(
         F.col("doc_id").cast("bigint"), "text", "lang")
     counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
     if not counts:

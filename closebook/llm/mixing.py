@@ -10,8 +10,9 @@ moves the probabilities of three documents along the null space of the constrain
 documents) until one of them is 0 or 1, and goes on with the next one, so the sums of
 words and of documents stay as they are and at most two stay undecided.  Blocks of documents fly
 independently in tasks; what a block leaves undecided flies on in blocks of the next level, until
-each source has one block.  The landing decides its last documents, at most two or three a source,
-so that words, then documents, end nearest to the target.
+each source has one block.  The landing decides its last documents, at most two a source, so that
+words, then documents, end nearest to the target; if one of them is long, up to `TURNS` documents
+of that block are turned over to make up for it.
 
 Draws follow a hash of the block and the ids, so that reruns agree.
 
@@ -34,6 +35,7 @@ from closebook.llm.storage import stored
 CYCLE = (1, 2, 3)
 MOST = 3
 BLOCK_UNITS = 2000
+TURNS = 3
 #: probabilities this close to 0 or 1 are decided
 NEAR = 1e-9
 
@@ -106,7 +108,10 @@ def flight(sizes: list[int], shares: list[float], draw: random.Random) -> list[f
 
 
 def landing(sizes: list[int], shares: list[float]) -> list[float]:
-    """Decides the few shares left, nearest in words, then in documents, then in order."""
+    """Decides the few shares left, nearest in words, then in documents, then in order.
+
+    Then turns over up to `TURNS` decided ones, each time the one that brings the words nearest.
+    """
     open_ = [k for k, s in enumerate(shares) if 0 < s < 1]
     if not open_:
         return shares
@@ -119,6 +124,14 @@ def landing(sizes: list[int], shares: list[float]) -> list[float]:
     out = list(shares)
     for j, k in enumerate(open_):
         out[k] = float(best >> j & 1)
+    over = sum(sizes[k] * out[k] for k in open_) - words
+    for _ in range(TURNS):
+        after, k = min((abs(over + (sizes[k] if out[k] == 0 else -sizes[k])), k)
+                       for k in range(len(out)))
+        if after >= abs(over):
+            break
+        over += sizes[k] if out[k] == 0 else -sizes[k]
+        out[k] = 1 - out[k]
     return out
 
 
