@@ -184,7 +184,7 @@ def predict(docs: DataFrame, net: Network | None) -> DataFrame:
                 p = net.probabilities(x).astype(np.float64)
                 mean = np.stack([np.bincount(text, p[:, k], last - first)
                                  for k in range(p.shape[1])], 1)
-                mean /= np.maximum(counts, 1)[:, None]
+                mean = mean / np.maximum(counts, 1)[:, None]
                 best.append(mean.argmax(axis=1))
                 score.append(np.clip(mean.max(axis=1), 0, 1))
             none = [np.zeros(0)]
