@@ -28,7 +28,7 @@ from closebook.llm import words
 from closebook.llm.sampling import labelled_sample, remainder
 
 BUCKETS = 1 << 18
-SAMPLE_PER_CLASS = 4000
+SAMPLE_PER_CLASS = 2000
 #: words of fewer documents of the sample keep the weight 0
 LEAST_DOCUMENTS = 8
 STEPS, RATE, DECAY, FIRST_BIAS = 200, 0.15, 1e-4, -7.0
@@ -83,8 +83,8 @@ def fit(buckets: np.ndarray, number: np.ndarray, owner: np.ndarray,
     weights, bias = np.zeros(BUCKETS), FIRST_BIAS
     if len(set(toxic.tolist())) < 2 or not len(buckets):
         return NoisyOr(weights, -30.0)
-    pairs = np.unique(owner[number] * BUCKETS + buckets) % BUCKETS
-    learned = np.bincount(pairs, minlength=BUCKETS) >= LEAST_DOCUMENTS
+    learned = np.bincount(np.unique(owner[number] * BUCKETS + buckets) % BUCKETS,
+                          minlength=BUCKETS) >= LEAST_DOCUMENTS
     places, inverse = np.unique(buckets, return_inverse=True)
     free = learned[places]
     w = np.zeros(len(places))
