@@ -23,13 +23,16 @@ PER_DEPARTMENT = tuple(m for m in K.METRICS if set(m.sums) <= set(K.CONTRACT_SUM
 def department_performance(rel: Relations, as_of: AsOf) -> DataFrame:
     """Every contract-based metric of the report per department.
 
-    (department, ordinal, metric, value); the department is the project's.
+    (department, ordinal, metric, value); the department is the project's, and null
+    for projects without one, so that departments add up to the company.
     """
     table = K.contract_table(
         rel, as_of, {"today", "eom", "tasks", "budget", "time", "ledger"},
         G.ledger_by_contract(rel, as_of),
     )
-    sums = table.filter("department IS NOT NULL").groupBy("department").agg(
+    # contracts without a project have no department to count in; a project without one does
+    projects = rel.projects.select("contract_id")
+    sums = table.join(projects, "contract_id", "left_semi").groupBy("department").agg(
         *[measure.sum() for _, measure in K.CONTRACT_SUMS.values()]
     )
     return to_long(sums, [(m.ordinal, m.name, m.formula) for m in PER_DEPARTMENT], "department")

@@ -25,24 +25,25 @@ INCOME, COGS, EXPENSE, OTHER_INCOME, OTHER_EXPENSE = 9, 5, 7, 12, 11
 RECEIVABLE, LONG_TERM_LIABILITY = 2, 10
 CASH_TYPES = (3, 0, 1)
 
-# Default name of the account that counts as payable besides the payable types
-OVERBILLINGS = "20700 Overbillings"
-
 ATTRIBUTES = (
     "account_type_id", "account_type", "is_asset", "is_liability", "is_overbillings",
     "is_in_staff",
 )
 
 
-def account_attributes(rel: Relations, overbillings: str = OVERBILLINGS) -> DataFrame:
-    return rel.accounts.selectExpr(
+def account_attributes(rel: Relations) -> DataFrame:
+    """What the metrics look at, after the settings of `rel`."""
+    in_staff = F.coalesce("is_in_staff", F.lit(False))
+    if rel.in_staff_accounts is not None:
+        in_staff = F.col("account_id").isin(*rel.in_staff_accounts)
+    return rel.accounts.select(
         "account_id", "account_type_id", "account_type", "is_asset", "is_liability",
-        f"{is_text('code_name', overbillings)} AS is_overbillings",
-        "coalesce(is_in_staff, false) AS is_in_staff",
+        F.expr(f"{is_text('code_name', rel.overbillings)} AS is_overbillings"),
+        in_staff.alias("is_in_staff"),
     )
 
 
-def ledger_lines(rel: Relations, overbillings: str = OVERBILLINGS) -> DataFrame:
+def ledger_lines(rel: Relations) -> DataFrame:
     """Ledger lines with the attributes of their account; `net` is debit minus credit.
 
     A missing ledger type counts as not profit and loss.
@@ -52,7 +53,7 @@ def ledger_lines(rel: Relations, overbillings: str = OVERBILLINGS) -> DataFrame:
     both sides, where adaptive execution splits an account with many lines.
     """
     excluded = one_of("gl_type_id", NOT_PROFIT_AND_LOSS)
-    return rel.gl_debit_credit.join(account_attributes(rel, overbillings), "account_id").selectExpr(
+    return rel.gl_debit_credit.join(account_attributes(rel), "account_id").selectExpr(
         "contract_id",
         "tran_date",
         f"gl_type_id IS NOT NULL AND NOT {excluded} AS is_pl",

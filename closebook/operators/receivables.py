@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,13 +25,20 @@ AGING_BUCKETS = {
 }
 
 
-def invoice_pairs(rel: Relations) -> DataFrame:
-    """Latest invoice and latest payment date of documents that have both."""
+def invoice_pairs(rel: Relations, after: date | None = None) -> DataFrame:
+    """Latest invoice and latest payment date of documents that have both.
+
+    With `after`, only documents whose latest invoice is later: a row of that day or before
+    can be neither such an invoice nor a payment after it, so the bound reaches the scan.
+    """
     def latest(kind: str) -> str:
         return f"max(CASE WHEN gl_type_name = {literal(kind)} THEN tran_date END)"
 
+    rows = rel.ar_inquiry.filter(one_of("gl_type_name", (INVOICE, PAYMENT)))
+    if after is not None:
+        rows = rows.filter(f"tran_date > {literal(after)}")
     return (
-        rel.ar_inquiry.filter(one_of("gl_type_name", (INVOICE, PAYMENT)))
+        rows
         .groupBy("trans_doc_id")
         .agg(
             F.expr(latest(INVOICE)).alias("invoice_date"),
@@ -40,9 +48,9 @@ def invoice_pairs(rel: Relations) -> DataFrame:
     )
 
 
-def days_to_pay(rel: Relations) -> DataFrame:
+def days_to_pay(rel: Relations, after: date | None = None) -> DataFrame:
     """Days from invoice to payment; payments on or before the invoice day are left out."""
-    return invoice_pairs(rel).filter("payment_date > invoice_date").selectExpr(
+    return invoice_pairs(rel, after).filter("payment_date > invoice_date").selectExpr(
         "invoice_date", "datediff(payment_date, invoice_date) AS days_diff"
     )
 
@@ -51,7 +59,9 @@ def average_days_to_pay(rel: Relations, as_of: AsOf,
                         windows: Iterable[int | None] = (*PAY_WINDOWS, None)) -> DataFrame:
     """One row with `pay_<days>` per window and `pay_all` for None."""
     days = "CAST(days_diff AS DOUBLE)"
-    return days_to_pay(rel).agg(*[
+    windows = list(windows)
+    after = None if None in windows or not windows else as_of.days_back(max(windows))
+    return days_to_pay(rel, after).agg(*[
         F.expr(f"avg({days}) AS pay_all") if n is None
         else F.expr(f"avg(CASE WHEN invoice_date > {literal(as_of.days_back(n))}"
                     f" THEN {days} END) AS pay_{n}")

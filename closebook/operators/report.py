@@ -161,10 +161,10 @@ def _contract_sums() -> dict[str, tuple[tuple[str, ...], Measure]]:
         ("wip_cogs", ("today", "ledger"), "contract_cogs", open_today),
         ("staff_cost", ("today", "time"), "staff_cost", open_today),
         ("staff_hours", ("today", "time"), "staff_hours", open_today),
-        ("rate_labor", ("ledger", "time"), "contract_ytd_in_staff_labor", earns),
-        ("rate_cogs", ("ledger", "time"), zero_if_null("contract_ytd_cogs"), earns),
-        ("rate_revenue", ("ledger", "time"), "contract_ytd_revenue", earns),
-        ("rate_minutes", ("ledger", "time"), "staff_minutes_ytd", earns),
+        ("rate_labor", ("ledger", "minutes"), "contract_ytd_in_staff_labor", earns),
+        ("rate_cogs", ("ledger", "minutes"), zero_if_null("contract_ytd_cogs"), earns),
+        ("rate_revenue", ("ledger", "minutes"), "contract_ytd_revenue", earns),
+        ("rate_minutes", ("ledger", "minutes"), "staff_minutes_ytd", earns),
     )
     return {name: (parts, Measure(name, value, where)) for name, parts, value, where in rows}
 
@@ -199,6 +199,8 @@ def contract_table(rel: Relations, as_of: AsOf, parts: set[str],
         sides.append(C.budget_by_contract(rel))
     if "time" in parts:
         sides.append(L.time_by_contract(rel, as_of))
+    elif "minutes" in parts:
+        sides.append(L.in_staff_minutes(rel, as_of))
     if dates:
         table, *rest = sides
         for side in rest:

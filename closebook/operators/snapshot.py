@@ -260,24 +260,29 @@ def daily_snapshot(rel: Relations, start: date | None = None, end: date | None =
     return snapshot(rel, DAY, start, end)
 
 
+def _grain(snapshots: DataFrame) -> list[str]:
+    """Stored snapshots name their grain; a week's value is no predecessor of a month's."""
+    return ["grain"] if "grain" in snapshots.columns else []
+
+
 def wide(snapshots: DataFrame, periods: list[date]) -> DataFrame:
-    """One row per metric and one column `p_<year>_<month>_<day>` per period."""
+    """One row per metric (and grain) and one column `p_<year>_<month>_<day>` per period."""
     named = {p: f"p_{p:%Y_%m_%d}" for p in periods}
     labelled = snapshots.filter(F.col("as_of").isin(periods)).withColumn(
         "period", F.concat(F.lit("p_"), F.date_format("as_of", "yyyy_MM_dd"))
     )
-    return labelled.groupBy("ordinal", "metric").pivot("period", list(named.values())).agg(
+    return labelled.groupBy(*_grain(snapshots), "ordinal", "metric").pivot("period", list(named.values())).agg(
         F.max("value")
     )
 
 
 def trend(snapshots: DataFrame) -> DataFrame:
     """Each value with the previous period's, the change and the relative change."""
-    series = Window.partitionBy("metric").orderBy("as_of")
+    series = Window.partitionBy(*_grain(snapshots), "metric").orderBy("as_of")
     previous = F.lag("value").over(series)
     change = F.col("value") - F.col("previous")
     return snapshots.withColumn("previous", previous).select(
-        "as_of", "metric", "value", "previous",
+        *_grain(snapshots), "as_of", "metric", "value", "previous",
         change.alias("change"),
         F.round(change / F.nullif(F.abs(F.col("previous")), F.lit(0.0)), 4).alias("change_ratio"),
     )

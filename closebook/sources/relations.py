@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from closebook.sources.schemas import KNOWN_DATES, SCHEMAS, UNIQUE_KEYS
 
+# Fixed value: default name of the account that counts as payable besides the payable types
+OVERBILLINGS = "20700 Overbillings"
+
 
 class Relations:
     """Input tables by name; `relations["accounts"]` or `relations.accounts`.
@@ -18,8 +21,15 @@ class Relations:
     a query opens no more files than it reads.
     """
 
-    def __init__(self, tables: Mapping[str, DataFrame | Callable[[], DataFrame]]):
+    def __init__(self, tables: Mapping[str, DataFrame | Callable[[], DataFrame]],
+                 overbillings: str = OVERBILLINGS, in_staff_accounts: Iterable | None = None):
+        """`overbillings` names the account that counts as payable besides the payable types;
+        `in_staff_accounts` are the ids of in-staff labour accounts, by default those that
+        `accounts.is_in_staff` marks.  Every operator follows these settings.
+        """
         self._tables = dict(tables)
+        self.overbillings = overbillings
+        self.in_staff_accounts = None if in_staff_accounts is None else tuple(in_staff_accounts)
 
     def __contains__(self, name: str) -> bool:
         return name in self._tables
@@ -44,17 +54,17 @@ class Relations:
         return self[next(iter(self))].sparkSession
 
     def replace(self, **tables: DataFrame | Callable[[], DataFrame]) -> Relations:
-        return Relations({**self._tables, **tables})
+        return Relations({**self._tables, **tables}, self.overbillings, self.in_staff_accounts)
 
     def known_by(self, as_of: date) -> Relations:
-        """Only rows dated on or before `as_of`, for restating a past date.
+        """Only rows dated on or before `as_of` or not at all, for restating a past date.
 
         Off by default in every operator.  Relations without a date (tasks,
         budgets, project status) stay as they are now.
         """
         def cut(name: str, column: str) -> Callable[[], DataFrame]:
             return lambda: self[name].filter(
-                F.col(column) < F.lit(as_of + timedelta(days=1))
+                F.col(column).isNull() | (F.col(column) < F.lit(as_of + timedelta(days=1)))
             )
 
         return self.replace(**{
