@@ -9,7 +9,8 @@ similar sets agree completely in at least one part; the hash of a part is a buck
 similar size only share keys (size ranges), and no key is dropped.
 
 Comparison: the sets that share a bucket with the bucket's smallest id form a group, cut into
-blocks of `BLOCK_SETS`.  A task builds a signature tree over a block: its nodes hold the OR of
+blocks of `BLOCK_SETS`.  Sets whose bitmaps
+rule out every partner in their block leave it.  A task builds a signature tree over the others: its nodes hold the OR of
 the token bitmaps below them and the range of sizes.  Two trees are traversed together; a pair of
 nodes is left when its greatest possible overlap, read from the bitmaps, cannot reach the
 threshold for its sizes, or when all its sets are known to be connected.  What remains is
@@ -130,14 +131,55 @@ def _route(docs: DataFrame, size: int, percent: int) -> DataFrame:
 
 
 def _payload(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """`doc_id`, `tokens` of the documents whose ids are given."""
+    """`doc_id`, `tokens`, `n`, `map` (the token bitmap) of the documents whose ids are given."""
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data = [x.tobytes() for x in shingle_sets(batch, size)]
+            sets = list(shingle_sets(batch, size))
+            maps = [bitmap(x, _bits(len(x))).tobytes() for x in sets]
             yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column(0), "tokens": pa.array(data, pa.binary())})
+                "doc_id": batch.column(0),
+                "tokens": pa.array([x.tobytes() for x in sets], pa.binary()),
+                "n": pa.array([len(x) for x in sets], pa.int64()),
+                "map": pa.array(maps, pa.binary())})
     return docs.join(ids, "doc_id", "left_semi").mapInArrow(
-        tokens, "doc_id bigint, tokens binary")
+        tokens, "doc_id bigint, tokens binary, n bigint, map binary")
+
+
+def _bits(size: int) -> int:
+    """Width of the bitmap for sets of up to `size` tokens: a power of 2."""
+    return 1 << int(np.clip(np.ceil(np.log2(4 * max(size, 1))), 9, 16))
+
+
+def bitmap(tokens: np.ndarray, bits: int) -> np.ndarray:
+    out = np.zeros(bits // 64, np.uint64)
+    at = (tokens >> np.uint64(20)) & np.uint64(bits - 1)
+    np.bitwise_or.at(out, (at >> np.uint64(6)).astype(np.int64),
+                     np.uint64(1) << (at & np.uint64(63)))
+    return out
+
+
+def _block_survivors(percent: int):
+    """The sets of a block whose bitmaps leave a similar partner in it possible.
+
+    Bitmaps are a sixteenth of the sets; what they rule out needs no tokens.
+    """
+    def survivors(table: pa.Table) -> pa.Table:
+        n = table["n"].to_numpy()
+        maps = [np.frombuffer(x.as_py(), np.uint64) for x in table["map"]]
+        width = min(map(len, maps))  # wider maps fold: a bit's place is a remainder of the token
+        maps = np.stack([np.bitwise_or.reduce(x.reshape(-1, width), axis=0) for x in maps])
+        slack = n - np.bitwise_count(maps).sum(axis=1).astype(np.int64)
+        keep = np.zeros(len(n), bool)
+        for k in range(len(n) - 1):
+            rest = slice(k + 1, None)
+            most = np.bitwise_count(maps[k] & maps[rest]).sum(axis=1).astype(np.int64)
+            most += np.minimum(slack[k], slack[rest])
+            good = ((100 + percent) * most >= percent * (n[k] + n[rest])) & (
+                100 * np.minimum(n[k], n[rest]) >= percent * np.maximum(n[k], n[rest]))
+            keep[k] |= good.any()
+            keep[rest] |= good
+        return table.select(["center", "block", "doc_id"]).filter(pa.array(keep))
+    return survivors
 
 
 class SignatureTree:
@@ -154,9 +196,7 @@ class SignatureTree:
         self.order = np.lexsort((sizes, smallest))
         maps = np.zeros((len(sets), bits // 64), np.uint64)
         for row, k in enumerate(self.order):
-            at = (sets[k] >> np.uint64(20)) & np.uint64(bits - 1)
-            np.bitwise_or.at(maps[row], (at >> np.uint64(6)).astype(np.int64),
-                             np.uint64(1) << (at & np.uint64(63)))
+            maps[row] = bitmap(sets[k], bits)
         sizes = sizes[self.order]
         slack = sizes - np.bitwise_count(maps).sum(axis=1)
         #: from the leaves to the root: bitmaps, smallest and largest size, slack
@@ -206,7 +246,7 @@ def similar_pairs(sets: list[np.ndarray], other: list[np.ndarray] | None, percen
         verify(0, k)
     if (label == label[0]).all():
         return edges
-    bits = 1 << int(np.clip(np.ceil(np.log2(4 * max(map(len, every)))), 9, 16))
+    bits = _bits(max(map(len, every)))
     left = SignatureTree(sets, bits)
     right = SignatureTree(other, bits) if other is not None else left
     shift = len(sets) if other is not None else 0
@@ -255,7 +295,7 @@ def _block_edges(percent: int):
     def edges(table: pa.Table) -> pa.Table:
         table = table.sort_by("doc_id")
         ids = table["doc_id"].to_numpy()
-        first = int(np.flatnonzero(ids == table["center"][0].as_py())[0])
+        first = int(np.argmax(ids == table["center"][0].as_py()))  # 0 if it has no partner
         order = [first, *(k for k in range(len(ids)) if k != first)]
         sets = [np.frombuffer(table["tokens"][k].as_py(), np.uint64) for k in order]
         pairs = similar_pairs(sets, None, percent)
@@ -298,7 +338,11 @@ def _links(docs: DataFrame, groups: DataFrame, size: int, percent: int) -> DataF
     placed = stored(members.unionByName(firsts), "blocks", 2 * rows)
     ids = placed.select("doc_id").distinct()
     payload = stored(_payload(docs, ids, size), "sets")
-    loaded = placed.join(payload, "doc_id")
+    likely = placed.select("center", "block", "doc_id").join(
+        payload.select("doc_id", "n", "map"), "doc_id"
+    ).groupBy("center", "block").applyInArrow(
+        _block_survivors(percent), "center bigint, block int, doc_id bigint")
+    loaded = stored(likely, "likely", 2 * rows).join(payload.select("doc_id", "tokens"), "doc_id")
     edges = stored(
         loaded.groupBy("center", "block").applyInArrow(_block_edges(percent), EDGE_SCHEMA),
         "links",
@@ -324,7 +368,7 @@ def _links(docs: DataFrame, groups: DataFrame, size: int, percent: int) -> DataF
         "center", "block", F.explode(F.expr("sequence(0, asking - 1)")).alias("portion"),
         "doc_id", "component", F.lit(False).alias("asks"),
     )
-    rest = asks.unionByName(told).join(payload, "doc_id").groupBy(
+    rest = asks.unionByName(told).join(payload.select("doc_id", "tokens"), "doc_id").groupBy(
         "center", "block", "portion"
     ).applyInArrow(_rest_edges(percent), EDGE_SCHEMA)
     rest = stored(rest, "links")
