@@ -42,6 +42,7 @@ SPARE_PARTS, FEW_PARTS = 2, 24
 
 ROUTE_SCHEMA = "doc_id bigint, n_shingles bigint, k1 bigint, k2 bigint, keys array<bigint>"
 EDGE_SCHEMA = "a bigint, b bigint"
+REST_COLUMNS = ["center", "block", "portion", "doc_id", "component", "asks"]
 
 
 class _Ranges:
@@ -164,24 +165,43 @@ def _block_survivors(percent: int):
     Bitmaps are a sixteenth of the sets; what they rule out needs no tokens.
     """
     def survivors(table: pa.Table) -> pa.Table:
-        n = table["n"].to_numpy()
-        maps = [np.frombuffer(x.as_py(), np.uint64) for x in table["map"]]
-        width = min(map(len, maps))  # wider maps fold: a bit's place is a remainder of the token
-        maps = np.stack([np.bitwise_or.reduce(x.reshape(-1, width), axis=0) for x in maps])
-        slack = n - np.bitwise_count(maps).sum(axis=1).astype(np.int64)
-        keep = np.zeros(len(n), bool)
-        for k in range(len(n) - 1):
-            rest = slice(k + 1, None)
-            most = np.bitwise_count(maps[k] & maps[rest]).sum(axis=1).astype(np.int64)
-            most += np.minimum(slack[k], slack[rest])
-            good = ((100 + percent) * most >= percent * (n[k] + n[rest])) & (
-                100 * np.minimum(n[k], n[rest]) >= percent * np.maximum(n[k], n[rest]))
-            keep[k] |= good.any()
-            keep[rest] |= good
+        numbers = np.arange(table.num_rows)
+        keep = _with_partner(table, [(k, numbers[k + 1:]) for k in numbers[:-1]], percent)
         return table.select(["center", "block", "doc_id"]).filter(pa.array(keep))
     return survivors
 
 
+def _rest_survivors(percent: int):
+    """The same for sets that ask and sets of other components that are told."""
+    def survivors(table: pa.Table) -> pa.Table:
+        asks = table["asks"].to_numpy(zero_copy_only=False)
+        label = table["component"].to_numpy()
+        told = np.flatnonzero(~asks)
+        keep = _with_partner(table, [(k, told[label[told] != label[k]])
+                                     for k in np.flatnonzero(asks)], percent)
+        return table.select(REST_COLUMNS).filter(pa.array(keep))
+    return survivors
+
+
+def _with_partner(table: pa.Table, pairs: list[tuple[int, np.ndarray]],
+                  percent: int) -> np.ndarray:
+    """Which rows (n, map) have a possible partner among the pairs (one row, other rows)."""
+    n = table["n"].to_numpy()
+    maps = [np.frombuffer(x.as_py(), np.uint64) for x in table["map"]]
+    width = min(map(len, maps))  # wider maps fold: a bit's place is a remainder of the token
+    maps = np.stack([np.bitwise_or.reduce(x.reshape(-1, width), axis=0) for x in maps])
+    slack = n - np.bitwise_count(maps).sum(axis=1).astype(np.int64)
+    keep = np.zeros(len(n), bool)
+    for k, rest in pairs:
+        rest = rest[100 * np.minimum(n[k], n[rest]) >= percent * np.maximum(n[k], n[rest])]
+        most = np.bitwise_count(maps[k] & maps[rest]).sum(axis=1).astype(np.int64)
+        most += np.minimum(slack[k], slack[rest])
+        rest = rest[(100 + percent) * most >= percent * (n[k] + n[rest])]
+        keep[k] |= len(rest) > 0
+        keep[rest] = True
+    return keep
+
+
 class SignatureTree:
     """Sets as leaves; each node has the OR of the bitmaps below it and the range of sizes.
 
@@ -368,7 +388,11 @@ def _links(docs: DataFrame, groups: DataFrame, size: int, percent: int) -> DataF
         "center", "block", F.explode(F.expr("sequence(0, asking - 1)")).alias("portion"),
         "doc_id", "component", F.lit(False).alias("asks"),
     )
-    rest = asks.unionByName(told).join(payload.select("doc_id", "tokens"), "doc_id").groupBy(
+    likely = asks.unionByName(told).join(payload.select("doc_id", "n", "map"), "doc_id").groupBy(
+        "center", "block", "portion"
+    ).applyInArrow(_rest_survivors(percent), "center bigint, block int, portion int, "
+                   "doc_id bigint, component bigint, asks boolean")
+    rest = stored(likely, "likely").join(payload.select("doc_id", "tokens"), "doc_id").groupBy(
         "center", "block", "portion"
     ).applyInArrow(_rest_edges(percent), EDGE_SCHEMA)
     rest = stored(rest, "links")
