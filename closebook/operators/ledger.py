@@ -43,29 +43,42 @@ def account_attributes(rel: Relations) -> DataFrame:
     )
 
 
-def ledger_lines(rel: Relations) -> DataFrame:
-    """Ledger lines with the attributes of their account; `net` is debit minus credit.
+def line_amounts(lines: DataFrame) -> DataFrame:
+    """What the metrics look at in a ledger line; `net` is debit minus credit.
+
+    A missing ledger type counts as not profit and loss.  `rounded` is what
+    balances add up.
+    """
+    excluded = one_of("gl_type_id", NOT_PROFIT_AND_LOSS)
+    return lines.selectExpr(
+        "account_id", "contract_id", "tran_date",
+        f"gl_type_id IS NOT NULL AND NOT {excluded} AS is_pl",
+        "coalesce(debit, 0) - coalesce(credit, 0) AS net",
+        "1L AS lines",
+    ).withColumn("rounded", F.round("net", 2))
+
 
-    A missing ledger type counts as not profit and loss.
+def amounts_of(rel: Relations) -> DataFrame:
+    """Lines, or the sums of lines that are kept in their place (`ledger_sums`)."""
+    return rel.ledger_sums if "ledger_sums" in rel else line_amounts(rel.gl_debit_credit)
+
+
+def ledger_lines(rel: Relations) -> DataFrame:
+    """Ledger amounts with the attributes of their account.
 
     The join carries no hint: Spark broadcasts the chart of accounts while its
     size is under `spark.sql.autoBroadcastJoinThreshold`, and otherwise sorts
     both sides, where adaptive execution splits an account with many lines.
     """
-    excluded = one_of("gl_type_id", NOT_PROFIT_AND_LOSS)
-    return rel.gl_debit_credit.join(account_attributes(rel), "account_id").selectExpr(
-        "contract_id",
-        "tran_date",
-        f"gl_type_id IS NOT NULL AND NOT {excluded} AS is_pl",
-        "coalesce(debit, 0) - coalesce(credit, 0) AS net",
-        *ATTRIBUTES,
+    return amounts_of(rel).join(account_attributes(rel), "account_id").select(
+        "contract_id", "tran_date", "is_pl", "net", "rounded", "lines", *ATTRIBUTES
     )
 
 
 def _flows() -> dict[str, Measure]:
     """Every signed sum the metrics need, without dates, over `ledger_lines`.
 
-    Balances round each line before summing.
+    Balances add up lines that are rounded one by one.
     """
     cash = one_of("account_type_id", CASH_TYPES)
     contract_types = one_of("account_type_id", (COGS, INCOME))
@@ -73,6 +86,7 @@ def _flows() -> dict[str, Measure]:
     debit_types = one_of("account_type_id", (COGS, EXPENSE, OTHER_EXPENSE))
     statement = f"CASE WHEN {debit_types} THEN net ELSE -net END"
 
+    # The account descriptions below
     def described(*texts: str) -> str:
         return is_text("account_type", *texts)
 
@@ -96,11 +110,11 @@ def _flows() -> dict[str, Measure]:
             f"{described('Income', 'Cost of Goods Sold', 'Expense', 'Other Income')} AND is_pl",
         ),
         Measure("gross_profit", "-net", f"{described('Income', 'Cost of Goods Sold')} AND is_pl"),
-        Measure("cash", "round(net, 2)", f"is_asset = 1 AND {cash}"),
-        Measure("receivable", "round(net, 2)",
+        Measure("cash", "rounded", f"is_asset = 1 AND {cash}"),
+        Measure("receivable", "rounded",
                 f"is_asset = 1 AND account_type_id = {RECEIVABLE}"),
-        Measure("payable", "round(-net, 2)", f"is_liability = 1 AND ({payable} OR is_overbillings)"),
-        Measure("current_liabilities", "round(-net, 2)",
+        Measure("payable", "-rounded", f"is_liability = 1 AND ({payable} OR is_overbillings)"),
+        Measure("current_liabilities", "-rounded",
                 f"is_liability = 1 AND account_type_id <> {LONG_TERM_LIABILITY}"),
     )}
 
@@ -174,7 +188,7 @@ def ledger_by_contract(rel: Relations, as_of: AsOf, names=None) -> DataFrame:
 def sum_cells(lines: DataFrame, *keys: str) -> DataFrame:
     """Sum ledger lines by `keys` and everything the flows look at."""
     return lines.groupBy(*keys, "is_pl", *ATTRIBUTES).agg(
-        F.sum("net").alias("net"), F.count("*").alias("lines")
+        *[F.sum(c).alias(c) for c in ("net", "rounded", "lines")]
     )
 
 

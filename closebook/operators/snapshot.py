@@ -2,19 +2,21 @@
 
 Only metrics that follow from dated rows can be restated for past dates
 (`report.RESTATABLE`).  The ledger is read once whatever the number of dates:
-it is summed by calendar interval, the intervals of each flow are merged with
-the as-of dates, and window frames over days and months give every date its
-year-to-date, monthly, yearly and balance sums.
+it is summed by calendar interval and, for income and cost, by contract.  Both
+the company's flows and the contracts' earnings come from these sums.  The
+intervals of each flow are merged with the as-of dates, and window frames over
+days and months give every date its year-to-date, monthly, yearly and balance sums.
 """
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from closebook.functions.scalars import literal
+from closebook.calendar import AsOf
+from closebook.functions.scalars import literal, one_of
 from closebook.operators import labor as L
 from closebook.operators import ledger as G
 from closebook.operators.report import RATE_SUMS, RESTATABLE
@@ -23,7 +25,10 @@ from closebook.sources.relations import Relations
 
 DAY, WEEK, MONTH = "day", "week", "month"
 
-_TOTAL = "DECIMAL(38,2)"
+_TOTAL = "DECIMAL(38,6)"
+
+#: flows that are kept by contract
+_BY_CONTRACT = ("revenue", "cogs", "in_staff_labor")
 
 
 def period_end(day: str, grain: str) -> str:
@@ -46,27 +51,63 @@ def interval_end(grain: str) -> str:
     return period_end("tran_date", grain)
 
 
-def flows_by_interval(rel: Relations, grain: str) -> DataFrame:
-    """Every ledger flow per interval, as (flow, tran_date, amount).
+def interval_flows(rel: Relations, grain: str, start: date | None = None,
+                   end: date | None = None) -> DataFrame:
+    """(contract_id, tran_date, flow, amount): every flow by contract and interval.
+
+    Only income and cost of the years that `start` and later dates ask for keep
+    their contract; the rest has none.  Lines after `end` are not read.  The flow
+    `lines` counts ledger lines, so an interval with lines has a row.
 
-    At most one row per flow and calendar interval, however large the ledger.
-    The flow `lines` counts ledger lines, so an interval with lines has a row.
+    The key columns pass through the generator, so that conditions on them stay
+    above the shuffle and everything that is computed from the result reuses it.
     """
-    lines = G.ledger_lines(rel).filter("tran_date IS NOT NULL").withColumn(
-        "tran_date", F.expr(interval_end(grain))
-    )
-    cells = G.sum_cells(lines, "tran_date")
+    lines = G.ledger_lines(rel).filter("tran_date IS NOT NULL")
+    if end is not None:
+        lines = lines.filter(f"tran_date <= {literal(end)}")
+    keeps = f"{one_of('account_type_id', (G.COGS, G.INCOME))} AND is_pl"
+    if start is not None:
+        keeps += f" AND tran_date >= {literal(start.replace(month=1, day=1))}"
+    cells = G.sum_cells(lines.withColumns({
+        "contract_id": F.expr(f"CASE WHEN {keeps} THEN contract_id END"),
+        "tran_date": F.expr(interval_end(grain)),
+    }), "contract_id", "tran_date")
     measures = [*G.FLOWS.values(), Measure("lines", "lines", "lines > 0")]
-    intervals = sum_measures(cells, measures, by=["tran_date"], prefilter=False)
-    items = ", ".join(f"{literal(m.name)}, CAST({m.name} AS {_TOTAL})" for m in measures)
-    return intervals.selectExpr(
-        "tran_date", f"stack({len(measures)}, {items}) AS (flow, amount)"
+    sums = sum_measures(cells, measures, by=["contract_id", "tran_date"], prefilter=False)
+    items = ", ".join(
+        f"contract_id, tran_date, {literal(m.name)}, CAST({m.name} AS {_TOTAL})" for m in measures
+    )
+    return sums.selectExpr(
+        f"stack({len(measures)}, {items}) AS (contract_id, tran_date, flow, amount)"
     ).filter("amount IS NOT NULL")
 
 
-def idc_by_interval(rel: Relations, grain: str) -> DataFrame:
+def company_flows(intervals: DataFrame) -> DataFrame:
+    """(flow, tran_date, amount): at most one row per flow and calendar interval."""
+    return intervals.groupBy("flow", "tran_date").agg(
+        F.expr(f"CAST(sum(amount) AS {_TOTAL}) AS amount")
+    )
+
+
+def contract_flows(intervals: DataFrame) -> DataFrame:
+    """Revenue, cost and in-staff labour per contract and interval, one flow a row."""
+    kept = F.col("flow").isin(*_BY_CONTRACT) & F.col("contract_id").isNotNull()
+    return intervals.filter(kept).select(
+        "contract_id", "tran_date",
+        *[F.when(F.col("flow") == flow, F.col("amount")).alias(flow) for flow in _BY_CONTRACT],
+    )
+
+
+def idc_by_interval(rel: Relations, grain: str, start: date | None = None,
+                    end: date | None = None) -> DataFrame:
+    """Indirect cost by interval, from the twelve complete months before `start` to `end`."""
+    period = ["tran_date IS NOT NULL"]
+    if start is not None:
+        period.append(f"tran_date >= {literal(AsOf(start).start_12m)}")
+    if end is not None:
+        period.append(f"tran_date <= {literal(end)}")
     return (
-        G.idc_lines(rel, "tran_date IS NOT NULL")
+        G.idc_lines(rel, " AND ".join(period))
         .groupBy(F.expr(interval_end(grain)).alias("tran_date"))
         .agg(F.expr(f"CAST(sum(tran_amount) AS {_TOTAL}) AS amount"))
         .withColumn("flow", F.lit("idc"))
@@ -134,29 +175,28 @@ def windowed_sums(flows: DataFrame, calendar: DataFrame) -> DataFrame:
     ])
 
 
-def contract_flows(rel: Relations, grain: str) -> DataFrame:
-    """Revenue, cost and in-staff labour per contract and interval."""
-    lines = G.ledger_lines(rel).filter("contract_id IS NOT NULL AND tran_date IS NOT NULL")
-    return sum_measures(
-        lines.withColumn("tran_date", F.expr(interval_end(grain))),
-        [G.FLOWS["revenue"], G.FLOWS["cogs"], G.FLOWS["in_staff_labor"]],
-        by=["contract_id", "tran_date"],
-    )
-
-
-def staff_minutes(rel: Relations, grain: str) -> DataFrame:
+def staff_minutes(rel: Relations, grain: str, start: date | None = None,
+                  end: date | None = None) -> DataFrame:
     """Clock minutes of permanent staff per contract and period end of the year.
 
     A clock-in after midnight counts from the next day on, because the as-of
-    date stands for its first instant.
+    date stands for its first instant.  Only the years that `start` and later
+    dates ask for are read, up to the first instant of `end`.
     """
+    clocked = rel.daily_time.filter("contract_id IS NOT NULL")
+    if start is not None:
+        # the last day before counts from the first day on
+        opening = start.replace(month=1, day=1) - timedelta(days=1)
+        clocked = clocked.filter(F.col("in_time") >= F.lit(opening).cast("timestamp_ntz"))
+    if end is not None:
+        clocked = clocked.filter(F.col("in_time") <= F.lit(end).cast("timestamp_ntz"))
     counted_from = (
         "date_add(CAST(in_time AS DATE),"
         " CASE WHEN in_time = CAST(in_time AS DATE) THEN 0 ELSE 1 END)"
     )
     closing = period_end(counted_from, grain)
     pairs = (
-        rel.daily_time.filter(f"contract_id IS NOT NULL AND year(in_time) = year({closing})")
+        clocked.filter(f"year(in_time) = year({closing})")
         .groupBy("contract_id", F.expr(closing).alias("as_of"), "employee_id")
         .agg(F.expr(f"sum({L.MINUTES}) AS minutes"))
     )
@@ -219,22 +259,6 @@ def hourly_rate_sums(earnings: DataFrame, calendar: DataFrame) -> DataFrame:
     )
 
 
-def from_flows(flows: DataFrame, money: DataFrame, minutes: DataFrame, grain: str,
-               start: date | None = None, end: date | None = None) -> DataFrame:
-    """Snapshots from ledger sums by interval, computed now or stored before.
-
-    Several rows for one interval add up, so sums of separate ledger batches
-    can be passed together.
-    """
-    calendar = as_of_dates(flows, grain, start, end)
-    rates = hourly_rate_sums(contract_earnings(money, minutes, grain), calendar)
-    return to_long(
-        windowed_sums(flows, calendar).join(rates, "as_of"),
-        [(m.ordinal, m.name, m.formula) for m in RESTATABLE],
-        "as_of",
-    )
-
-
 def snapshot(rel: Relations, grain: str, start: date | None = None, end: date | None = None,
              ) -> DataFrame:
     """(as_of, ordinal, metric, value) for every period end.
@@ -242,9 +266,16 @@ def snapshot(rel: Relations, grain: str, start: date | None = None, end: date |
     The as-of date keeps its usual meaning: even on a month end, the last
     completed month is the month before.
     """
-    flows = flows_by_interval(rel, grain).unionByName(idc_by_interval(rel, grain))
-    return from_flows(
-        flows, contract_flows(rel, grain), staff_minutes(rel, grain), grain, start, end
+    intervals = interval_flows(rel, grain, start, end)
+    flows = company_flows(intervals).unionByName(idc_by_interval(rel, grain, start, end))
+    calendar = as_of_dates(flows, grain, start, end)
+    earnings = contract_earnings(
+        contract_flows(intervals), staff_minutes(rel, grain, start, end), grain
+    )
+    return to_long(
+        windowed_sums(flows, calendar).join(hourly_rate_sums(earnings, calendar), "as_of"),
+        [(m.ordinal, m.name, m.formula) for m in RESTATABLE],
+        "as_of",
     )
 
 

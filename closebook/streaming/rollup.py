@@ -1,119 +1,96 @@
 """Ledger sums kept up to date from newly arrived lines.
 
-A daily refresh over a large ledger should not read the whole ledger.  The
-sums behind reports and snapshots add up over lines, so each arriving batch is
-summed once by day and stored beside the earlier ones; reports and snapshots
-are then computed from the stored sums.  A batch is stored under its number
-and replaced when it is retried, so a failure in between neither loses nor
-doubles a line.
-
-Lines keep the account attributes they had on arrival; after an account is
-reclassified, rebuild the sums from the ledger.
+A daily refresh over a large ledger should not read the whole ledger.  Each
+arriving batch is summed once, by account, contract, day and profit-and-loss
+flag, or by cost code, type and day, and stored beside the earlier ones.  These
+sums take the place of the ledgers in `Relations`, so every report and snapshot
+is computed from them by the same code.
+
+Accounts and cost codes are joined when a report is computed: a line may arrive
+before its account, and a reclassified account counts as what it is now.  Lines
+without a date are kept as well.
+
+Each ledger has its own stream, progress and sums.  A batch is stored under its
+number and replaced when it is retried, so a failure in between neither loses
+nor doubles a line.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from datetime import date
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from closebook.calendar import AsOf
 from closebook.operators import ledger as G
-from closebook.operators import snapshot as S
-from closebook.operators.report import report_from
-from closebook.plans.measures import Measure, sum_measures
+from closebook.operators.report import kpi_report
+from closebook.operators.snapshot import snapshot
 from closebook.sources.relations import Relations
 
-#: days serve reports of any date and snapshots of any grain
-_GRAIN = S.DAY
-
-
-def store_batch(rel: Relations, batch: int, path: str) -> None:
-    """Sum the ledger lines of `rel` and store them as one batch."""
-    parts = {
-        "flows": S.flows_by_interval(rel, _GRAIN).unionByName(S.idc_by_interval(rel, _GRAIN)),
-        "contract_flows": S.contract_flows(rel, _GRAIN),
-    }
-    for name, rows in parts.items():
-        # one decimal type in every batch, whatever the sums were computed in
-        stored = [
-            F.col(c).cast("DECIMAL(38,2)" if kind.startswith("decimal") else kind).alias(c)
-            for c, kind in rows.dtypes
-        ]
-        (
-            rows.select(*stored, F.lit(batch).alias("batch"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch")
-            .parquet(f"{path}/{name}")
-        )
-
-
-def add_new_lines(lines: DataFrame, relations_of: Callable[[DataFrame], Relations],
-                  path: str) -> None:
+LEDGERS = ("gl_debit_credit", "gl")
+
+
+def summed(ledger: str, lines: DataFrame) -> DataFrame:
+    """The lines of one ledger, added up as far as no report can tell."""
+    if ledger == "gl_debit_credit":
+        lines, amounts = G.line_amounts(lines), ("net", "rounded", "lines")
+    elif ledger == "gl":
+        lines, amounts = lines.select(
+            "cost_code_id", "gl_type_id", "tran_date", "tran_amount"), ("tran_amount",)
+    else:
+        raise ValueError(f"{ledger}: not one of {LEDGERS}")
+    keys = [c for c in lines.columns if c not in amounts]
+    return lines.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in amounts])
+
+
+def store_batch(ledger: str, lines: DataFrame, batch: int, path: str) -> None:
+    """Sum the lines of one batch and store them, replacing an earlier attempt."""
+    summed(ledger, lines).write.mode("overwrite").parquet(f"{path}/{ledger}/sums/batch={batch}")
+
+
+def add_new_lines(ledger: str, lines: DataFrame, path: str) -> None:
     """Sum every line that arrived since the last call, then return.
 
-    `lines` is a streaming read of the ledger's folder; `relations_of` turns a
-    batch of it into relations whose ledgers hold that batch only.  Progress
-    is kept beside the sums, so a call after a crash resumes where it stopped.
+    `lines` is a streaming read of the ledger's folder with the columns of the
+    relation `ledger`.  Progress is kept beside the sums, so a call after a
+    crash resumes where it stopped.
     """
-    def sum_batch(batch: DataFrame, number: int) -> None:
-        store_batch(relations_of(batch), number, path)
-
     (
-        lines.writeStream.foreachBatch(sum_batch)
-        .option("checkpointLocation", f"{path}/progress")
+        lines.writeStream
+        .foreachBatch(lambda batch, number: store_batch(ledger, batch, number, path))
+        .option("checkpointLocation", f"{path}/{ledger}/progress")
         .trigger(availableNow=True)
         .start()
         .awaitTermination()
     )
 
 
-def stored_flows(spark: SparkSession, path: str) -> DataFrame:
-    """Company flows per day over all batches; its size follows the calendar."""
-    return (
-        spark.read.schema("tran_date DATE, flow STRING, amount DECIMAL(38,2)")
-        .parquet(f"{path}/flows")
-        .groupBy("flow", "tran_date")
-        .agg(F.expr("CAST(sum(amount) AS DECIMAL(38,2)) AS amount"))
-    )
-
+def _stored(spark: SparkSession, ledger: str, path: str, rel: Relations) -> DataFrame:
+    """Sums of all batches; none before the first line has arrived."""
+    kinds = summed(ledger, rel[ledger]).schema
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{ledger}/sums")
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return spark.createDataFrame([], kinds)
+    return spark.read.schema(kinds).parquet(str(folder))
 
-def stored_contract_flows(spark: SparkSession, path: str) -> DataFrame:
-    """Revenue, cost and in-staff labour per contract and day, batch by batch."""
-    money = "DECIMAL(38,2)"
-    return spark.read.schema(
-        f"contract_id BIGINT, tran_date DATE, revenue {money}, cogs {money},"
-        f" in_staff_labor {money}"
-    ).parquet(f"{path}/contract_flows")
 
+def from_rollup(spark: SparkSession, path: str, rel: Relations) -> Relations:
+    """`rel` with the stored sums in the place of its ledgers, which are not read.
 
-def snapshot_from_rollup(spark: SparkSession, path: str, rel: Relations, grain: str,
-                         start: date | None = None, end: date | None = None) -> DataFrame:
-    """Snapshots from the stored ledger sums and the timesheets of `rel`."""
-    return S.from_flows(
-        stored_flows(spark, path), stored_contract_flows(spark, path),
-        S.staff_minutes(rel, grain), grain, start, end,
+    The ledgers of `rel` only say of which type the ids and amounts are.
+    """
+    return rel.replace(
+        ledger_sums=_stored(spark, "gl_debit_credit", path, rel),
+        gl=_stored(spark, "gl", path, rel),
     )
 
 
-def _dated(name: str, value: str, condition: str, period: str | None, as_of: AsOf) -> Measure:
-    measure = Measure(name, value, condition)
-    return measure.within(name, G.window(period, as_of)) if period else measure
+def snapshot_from_rollup(spark: SparkSession, path: str, rel: Relations, grain: str,
+                         start=None, end=None) -> DataFrame:
+    """Snapshots from the stored ledger sums and the timesheets of `rel`."""
+    return snapshot(from_rollup(spark, path, rel), grain, start, end)
 
 
 def report_from_rollup(spark: SparkSession, path: str, rel: Relations, as_of: AsOf) -> DataFrame:
-    """The full report of any date without reading the ledger itself."""
-    flows = stored_flows(spark, path)
-    company = sum_measures(flows, [
-        _dated(name, "amount", f"flow = '{flow}'", period, as_of)
-        for name, (flow, period) in G.WINDOWED.items()
-    ])
-    contracts = sum_measures(stored_contract_flows(spark, path), [
-        _dated(name, flow, f"{flow} IS NOT NULL", period, as_of)
-        for name, (flow, period) in G.PER_CONTRACT.items()
-    ], by=["contract_id"])
-    idc = sum_measures(flows, [_dated("idc_12m", "amount", "flow = 'idc'", "last_12m", as_of)])
-    return report_from(rel, as_of, contracts.unionByName(company, allowMissingColumns=True), idc)
+    """The full report of any date without reading the ledgers."""
+    return kpi_report(from_rollup(spark, path, rel), as_of)

@@ -116,9 +116,9 @@ METRICS: dict[str, tuple[str, str]] = {
     "net_income_last_month": ("NetIncomeLastCompletedMonth", f"""
         SELECT -sum(net) FROM lines WHERE account_type_id IN (5, 7, 9, 12) AND pl AND {_MONTH}"""),
     "ar_mom_delta": ("AR_MoM_Delta_LastCompletedMonth", """
-        SELECT (SELECT sum(net) FROM lines WHERE is_asset = 1 AND account_type_id = 2
+        SELECT (SELECT sum(round(net, 2)) FROM lines WHERE is_asset = 1 AND account_type_id = 2
                   AND tran_date <= DATE '{prior_month_end}')
-             - (SELECT sum(net) FROM lines WHERE is_asset = 1 AND account_type_id = 2
+             - (SELECT sum(round(net, 2)) FROM lines WHERE is_asset = 1 AND account_type_id = 2
                   AND tran_date <= DATE '{month_end}')"""),
     "wip_budgeted_hours": ("WIPTotalBudgetedHours", """
         SELECT sum(budgeted_hours) FROM task_sums WHERE budgeted_hours > 0"""),
@@ -152,12 +152,12 @@ METRICS: dict[str, tuple[str, str]] = {
     "days_to_pay_all": ("ARAvgDaysToPaySinceDawnOfTime",
                         "SELECT round(avg(days_diff), 0) FROM lags"),
     "ap_mom_delta": ("AP_MoM_Delta_LastCompletedMonth", f"""
-        SELECT ifnull((SELECT -sum(net) FROM lines WHERE {_PAYABLE}
+        SELECT ifnull((SELECT -sum(round(net, 2)) FROM lines WHERE {_PAYABLE}
                          AND tran_date <= DATE '{{month_end}}'), 0)
-             - ifnull((SELECT -sum(net) FROM lines WHERE {_PAYABLE}
+             - ifnull((SELECT -sum(round(net, 2)) FROM lines WHERE {_PAYABLE}
                          AND tran_date <= DATE '{{prior_month_end}}'), 0)"""),
     "current_liabilities_eom": ("TotalCurrentLiabilitiesAsOfEOM", """
-        SELECT -sum(net) FROM lines
+        SELECT -sum(round(net, 2)) FROM lines
         WHERE is_liability = 1 AND account_type_id <> 10 AND tran_date <= DATE '{month_end}'"""),
     "ar_avg_days_outstanding": ("ARAvgDaysOutstanding", "SELECT round(avg(age), 0) FROM unpaid"),
     "ar_aging_0_30": ("Outstanding AR (0-30 days old)", _aged("BETWEEN 0 AND 30")),

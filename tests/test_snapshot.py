@@ -138,9 +138,9 @@ def test_sums_of_arriving_files_equal_the_whole(spark, tmp_path):
 
     def arrive():
         stream = spark.readStream.schema(retail.FILES["lineitem"]).parquet(inbox)
-        rollup.add_new_lines(
-            stream, lambda batch: retail.relations(spark, SMALL, lineitem=batch), store
-        )
+        arriving = retail.relations(spark, SMALL, lineitem=stream)
+        for ledger in rollup.LEDGERS:
+            rollup.add_new_lines(ledger, arriving[ledger], store)
 
     parts[0].write.parquet(inbox)
     arrive()
@@ -160,7 +160,71 @@ def test_sums_of_arriving_files_equal_the_whole(spark, tmp_path):
 
 def test_a_retried_batch_counts_once(spark, small, tmp_path):
     path = str(tmp_path / "sums")
-    for _ in range(2):
-        rollup.store_batch(small, 0, path)
+    for ledger in 2 * rollup.LEDGERS:
+        rollup.store_batch(ledger, small[ledger], 0, path)
     kept = rollup.snapshot_from_rollup(spark, path, small, snapshot.MONTH)
     assert by_date(kept) == by_date(snapshot.monthly_snapshot(small))
+
+
+def _ledgers(make):
+    def line(account, when, debit, credit):
+        return (1, account, 1, when and day(when), money(debit), money(credit))
+    return make(
+        contract_values=[(1, money(1000))], projects=[(1, 2, "1.000", None)],
+        accounts=[(1, 9, "Income", "a", 0, 0, False), (2, 5, "Cost of Goods Sold", "b", 0, 0, True),
+                  (3, 3, "Bank", "c", 1, 0, False)],
+        cost_codes=[(1, "90"), (2, "10")],
+        gl=[(1, 2, day("2001-01-05"), money(60)), (2, 2, day("2001-01-05"), money(7)),
+            (1, 2, None, money(9))],
+        gl_debit_credit=[line(1, "2001-01-10", None, 100), line(2, "2001-01-10", 50, None),
+                         line(1, None, None, 300), line(3, "2000-12-31", 20, None)],
+    )
+
+
+def test_sums_keep_undated_lines_and_follow_the_accounts(spark, make, tmp_path):
+    rel, as_of, store = _ledgers(make), AsOf.parse("2001-02-15"), str(tmp_path / "sums")
+
+    def both(now):
+        kept = values(rollup.report_from_rollup(spark, store, now, as_of))
+        assert kept == values(report.kpi_report(now, as_of))
+        return kept
+
+    empty = rel.replace(gl_debit_credit=rel.gl_debit_credit.limit(0), gl=rel.gl.limit(0))
+    before = both(empty)  # nothing has arrived
+    assert len(before) == 36 and before["CashBalanceAsOfEOM"] is None
+    # two ledgers in two batches each, the accounts after the lines
+    for ledger in rollup.LEDGERS:
+        rows = rel[ledger].collect()
+        for batch in range(2):
+            part = spark.createDataFrame(rows[batch::2], rel[ledger].schema)
+            rollup.store_batch(ledger, part, batch, store)
+    none_yet = rel.replace(accounts=rel.accounts.limit(0), cost_codes=rel.cost_codes.limit(0))
+    assert both(none_yet)["CashBalanceAsOfEOM"] is None
+    found = both(rel)
+    assert found["WIP_GM_Percent"] == 0.875 and found["CashBalanceAsOfEOM"] == 20
+    moved = rel.replace(accounts=rel.accounts.replace(3, 2, subset=["account_type_id"]))
+    assert both(moved)["CashBalanceAsOfEOM"] is None
+
+
+def test_balances_round_lines_and_profit_does_not(spark, make, tmp_path):
+    rel, as_of, store = _ledgers(make), AsOf.parse("2001-02-15"), str(tmp_path / "sums")
+    fine = spark.createDataFrame(
+        [(1, account, 1, day("2001-01-03"), debit, credit)
+         for account, debit, credit in ((3, money("0.0050"), None), (1, None, money("0.0050")))
+         for _ in range(4)],
+        "contract_id long, account_id long, gl_type_id int, tran_date date,"
+        " debit decimal(18,4), credit decimal(18,4)")
+    rel = rel.replace(gl_debit_credit=fine)
+    rollup.store_batch("gl_debit_credit", fine, 0, store)
+    whole = values(report.kpi_report(rel, as_of))
+    assert whole["CashBalanceAsOfEOM"] == 0.04
+    assert whole["NetIncomeLastCompletedMonth"] == 0.02
+    for key in ("cash_balance_eom", "net_income_last_month"):
+        row = report.kpi(rel, as_of, key).first()
+        assert row["value"] == whole[row["metric"]]
+    at_end = day("2001-02-28")
+    of_date = by_date(snapshot.monthly_snapshot(rel, at_end, at_end))[at_end]
+    assert {name: whole[name] for name in of_date} == of_date
+    kept = by_date(rollup.snapshot_from_rollup(spark, store, rel, snapshot.MONTH, at_end, at_end))
+    assert {n: v for n, v in kept[at_end].items() if "IDC" not in n} == {
+        n: v for n, v in of_date.items() if "IDC" not in n}
