@@ -8,17 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from closebook.sources.relations import Relations, conform, normalise_text
-from closebook.sources.schemas import SCHEMAS
+from closebook.sources.schemas import FACTS, SCHEMAS
 
 
 def read_columnar(spark: SparkSession, folder: str, names: Iterable[str] | None = None,
-                  fmt: str = "parquet", normalise: bool = False) -> Relations:
-    """One parquet or ORC table per relation under `folder`."""
+                  fmt: str = "parquet", normalise: bool = True,
+                  check_keys: bool = True) -> Relations:
+    """One parquet or ORC table per relation under `folder`.
+
+    The dimensions are read once to refuse repeated keys; `check_keys=False` spares that.
+    """
     tables = {
         name: conform(spark.read.format(fmt).load(f"{folder}/{name}"), name)
         for name in names or SCHEMAS
     }
-    return _relations(tables, normalise)
+    return _relations(tables, normalise, check_keys)
 
 
 def read_csv(spark: SparkSession, name: str, path: str, **options: str) -> DataFrame:
@@ -36,14 +40,17 @@ def read_json(spark: SparkSession, name: str, path: str, **options: str) -> Data
 
 def read_jdbc(spark: SparkSession, url: str, tables: Mapping[str, str],
               split_on: Mapping[str, tuple[str, object, object, int]] | None = None,
-              normalise: bool = True, **options: str) -> Relations:
+              normalise: bool = True, check_keys: bool = True, **options: str) -> Relations:
     """Relations kept in a database.
 
-    `tables` maps a relation to its table or view.  `split_on` gives, for the
-    large ones, (column, lowest, highest, partitions) so that the read runs as
-    parallel range queries instead of one connection.
+    `tables` maps a relation to its table or view.  `split_on` gives, for every
+    relation of `FACTS`, (column, lowest, highest, partitions) so that the read
+    runs as parallel range queries instead of one connection.
     """
     split_on = split_on or {}
+    whole = sorted(set(tables) & set(FACTS) - set(split_on))
+    if whole:
+        raise ValueError(f"split_on is missing for {', '.join(whole)}")
     loaded = {}
     for name, table in tables.items():
         reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
@@ -52,7 +59,7 @@ def read_jdbc(spark: SparkSession, url: str, tables: Mapping[str, str],
             reader = reader.options(partitionColumn=column, lowerBound=str(low),
                                     upperBound=str(high), numPartitions=str(parts))
         loaded[name] = conform(reader.options(**options).load(), name)
-    return _relations(loaded, normalise)
+    return _relations(loaded, normalise, check_keys)
 
 
 def read_month_partitioned(spark: SparkSession, name: str, path: str) -> DataFrame:
@@ -75,11 +82,12 @@ def in_months(table: DataFrame, first, last, column: str = "tran_date") -> DataF
 
 
 def write_month_partitioned(table: DataFrame, path: str, column: str = "tran_date",
-                            files_per_month: int = 1) -> None:
+                            files_per_month: int = 16) -> None:
     """Store a dated relation by month.
 
     Rows of one month are spread over `files_per_month` writers by a hash of
-    the row, so a month that holds most rows does not land in one task.
+    the row, so a month that holds most rows does not land in one task.  Small
+    ledgers may ask for fewer.
     """
     keyed = table.withColumn("month", F.trunc(F.col(column), "MM"))
     slot = F.pmod(F.xxhash64(*[F.col(c) for c in table.columns]), F.lit(files_per_month))
@@ -89,7 +97,10 @@ def write_month_partitioned(table: DataFrame, path: str, column: str = "tran_dat
     )
 
 
-def _relations(tables: dict[str, DataFrame], normalise: bool) -> Relations:
+def _relations(tables: dict[str, DataFrame], normalise: bool, check_keys: bool) -> Relations:
     if normalise and "ar_inquiry" in tables:
         tables["ar_inquiry"] = normalise_text(tables["ar_inquiry"], "gl_type_name")
-    return Relations(tables)
+    relations = Relations(tables)
+    if check_keys:
+        relations.check_unique_keys()
+    return relations

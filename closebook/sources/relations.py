@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator, Mapping
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from closebook.sources.schemas import KNOWN_DATES, SCHEMAS, UNIQUE_KEYS
 
@@ -86,10 +87,33 @@ class Relations:
 
 
 def conform(table: DataFrame, name: str) -> DataFrame:
-    """Cast a user's table to the declared columns of relation `name`."""
-    return table.select(
-        *[F.col(field.name).cast(field.dataType).alias(field.name) for field in SCHEMAS[name]]
-    )
+    """A user's table with the declared columns of relation `name`.
+
+    Identifiers kept as text stay text, and decimals of more places keep them.  An
+    amount of another type that the declared places cannot hold fails the query.
+    """
+    return table.select(*[
+        _conformed(table, field).alias(field.name) for field in SCHEMAS[name]
+    ])
+
+
+def _conformed(table: DataFrame, field: T.StructField) -> Column:
+    value, given, declared = F.col(field.name), table.schema[field.name].dataType, field.dataType
+    if isinstance(declared, T.LongType) and isinstance(given, T.StringType):
+        return value
+    if not isinstance(declared, T.DecimalType):
+        return value.cast(declared)
+    if isinstance(given, T.DecimalType):
+        places = max(given.scale, declared.scale)
+        whole = max(given.precision - given.scale, declared.precision - declared.scale)
+        return value.cast(T.DecimalType(min(38, whole + places), places))
+    if isinstance(given, T.IntegralType):
+        return value.cast(declared)
+    cast = value.cast(declared)
+    exact = value.cast("decimal(38,10)") == cast
+    refusal = F.raise_error(F.concat(
+        F.lit(f"{field.name}: {declared.simpleString()} does not hold "), value.cast("string")))
+    return F.when(value.isNull() | exact, cast).otherwise(refusal.cast(declared))
 
 
 def normalise_text(table: DataFrame, *columns: str) -> DataFrame:

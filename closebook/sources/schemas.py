@@ -68,6 +68,10 @@ UNIQUE_KEYS: dict[str, str] = {
     "employees": "employee_id",
 }
 
+#: Relations that grow with the business; a database read of one must run in parallel.
+FACTS = ("gl_debit_credit", "gl", "contract_activity", "daily_time", "contract_tasks",
+         "budget_items", "ar_inquiry", "retainage")
+
 #: Date that says when a row became known, for relations that carry one.
 KNOWN_DATES: dict[str, str] = {
     "gl_debit_credit": "tran_date",

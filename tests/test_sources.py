@@ -4,11 +4,14 @@ from datetime import date
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from closebook.operators import contracts, external, receivables, report, survey
 from closebook.sources import readers, sql_views
 from closebook.sources.schemas import SCHEMAS
+from closebook.sources.relations import conform
 from closebook.sources.shared import shared_folder
+from closebook.streaming import rollup
 from tests.conftest import at, day, money, values
 
 
@@ -142,3 +145,50 @@ def test_wip_totals_for_several_dates_at_once(make):
         rel, {"_a": day("2001-01-31"), "_b": day("2001-02-28")}).collect()}
     assert rows[1]["total_amount_a"] == 2 and rows[1]["total_amount_b"] == 6
     assert rows[1]["change_orders_b"] == 1 and rows[2]["total_amount_b"] is None
+
+
+def _stored(rel, folder, **columns):
+    """Write relations to files, ids of contracts and accounts as text if asked for."""
+    for name in SCHEMAS:
+        table = rel[name]
+        for column, change in columns.items():
+            if column in table.columns:
+                table = table.withColumn(column, change(F.col(column)))
+        table.write.parquet(f"{folder}/{name}")
+
+
+def test_text_ids_give_the_same_report(spark, small, as_of, tmp_path):
+    def text(column):
+        return F.concat(F.lit("id-"), column.cast("string"))
+    _stored(small, tmp_path, contract_id=text, account_id=text, cost_code_id=text)
+    stored = readers.read_columnar(spark, str(tmp_path))
+    assert dict(stored.accounts.dtypes)["account_id"] == "string"
+    assert values(report.kpi_report(stored, as_of)) == values(report.kpi_report(small, as_of))
+    sums = f"{tmp_path}/sums"
+    for ledger in rollup.LEDGERS:
+        rollup.store_batch(ledger, stored[ledger], 0, sums)
+    kept = rollup.report_from_rollup(spark, sums, stored, as_of)
+    assert values(kept) == values(report.kpi_report(small, as_of))
+    sql_views.register(stored)
+    first = spark.sql(f"SELECT * FROM wip_totals(DATE'{as_of.today}')").first()
+    assert first["contract_id"].startswith("id-")
+
+
+def test_readers_refuse_what_would_change_amounts(spark, make, tmp_path):
+    _stored(make(), tmp_path)
+    codes = spark.createDataFrame([(1, "a"), (1, "b")], SCHEMAS["cost_codes"])
+    codes.write.mode("overwrite").parquet(f"{tmp_path}/cost_codes")
+    with pytest.raises(ValueError, match="cost_codes: repeated"):
+        readers.read_columnar(spark, str(tmp_path))
+    assert "gl" in readers.read_columnar(spark, str(tmp_path), check_keys=False)
+    with pytest.raises(ValueError, match="split_on is missing for gl"):
+        readers.read_jdbc(spark, "jdbc:none", {"gl": "GL", "accounts": "Account"})
+
+    def budget(amount, kind):
+        rows = spark.createDataFrame([(1, amount)], f"contract_id long, amount {kind}")
+        return conform(rows, "budget_items").first()["amount"]
+    assert budget(0.25, "double") == money("0.25") and budget("7", "string") == 7
+    assert budget(None, "double") is None
+    assert budget(money("0.1234"), "decimal(18,4)") == money("0.1234")
+    with pytest.raises(Exception, match="does not hold 0.125"):
+        budget(0.125, "double")
