@@ -94,19 +94,19 @@ def test_snapshot_reads_the_ledger_once_for_any_number_of_dates(spark, name):
     # company sums, sums by contract and the calendar reuse one exchange
     frame = entry.queries()[name](spark, SMALL)
     frame.collect()
-    final = _plan(frame).split("+- == Initial Plan ==")[0]
-    assert final.count("ReusedExchange") >= 1
-    tree = final.split("\n\n")[0]
-    numbers = set(re.findall(r"Scan parquet\s+\((\d+)\)", tree))
-    details = {n: text for n, text in re.findall(r"\n\((\d+)\) Scan parquet(.*?)\n\n", final, re.S)}
-    assert sum("l_discount" in details[n].split("ReadSchema")[1] for n in numbers) == 1
+    plan = _plan(frame)
+    final = plan.split("+- == Initial Plan ==")[0]
+    assert "ReusedExchange" in final
+    details = dict(re.findall(r"^\((\d+)\) Scan parquet.*?ReadSchema: (.*?)$", plan, re.S | re.M))
+    scans = [details[n] for n in re.findall(r"Scan parquet\s+\((\d+)\)", final)]
+    assert sum("l_discount" in columns for columns in scans) == 1
 
 
 def test_wide_report_pushes_its_range(spark):
     plan = _plan(entry.queries()["kpi_wide"](spark, SMALL))
     pushed = re.findall(r"PushedFilters: \[(.*?)\]\n", plan)
-    assert any("LessThan(l_shipdate,2001-08-01" in p for p in pushed)
-    assert any("GreaterThanOrEqual(l_shipdate,2000-02-01" in p for p in pushed)
+    assert any("LessThan(l_shipdate,2001-07-01" in p for p in pushed)
+    assert any("GreaterThanOrEqual(l_shipdate,2000-01-01" in p for p in pushed)
 
 
 @pytest.mark.parametrize("name", ["kpi_report", "monthly_snapshot", "department_performance"])
