@@ -12,6 +12,7 @@ from closebook.llm import (
     quality_classifier,
     quality_rules,
     sanitisation,
+    sql,
     toxicity,
 )
 
@@ -28,4 +29,9 @@ QUERIES = {
     "op10_mixing": mixing.op10,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: the others train, sample, compress or count what their own method finds
+ORACLE_SQL: dict[str, str] = {
+    "op1_decontamination": sql.DECONTAMINATION,
+    "op7_quality_rules": sql.QUALITY_RULES,
+    "op8_jaccard_join": sql.JACCARD_JOIN,
+}
