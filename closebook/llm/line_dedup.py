@@ -24,11 +24,12 @@ gives an empty result; a removed line takes its line end along; other columns pa
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from closebook.llm.storage import stored
+from closebook.llm.storage import WorkingTables, stored
 
 SHINGLE_WORDS = 5
 PERCENT = 80
@@ -114,8 +115,14 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def removed_lines(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT,
-                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`doc`, `line`: the lines to remove; null ids appear as the smallest number."""
+                  id_col: str = "doc_id", text_col: str = "text",
+                  work: WorkingTables | None = None) -> DataFrame:
+    """`doc`, `line`: the lines to remove; null ids appear as the smallest number.
+
+    With `work` the tables on the way are stored there, and the result must be stored before
+    they go.
+    """
+    keep = work.stored if work else stored
     every = lines(docs, id_col, text_col)
     tokened = every.withColumn("tokens", _tokens(words))
     sketch = _sketch(tokened.select("tokens"))
@@ -124,12 +131,12 @@ def removed_lines(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PE
     # one row for each different line: its first place and its prefix
     prefix = F.expr(f"slice(keys, 1, size(keys) - cast(ceil({percent} * size(keys) / 100) as int) "
                     "+ 1)")
-    different = stored(
+    different = keep(
         keyed.select("doc", "line", "copy", F.size("keys").alias("n"), prefix.alias("prefix"))
         .groupBy("copy").agg(F.min(F.struct("doc", "line", "n", "prefix")).alias("s"))
         .select("copy", "s.*"), "lines",
     )
-    near = _near_lines(different, every, words, keys, percent)
+    near = _near_lines(different, every, words, keys, percent, keep)
     first = different.select("copy", F.col("doc").alias("first_doc"),
                              F.col("line").alias("first_line"))
     verdict = first.join(near.withColumn("near", F.lit(True)), "copy", "left")
@@ -138,18 +145,18 @@ def removed_lines(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PE
 
 
 def _near_lines(different: DataFrame, every: DataFrame, words: int, keys: Column,
-                percent: int) -> DataFrame:
+                percent: int, keep: Callable[..., DataFrame]) -> DataFrame:
     """`copy` of the different lines that resemble an earlier one."""
     tokens = different.select("copy", "n", F.posexplode("prefix").alias("p", "key"))
     shared = tokens.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1")
     meeting = tokens.join(shared.select("key"), "key")
     places = different.select("copy", "doc", "line")
-    meeting = stored(
+    meeting = keep(
         meeting.join(places, "copy").select(
             "key", "copy", "n", "p", F.struct("doc", "line").alias("at")), "prefixes")
     # token sets of the lines that meet others, from their words at their first places
-    met = stored(meeting.select("copy", "at.doc", "at.line").distinct(), "met")
-    sets = stored(
+    met = keep(meeting.select("copy", "at.doc", "at.line").distinct(), "met")
+    sets = keep(
         every.where(_sieve(met)).select("copy", "doc", "line", "t")
         .join(met, ["copy", "doc", "line"]).dropDuplicates(["copy"])
         .withColumn("w", F.expr(_WORDS)).withColumn("tokens", _tokens(words))
@@ -159,7 +166,7 @@ def _near_lines(different: DataFrame, every: DataFrame, words: int, keys: Column
                        F.col("p").alias("q"))).alias("e"))
     star = meeting.join(earliest.select("key", "e.other", "e.m", "e.q"), "key").where(
         "copy <> other").where(_filters(percent))
-    found = stored(_verified(star, sets, percent), "near")
+    found = keep(_verified(star, sets, percent), "near")
     # the rest: lines that are still there, with all that stand before them at a shared token
     rest = meeting.join(found, "copy", "left_anti")
     before = meeting.select("key", F.col("copy").alias("other"), F.col("n").alias("m"),
@@ -168,8 +175,13 @@ def _near_lines(different: DataFrame, every: DataFrame, words: int, keys: Column
     return found.unionByName(_verified(pairs, sets, percent))
 
 
-def _by_document(removed: DataFrame) -> DataFrame:
-    return removed.groupBy("doc").agg(F.array_sort(F.collect_set("line")).alias("removed"))
+def _by_document(docs: DataFrame, words: int = SHINGLE_WORDS,
+                 percent: int = PERCENT) -> DataFrame:
+    """`doc`, `removed`: the removed lines of each document that has some, stored."""
+    with WorkingTables(docs.sparkSession) as work:
+        removed = removed_lines(docs, words, percent, work=work)
+        return stored(removed.groupBy("doc").agg(
+            F.array_sort(F.collect_set("line")).alias("removed")), "removed")
 
 
 def deduplicate(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
@@ -177,7 +189,7 @@ def deduplicate(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERC
 
     `text` is replaced; documents without a removed line keep theirs byte for byte.
     """
-    gone = _by_document(removed_lines(docs, words, percent)).select(
+    gone = _by_document(docs, words, percent).select(
         F.col("doc").alias("_doc"), F.col("removed").alias("_removed"))
     kept = F.expr(r"""if(_removed is null, text, array_join(
         filter(split(text, '\n'), (x, i) -> not array_contains(_removed, i)), '\n'))""")
@@ -188,7 +200,7 @@ def deduplicate(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERC
 
 def op9(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    gone = _by_document(removed_lines(docs))
+    gone = _by_document(docs)
     return docs.select("doc_id", F.expr("coalesce(size(split(text, '\n')), 0)").alias("n_lines")) \
         .join(gone, F.expr(f"coalesce(cast(doc_id as bigint), {_NULL_ID})") == F.col("doc"),
               "left").select(

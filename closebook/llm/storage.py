@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from closebook.sources.shared import shared_folder
 
@@ -17,8 +17,34 @@ def stored(frame: DataFrame, purpose: str, rows: int | None = None) -> DataFrame
     This cuts the lineage: what follows reads files that survive a lost executor.  `rows`, an
     upper bound of the number of rows, lets few rows go to few files.
     """
+    return _written(frame, f"{shared_folder(frame.sparkSession, purpose)}/part", rows)
+
+
+def _written(frame: DataFrame, path: str, rows: int | None) -> DataFrame:
     if rows is not None:
         frame = frame.coalesce(max(LEAST_FILES, rows // ROWS_PER_FILE))
-    path = f"{shared_folder(frame.sparkSession, purpose)}/part"
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+class WorkingTables:
+    """Tables that one computation stores and that go when its result is stored.
+
+    They lie in one new folder of their own below the shared folder, which is all that is
+    removed.  What is returned after the end must not depend on them.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self._spark, self._folder, self._tables = spark, shared_folder(spark, "working"), 0
+
+    def stored(self, frame: DataFrame, purpose: str, rows: int | None = None) -> DataFrame:
+        self._tables += 1
+        return _written(frame, f"{self._folder}/{self._tables}-{purpose}", rows)
+
+    def __enter__(self) -> WorkingTables:
+        return self
+
+    def __exit__(self, *failure) -> None:
+        context = self._spark.sparkContext
+        folder = context._jvm.org.apache.hadoop.fs.Path(self._folder)
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
