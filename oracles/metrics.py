@@ -7,7 +7,7 @@ from oracles.views import with_views
 _YTD = "tran_date BETWEEN DATE '{year_start}' AND DATE '{today}'"
 _MONTH = "tran_date BETWEEN DATE '{month_start}' AND DATE '{month_end}'"
 _12M = "tran_date BETWEEN DATE '{start_12m}' AND DATE '{month_end}'"
-_PAYABLE = ("is_liability = 1 AND (account_type IN ('Accounts Payable', 'Credit Card Account') "
+PAYABLE = ("is_liability = 1 AND (account_type IN ('Accounts Payable', 'Credit Card Account') "
             "OR code_name = '20700 Overbillings')")
 #: exact cents / 12 rounded half away from zero
 _TWELFTH = ("sign({cents}) * ((2 * abs({cents}) + 12) // 24) / 100.0")
@@ -152,9 +152,9 @@ METRICS: dict[str, tuple[str, str]] = {
     "days_to_pay_all": ("ARAvgDaysToPaySinceDawnOfTime",
                         "SELECT round(avg(days_diff), 0) FROM lags"),
     "ap_mom_delta": ("AP_MoM_Delta_LastCompletedMonth", f"""
-        SELECT ifnull((SELECT -sum(round(net, 2)) FROM lines WHERE {_PAYABLE}
+        SELECT ifnull((SELECT -sum(round(net, 2)) FROM lines WHERE {PAYABLE}
                          AND tran_date <= DATE '{{month_end}}'), 0)
-             - ifnull((SELECT -sum(round(net, 2)) FROM lines WHERE {_PAYABLE}
+             - ifnull((SELECT -sum(round(net, 2)) FROM lines WHERE {PAYABLE}
                          AND tran_date <= DATE '{{prior_month_end}}'), 0)"""),
     "current_liabilities_eom": ("TotalCurrentLiabilitiesAsOfEOM", """
         SELECT -sum(round(net, 2)) FROM lines

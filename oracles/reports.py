@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from oracles.metrics import METRICS, report_query
+from oracles.metrics import METRICS, PAYABLE, report_query
 from oracles.views import with_views
 
 _MONTHS = """
@@ -28,8 +28,6 @@ _CALENDAR = """
            CAST(date_trunc('month', as_of) - INTERVAL 12 MONTH AS DATE) AS t0
     FROM dates"""
 
-_PAYABLE = ("is_liability = 1 AND (account_type IN ('Accounts Payable', 'Credit Card Account') "
-            "OR code_name = '20700 Overbillings')")
 _YTD, _MONTH = "tran_date >= y0", "tran_date BETWEEN m0 AND m1"
 _IS_INCOME = "account_type = 'Income'"
 
@@ -41,16 +39,16 @@ def _f(condition: str, value: str = "net") -> str:
 _TOTALS = f"""
     SELECT as_of,
            {_f(f'account_type_id = 5 AND pl AND tran_date BETWEEN t0 AND m1')} AS cogs_12m,
-           {_f('is_asset = 1 AND account_type_id IN (0, 1, 3) AND tran_date <= m1')} AS cash,
+           {_f('is_asset = 1 AND account_type_id IN (0, 1, 3) AND tran_date <= m1', 'round(net, 2)')} AS cash,
            {_f(f'account_type_id IN (5, 7, 9, 12) AND pl AND {_MONTH}', '-net')} AS net_income,
-           {_f('is_asset = 1 AND account_type_id = 2 AND tran_date <= m1')} AS ar,
-           {_f('is_asset = 1 AND account_type_id = 2 AND tran_date <= p1')} AS ar_prior,
+           {_f('is_asset = 1 AND account_type_id = 2 AND tran_date <= m1', 'round(net, 2)')} AS ar,
+           {_f('is_asset = 1 AND account_type_id = 2 AND tran_date <= p1', 'round(net, 2)')} AS ar_prior,
            {_f(f'{_IS_INCOME} AND pl AND {_MONTH}', '-net')} AS income,
            {_f(f"account_type IN ('Income', 'Cost of Goods Sold', 'Expense') AND pl AND {_MONTH}", '-net')}
                AS ordinary,
-           {_f(f'{_PAYABLE} AND tran_date <= m1', '-net')} AS ap,
-           {_f(f'{_PAYABLE} AND tran_date <= p1', '-net')} AS ap_prior,
-           {_f('is_liability = 1 AND account_type_id <> 10 AND tran_date <= m1', '-net')} AS liabilities,
+           {_f(f'{PAYABLE} AND tran_date <= m1', '-round(net, 2)')} AS ap,
+           {_f(f'{PAYABLE} AND tran_date <= p1', '-round(net, 2)')} AS ap_prior,
+           {_f('is_liability = 1 AND account_type_id <> 10 AND tran_date <= m1', '-round(net, 2)')} AS liabilities,
            {_f(f'account_type_id = 9 AND pl AND {_YTD}', '-net')} AS revenue,
            {_f(f'account_type_id = 5 AND pl AND {_YTD}')} AS cost,
            {_f(f'{_IS_INCOME} AND pl AND {_YTD}', '-net')} AS income_ytd,
