@@ -1,6 +1,6 @@
 """Line deduplication by an exact set-similarity join.
 
-A line's tokens are its different shingles of `SHINGLE_WORDS` words (lower case; a shorter line
+A line's tokens are its different shingles of `SHINGLE_WORDS` words (lower case, by code point; a shorter line
 has one token, all its words), as 64-bit hashes.  Tokens are ordered by rarity: a sketch counts
 the tokens of the whole corpus in `SKETCH` counters, and the rare ones come first.
 Any order gives the same result; this one keeps common passages out of the prefixes.
@@ -14,7 +14,10 @@ Copies of a line are counted as one before anything is compared.  Of the lines t
 each is first compared with the earliest; only lines that this does not remove are
 compared with the others before them, so near copies of one line do not meet in pairs.
 
-Only built-in functions are used on rows.  The sketch is the one thing the driver holds.
+Lines, tokens, sketch and prefixes come from numpy on batches of texts, since built-in functions
+evaluate an expression for each word of an array and need several times the time for it; all
+counting, joining and verifying is Spark's.  The driver holds the sketch and the sieve, both of
+fixed size.
 
 Edge cases: null and empty texts have no lines; lines without a word are never removed; equal rows
 and rows that repeat an id count as one document; a null id sorts first; an empty table
@@ -24,72 +27,156 @@ gives an empty result; a removed line takes its line end along; other columns pa
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from closebook.llm import words
 from closebook.llm.storage import WorkingTables, stored
 
 SHINGLE_WORDS = 5
 PERCENT = 80
-#: counters of the sketch: one byte each in the plan
+#: counters of the sketch, and bits of the sieve
 SKETCH = 1 << 16
-#: bytes of the sieve, `SIEVE_BITS` places each
-SIEVE, SIEVE_BITS = 1 << 18, 6
-_WORDS = r"array_remove(split(lower(t), '[\\x20\\x09-\\x0D]+'), '')"
-_NULL_ID = "-9223372036854775808L"
-
-
-def lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`doc`, `line`, `t`, `w`, `copy`: lines with a word, their words and a hash of these."""
-    rows = docs.select(F.expr(f"coalesce(cast({id_col} as bigint), {_NULL_ID})").alias("doc"),
-                       # an inner explode would have the optimizer repeat what it explodes in a filter
-                       F.posexplode_outer(F.split(text_col, "\n")).alias("line", "t"))
-    return rows.where(r"t rlike '[^\\x20\\x09-\\x0D]'").select("doc", "line", "t", F.expr(_WORDS).alias("w")).withColumn("copy", F.xxhash64("w"))
-
-
-def _tokens(words: int) -> Column:
-    """Hashes of the shingles of `w`, in order and with repetitions."""
-    places = ", ".join(f"get(w, i + {k})" for k in range(words))
-    return F.expr(f"""if(size(w) < {words}, array(xxhash64(w)),
-        transform(sequence(0, size(w) - {words}), i -> xxhash64({places})))""")
-
-
-def _sketch(rows: DataFrame) -> bytes:
-    """For each counter a byte that grows with the logarithm of its count."""
-    counts = rows.select(F.explode_outer("tokens").alias("h")).groupBy(
-        F.pmod("h", F.lit(SKETCH)).cast("int").alias("k")).count()
-    out = bytearray(b"\x01" * SKETCH)
-    for row in counts.collect():  # at most SKETCH rows
-        out[row["k"]] = 1 + min(125, int(2 * math.log2(row["count"] + 1)))
-    return bytes(out)
-
-
-def _ordered(sketch: bytes) -> Column:
-    """The different tokens of a line as numbers whose order is: rare first, then any.
-
-    The rank from the sketch is put before 56 bits of the hash.
-    """
-    table = f"X'{sketch.hex()}'"
-    return F.expr(f"""sort_array(array_distinct(transform(tokens, h ->
-        shiftleft(cast(ascii(cast(substring({table}, cast(pmod(h, {SKETCH}) as int) + 1, 1)
-                                  as string)) as bigint), 56)
-        | (h & 72057594037927935L))))""")
-
-
-def _sieve(copies: DataFrame) -> Column:
-    """A condition on `copy` that holds for all given copies and for few others.
+SIEVE = 1 << 21
+_NULL_ID = -(1 << 63)
+
+LINE_SCHEMA = "doc bigint, line int, copy bigint, counter int, times bigint"
+PREFIX_SCHEMA = "doc bigint, line int, copy bigint, n int, prefix array<bigint>"
+SET_SCHEMA = "doc bigint, line int, copy bigint, keys array<bigint>"
+
+
+class _Lines:
+    """The lines with a word of some texts: `doc`, `line`, `copy` (a hash of the words)."""
+
+    def __init__(self, ids: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> None:
+        bounds, row, number = words.line_bounds(data, offsets)
+        self.hashes, firsts = words.hash_words(data, bounds, words.BLANK_SEPARATED)
+        some = np.diff(firsts) > 0
+        self.doc, self.line = ids[row[some]], number[some].astype(np.int32)
+        self.firsts = np.append(firsts[:-1][some], firsts[-1])
+        self.copy = words.row_hashes(self.hashes, self.firsts).view(np.int64)
+
+    def columns(self, keep: slice | np.ndarray = slice(None)) -> dict[str, pa.Array]:
+        return {name: pa.array(getattr(self, name)[keep]) for name in ("doc", "line", "copy")}
+
+    def keys(self, size: int, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The different tokens of each line in their order, and where each line's begin.
+
+        The rank from the sketch is put before 56 bits of the hash: rare first, then any.
+        """
+        tokens, at = words.shingles(self.hashes, self.firsts, size)
+        keys = (ranks[tokens % np.uint64(SKETCH)] << np.uint64(56)
+                | tokens & np.uint64((1 << 56) - 1)).view(np.int64)
+        line = np.repeat(np.arange(len(self.doc)), np.diff(at))
+        if len(self.doc) <= 1 << 16:
+            line = line.astype(np.uint16)  # sorts by digits
+        order = np.argsort(keys)
+        order = order[np.argsort(line[order], kind="stable")]
+        keys, line = keys[order], line[order]
+        new = np.ones(len(keys), bool)
+        new[1:] = (keys[1:] != keys[:-1]) | (line[1:] != line[:-1])
+        counts = np.bincount(line[new], minlength=len(self.doc))
+        return keys[new], np.concatenate([np.zeros(1, np.int64), np.cumsum(counts)])
+
+
+def _lines(batch: pa.RecordBatch) -> Iterator[_Lines]:
+    """The lines of a batch (doc, text), in runs of bounded size."""
+    ids = batch.column(0).fill_null(_NULL_ID).to_numpy(zero_copy_only=False)
+    data, offsets = words.text_bytes(pc.utf8_lower(batch.column(1).cast(pa.large_string())))
+    for first, last in words.runs(offsets):
+        yield _Lines(ids[first:last], data[offsets[first]:offsets[last]],
+                     offsets[first:last + 1] - offsets[first])
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).alias("text"))
+
+
+def _places(texts: DataFrame, size: int) -> DataFrame:
+    """`doc`, `line`, `copy` of each line, and from each task its part of the sketch."""
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(SKETCH, np.int64)
+        for batch in batches:
+            for part in _lines(batch):
+                tokens, _ = words.shingles(part.hashes, part.firsts, size)
+                counts += np.bincount((tokens % np.uint64(SKETCH)).astype(np.int64),
+                                      minlength=SKETCH)
+                gaps = {"counter": pa.nulls(len(part.doc), pa.int32()),
+                        "times": pa.nulls(len(part.doc), pa.int64())}
+                yield pa.RecordBatch.from_pydict({**part.columns(), **gaps})
+        some = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_pydict({
+            "doc": pa.nulls(len(some), pa.int64()), "line": pa.nulls(len(some), pa.int32()),
+            "copy": pa.nulls(len(some), pa.int64()), "counter": pa.array(some.astype(np.int32)),
+            "times": pa.array(counts[some])})
+    return texts.mapInArrow(places, LINE_SCHEMA)
+
+
+def _sketch(places: DataFrame) -> np.ndarray:
+    """For each counter a rank that grows with the logarithm of its count."""
+    counts = places.where("counter is not null").groupBy("counter").agg(
+        F.sum("times").alias("times")).collect()  # at most SKETCH rows
+    ranks = np.ones(SKETCH, np.uint64)
+    for row in counts:
+        ranks[row["counter"]] = 1 + min(125, int(2 * math.log2(row["times"] + 1)))
+    return ranks
+
+
+def _prefixes(texts: DataFrame, size: int, percent: int, ranks: np.ndarray) -> DataFrame:
+    """For each line the number of its tokens and the first of them, as many as must be met."""
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _lines(batch):
+                keys, at = part.keys(size, ranks)
+                n = np.diff(at)
+                length = n + percent * n // -100 + 1
+                place = np.arange(len(keys)) - np.repeat(at[:-1], n)
+                ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(length)])
+                yield pa.RecordBatch.from_pydict({
+                    **part.columns(), "n": pa.array(n.astype(np.int32)),
+                    "prefix": pa.ListArray.from_arrays(
+                        pa.array(ends, pa.int32()),
+                        pa.array(keys[place < np.repeat(length, n)]))})
+    return texts.mapInArrow(prefixes, PREFIX_SCHEMA)
+
+
+def _sets(texts: DataFrame, size: int, ranks: np.ndarray, sieve: np.ndarray) -> DataFrame:
+    """The token sets of the lines that the sieve lets through."""
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _lines(batch):
+                place = part.copy % SIEVE
+                wanted = np.flatnonzero(sieve[place >> 3] >> (place & 7).astype(np.uint8) & 1)
+                if not len(wanted):
+                    continue
+                keys, at = part.keys(size, ranks)
+                n = np.diff(at)
+                chosen = np.zeros(len(n), bool)
+                chosen[wanted] = True
+                ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(n[wanted])])
+                yield pa.RecordBatch.from_pydict({
+                    **part.columns(wanted), "keys": pa.ListArray.from_arrays(
+                        pa.array(ends, pa.int32()), pa.array(keys[np.repeat(chosen, n)]))})
+    return texts.mapInArrow(sets, SET_SCHEMA)
+
+
+def _sieve(copies: DataFrame) -> np.ndarray:
+    """Bits that are set for all given copies and for few others.
 
     It only spares work: what it lets through is joined.  A full sieve lets everything through.
     """
-    places = copies.select(F.pmod("copy", F.lit(SIEVE * SIEVE_BITS)).alias("k")).distinct()
-    table = bytearray(SIEVE)
-    for row in places.collect():  # at most SIEVE * SIEVE_BITS rows
-        table[row["k"] // SIEVE_BITS] |= 1 << row["k"] % SIEVE_BITS
-    at = f"pmod(copy, {SIEVE * SIEVE_BITS})"
-    return F.expr(f"""ascii(cast(substring(X'{table.hex()}', cast({at} div {SIEVE_BITS} as int)
-        + 1, 1) as string)) & shiftleft(1, cast({at} % {SIEVE_BITS} as int)) <> 0""")
+    rows = copies.select(F.pmod("copy", F.lit(SIEVE)).alias("k")).groupBy(
+        F.expr("cast(k div 8 as int)").alias("byte")).agg(
+        F.bit_or(F.expr("shiftleft(1, cast(k % 8 as int))")).alias("bits")).collect()
+    table = np.zeros(SIEVE // 8, np.uint8)
+    for row in rows:  # at most SIEVE / 8
+        table[row["byte"]] = row["bits"]
+    return table
 
 
 def _need(percent: int) -> str:
@@ -123,28 +210,25 @@ def removed_lines(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PE
     they go.
     """
     keep = work.stored if work else stored
-    every = lines(docs, id_col, text_col)
-    tokened = every.withColumn("tokens", _tokens(words))
-    sketch = _sketch(tokened.select("tokens"))
-    keys = _ordered(sketch)
-    keyed = tokened.select("doc", "line", "copy", "tokens").withColumn("keys", keys)
+    texts = _texts(docs, id_col, text_col)
+    places = keep(_places(texts, words), "places")
+    ranks = _sketch(places)
     # one row for each different line: its first place and its prefix
-    prefix = F.expr(f"slice(keys, 1, size(keys) - cast(ceil({percent} * size(keys) / 100) as int) "
-                    "+ 1)")
     different = keep(
-        keyed.select("doc", "line", "copy", F.size("keys").alias("n"), prefix.alias("prefix"))
+        _prefixes(texts, words, percent, ranks)
         .groupBy("copy").agg(F.min(F.struct("doc", "line", "n", "prefix")).alias("s"))
         .select("copy", "s.*"), "lines",
     )
-    near = _near_lines(different, every, words, keys, percent, keep)
+    near = _near_lines(different, texts, words, ranks, percent, keep)
     first = different.select("copy", F.col("doc").alias("first_doc"),
                              F.col("line").alias("first_line"))
     verdict = first.join(near.withColumn("near", F.lit(True)), "copy", "left")
-    return every.select("doc", "line", "copy").distinct().join(verdict, "copy").where(
+    every = places.where("copy is not null").select("doc", "line", "copy").distinct()
+    return every.join(verdict, "copy").where(
         "near or doc <> first_doc or line <> first_line").select("doc", "line")
 
 
-def _near_lines(different: DataFrame, every: DataFrame, words: int, keys: Column,
+def _near_lines(different: DataFrame, texts: DataFrame, words: int, ranks: np.ndarray,
                 percent: int, keep: Callable[..., DataFrame]) -> DataFrame:
     """`copy` of the different lines that resemble an earlier one."""
     tokens = different.select("copy", "n", F.posexplode("prefix").alias("p", "key"))
@@ -157,10 +241,8 @@ def _near_lines(different: DataFrame, every: DataFrame, words: int, keys: Column
     # token sets of the lines that meet others, from their words at their first places
     met = keep(meeting.select("copy", "at.doc", "at.line").distinct(), "met")
     sets = keep(
-        every.where(_sieve(met)).select("copy", "doc", "line", "t")
-        .join(met, ["copy", "doc", "line"]).dropDuplicates(["copy"])
-        .withColumn("w", F.expr(_WORDS)).withColumn("tokens", _tokens(words))
-        .select("copy", keys.alias("keys")), "sets")
+        _sets(texts, words, ranks, _sieve(met)).join(met, ["copy", "doc", "line"], "left_semi")
+        .dropDuplicates(["copy"]).select("copy", "keys"), "sets")
     earliest = meeting.groupBy("key").agg(
         F.min(F.struct("at", F.col("copy").alias("other"), F.col("n").alias("m"),
                        F.col("p").alias("q"))).alias("e"))
@@ -193,7 +275,7 @@ def deduplicate(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERC
         F.col("doc").alias("_doc"), F.col("removed").alias("_removed"))
     kept = F.expr(r"""if(_removed is null, text, array_join(
         filter(split(text, '\n'), (x, i) -> not array_contains(_removed, i)), '\n'))""")
-    out = docs.join(gone, F.expr(f"coalesce(cast(doc_id as bigint), {_NULL_ID})")
+    out = docs.join(gone, F.expr(f"coalesce(cast(doc_id as bigint), {_NULL_ID}L)")
                     == F.col("_doc"), "left")
     return out.select(*[kept.alias("text") if c == "text" else docs[c] for c in docs.columns])
 
@@ -202,7 +284,7 @@ def op9(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     gone = _by_document(docs)
     return docs.select("doc_id", F.expr("coalesce(size(split(text, '\n')), 0)").alias("n_lines")) \
-        .join(gone, F.expr(f"coalesce(cast(doc_id as bigint), {_NULL_ID})") == F.col("doc"),
+        .join(gone, F.expr(f"coalesce(cast(doc_id as bigint), {_NULL_ID}L)") == F.col("doc"),
               "left").select(
             "doc_id", "n_lines", F.coalesce(F.size("removed"), F.lit(0)).alias("n_removed"),
             F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))

@@ -147,3 +147,28 @@ def shingles(hashes: np.ndarray, firsts: np.ndarray,
         sums = (own * _ROUNDS[:len(own)]).sum(dtype=np.uint64)
         out[first[row]] = mix(np.array([sums], np.uint64) ^ np.uint64(len(own)))[0]
     return out, first
+
+
+def row_hashes(hashes: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+    """A hash for each row of its whole sequence of words."""
+    size = RUN_BYTES
+    while size < len(hashes):
+        size *= 2
+    up, down = _powers(size)
+    sums = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(hashes * up[:len(hashes)], out=sums[1:])
+    begin, end = firsts[:-1], firsts[1:]
+    own = (sums[end] - sums[begin]) * down[np.minimum(begin, size - 1)]
+    return mix(own + _ROUNDS[0] * (end - begin).astype(np.uint64))
+
+
+def line_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Offsets of the lines of all rows, and for each line its row and its number in the row."""
+    after = np.flatnonzero(data == ord("\n")) + 1
+    starts = np.concatenate([after, offsets[:-1]])
+    # the empty line behind a last line end stands before the row that begins there
+    order = np.argsort(starts, kind="stable")
+    opens = order >= len(after)
+    row = np.cumsum(opens) - 1
+    number = np.arange(len(order)) - np.flatnonzero(opens)[row]
+    return np.append(starts[order], offsets[-1]), row, number
