@@ -7,7 +7,8 @@ Any order gives the same result; this one keeps common passages out of the prefi
 
 Two lines with Jaccard similarity t share a token among the first n - ceil(t n) + 1 of
 each.  Candidates are lines that share such a token and pass the length filter and the positional
-filter (what can still be common from that token on); they are verified on their token sets.
+filter (what can still be common from that token on); they are verified on their token sets,
+which are made again from the texts.
 A line is removed if an earlier line, by document id and line number, is that similar.
 
 Copies of a line are counted as one before anything is compared.  Of the lines that share a token
@@ -42,12 +43,12 @@ SHINGLE_WORDS = 5
 PERCENT = 80
 #: counters of the sketch, and bits of the sieve
 SKETCH = 1 << 16
-SIEVE = 1 << 21
+SIEVE = 1 << 23
 _NULL_ID = -(1 << 63)
 
 LINE_SCHEMA = "doc bigint, line int, copy bigint, counter int, times bigint"
 PREFIX_SCHEMA = "doc bigint, line int, copy bigint, n int, prefix array<bigint>"
-SET_SCHEMA = "doc bigint, line int, copy bigint, keys array<bigint>"
+TEXT_SCHEMA = "doc bigint, line int, copy bigint, t string"
 
 
 class _Lines:
@@ -58,12 +59,18 @@ class _Lines:
         self.hashes, firsts = words.hash_words(data, bounds, words.BLANK_SEPARATED)
         some = np.diff(firsts) > 0
         self.doc, self.line = ids[row[some]], number[some].astype(np.int32)
+        self._data, self._bounds, self._some = data, bounds, np.flatnonzero(some)
         self.firsts = np.append(firsts[:-1][some], firsts[-1])
         self.copy = words.row_hashes(self.hashes, self.firsts).view(np.int64)
 
     def columns(self, keep: slice | np.ndarray = slice(None)) -> dict[str, pa.Array]:
         return {name: pa.array(getattr(self, name)[keep]) for name in ("doc", "line", "copy")}
 
+    def texts(self, chosen: np.ndarray) -> pa.Array:
+        every = pa.LargeStringArray.from_buffers(
+            len(self._bounds) - 1, pa.py_buffer(self._bounds), pa.py_buffer(self._data))
+        return every.take(pa.array(self._some[chosen])).cast(pa.string())
+
     def keys(self, size: int, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The different tokens of each line in their order, and where each line's begin.
 
@@ -72,16 +79,27 @@ class _Lines:
         tokens, at = words.shingles(self.hashes, self.firsts, size)
         keys = (ranks[tokens % np.uint64(SKETCH)] << np.uint64(56)
                 | tokens & np.uint64((1 << 56) - 1)).view(np.int64)
-        line = np.repeat(np.arange(len(self.doc)), np.diff(at))
-        if len(self.doc) <= 1 << 16:
-            line = line.astype(np.uint16)  # sorts by digits
-        order = np.argsort(keys)
-        order = order[np.argsort(line[order], kind="stable")]
-        keys, line = keys[order], line[order]
-        new = np.ones(len(keys), bool)
-        new[1:] = (keys[1:] != keys[:-1]) | (line[1:] != line[:-1])
-        counts = np.bincount(line[new], minlength=len(self.doc))
-        return keys[new], np.concatenate([np.zeros(1, np.int64), np.cumsum(counts)])
+        return _different(keys, at)
+
+
+def _by_row(values: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
+    """An order of values by row, then value."""
+    if rows <= 1 << 16:
+        row = row.astype(np.uint16)  # sorts by digits
+    order = np.argsort(values)
+    return order[np.argsort(row[order], kind="stable")]
+
+
+def _different(values: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted different values of each row, and where each row's begin."""
+    rows = len(at) - 1
+    row = np.repeat(np.arange(rows), np.diff(at))
+    order = _by_row(values, row, rows)
+    values, row = values[order], row[order]
+    new = np.ones(len(values), bool)
+    new[1:] = (values[1:] != values[:-1]) | (row[1:] != row[:-1])
+    counts = np.bincount(row[new], minlength=rows)
+    return values[new], np.concatenate([np.zeros(1, np.int64), np.cumsum(counts)])
 
 
 def _lines(batch: pa.RecordBatch) -> Iterator[_Lines]:
@@ -145,40 +163,35 @@ def _prefixes(texts: DataFrame, size: int, percent: int, ranks: np.ndarray) -> D
     return texts.mapInArrow(prefixes, PREFIX_SCHEMA)
 
 
-def _sets(texts: DataFrame, size: int, ranks: np.ndarray, sieve: np.ndarray) -> DataFrame:
-    """The token sets of the lines that the sieve lets through."""
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in _lines(batch):
-                place = part.copy % SIEVE
-                wanted = np.flatnonzero(sieve[place >> 3] >> (place & 7).astype(np.uint8) & 1)
-                if not len(wanted):
-                    continue
-                keys, at = part.keys(size, ranks)
-                n = np.diff(at)
-                chosen = np.zeros(len(n), bool)
-                chosen[wanted] = True
-                ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(n[wanted])])
-                yield pa.RecordBatch.from_pydict({
-                    **part.columns(wanted), "keys": pa.ListArray.from_arrays(
-                        pa.array(ends, pa.int32()), pa.array(keys[np.repeat(chosen, n)]))})
-    return texts.mapInArrow(sets, SET_SCHEMA)
+#: a number for a line, which the sieve is asked for
+_PLACE = f"pmod(copy ^ doc ^ line, {SIEVE})"
 
 
-def _sieve(copies: DataFrame) -> np.ndarray:
-    """Bits that are set for all given copies and for few others.
+def _sieve(places: DataFrame) -> np.ndarray:
+    """Bits that are set for all given lines and for few others.
 
     It only spares work: what it lets through is joined.  A full sieve lets everything through.
     """
-    rows = copies.select(F.pmod("copy", F.lit(SIEVE)).alias("k")).groupBy(
+    rows = places.selectExpr(f"{_PLACE} AS k").groupBy(
         F.expr("cast(k div 8 as int)").alias("byte")).agg(
-        F.bit_or(F.expr("shiftleft(1, cast(k % 8 as int))")).alias("bits")).collect()
+        F.bit_or(F.expr("shiftleft(1, cast(k % 8 as int))")).alias("bits")).toArrow()
     table = np.zeros(SIEVE // 8, np.uint8)
-    for row in rows:  # at most SIEVE / 8
-        table[row["byte"]] = row["bits"]
+    table[rows["byte"].to_numpy()] = rows["bits"].to_numpy()  # at most SIEVE / 8 rows
     return table
 
 
+def _line_texts(texts: DataFrame, sieve: np.ndarray) -> DataFrame:
+    """The lower-case texts of the lines that the sieve lets through."""
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _lines(batch):
+                place = (part.copy ^ part.doc ^ part.line) % SIEVE
+                chosen = np.flatnonzero(sieve[place >> 3] >> (place & 7).astype(np.uint8) & 1)
+                yield pa.RecordBatch.from_pydict(
+                    {**part.columns(chosen), "t": part.texts(chosen)})
+    return texts.mapInArrow(found, TEXT_SCHEMA)
+
+
 def _need(percent: int) -> str:
     """Common tokens that sets of n and m tokens need."""
     return f"ceil({percent} * (n + m) / {100 + percent})"
@@ -190,18 +203,43 @@ def _filters(percent: int) -> str:
             f"and 1 + least(n - p - 1, m - q - 1) >= {_need(percent)}")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """`copy` of the lines that are similar to their partner `other`."""
-    one = sets.select("copy", F.col("keys").alias("x"))
-    two = sets.select(F.col("copy").alias("other"), F.col("keys").alias("y"))
+def _similar(pairs: DataFrame, size: int, percent: int) -> DataFrame:
+    """`copy` of the pairs of lines (copy, x, y) whose sets are similar."""
+    def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, two = (words.text_bytes(batch.column(k)) for k in (1, 2))
+            for first, last in words.runs(one[1] + two[1]):
+                sets = []
+                for data, offsets in (one, two):
+                    hashes, firsts = words.hash_words(
+                        data[offsets[first]:offsets[last]],
+                        offsets[first:last + 1] - offsets[first], words.BLANK_SEPARATED)
+                    sets.append(_different(*words.shingles(hashes, firsts, size)))
+                n, m = (np.diff(at) for _, at in sets)
+                row = np.concatenate([np.repeat(np.arange(len(k)), k) for k in (n, m)])
+                tokens = np.concatenate([tokens for tokens, _ in sets])
+                order = _by_row(tokens, row, len(n))
+                tokens, row = tokens[order], row[order]
+                twice = (tokens[1:] == tokens[:-1]) & (row[1:] == row[:-1])
+                common = np.bincount(row[1:][twice], minlength=len(n))
+                alike = np.flatnonzero(100 * common >= percent * (n + m - common))
+                yield pa.RecordBatch.from_pydict(
+                    {"copy": batch.column(0).take(pa.array(first + alike))})
+    return pairs.select("copy", "x", "y").mapInArrow(similar, "copy bigint")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """`copy` of the lines that are similar to their partner `other`.
+
+    Lines travel as texts, which compress; their tokens would be three times as large.
+    """
+    one = texts.select("copy", F.col("t").alias("x"))
+    two = texts.select(F.col("copy").alias("other"), F.col("t").alias("y"))
     both = pairs.select("copy", "other").distinct().join(one, "copy").join(two, "other")
-    common = F.expr("size(array_intersect(x, y))")
-    return both.where(
-        100 * common >= percent * (F.size("x") + F.size("y") - common)
-    ).select("copy").distinct()
+    return _similar(both, size, percent).distinct()
 
 
-def removed_lines(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT,
+def removed_lines(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT,
                   id_col: str = "doc_id", text_col: str = "text",
                   work: WorkingTables | None = None) -> DataFrame:
     """`doc`, `line`: the lines to remove; null ids appear as the smallest number.
@@ -211,15 +249,15 @@ def removed_lines(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PE
     """
     keep = work.stored if work else stored
     texts = _texts(docs, id_col, text_col)
-    places = keep(_places(texts, words), "places")
+    places = keep(_places(texts, size), "places")
     ranks = _sketch(places)
     # one row for each different line: its first place and its prefix
     different = keep(
-        _prefixes(texts, words, percent, ranks)
+        _prefixes(texts, size, percent, ranks)
         .groupBy("copy").agg(F.min(F.struct("doc", "line", "n", "prefix")).alias("s"))
         .select("copy", "s.*"), "lines",
     )
-    near = _near_lines(different, texts, words, ranks, percent, keep)
+    near = _near_lines(different, texts, size, percent, keep)
     first = different.select("copy", F.col("doc").alias("first_doc"),
                              F.col("line").alias("first_line"))
     verdict = first.join(near.withColumn("near", F.lit(True)), "copy", "left")
@@ -228,8 +266,8 @@ def removed_lines(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PE
         "near or doc <> first_doc or line <> first_line").select("doc", "line")
 
 
-def _near_lines(different: DataFrame, texts: DataFrame, words: int, ranks: np.ndarray,
-                percent: int, keep: Callable[..., DataFrame]) -> DataFrame:
+def _near_lines(different: DataFrame, texts: DataFrame, size: int, percent: int,
+                keep: Callable[..., DataFrame]) -> DataFrame:
     """`copy` of the different lines that resemble an earlier one."""
     tokens = different.select("copy", "n", F.posexplode("prefix").alias("p", "key"))
     shared = tokens.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1")
@@ -238,40 +276,40 @@ def _near_lines(different: DataFrame, texts: DataFrame, words: int, ranks: np.nd
     meeting = keep(
         meeting.join(places, "copy").select(
             "key", "copy", "n", "p", F.struct("doc", "line").alias("at")), "prefixes")
-    # token sets of the lines that meet others, from their words at their first places
+    # texts of the lines that meet others, at their first places
     met = keep(meeting.select("copy", "at.doc", "at.line").distinct(), "met")
-    sets = keep(
-        _sets(texts, words, ranks, _sieve(met)).join(met, ["copy", "doc", "line"], "left_semi")
-        .dropDuplicates(["copy"]).select("copy", "keys"), "sets")
+    own = keep(
+        _line_texts(texts, _sieve(met)).groupBy("copy", "doc", "line").agg(F.min("t").alias("t"))
+        .join(met, ["copy", "doc", "line"], "left_semi").select("copy", "t"), "texts")
     earliest = meeting.groupBy("key").agg(
         F.min(F.struct("at", F.col("copy").alias("other"), F.col("n").alias("m"),
                        F.col("p").alias("q"))).alias("e"))
     star = meeting.join(earliest.select("key", "e.other", "e.m", "e.q"), "key").where(
         "copy <> other").where(_filters(percent))
-    found = keep(_verified(star, sets, percent), "near")
+    found = keep(_verified(star, own, size, percent), "near")
     # the rest: lines that are still there, with all that stand before them at a shared token
     rest = meeting.join(found, "copy", "left_anti")
     before = meeting.select("key", F.col("copy").alias("other"), F.col("n").alias("m"),
                             F.col("p").alias("q"), F.col("at").alias("before"))
     pairs = rest.join(before, "key").where("before < at").where(_filters(percent))
-    return found.unionByName(_verified(pairs, sets, percent))
+    return found.unionByName(_verified(pairs, own, size, percent))
 
 
-def _by_document(docs: DataFrame, words: int = SHINGLE_WORDS,
+def _by_document(docs: DataFrame, size: int = SHINGLE_WORDS,
                  percent: int = PERCENT) -> DataFrame:
     """`doc`, `removed`: the removed lines of each document that has some, stored."""
     with WorkingTables(docs.sparkSession) as work:
-        removed = removed_lines(docs, words, percent, work=work)
+        removed = removed_lines(docs, size, percent, work=work)
         return stored(removed.groupBy("doc").agg(
             F.array_sort(F.collect_set("line")).alias("removed")), "removed")
 
 
-def deduplicate(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
+def deduplicate(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """The documents without the removed lines; other columns as they are.
 
     `text` is replaced; documents without a removed line keep theirs byte for byte.
     """
-    gone = _by_document(docs, words, percent).select(
+    gone = _by_document(docs, size, percent).select(
         F.col("doc").alias("_doc"), F.col("removed").alias("_removed"))
     kept = F.expr(r"""if(_removed is null, text, array_join(
         filter(split(text, '\n'), (x, i) -> not array_contains(_removed, i)), '\n'))""")
