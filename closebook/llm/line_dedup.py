@@ -6,8 +6,8 @@ the tokens of the whole corpus in `SKETCH` counters, and the rare ones come firs
 Any order gives the same result; this one keeps common passages out of the prefixes.
 
 Two lines with Jaccard similarity t share a token among the first n - ceil(t n) + 1 of
-each.  Candidates are lines that share such a token and pass the length filter and the positional
-filter (what can still be common from that token on); they are verified on their token sets,
+each.  Candidates are lines that share such a token and pass the length filter, the positional
+filter (what can still be common from that token on) and a filter on 128-bit maps of all tokens; they are verified on their token sets,
 which are made again from the texts.
 A line is removed if an earlier line, by document id and line number, is that similar.
 
@@ -43,11 +43,12 @@ SHINGLE_WORDS = 5
 PERCENT = 80
 #: counters of the sketch, and bits of the sieve
 SKETCH = 1 << 16
-SIEVE = 1 << 23
+SIEVE = (1 << 23) - 15
 _NULL_ID = -(1 << 63)
 
 LINE_SCHEMA = "doc bigint, line int, copy bigint, counter int, times bigint"
-PREFIX_SCHEMA = "doc bigint, line int, copy bigint, n int, prefix array<bigint>"
+PREFIX_SCHEMA = ("doc bigint, line int, copy bigint, n int, low bigint, high bigint, "
+                 "prefix array<bigint>")
 TEXT_SCHEMA = "doc bigint, line int, copy bigint, t string"
 
 
@@ -59,17 +60,11 @@ class _Lines:
         self.hashes, firsts = words.hash_words(data, bounds, words.BLANK_SEPARATED)
         some = np.diff(firsts) > 0
         self.doc, self.line = ids[row[some]], number[some].astype(np.int32)
-        self._data, self._bounds, self._some = data, bounds, np.flatnonzero(some)
         self.firsts = np.append(firsts[:-1][some], firsts[-1])
         self.copy = words.row_hashes(self.hashes, self.firsts).view(np.int64)
 
-    def columns(self, keep: slice | np.ndarray = slice(None)) -> dict[str, pa.Array]:
-        return {name: pa.array(getattr(self, name)[keep]) for name in ("doc", "line", "copy")}
-
-    def texts(self, chosen: np.ndarray) -> pa.Array:
-        every = pa.LargeStringArray.from_buffers(
-            len(self._bounds) - 1, pa.py_buffer(self._bounds), pa.py_buffer(self._data))
-        return every.take(pa.array(self._some[chosen])).cast(pa.string())
+    def columns(self) -> dict[str, pa.Array]:
+        return {name: pa.array(getattr(self, name)) for name in ("doc", "line", "copy")}
 
     def keys(self, size: int, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The different tokens of each line in their order, and where each line's begin.
@@ -102,13 +97,18 @@ def _different(values: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return values[new], np.concatenate([np.zeros(1, np.int64), np.cumsum(counts)])
 
 
-def _lines(batch: pa.RecordBatch) -> Iterator[_Lines]:
-    """The lines of a batch (doc, text), in runs of bounded size."""
+def _runs(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Ids, lower-case bytes and offsets of a batch (doc, text), in runs of bounded size."""
     ids = batch.column(0).fill_null(_NULL_ID).to_numpy(zero_copy_only=False)
     data, offsets = words.text_bytes(pc.utf8_lower(batch.column(1).cast(pa.large_string())))
     for first, last in words.runs(offsets):
-        yield _Lines(ids[first:last], data[offsets[first]:offsets[last]],
-                     offsets[first:last + 1] - offsets[first])
+        yield (ids[first:last], data[offsets[first]:offsets[last]],
+               offsets[first:last + 1] - offsets[first])
+
+
+def _lines(batch: pa.RecordBatch) -> Iterator[_Lines]:
+    for run in _runs(batch):
+        yield _Lines(*run)
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -145,6 +145,16 @@ def _sketch(places: DataFrame) -> np.ndarray:
     return ranks
 
 
+def _bitmaps(keys: np.ndarray, at: np.ndarray) -> dict[str, pa.Array]:
+    """128 bits for each line, set by its tokens."""
+    if not len(keys):
+        return {name: pa.array([], pa.int64()) for name in ("low", "high")}
+    bits = np.int64(1) << (keys & 63)
+    upper = (keys & 64) > 0
+    return {name: pa.array(np.bitwise_or.reduceat(np.where(there, bits, 0), at[:-1]))
+            for name, there in (("low", ~upper), ("high", upper))}
+
+
 def _prefixes(texts: DataFrame, size: int, percent: int, ranks: np.ndarray) -> DataFrame:
     """For each line the number of its tokens and the first of them, as many as must be met."""
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,6 +167,7 @@ def _prefixes(texts: DataFrame, size: int, percent: int, ranks: np.ndarray) -> D
                 ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(length)])
                 yield pa.RecordBatch.from_pydict({
                     **part.columns(), "n": pa.array(n.astype(np.int32)),
+                    **_bitmaps(keys, at),
                     "prefix": pa.ListArray.from_arrays(
                         pa.array(ends, pa.int32()),
                         pa.array(keys[place < np.repeat(length, n)]))})
@@ -164,7 +175,11 @@ def _prefixes(texts: DataFrame, size: int, percent: int, ranks: np.ndarray) -> D
 
 
 #: a number for a line, which the sieve is asked for
-_PLACE = f"pmod(copy ^ doc ^ line, {SIEVE})"
+_PLACE = f"pmod(pmod(doc, {SIEVE}) * 1000003 + line * 7368787L, {SIEVE})"
+
+
+def _place(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
+    return (doc % SIEVE * 1000003 + line * 7368787) % SIEVE
 
 
 def _sieve(places: DataFrame) -> np.ndarray:
@@ -175,8 +190,8 @@ def _sieve(places: DataFrame) -> np.ndarray:
     rows = places.selectExpr(f"{_PLACE} AS k").groupBy(
         F.expr("cast(k div 8 as int)").alias("byte")).agg(
         F.bit_or(F.expr("shiftleft(1, cast(k % 8 as int))")).alias("bits")).toArrow()
-    table = np.zeros(SIEVE // 8, np.uint8)
-    table[rows["byte"].to_numpy()] = rows["bits"].to_numpy()  # at most SIEVE / 8 rows
+    table = np.zeros(SIEVE // 8 + 1, np.uint8)
+    table[rows["byte"].to_numpy()] = rows["bits"].to_numpy()  # at most SIEVE / 8 + 1 rows
     return table
 
 
@@ -184,11 +199,19 @@ def _line_texts(texts: DataFrame, sieve: np.ndarray) -> DataFrame:
     """The lower-case texts of the lines that the sieve lets through."""
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in _lines(batch):
-                place = (part.copy ^ part.doc ^ part.line) % SIEVE
+            for ids, data, offsets in _runs(batch):
+                bounds, row, line = words.line_bounds(data, offsets)
+                place = _place(ids[row], line)
                 chosen = np.flatnonzero(sieve[place >> 3] >> (place & 7).astype(np.uint8) & 1)
-                yield pa.RecordBatch.from_pydict(
-                    {**part.columns(chosen), "t": part.texts(chosen)})
+                every = pa.LargeStringArray.from_buffers(
+                    len(row), pa.py_buffer(bounds), pa.py_buffer(data))
+                lines = every.take(pa.array(chosen))
+                yield pa.RecordBatch.from_pydict({
+                    "doc": pa.array(ids[row[chosen]]),
+                    "line": pa.array(line[chosen].astype(np.int32)),
+                    "copy": pa.array(words.row_hashes(*words.hash_words(
+                        *words.text_bytes(lines), words.BLANK_SEPARATED)).view(np.int64)),
+                    "t": lines.cast(pa.string())})
     return texts.mapInArrow(found, TEXT_SCHEMA)
 
 
@@ -198,9 +221,15 @@ def _need(percent: int) -> str:
 
 
 def _filters(percent: int) -> str:
-    """Length filter and positional filter for a shared token at places p and q (from 0)."""
+    """Length, positional and bitmap filter for a shared token at places p and q (from 0).
+
+    A bit of one line that the other lacks comes from a token that the other lacks.
+    """
+    need = _need(percent)
     return (f"100 * least(n, m) >= {percent} * greatest(n, m) "
-            f"and 1 + least(n - p - 1, m - q - 1) >= {_need(percent)}")
+            f"and 1 + least(n - p - 1, m - q - 1) >= {need} "
+            f"and bit_count(low & ~low2) + bit_count(high & ~high2) <= n - {need} "
+            f"and bit_count(low2 & ~low) + bit_count(high2 & ~high) <= m - {need}")
 
 
 def _similar(pairs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -254,7 +283,7 @@ def removed_lines(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PER
     # one row for each different line: its first place and its prefix
     different = keep(
         _prefixes(texts, size, percent, ranks)
-        .groupBy("copy").agg(F.min(F.struct("doc", "line", "n", "prefix")).alias("s"))
+        .groupBy("copy").agg(F.min(F.struct("doc", "line", "n", "prefix", "low", "high")).alias("s"))
         .select("copy", "s.*"), "lines",
     )
     near = _near_lines(different, texts, size, percent, keep)
@@ -272,25 +301,26 @@ def _near_lines(different: DataFrame, texts: DataFrame, size: int, percent: int,
     tokens = different.select("copy", "n", F.posexplode("prefix").alias("p", "key"))
     shared = tokens.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1")
     meeting = tokens.join(shared.select("key"), "key")
-    places = different.select("copy", "doc", "line")
+    places = different.select("copy", "doc", "line", "low", "high")
     meeting = keep(
         meeting.join(places, "copy").select(
-            "key", "copy", "n", "p", F.struct("doc", "line").alias("at")), "prefixes")
+            "key", "copy", "n", "p", "low", "high", F.struct("doc", "line").alias("at")),
+        "prefixes")
     # texts of the lines that meet others, at their first places
     met = keep(meeting.select("copy", "at.doc", "at.line").distinct(), "met")
     own = keep(
         _line_texts(texts, _sieve(met)).groupBy("copy", "doc", "line").agg(F.min("t").alias("t"))
         .join(met, ["copy", "doc", "line"], "left_semi").select("copy", "t"), "texts")
-    earliest = meeting.groupBy("key").agg(
-        F.min(F.struct("at", F.col("copy").alias("other"), F.col("n").alias("m"),
-                       F.col("p").alias("q"))).alias("e"))
-    star = meeting.join(earliest.select("key", "e.other", "e.m", "e.q"), "key").where(
-        "copy <> other").where(_filters(percent))
+    # a line as the partner of another
+    partner = [F.col(name).alias(other) for name, other in (
+        ("copy", "other"), ("n", "m"), ("p", "q"), ("low", "low2"), ("high", "high2"))]
+    earliest = meeting.groupBy("key").agg(F.min(F.struct("at", *partner)).alias("e"))
+    star = meeting.join(earliest.select("key", "e.other", "e.m", "e.q", "e.low2", "e.high2"),
+                        "key").where("copy <> other").where(_filters(percent))
     found = keep(_verified(star, own, size, percent), "near")
     # the rest: lines that are still there, with all that stand before them at a shared token
     rest = meeting.join(found, "copy", "left_anti")
-    before = meeting.select("key", F.col("copy").alias("other"), F.col("n").alias("m"),
-                            F.col("p").alias("q"), F.col("at").alias("before"))
+    before = meeting.select("key", F.col("at").alias("before"), *partner)
     pairs = rest.join(before, "key").where("before < at").where(_filters(percent))
     return found.unionByName(_verified(pairs, own, size, percent))
 
