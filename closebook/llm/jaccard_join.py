@@ -39,8 +39,11 @@ BLOCK_SETS = 256
 FAN_OUT = 8
 #: parts beyond the necessary number, so that agreement in empty parts need not count
 SPARE_PARTS, FEW_PARTS = 2, 24
+#: bucket keys that a task hands on at once
+KEY_ROWS = 1 << 18
 
-ROUTE_SCHEMA = "doc_id bigint, n_shingles bigint, k1 bigint, k2 bigint, keys array<bigint>"
+SUM_SCHEMA = "doc_id bigint, n_shingles bigint, k1 bigint, k2 bigint"
+KEY_SCHEMA = "key bigint, k1 bigint"
 EDGE_SCHEMA = "a bigint, b bigint"
 REST_COLUMNS = ["center", "block", "portion", "doc_id", "component", "asks"]
 
@@ -106,29 +109,51 @@ def shingle_sets(batch: pa.RecordBatch, size: int) -> Iterator[np.ndarray]:
             yield np.unique(tokens[a:b])
 
 
-def _route(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """For each document the size of its set, the set's 128-bit sum and its bucket keys."""
+def _sums(tokens: np.ndarray) -> tuple[np.uint64, np.uint64]:
+    """128 bits that tell a set from others."""
+    return words.mix(tokens).sum(dtype=np.uint64), words.mix(~tokens).sum(dtype=np.uint64)
+
+
+def _classed(docs: DataFrame, size: int) -> DataFrame:
+    """For each document the size of its set and the set's 128-bit sum."""
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [(len(x), *_sums(x)) for x in shingle_sets(batch, size)]
+            table = np.array(sets, np.uint64).reshape(-1, 3)
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), **{
+                name: pa.array(_signed(np.ascontiguousarray(table[:, k])))
+                for k, name in enumerate(("n_shingles", "k1", "k2"))}})
+    return docs.mapInArrow(sums, SUM_SCHEMA)
+
+
+def _routed(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """The bucket keys of the sets, each with half of the set's sum.
+
+    A task routes equal sets once, so many copies make no more rows of a key than tasks.
+    """
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranges = _Ranges(percent)
+        ranges, seen = _Ranges(percent), set()
+        keys, sums, waiting = [], [], 0
         for batch in batches:
-            sizes, sums, keys, at = [], [], [], [0]
             for tokens in shingle_sets(batch, size):
-                sizes.append(len(tokens))
-                sums.append((words.mix(tokens).sum(dtype=np.uint64),
-                             words.mix(~tokens).sum(dtype=np.uint64)))
-                own = _keys(tokens, ranges) if len(tokens) else []
-                keys += own
-                at.append(at[-1] + sum(map(len, own)))
-            table = np.array(sums, np.uint64).reshape(-1, 2)
-            flat = np.concatenate([*keys, np.zeros(0, np.uint64)])
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column(0), "n_shingles": pa.array(sizes, pa.int64()),
-                "k1": pa.array(_signed(np.ascontiguousarray(table[:, 0]))),
-                "k2": pa.array(_signed(np.ascontiguousarray(table[:, 1]))),
-                "keys": pa.ListArray.from_arrays(pa.array(at, pa.int32()),
-                                                 pa.array(_signed(flat))),
-            })
-    return docs.mapInArrow(route, ROUTE_SCHEMA)
+                own = _sums(tokens)
+                if len(tokens) and own not in seen:
+                    seen.add(own)
+                    keys += _keys(tokens, ranges)
+                    sums += [own[0]] * (len(keys) - len(sums))
+                    waiting += sum(map(len, keys[-2:]))
+                if waiting > KEY_ROWS:
+                    yield _key_batch(keys, sums)
+                    keys, sums, waiting = [], [], 0
+        if keys:
+            yield _key_batch(keys, sums)
+    return docs.mapInArrow(route, KEY_SCHEMA)
+
+
+def _key_batch(keys: list[np.ndarray], sums: list[np.uint64]) -> pa.RecordBatch:
+    own = np.repeat(np.array(sums, np.uint64), [len(k) for k in keys])
+    return pa.RecordBatch.from_pydict({"key": pa.array(_signed(np.concatenate(keys))),
+                                       "k1": pa.array(_signed(own))})
 
 
 def _payload(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
@@ -421,17 +446,21 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
         raise ValueError("percent lies between 1 and 100")
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"),
                        F.col(text_col).alias("text"))
-    routed = stored(_route(docs, shingle_words, percent), "routes")
+    routed = stored(_classed(docs, shingle_words), "sums")
     some = routed.where("n_shingles > 0 and doc_id is not null")
     classes = some.groupBy("n_shingles", "k1", "k2").agg(F.min("doc_id").alias("class_id"))
     classes = stored(classes, "classes", routed.count())
-    firsts = classes.select(F.col("class_id").alias("doc_id"))
-    keyed = some.select("doc_id", "keys").join(firsts, "doc_id", "left_semi").select(
-        F.explode("keys").alias("key"), "doc_id")
+    keyed = _routed(docs.where("doc_id is not null"), shingle_words, percent)
     shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    buckets = stored(keyed.join(shared, "key"), "buckets")
-    centers = buckets.groupBy("key").agg(F.min("doc_id").alias("center"))
-    groups = stored(buckets.join(centers, "key").select("center", "doc_id").distinct(), "groups")
+    # classes with equal halves of their sums only add candidates
+    buckets = stored(
+        keyed.join(shared, "key").distinct().join(
+            classes.select("k1", F.col("class_id").alias("doc_id")), "k1")
+        .select("key", "doc_id"), "buckets")
+    centers = buckets.groupBy("key").agg(F.min("doc_id").alias("center"),
+                                         F.max("doc_id").alias("last")).where("center < last")
+    groups = stored(buckets.join(centers.select("key", "center"), "key")
+                    .select("center", "doc_id").distinct(), "groups")
     found = _links(docs, groups, shingle_words, percent)
     classes = classes.join(found.withColumnRenamed("node", "class_id"), "class_id", "left")
     return routed.select("doc_id", "n_shingles", "k1", "k2").join(
