@@ -1,9 +1,10 @@
 """Line deduplication by an exact set-similarity join.
 
-A line's tokens are its different shingles of `SHINGLE_WORDS` words (lower case, by code point; a shorter line
-has one token, all its words), as 64-bit hashes.  Tokens are ordered by rarity: a sketch counts
-the tokens of the whole corpus in `SKETCH` counters, and the rare ones come first.
-Any order gives the same result; this one keeps common passages out of the prefixes.
+A line's tokens are its different words (lower case, by code point), as 64-bit hashes; other
+sizes take shingles of that many words (a shorter line has one token, all its words).  Tokens are
+ordered by rarity: the tokens of the whole corpus are counted, except where one stands only once
+in what a task counts together, and the `COUNTED` most frequent ones come last, by their counts.
+Any order gives the same result; this one keeps common words out of the prefixes.
 
 Two lines with Jaccard similarity t share a token among the first n - ceil(t n) + 1 of
 each.  Candidates are lines that share such a token and pass the length filter, the positional
@@ -15,10 +16,10 @@ Copies of a line are counted as one before anything is compared.  Of the lines t
 each is first compared with the earliest; only lines that this does not remove are
 compared with the others before them, so near copies of one line do not meet in pairs.
 
-Lines, tokens, sketch and prefixes come from numpy on batches of texts, since built-in functions
-evaluate an expression for each word of an array and need several times the time for it; all
-counting, joining and verifying is Spark's.  The driver holds the sketch and the sieve, both of
-fixed size.
+Lines, tokens and prefixes come from numpy on batches of texts, since built-in functions
+evaluate an expression for each word of an array and need several times the time for it; each
+task sums its own tokens, all further counting and joining is Spark's.  The driver holds
+the counts and the sieve, both of bounded size.
 
 Edge cases: null and empty texts have no lines; lines without a word are never removed; equal rows
 and rows that repeat an id count as one document; a null id sorts first; an empty table
@@ -27,7 +28,6 @@ gives an empty result; a removed line takes its line end along; other columns pa
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -39,19 +39,39 @@ from pyspark.sql import functions as F
 from closebook.llm import words
 from closebook.llm.storage import WorkingTables, stored
 
-SHINGLE_WORDS = 5
+#: words of a token in `op9` and `deduplicate`, and in `removed_lines` unless told otherwise
+TOKEN_WORDS, SHINGLE_WORDS = 1, 5
 PERCENT = 80
-#: counters of the sketch, and bits of the sieve
-SKETCH = 1 << 16
+#: tokens whose counts are handed to the tasks, and bits of the sieve
+COUNTED = 1 << 18
 SIEVE = (1 << 23) - 15
+#: counts that a task gathers before it hands them on
+WAITING = 1 << 22
 _NULL_ID = -(1 << 63)
 
-LINE_SCHEMA = "doc bigint, line int, copy bigint, counter int, times bigint"
+LINE_SCHEMA = "doc bigint, line int, copy bigint, token bigint, times bigint"
 PREFIX_SCHEMA = ("doc bigint, line int, copy bigint, n int, low bigint, high bigint, "
                  "prefix array<bigint>")
 TEXT_SCHEMA = "doc bigint, line int, copy bigint, t string"
 
 
+class _Counts:
+    """The most frequent tokens, sorted, and a rank for each that grows with its count."""
+
+    def __init__(self, tokens: np.ndarray, times: np.ndarray) -> None:
+        order = np.argsort(tokens)
+        self.tokens = tokens[order]
+        self.rank = 1 + np.minimum(125, 2 * np.log2(times[order] + 1)).astype(np.uint64)
+
+    def ranks(self, tokens: np.ndarray) -> np.ndarray:
+        """The rank of each token; the others are rarer and have rank 0."""
+        if not len(self.tokens):
+            return np.zeros(len(tokens), np.uint64)
+        each, back = np.unique(tokens, return_inverse=True)
+        at = np.minimum(np.searchsorted(self.tokens, each), len(self.tokens) - 1)
+        return np.where(self.tokens[at] == each, self.rank[at], np.uint64(0))[back]
+
+
 class _Lines:
     """The lines with a word of some texts: `doc`, `line`, `copy` (a hash of the words)."""
 
@@ -66,13 +86,13 @@ class _Lines:
     def columns(self) -> dict[str, pa.Array]:
         return {name: pa.array(getattr(self, name)) for name in ("doc", "line", "copy")}
 
-    def keys(self, size: int, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def keys(self, size: int, counts: _Counts) -> tuple[np.ndarray, np.ndarray]:
         """The different tokens of each line in their order, and where each line's begin.
 
-        The rank from the sketch is put before 56 bits of the hash: rare first, then any.
+        The rank by count is put before 56 bits of the hash: rare first, then any.
         """
         tokens, at = words.shingles(self.hashes, self.firsts, size)
-        keys = (ranks[tokens % np.uint64(SKETCH)] << np.uint64(56)
+        keys = (counts.ranks(tokens) << np.uint64(56)
                 | tokens & np.uint64((1 << 56) - 1)).view(np.int64)
         return _different(keys, at)
 
@@ -115,34 +135,45 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).alias("text"))
 
 
+def _summed(tokens: list[np.ndarray], times: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The different tokens and the sums of their times."""
+    each, back = np.unique(np.concatenate(tokens), return_inverse=True)
+    return each, np.bincount(back, np.concatenate(times), len(each)).astype(np.int64)
+
+
 def _places(texts: DataFrame, size: int) -> DataFrame:
-    """`doc`, `line`, `copy` of each line, and from each task its part of the sketch."""
+    """`doc`, `line`, `copy` of each line, and from each task the counts of its tokens."""
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(SKETCH, np.int64)
+        tokens, times, waiting = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
         for batch in batches:
             for part in _lines(batch):
-                tokens, _ = words.shingles(part.hashes, part.firsts, size)
-                counts += np.bincount((tokens % np.uint64(SKETCH)).astype(np.int64),
-                                      minlength=SKETCH)
-                gaps = {"counter": pa.nulls(len(part.doc), pa.int32()),
-                        "times": pa.nulls(len(part.doc), pa.int64())}
+                each, n = np.unique(words.shingles(part.hashes, part.firsts, size)[0],
+                                    return_counts=True)
+                tokens.append(each)
+                times.append(n)
+                waiting += len(each)
+                gaps = {name: pa.nulls(len(part.doc), pa.int64()) for name in ("token", "times")}
                 yield pa.RecordBatch.from_pydict({**part.columns(), **gaps})
-        some = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_pydict({
-            "doc": pa.nulls(len(some), pa.int64()), "line": pa.nulls(len(some), pa.int32()),
-            "copy": pa.nulls(len(some), pa.int64()), "counter": pa.array(some.astype(np.int32)),
-            "times": pa.array(counts[some])})
+                if waiting > WAITING:
+                    yield _counted(*_summed(tokens, times))
+                    tokens, times, waiting = tokens[:1], times[:1], 0
+        yield _counted(*_summed(tokens, times))
+
+    def _counted(tokens: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
+        tokens, times = tokens[times > 1], times[times > 1]
+        return pa.RecordBatch.from_pydict({
+            "doc": pa.nulls(len(tokens), pa.int64()), "line": pa.nulls(len(tokens), pa.int32()),
+            "copy": pa.nulls(len(tokens), pa.int64()),
+            "token": pa.array(tokens.view(np.int64)), "times": pa.array(times)})
     return texts.mapInArrow(places, LINE_SCHEMA)
 
 
-def _sketch(places: DataFrame) -> np.ndarray:
-    """For each counter a rank that grows with the logarithm of its count."""
-    counts = places.where("counter is not null").groupBy("counter").agg(
-        F.sum("times").alias("times")).collect()  # at most SKETCH rows
-    ranks = np.ones(SKETCH, np.uint64)
-    for row in counts:
-        ranks[row["counter"]] = 1 + min(125, int(2 * math.log2(row["times"] + 1)))
-    return ranks
+def _most_frequent(places: DataFrame) -> _Counts:
+    """The counts of the `COUNTED` most frequent tokens."""
+    found = places.where("token is not null").groupBy("token").agg(
+        F.sum("times").alias("times")).orderBy(
+        F.desc("times"), "token").limit(COUNTED).toArrow()
+    return _Counts(found["token"].to_numpy().view(np.uint64), found["times"].to_numpy())
 
 
 def _bitmaps(keys: np.ndarray, at: np.ndarray) -> dict[str, pa.Array]:
@@ -155,12 +186,12 @@ def _bitmaps(keys: np.ndarray, at: np.ndarray) -> dict[str, pa.Array]:
             for name, there in (("low", ~upper), ("high", upper))}
 
 
-def _prefixes(texts: DataFrame, size: int, percent: int, ranks: np.ndarray) -> DataFrame:
+def _prefixes(texts: DataFrame, size: int, percent: int, counts: _Counts) -> DataFrame:
     """For each line the number of its tokens and the first of them, as many as must be met."""
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in _lines(batch):
-                keys, at = part.keys(size, ranks)
+                keys, at = part.keys(size, counts)
                 n = np.diff(at)
                 length = n + percent * n // -100 + 1
                 place = np.arange(len(keys)) - np.repeat(at[:-1], n)
@@ -279,10 +310,10 @@ def removed_lines(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PER
     keep = work.stored if work else stored
     texts = _texts(docs, id_col, text_col)
     places = keep(_places(texts, size), "places")
-    ranks = _sketch(places)
+    counts = _most_frequent(places)
     # one row for each different line: its first place and its prefix
     different = keep(
-        _prefixes(texts, size, percent, ranks)
+        _prefixes(texts, size, percent, counts)
         .groupBy("copy").agg(F.min(F.struct("doc", "line", "n", "prefix", "low", "high")).alias("s"))
         .select("copy", "s.*"), "lines",
     )
@@ -325,7 +356,7 @@ def _near_lines(different: DataFrame, texts: DataFrame, size: int, percent: int,
     return found.unionByName(_verified(pairs, own, size, percent))
 
 
-def _by_document(docs: DataFrame, size: int = SHINGLE_WORDS,
+def _by_document(docs: DataFrame, size: int = TOKEN_WORDS,
                  percent: int = PERCENT) -> DataFrame:
     """`doc`, `removed`: the removed lines of each document that has some, stored."""
     with WorkingTables(docs.sparkSession) as work:
@@ -334,7 +365,7 @@ def _by_document(docs: DataFrame, size: int = SHINGLE_WORDS,
             F.array_sort(F.collect_set("line")).alias("removed")), "removed")
 
 
-def deduplicate(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
+def deduplicate(docs: DataFrame, size: int = TOKEN_WORDS, percent: int = PERCENT) -> DataFrame:
     """The documents without the removed lines; other columns as they are.
 
     `text` is replaced; documents without a removed line keep theirs byte for byte.

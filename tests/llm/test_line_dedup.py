@@ -65,3 +65,17 @@ def test_edges(spark):
         (9, " \n ", "s"), (None, "q r s", "s"), (10, "new", "s"),
         (11, "long " * 4000, "s")], key=str)
     assert line_dedup.deduplicate(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_operator_compares_words(spark, seed):
+    draw = random.Random(seed)
+    base = [f"w{draw.randrange(400)}" for _ in range(14)]
+    docs = [(1, " ".join(base)), (2, " ".join([*base[:7], "other", *base[8:]]))]
+    for doc in range(3, 40):
+        line = draw.sample(base, 14)[:draw.randint(3, 14)]
+        docs.append((doc, " ".join(line + [f"e{draw.randrange(50)}" for _ in range(draw.randint(0, 3))])))
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    out = {r["doc_id"]: r["text"] for r in line_dedup.deduplicate(frame).collect()}
+    assert out[2] == ""
+    assert {(d, 0) for d, text in out.items() if not text} == removed(docs, size=1)
