@@ -8,7 +8,8 @@ the phrase's start, and intersecting them with the shifted postings of the other
 first.  Blocks are independent, so matching shuffles nothing; a lost block is read again.
 
 Terms are 64-bit hashes of words.  Phrases are handed to the tasks in portions of at most
-`PHRASES_AT_ONCE`; a larger benchmark takes more passes over the index.
+`PHRASES_AT_ONCE`; a larger benchmark takes more passes over the index, whose findings are put
+together by a document's block and its place there, so rows that share an id stay apart.
 
 Edge cases: a null or empty text has no words and no hits; an item without words is never
 found; repeated items and items that share passages all count; an empty table gives an empty
@@ -17,6 +18,7 @@ result or no hits.  Columns other than the id and the text are not read.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,10 +40,12 @@ NO_ID = -(1 << 63)
 #: phrases that one pass hands to each task: 20,000 of 10 words are about 3 MB
 PHRASES_AT_ONCE = 20_000
 
-INDEX_SCHEMA = ("doc_ids binary, doc_starts binary, doc_words binary, terms binary, "
+INDEX_SCHEMA = ("block string, doc_ids binary, doc_starts binary, doc_words binary, terms binary, "
                 "counts binary, positions binary")
 HITS_SCHEMA = ("doc_id bigint, n_words bigint, hits array<struct<start:int,end:int>>, "
                "items array<string>")
+#: a document's block and place in it tell it from all others, whatever its id
+KEYED_SCHEMA = f"block string, place int, {HITS_SCHEMA}"
 
 
 @dataclass(frozen=True)
@@ -71,14 +75,15 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 terms, n = np.unique(hashes[order], return_counts=True)
                 steps = np.diff(at[order].astype(np.int32), prepend=np.int32(0))
                 yield pa.RecordBatch.from_pydict({
-                    name: pa.array([value], pa.binary()) for name, value in (
+                    "block": pa.array([uuid.uuid4().hex]),
+                    **{name: pa.array([value], pa.binary()) for name, value in (
                         ("doc_ids", ids[first:last].tobytes()),
                         ("doc_starts", starts.astype(np.int64).tobytes()),
                         ("doc_words", counts.astype(np.int64).tobytes()),
                         ("terms", terms.tobytes()),
                         ("counts", pack(n.astype(np.int32).tobytes())),
                         ("positions", pack(steps.tobytes())),
-                    )
+                    )},
                 })
     rows = docs.select(F.col(id_col).cast("bigint"), F.col(text_col))
     return stored(rows.mapInArrow(blocks, INDEX_SCHEMA), "postings")
@@ -188,7 +193,7 @@ def _near(lists: list[np.ndarray], distance: int) -> tuple[np.ndarray, np.ndarra
 
 
 def _search(index: DataFrame, phrases: Phrases, distance: int | None) -> DataFrame:
-    """A row for each document, with its hit stretches (word numbers) and items."""
+    """A keyed row for each document, with its hit stretches (word numbers) and items."""
     vocabulary = np.unique(np.concatenate(phrases.terms))
     frequency = _corpus_counts(index, vocabulary)
     numbers, shifts = [], []
@@ -232,6 +237,8 @@ def _search(index: DataFrame, phrases: Phrases, distance: int | None) -> DataFra
                 hits[doc].append((int(first - starts[doc]), int(last - starts[doc]) + 1))
                 items[doc].update(phrases.items[k])
         return pa.RecordBatch.from_pydict({
+            "block": pa.array([row["block"]] * len(ids), pa.string()),
+            "place": pa.array(np.arange(len(ids), dtype=np.int32)),
             "doc_id": pa.array(ids, pa.int64(), mask=ids == NO_ID),
             "n_words": pa.array(n_words, pa.int64()),
             "hits": pa.array(
@@ -241,7 +248,7 @@ def _search(index: DataFrame, phrases: Phrases, distance: int | None) -> DataFra
             "items": pa.array([sorted(x) for x in items], pa.list_(pa.string())),
         })
 
-    return index.mapInArrow(matches, HITS_SCHEMA)
+    return index.mapInArrow(matches, KEYED_SCHEMA)
 
 
 def _merged(stretches: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -280,16 +287,17 @@ def find_phrases(index: DataFrame, phrases: DataFrame, distance: int | None = No
                     })
         return index.select("doc_ids", "doc_words").mapInArrow(none, HITS_SCHEMA)
     if len(parts) == 1:
-        return parts[0]
+        return parts[0].drop("block", "place")
     # a large benchmark: join the portions' findings of each document
     found = parts[0]
     for part in parts[1:]:
         found = found.unionByName(part)
-    every = found.groupBy("doc_id", "n_words").agg(
+    every = found.groupBy("block", "place").agg(
+        F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
         F.flatten(F.collect_list("hits")).alias("hits"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
     )
-    return every.withColumn("hits", F.expr("""
+    return every.drop("block", "place").withColumn("hits", F.expr("""
         aggregate(array_sort(hits), cast(array() as array<struct<start:int,end:int>>),
           (done, x) -> if(size(done) > 0 and x.start <= element_at(done, -1).end,
             concat(slice(done, 1, size(done) - 1), array(named_struct(

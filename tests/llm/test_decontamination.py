@@ -59,6 +59,19 @@ def test_portions_of_a_large_benchmark_give_the_same(spark, tables, monkeypatch)
     assert whole == parts
 
 
+def test_portions_keep_repeated_and_null_ids(spark, tables, monkeypatch):
+    docs, bench = tables
+    more = docs.unionByName(spark.createDataFrame(
+        [(None, "other words", "x"), (6, "words two two words a b c d e", "x")], docs.schema))
+
+    def found():
+        return sorted(map(tuple, dc.contamination(more, bench).collect()), key=str)
+    whole = found()
+    monkeypatch.setattr(dc, "PHRASES_AT_ONCE", 700)
+    assert found() == whole
+    assert len(whole) == 12
+
+
 def test_empty_tables(spark, tables):
     docs, bench = tables
     assert dc.contamination(docs.limit(0), bench).count() == 0
