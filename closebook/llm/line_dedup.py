@@ -10,7 +10,8 @@ Two lines with Jaccard similarity t share a token among the first n - ceil(t n)
 each.  Candidates are lines that share such a token and pass the length filter, the positional
 filter (what can still be common from that token on) and a filter on 128-bit maps of all tokens; they are verified on their token sets,
 which are made again from the texts.
-A line is removed if an earlier line, by document id and line number, is that similar.
+A line is removed if an earlier line, by document id, hash of the text and line number, is that
+similar.  Rows that repeat an id, or have none, are told apart by the hash of their text.
 
 Copies of a line are counted as one before anything is compared.  Of the lines that share a token
 each is first compared with the earliest; only lines that this does not remove are
@@ -21,8 +22,8 @@ evaluate an expression for each word of an array and need several times the time
 task sums its own tokens, all further counting and joining is Spark's.  The driver holds
 the counts and the sieve, both of bounded size.
 
-Edge cases: null and empty texts have no lines; lines without a word are never removed; equal rows
-and rows that repeat an id count as one document; a null id sorts first; an empty table
+Edge cases: null and empty texts have no lines; lines without a word are never removed; rows of equal
+id and text count as one document; a null id sorts first; an empty table
 gives an empty result; a removed line takes its line end along; other columns pass unchanged.
 """
 
@@ -48,11 +49,13 @@ SIEVE = (1 << 23) - 15
 #: counts that a task gathers before it hands them on
 WAITING = 1 << 22
 _NULL_ID = -(1 << 63)
+#: what orders the lines and tells them apart
+PLACE = ["doc", "version", "line"]
 
-LINE_SCHEMA = "doc bigint, line int, copy bigint, token bigint, times bigint"
-PREFIX_SCHEMA = ("doc bigint, line int, copy bigint, n int, low bigint, high bigint, "
+LINE_SCHEMA = "doc bigint, version bigint, line int, copy bigint, token bigint, times bigint"
+PREFIX_SCHEMA = ("doc bigint, version bigint, line int, copy bigint, n int, low bigint, high bigint, "
                  "prefix array<bigint>")
-TEXT_SCHEMA = "doc bigint, line int, copy bigint, t string"
+TEXT_SCHEMA = "doc bigint, version bigint, line int, copy bigint, t string"
 
 
 class _Counts:
@@ -73,18 +76,19 @@ class _Counts:
 
 
 class _Lines:
-    """The lines with a word of some texts: `doc`, `line`, `copy` (a hash of the words)."""
+    """The lines with a word of some texts: `doc`, `version`, `line`, `copy` (a hash of the words)."""
 
-    def __init__(self, ids: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> None:
+    def __init__(self, ids: np.ndarray, versions: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> None:
         bounds, row, number = words.line_bounds(data, offsets)
         self.hashes, firsts = words.hash_words(data, bounds, words.BLANK_SEPARATED)
         some = np.diff(firsts) > 0
-        self.doc, self.line = ids[row[some]], number[some].astype(np.int32)
+        self.doc, self.version = ids[row[some]], versions[row[some]]
+        self.line = number[some].astype(np.int32)
         self.firsts = np.append(firsts[:-1][some], firsts[-1])
         self.copy = words.row_hashes(self.hashes, self.firsts).view(np.int64)
 
     def columns(self) -> dict[str, pa.Array]:
-        return {name: pa.array(getattr(self, name)) for name in ("doc", "line", "copy")}
+        return {name: pa.array(getattr(self, name)) for name in PLACE + ["copy"]}
 
     def keys(self, size: int, counts: _Counts) -> tuple[np.ndarray, np.ndarray]:
         """The different tokens of each line in their order, and where each line's begin.
@@ -117,12 +121,13 @@ def _different(values: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return values[new], np.concatenate([np.zeros(1, np.int64), np.cumsum(counts)])
 
 
-def _runs(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Ids, lower-case bytes and offsets of a batch (doc, text), in runs of bounded size."""
+def _runs(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
+    """Ids, versions, lower-case bytes and offsets of a batch (doc, text, version), in runs."""
     ids = batch.column(0).fill_null(_NULL_ID).to_numpy(zero_copy_only=False)
+    versions = batch.column(2).to_numpy()
     data, offsets = words.text_bytes(pc.utf8_lower(batch.column(1).cast(pa.large_string())))
     for first, last in words.runs(offsets):
-        yield (ids[first:last], data[offsets[first]:offsets[last]],
+        yield (ids[first:last], versions[first:last], data[offsets[first]:offsets[last]],
                offsets[first:last + 1] - offsets[first])
 
 
@@ -132,7 +137,8 @@ def _lines(batch: pa.RecordBatch) -> Iterator[_Lines]:
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).alias("text"))
+    return docs.select(F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).alias("text"),
+                       F.xxhash64(text_col).alias("version"))
 
 
 def _summed(tokens: list[np.ndarray], times: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -142,7 +148,7 @@ def _summed(tokens: list[np.ndarray], times: list[np.ndarray]) -> tuple[np.ndarr
 
 
 def _places(texts: DataFrame, size: int) -> DataFrame:
-    """`doc`, `line`, `copy` of each line, and from each task the counts of its tokens."""
+    """The place and `copy` of each line, and from each task the counts of its tokens."""
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, times, waiting = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
         for batch in batches:
@@ -162,8 +168,9 @@ def _places(texts: DataFrame, size: int) -> DataFrame:
     def _counted(tokens: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
         tokens, times = tokens[times > 1], times[times > 1]
         return pa.RecordBatch.from_pydict({
-            "doc": pa.nulls(len(tokens), pa.int64()), "line": pa.nulls(len(tokens), pa.int32()),
-            "copy": pa.nulls(len(tokens), pa.int64()),
+            "doc": pa.nulls(len(tokens), pa.int64()),
+            "version": pa.nulls(len(tokens), pa.int64()),
+            "line": pa.nulls(len(tokens), pa.int32()), "copy": pa.nulls(len(tokens), pa.int64()),
             "token": pa.array(tokens.view(np.int64)), "times": pa.array(times)})
     return texts.mapInArrow(places, LINE_SCHEMA)
 
@@ -206,11 +213,12 @@ def _prefixes(texts: DataFrame, size: int, percent: int, counts: _Counts) -> Dat
 
 
 #: a number for a line, which the sieve is asked for
-_PLACE = f"pmod(pmod(doc, {SIEVE}) * 1000003 + line * 7368787L, {SIEVE})"
+_PLACE = (f"pmod(pmod(doc, {SIEVE}) * 1000003 + pmod(version, {SIEVE}) + line * 7368787L, "
+          f"{SIEVE})")
 
 
-def _place(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
-    return (doc % SIEVE * 1000003 + line * 7368787) % SIEVE
+def _place(doc: np.ndarray, version: np.ndarray, line: np.ndarray) -> np.ndarray:
+    return (doc % SIEVE * 1000003 + version % SIEVE + line * 7368787) % SIEVE
 
 
 def _sieve(places: DataFrame) -> np.ndarray:
@@ -230,15 +238,16 @@ def _line_texts(texts: DataFrame, sieve: np.ndarray) -> DataFrame:
     """The lower-case texts of the lines that the sieve lets through."""
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, data, offsets in _runs(batch):
+            for ids, versions, data, offsets in _runs(batch):
                 bounds, row, line = words.line_bounds(data, offsets)
-                place = _place(ids[row], line)
+                place = _place(ids[row], versions[row], line)
                 chosen = np.flatnonzero(sieve[place >> 3] >> (place & 7).astype(np.uint8) & 1)
                 every = pa.LargeStringArray.from_buffers(
                     len(row), pa.py_buffer(bounds), pa.py_buffer(data))
                 lines = every.take(pa.array(chosen))
                 yield pa.RecordBatch.from_pydict({
                     "doc": pa.array(ids[row[chosen]]),
+                    "version": pa.array(versions[row[chosen]]),
                     "line": pa.array(line[chosen].astype(np.int32)),
                     "copy": pa.array(words.row_hashes(*words.hash_words(
                         *words.text_bytes(lines), words.BLANK_SEPARATED)).view(np.int64)),
@@ -302,28 +311,31 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
 def removed_lines(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT,
                   id_col: str = "doc_id", text_col: str = "text",
                   work: WorkingTables | None = None) -> DataFrame:
-    """`doc`, `line`: the lines to remove; null ids appear as the smallest number.
+    """`doc`, `line`: the lines to remove; null ids appear as the smallest number."""
+    return _removed(_texts(docs, id_col, text_col), size, percent, work).select("doc", "line")
+
+
+def _removed(texts: DataFrame, size: int, percent: int, work: WorkingTables | None) -> DataFrame:
+    """The places of the lines to remove.
 
     With `work` the tables on the way are stored there, and the result must be stored before
     they go.
     """
     keep = work.stored if work else stored
-    texts = _texts(docs, id_col, text_col)
     places = keep(_places(texts, size), "places")
     counts = _most_frequent(places)
     # one row for each different line: its first place and its prefix
     different = keep(
         _prefixes(texts, size, percent, counts)
-        .groupBy("copy").agg(F.min(F.struct("doc", "line", "n", "prefix", "low", "high")).alias("s"))
+        .groupBy("copy").agg(F.min(F.struct(*PLACE, "n", "prefix", "low", "high")).alias("s"))
         .select("copy", "s.*"), "lines",
     )
     near = _near_lines(different, texts, size, percent, keep)
-    first = different.select("copy", F.col("doc").alias("first_doc"),
-                             F.col("line").alias("first_line"))
+    first = different.select("copy", F.struct(*PLACE).alias("first"))
     verdict = first.join(near.withColumn("near", F.lit(True)), "copy", "left")
-    every = places.where("copy is not null").select("doc", "line", "copy").distinct()
+    every = places.where("copy is not null").select(*PLACE, "copy").distinct()
     return every.join(verdict, "copy").where(
-        "near or doc <> first_doc or line <> first_line").select("doc", "line")
+        F.col("near") | (F.struct(*PLACE) != F.col("first"))).select(*PLACE)
 
 
 def _near_lines(different: DataFrame, texts: DataFrame, size: int, percent: int,
@@ -332,16 +344,16 @@ def _near_lines(different: DataFrame, texts: DataFrame, size: int, percent: int,
     tokens = different.select("copy", "n", F.posexplode("prefix").alias("p", "key"))
     shared = tokens.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1")
     meeting = tokens.join(shared.select("key"), "key")
-    places = different.select("copy", "doc", "line", "low", "high")
+    places = different.select("copy", *PLACE, "low", "high")
     meeting = keep(
         meeting.join(places, "copy").select(
-            "key", "copy", "n", "p", "low", "high", F.struct("doc", "line").alias("at")),
+            "key", "copy", "n", "p", "low", "high", F.struct(*PLACE).alias("at")),
         "prefixes")
     # texts of the lines that meet others, at their first places
-    met = keep(meeting.select("copy", "at.doc", "at.line").distinct(), "met")
+    met = keep(meeting.select("copy", "at.*").distinct(), "met")
     own = keep(
-        _line_texts(texts, _sieve(met)).groupBy("copy", "doc", "line").agg(F.min("t").alias("t"))
-        .join(met, ["copy", "doc", "line"], "left_semi").select("copy", "t"), "texts")
+        _line_texts(texts, _sieve(met)).groupBy("copy", *PLACE).agg(F.min("t").alias("t"))
+        .join(met, ["copy", *PLACE], "left_semi").select("copy", "t"), "texts")
     # a line as the partner of another
     partner = [F.col(name).alias(other) for name, other in (
         ("copy", "other"), ("n", "m"), ("p", "q"), ("low", "low2"), ("high", "high2"))]
@@ -358,32 +370,37 @@ def _near_lines(different: DataFrame, texts: DataFrame, size: int, percent: int,
 
 def _by_document(docs: DataFrame, size: int = TOKEN_WORDS,
                  percent: int = PERCENT) -> DataFrame:
-    """`doc`, `removed`: the removed lines of each document that has some, stored."""
+    """`doc`, `version`, `removed`: the removed lines of each document that has some, stored."""
     with WorkingTables(docs.sparkSession) as work:
-        removed = removed_lines(docs, size, percent, work=work)
-        return stored(removed.groupBy("doc").agg(
+        removed = _removed(_texts(docs, "doc_id", "text"), size, percent, work)
+        return stored(removed.groupBy("doc", "version").agg(
             F.array_sort(F.collect_set("line")).alias("removed")), "removed")
 
 
+def _own_row(doc: str, version: str):
+    """Whether a document is the one that a verdict was given for."""
+    return F.expr(f"coalesce(cast(doc_id as bigint), {_NULL_ID}L) = {doc} "
+                  f"and xxhash64(text) = {version}")
+
+
 def deduplicate(docs: DataFrame, size: int = TOKEN_WORDS, percent: int = PERCENT) -> DataFrame:
     """The documents without the removed lines; other columns as they are.
 
     `text` is replaced; documents without a removed line keep theirs byte for byte.
     """
     gone = _by_document(docs, size, percent).select(
-        F.col("doc").alias("_doc"), F.col("removed").alias("_removed"))
+        F.col("doc").alias("_doc"), F.col("version").alias("_version"),
+        F.col("removed").alias("_removed"))
     kept = F.expr(r"""if(_removed is null, text, array_join(
         filter(split(text, '\n'), (x, i) -> not array_contains(_removed, i)), '\n'))""")
-    out = docs.join(gone, F.expr(f"coalesce(cast(doc_id as bigint), {_NULL_ID}L)")
-                    == F.col("_doc"), "left")
+    out = docs.join(gone, _own_row("_doc", "_version"), "left")
     return out.select(*[kept.alias("text") if c == "text" else docs[c] for c in docs.columns])
 
 
 def op9(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     gone = _by_document(docs)
-    return docs.select("doc_id", F.expr("coalesce(size(split(text, '\n')), 0)").alias("n_lines")) \
-        .join(gone, F.expr(f"coalesce(cast(doc_id as bigint), {_NULL_ID}L)") == F.col("doc"),
-              "left").select(
-            "doc_id", "n_lines", F.coalesce(F.size("removed"), F.lit(0)).alias("n_removed"),
-            F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
+    return docs.join(gone, _own_row("doc", "version"), "left").select(
+        "doc_id", F.expr("coalesce(size(split(text, '\n')), 0)").alias("n_lines"),
+        F.coalesce(F.size("removed"), F.lit(0)).alias("n_removed"),
+        F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from closebook.llm import decontamination, jaccard_join, line_dedup, mixing, quality_classifier
@@ -31,25 +31,52 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: the one with the smallest id."""
-    found = jaccard_join.near_duplicates(docs)
-    kept = found.where("doc_id is null or doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    """One document of each group of near duplicates stays: the one with the smallest id.
+
+    A null id is the smallest.  Of rows of equal id and text, unless without words, one stays.
+    """
+    keyed = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
+    repeated = stored(keyed.where(F.col("text").rlike(r"[^\x20\x09-\x0D]")).groupBy("_row").agg(
+        F.count("*").alias("rows")).where("rows > 1").select("_row"), "repeated")
+    single = keyed.join(repeated, "_row", "left_anti").select(*docs.columns, "_row")
+    rows = single.unionByName(
+        keyed.join(repeated, "_row", "left_semi").groupBy("_row").agg(
+            F.min(F.struct(*docs.columns)).alias("s")).select("s.*", "_row"))
+    found = jaccard_join.near_duplicates(rows, id_col="_row").select(
+        F.col("doc_id").alias("_row"), "component_id").distinct()
+    kept = rows.select("doc_id", "_row").join(found, "_row").groupBy("component_id").agg(
+        F.min(F.struct("doc_id", "_row")).alias("s")).select("s._row")
+    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a benchmark window go."""
-    found = decontamination.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    hit = found.where("contaminated").select("doc_id").distinct()
-    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["doc_id"]), "left_anti")
+    """Documents with a benchmark window go; the verdict depends on the text only."""
+    keyed = docs.withColumn("_row", F.xxhash64("text"))
+    found = decontamination.contamination(
+        keyed.select(F.col("_row").alias("doc_id"), "text"),
+        spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    hit = found.where("contaminated").select(F.col("doc_id").alias("_row")).distinct()
+    return keyed.join(hit, "_row", "left_anti").select(*docs.columns)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents the mix takes, with the number of times it takes each as `copies`."""
-    taken = mixing.mix(docs).where("copies > 0").groupBy("doc_id").agg(
-        F.max("copies").alias("copies"))
-    return docs.join(taken, docs["doc_id"].eqNullSafe(taken["doc_id"])).select(
-        *[docs[c] for c in docs.columns], "copies")
+    """The documents the mix takes, with the number of times it takes each as `copies`.
+
+    Rows of equal id, text and source share what the mix takes of them: each gets the even part,
+    and as many as are left over one more.
+    """
+    keyed = docs.withColumn("_row", F.xxhash64("doc_id", "text", "source"))
+    taken = stored(
+        mixing.mix(keyed.select(F.col("_row").alias("doc_id"), "text", "source"))
+        .groupBy(F.col("doc_id").alias("_row")).agg(F.sum("copies").alias("total"),
+                                                    F.count("*").alias("alike")), "taken")
+    even = F.expr("cast(total div alike as int)")
+    order = Window.partitionBy("_row").orderBy(*[c for c in docs.columns if c != "text"])
+    evenly = keyed.join(taken.where("total > 0 and total % alike = 0"), "_row").withColumn(
+        "copies", even)
+    shared = keyed.join(taken.where("total % alike > 0"), "_row").withColumn(
+        "copies", even + (F.row_number().over(order) <= F.expr("total % alike")).cast("int"))
+    return evenly.unionByName(shared).where("copies > 0").select(*docs.columns, "copies")
 
 
 STAGES: list[tuple[str, Stage]] = [

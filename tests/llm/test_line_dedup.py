@@ -79,3 +79,14 @@ def test_operator_compares_words(spark, seed):
     out = {r["doc_id"]: r["text"] for r in line_dedup.deduplicate(frame).collect()}
     assert out[2] == ""
     assert {(d, 0) for d, text in out.items() if not text} == removed(docs, size=1)
+
+
+def test_rows_that_share_an_id_are_judged_by_their_own_text(spark):
+    rows = [(None, "alpha beta\nonly here"), (None, "one more\nalpha beta"), (4, "p q r\nown one"),
+            (4, "own two\np q r"), (5, "same place"), (5, "same place\nmore"), (None, "alpha beta")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    left = [(r["doc_id"], x) for r in line_dedup.deduplicate(docs).collect()
+            for x in r["text"].split("\n") if x]
+    assert sorted(left, key=str) == sorted([
+        (None, "alpha beta"), (None, "only here"), (None, "one more"), (4, "p q r"),
+        (4, "own one"), (4, "own two"), (5, "same place"), (5, "more")], key=str)
