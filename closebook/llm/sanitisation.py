@@ -15,8 +15,8 @@ Only built-in functions are used.  Positions come from the lengths of the pieces
 (`split` and `regexp_extract_all` walk through a text alike); they count code points, the end is
 exclusive.
 
-Edge cases: a null text is empty and has no spans; repeated rows are searched one by one, and rows
-that repeat an id share their disclosing terms; ties do not arise, as each term is judged by
+Edge cases: a null text is empty and has no spans; rows are searched one by one and judged by their
+own text (`row`, its hash), whatever their ids; ties do not arise, as each term is judged by
 itself; an empty table gives an empty result; only id and text are read.
 """
 
@@ -134,16 +134,16 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, least_lines: int = LEAST
 
 
 def _term_spans(found: DataFrame, terms: DataFrame) -> DataFrame:
-    """`doc_id`, `text`, `added`: places of the disclosing terms outside the base spans."""
-    named = found.select("doc_id", F.explode("spans").alias("s")).select(
-        "doc_id", F.concat_ws(":", "s.kind", F.lower("s.value")).alias("entity")).distinct()
-    risky = named.join(terms, "entity").groupBy("doc_id", "term").agg(
+    """`row`, `added`: places of the disclosing terms outside the base spans, by text."""
+    named = found.select("row", F.explode("spans").alias("s")).select(
+        "row", F.concat_ws(":", "s.kind", F.lower("s.value")).alias("entity")).distinct()
+    risky = named.join(terms, "entity").groupBy("row", "term").agg(
         F.min("hidden_bits").alias("bits"))
-    marked = risky.groupBy("doc_id").agg(F.map_from_entries(
+    marked = risky.groupBy("row").agg(F.map_from_entries(
         F.collect_list(F.struct("term", "bits"))).alias("risk"))
-    placed = found.join(marked, "doc_id").withColumn(
+    placed = found.join(marked, "row").withColumn(
         "words", F.expr(_matches("text", TERM)))
-    return placed.select("doc_id", "text", F.expr(f"""transform(
+    return placed.select("row", F.expr(f"""transform(
         filter(words, w -> map_contains_key(risk, lower(w.value))
           and not exists(spans, s -> s.start < w.end and w.start < s.end)),
         w -> cast(named_struct(
@@ -152,27 +152,27 @@ def _term_spans(found: DataFrame, terms: DataFrame) -> DataFrame:
 
 
 def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: `doc_id`, `spans` (base), `added` (disclosing terms)."""
+    """One row per document: `doc_id`, `row`, `spans` (base), `added` (disclosing terms)."""
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    found = base_spans(own)
-    some = stored(found.where("size(spans) > 0"), "personal")
+    every = stored(base_spans(own).select(
+        "doc_id", F.xxhash64("text").alias("row"), "spans",
+        F.when(F.size("spans") > 0, F.col("text")).alias("text")), "personal")
+    some = every.where("size(spans) > 0")
     terms = disclosing_terms(own, some)
-    added = stored(_term_spans(some, terms).select("doc_id", "added").where("size(added) > 0")
-                   .distinct(), "terms")
-    spans = some.select("doc_id", "spans").distinct()
-    joined = own.select("doc_id").join(spans, own["doc_id"].eqNullSafe(spans["doc_id"]), "left") \
-        .select(own["doc_id"], "spans")
+    added = stored(_term_spans(some, terms).where("size(added) > 0").distinct(), "terms")
     none = F.array().cast(f"array<{_SPAN}>")
-    return joined.join(added, "doc_id", "left").select(
-        "doc_id", F.coalesce("spans", none).alias("spans"),
-        F.coalesce("added", none).alias("added"))
+    marked = some.join(added, "row", "left").select(
+        "doc_id", "row", "spans", F.coalesce("added", none).alias("added"))
+    return marked.unionByName(every.where("size(spans) = 0").select(
+        "doc_id", "row", "spans", none.alias("added")))
 
 
 def sanitised(docs: DataFrame, found: DataFrame) -> DataFrame:
     """The documents with base spans as `<kind>`, terms as `<term>` or without them."""
     marks = found.where("size(spans) + size(added) > 0").select(
-        F.col("doc_id").alias("_id"), F.expr("""array_sort(transform(concat(spans, added),
-            s -> named_struct('start', s.start, 'end', s.end, 'kind', s.kind)))""").alias("_s"))
+        F.col("row").alias("_row"), F.expr("""array_sort(transform(concat(spans, added),
+            s -> named_struct('start', s.start, 'end', s.end, 'kind', s.kind)))""").alias("_s")
+    ).distinct()
     text = F.expr("""if(_s is null, text, aggregate(_s,
         named_struct('at', 0, 'out', ''),
         (a, s) -> if(s.start < a.at, a, named_struct('at', s.end, 'out', concat(a.out,
@@ -180,7 +180,7 @@ def sanitised(docs: DataFrame, found: DataFrame) -> DataFrame:
             case s.kind when 'removed' then '' when 'general' then '<term>'
                         else concat('<', s.kind, '>') end))),
         a -> concat(a.out, substring(text, a.at + 1))))""")
-    out = docs.join(marks, docs["doc_id"] == marks["_id"], "left")
+    out = docs.join(marks, F.xxhash64(docs["text"]) == marks["_row"], "left")
     return out.select(*[text.alias("text") if c == "text" else docs[c] for c in docs.columns])
 
 

@@ -111,3 +111,18 @@ def test_terms_that_reveal_an_entity(spark):
     assert not any(v == "page" for x in added.values() for _, v in x)
     clean = {r["doc_id"]: r["text"] for r in sanitisation.sanitised(docs, found).collect()}
     assert clean[60] == "\n\nby <email>" and clean[11] == rows[5][1]
+
+
+def test_rows_that_share_an_id_keep_their_own_spans(spark):
+    owl = "The Owl wrote from owl7@x.org, page"
+    rows = [(None, f"{owl} {k}") for k in range(4)] + [(None, "nobody here"), (None, "me b@c.de")]
+    rows += [(9, "call 1.2.3.4"), (9, "x@y.zz"), (9, "nothing"), (9, "x@y.zz")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = sanitisation.findings(docs)
+    got = Counter((r["doc_id"], tuple(s["value"] for s in r["spans"])) for r in found.collect())
+    assert got == Counter({(None, ("owl7@x.org",)): 4, (None, ()): 1, (None, ("b@c.de",)): 1,
+                           (9, ("1.2.3.4",)): 1, (9, ()): 1, (9, ("x@y.zz",)): 2})
+    clean = sorted(r["text"] for r in sanitisation.sanitised(docs, found).collect())
+    assert clean.count("nobody here") == clean.count("nothing") == 1 and len(clean) == len(rows)
+    assert clean.count("<email>") == 2 and clean.count("call <ip>") == 1
+    assert not any("Owl" in x or "@" in x for x in clean)
