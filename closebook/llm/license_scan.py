@@ -1,14 +1,15 @@
 """License scan by conditional compression.
 
 Candidate blocks are the words around license cues.  A block is compressed by zstandard alone and
-with each template as a raw dictionary; the templates are ranked by how much smaller the block
-becomes.  The best ones are confirmed by their wording: block and template are aligned word by
-word, and a template is found if the differences are at most `DIFFERENCES` of its words.
+with each template as a raw dictionary.  Each template that makes it smaller is confirmed by its
+wording: block and template are aligned word by word, and a template is found if the differences
+are at most `DIFFERENCES` of its words.  The one with the fewest differences, then the largest
+reduction, is taken, and what stands before and after its words is searched in the same way.
 
 Texts without a cue are recognised by a regular expression in the scan and cost no Python.
 
 Edge cases: a null or empty text has no block; equal reductions rank by template name; a text
-that repeats a notice has one match for each block; empty tables give an empty result; only id
+that repeats a notice has one match for each time; empty tables give an empty result; only id
 and text are read.
 """
 
@@ -39,7 +40,7 @@ TEMPLATES = {
 CUE = r"(?i)licen[cs]|permission is|redistribut|copyright|all rights reserved"
 #: words around a cue that belong to its block
 AROUND = 30
-RANKED, DIFFERENCES = 3, 0.1
+DIFFERENCES = 0.1
 
 _WORD = re.compile(r"[^\s]+")
 _NORMAL = re.compile(r"[^\w.-]+|[.]$", re.ASCII)
@@ -65,15 +66,21 @@ def _words(text: str) -> list[str]:
     return [x for w in _WORD.findall(text.lower()) if (x := _NORMAL.sub("", w))]
 
 
-def differences(template: list[str], block: list[str]) -> int:
-    """Words to change, add or drop to find the template in the block."""
-    matched = [m for m in SequenceMatcher(None, block, template, autojunk=False)
-               .get_matching_blocks() if m.size]
-    if not matched:
-        return len(template)
-    common = sum(m.size for m in matched)
-    between = matched[-1].a + matched[-1].size - matched[0].a - common
-    return max(len(template) - common, between)
+def differences(template: list[str], block: list[str]) -> tuple[int, int, int]:
+    """Words to change, add or drop to find the template in the block, and where it is found.
+
+    The closest run of matching pieces counts; a word that also stands elsewhere is left out.
+    """
+    pieces = [m for m in SequenceMatcher(None, block, template, autojunk=False)
+              .get_matching_blocks() if m.size]
+    best = (len(template), 0, 0)
+    for k, first in enumerate(pieces):
+        common = 0
+        for last in pieces[k:]:
+            common += last.size
+            end = last.a + last.size
+            best = min(best, (max(len(template) - common, end - first.a - common), first.a, end))
+    return best
 
 
 class Scanner:
@@ -89,22 +96,27 @@ class Scanner:
         ]
 
     def matches(self, text: str) -> list[dict]:
-        found = []
-        for start, end in blocks(text):
+        found, parts = [], blocks(text)
+        while parts:
+            start, end = parts.pop()
+            own = [(w, start + m.start(), start + m.end()) for m in _WORD.finditer(text[start:end])
+                   if (w := _NORMAL.sub("", m[0].lower()))]
             data = text[start:end].encode()
             size = len(self.alone.compress(data))
-            ranked = sorted(
-                (len(c.compress(data)) / size, name, wording) for name, wording, c in
-                self.templates)
-            own = _words(text[start:end])
-            checked = sorted(
-                (n, ratio, name) for ratio, name, wording in ranked[:RANKED] if ratio < 1
-                if (n := differences(wording, own)) <= DIFFERENCES * len(wording))
+            checked = []
+            for name, wording, compressor in self.templates:
+                ratio = len(compressor.compress(data)) / size
+                if ratio < 1:
+                    n, first, last = differences(wording, [w for w, _, _ in own])
+                    if first < last and n <= DIFFERENCES * len(wording):
+                        checked.append((n, ratio, name, first, last))
             if checked:
-                n, ratio, name = checked[0]
+                n, ratio, name, first, last = min(checked)
                 found.append({"start": start, "end": end, "template": name,
                               "reduction": 1 - ratio, "differences": n})
-        return found
+                parts += [(a, b) for a, b in ((start, own[first][1]), (own[last - 1][2], end))
+                          if a < b and _words(text[a:b])]
+        return sorted(found, key=lambda m: (m["start"], m["end"]))
 
 
 def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES) -> DataFrame:

@@ -138,3 +138,12 @@ def test_license_scan(spark, odd):
     assert got[53] == [lines[0][0], lines[5][0]]
     assert got[54] == ["Apache-2.0"]
     assert license_scan.scan(odd).where("n_blocks > 0").count() == 0
+
+
+def test_all_licenses_of_one_block():
+    scanner = license_scan.Scanner(license_scan.TEMPLATES)
+    wordings = license_scan.TEMPLATES
+    for names in (["Apache-2.0", "CC-BY-NC-4.0"], sorted(wordings), ["MIT", "MIT"]):
+        text = " and some prose between them ".join(wordings[n] for n in names)
+        assert len(license_scan.blocks(text)) == 1
+        assert sorted(m["template"] for m in scanner.matches(text)) == names
