@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from closebook.llm import (
+    byte_bpe,
     decontamination,
     jaccard_join,
     language_id,
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_jaccard_join": jaccard_join.op8,
     "op9_line_dedup": line_dedup.op9,
     "op10_mixing": mixing.op10,
+    "op12_byte_bpe": byte_bpe.op12,
 }
 
 #: the others train, sample, compress or count what their own method finds
