@@ -36,12 +36,12 @@ PART = 1 << 15
 LONG_RUN = 1 << 10
 
 #: fixed values: white space as the pattern's \s has it (the Unicode property White_Space)
-_SPACE = "\t-\r \x85\xa0  -     　"
+_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _RUN = re.compile(f"[{_SPACE}]{{{LONG_RUN},}}")
 #: places where a match ends whatever stands further left or right
 _SAFE = re.compile(
     f"(?<=[^{_SPACE}])(?=[{_SPACE}])"
-    "|(?<=[0-9A-Za-z一-龥])(?=[!-/:-@\\[-`{-~、。，])")
+    "|(?<=[0-9A-Za-z\u4e00-\u9fa5])(?=[!-/:-@\\[-`{-~\u3001\u3002\uff0c])")
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
