@@ -21,10 +21,12 @@ from __future__ import annotations
 
 import base64
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +36,8 @@ from pyspark.sql import types as T
 PART = 1 << 15
 #: runs of white space of at least this length are cut out of long texts
 LONG_RUN = 1 << 10
+#: batches hold texts of about so many bytes, or one longer text
+BATCH_BYTES = 1 << 22
 
 #: fixed values: white space as the pattern's \s has it (the Unicode property White_Space)
 _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -83,13 +87,26 @@ def parts(text: str) -> Iterator[tuple[str, bool]]:
     yield from ((part, False) for part in _cuts(text, first, len(text)))
 
 
-def encode_text(tokens: tiktoken.Encoding, text: str) -> list[int]:
-    if len(text) <= PART:
-        return tokens.encode_ordinary(text)
-    out: list[int] = []
-    for part, match in parts(text):
-        out += tokens._encode_single_piece(part) if match else tokens.encode_ordinary(part)
-    return out
+def encode_text(tokens: tiktoken.Encoding, text: str) -> np.ndarray:
+    """The ids of a whole text."""
+    own = [
+        np.array(tokens._encode_single_piece(part) if match else tokens.encode_ordinary(part),
+                 np.int32)
+        for part, match in parts(text)
+    ]
+    return np.concatenate(own) if own else np.zeros(0, np.int32)
+
+
+def _groups(sizes: Iterable[int], limit: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows that hold about `limit` in sum, always whole rows."""
+    first, total, k = 0, 0, -1
+    for k, size in enumerate(sizes):
+        if total and total + size > limit:
+            yield first, k
+            first, total = k, 0
+        total += size
+    if k >= 0:
+        yield first, k + 1
 
 
 def encode(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id",
@@ -100,9 +117,13 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id"
     def encoded(batches):
         tokens = encoding(rank_file, pattern)
         for batch in batches:
-            ids = [encode_text(tokens, text or "") for text in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(ids, pa.list_(pa.int32()))], [id_col, "ids"])
+            texts = batch.column(1).fill_null("")
+            for first, last in _groups(pc.binary_length(texts).to_pylist(), BATCH_BYTES):
+                ids = [encode_text(tokens, text.as_py()) for text in texts[first:last]]
+                ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0)[first:last],
+                    pa.ListArray.from_arrays(ends, np.concatenate(ids))], [id_col, "ids"])
 
     return source.mapInArrow(encoded, T.StructType([
         source.schema[0], T.StructField("ids", T.ArrayType(T.IntegerType()))]))
@@ -119,9 +140,13 @@ def decode(rows: DataFrame, rank_file: str, pattern: str, ids_col: str = "ids")
     def decoded(batches):
         tokens = encoding(rank_file, pattern)
         for batch in batches:
-            texts = [tokens.decode_bytes(ids or []) for ids in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(texts, pa.binary())], [*batch.schema.names, "decoded"])
+            sizes = pc.fill_null(pc.list_value_length(batch.column(at)), 0).to_pylist()
+            for first, last in _groups(sizes, BATCH_BYTES // 4):
+                part = batch.slice(first, last - first)
+                texts = [tokens.decode_bytes(ids.as_py() or []) for ids in part.column(at)]
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(texts, pa.binary())],
+                    [*batch.schema.names, "decoded"])
 
     return rows.mapInArrow(decoded, T.StructType([
         *rows.schema.fields, T.StructField("decoded", T.BinaryType())]))

@@ -9,6 +9,7 @@ from closebook.llm import (
     language_id,
     license_scan,
     line_dedup,
+    merkle,
     mixing,
     quality_classifier,
     quality_rules,
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_jaccard_join": jaccard_join.op8,
     "op9_line_dedup": line_dedup.op9,
     "op10_mixing": mixing.op10,
+    "op11_merkle_manifest": merkle.op11,
     "op12_byte_bpe": byte_bpe.op12,
 }
 
@@ -36,4 +38,5 @@ ORACLE_SQL: dict[str, str] = {
     "op1_decontamination": sql.DECONTAMINATION,
     "op7_quality_rules": sql.QUALITY_RULES,
     "op8_jaccard_join": sql.JACCARD_JOIN,
+    "op11_merkle_manifest": sql.MERKLE_MANIFEST,
 }

@@ -102,3 +102,75 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
 FROM (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
 LEFT JOIN sizes USING (doc_id)
 """
+
+
+def _leaf(n_chars: str) -> str:
+    """The hash of a row's fields, each behind its length in bytes."""
+    fields = ["doc_id", "source", "lang", n_chars, "text"]
+    written = [f"CAST({field} AS VARCHAR)" for field in fields]
+    return "sha256(" + " || ".join(
+        f"coalesce(strlen({text}) || ':' || {text}, '-')" for text in written) + ")"
+
+
+#: the checksum's polynomial, bit by bit over the bytes of the id as text
+_CRC32 = """xor(list_reduce(
+    list_concat([CAST(4294967295 AS BIGINT)],
+                [CAST(ascii(c) AS BIGINT) FOR c IN string_split(CAST(doc_id AS VARCHAR), '')]),
+    lambda crc, byte: list_reduce(
+        list_concat([xor(crc, byte)], [CAST(0 AS BIGINT) FOR k IN range(8)]),
+        lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)),
+    4294967295)"""
+
+MERKLE_MANIFEST = f"""
+WITH RECURSIVE leaves AS (
+    SELECT doc_id, lang, {_leaf("n_chars")} AS leaf,
+           CASE WHEN {_CRC32} % 7 = 0 THEN {_leaf("n_chars + 1")} ELSE {_leaf("n_chars")} END
+               AS start
+    FROM documents),
+placed AS (
+    SELECT *, row_number() OVER (
+        PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM leaves),
+levels AS (
+    SELECT lang, 0 AS level, list(leaf ORDER BY pos) AS nodes FROM placed GROUP BY lang
+    UNION ALL
+    SELECT lang, level + 1, [sha256(nodes[2 * k + 1] || coalesce(nodes[2 * k + 2], ''))
+                             FOR k IN range((len(nodes) + 1) // 2)]
+    FROM levels WHERE len(nodes) > 1),
+subroots AS (
+    SELECT lang, nodes[1] AS subroot, level AS height,
+           row_number() OVER (ORDER BY CAST(coalesce(lang, '') AS BLOB), lang NULLS FIRST) - 1
+               AS place
+    FROM levels WHERE len(nodes) = 1),
+top_levels AS (
+    SELECT 0 AS level, list(subroot ORDER BY place) AS nodes FROM subroots
+    UNION ALL
+    SELECT level + 1, [sha256(nodes[2 * k + 1] || coalesce(nodes[2 * k + 2], ''))
+                       FOR k IN range((len(nodes) + 1) // 2)]
+    FROM top_levels WHERE len(nodes) > 1),
+rows AS (
+    SELECT row_number() OVER () AS r, placed.*, subroot, height, place,
+           (SELECT nodes[1] FROM top_levels WHERE len(nodes) = 1) AS root
+    FROM placed JOIN subroots ON placed.lang IS NOT DISTINCT FROM subroots.lang),
+met AS (
+    SELECT r, level, coalesce(nodes[xor(pos >> level, 1) + 1], '') AS sibling,
+           (pos >> level) & 1 = 1 AS on_left
+    FROM rows JOIN levels ON rows.lang IS NOT DISTINCT FROM levels.lang WHERE len(nodes) > 1
+    UNION ALL
+    SELECT r, height + level, coalesce(nodes[xor(place >> level, 1) + 1], ''),
+           (place >> level) & 1 = 1
+    FROM rows, top_levels WHERE len(nodes) > 1),
+proofs AS (
+    SELECT r, string_agg(sibling, '' ORDER BY level) AS proof,
+           list({{s: sibling, l: on_left}} ORDER BY level) AS steps FROM met GROUP BY r),
+fold AS (
+    SELECT r, 0 AS done, start AS own, coalesce(steps, []) AS steps
+    FROM rows LEFT JOIN proofs USING (r)
+    UNION ALL
+    SELECT r, done + 1,
+           sha256(CASE WHEN steps[done + 1].l THEN steps[done + 1].s || own
+                       ELSE own || steps[done + 1].s END), steps
+    FROM fold WHERE done < len(steps))
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(proof, '')) AS proof_sha256,
+       own AS folded_root, own = root AS verified
+FROM rows LEFT JOIN proofs USING (r) JOIN fold USING (r) WHERE done = len(fold.steps)
+"""
