@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from closebook.llm import (
     byte_bpe,
+    collocations,
     decontamination,
     jaccard_join,
     language_id,
@@ -31,6 +32,7 @@ QUERIES = {
     "op10_mixing": mixing.op10,
     "op11_merkle_manifest": merkle.op11,
     "op12_byte_bpe": byte_bpe.op12,
+    "op13_collocations": collocations.op13,
 }
 
 #: the others train, sample, compress or count what their own method finds
@@ -39,4 +41,5 @@ ORACLE_SQL: dict[str, str] = {
     "op7_quality_rules": sql.QUALITY_RULES,
     "op8_jaccard_join": sql.JACCARD_JOIN,
     "op11_merkle_manifest": sql.MERKLE_MANIFEST,
+    "op13_collocations": sql.COLLOCATIONS,
 }

@@ -174,3 +174,51 @@ SELECT doc_id, leaf, subroot, root, sha256(coalesce(proof, '')) AS proof_sha256,
        own AS folded_root, own = root AS verified
 FROM rows LEFT JOIN proofs USING (r) JOIN fold USING (r) WHERE done = len(fold.steps)
 """
+
+def _phrases(table: str, columns: str, sizes: list[int]) -> str:
+    """The contiguous phrases of the word lists `w` of a table, one row each."""
+    return " UNION ALL ".join(
+        f"SELECT {columns}, {size} AS k, unnest([array_to_string(w[i:i + {size - 1}], ' ') "
+        f"FOR i IN range(1, len(w) - {size - 2})]) AS phrase FROM {table}" for size in sizes)
+
+
+def _cut_phrases(places: list[int]) -> str:
+    """Both parts of every candidate, cut behind each of its words but the last."""
+    return " UNION ALL ".join(
+        f"SELECT lang, phrase, a, {j} AS j, array_to_string(w[1:{j}], ' ') AS head, "
+        f"array_to_string(w[{j + 1}:k], ' ') AS rest FROM candidates WHERE k > {j}"
+        for j in places)
+
+
+COLLOCATIONS = rf"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(string_split_regex(
+        {_lower("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w
+    FROM documents),
+phrases AS ({_phrases("pieces", "lang", [1, 2, 3, 4])}),
+counts AS (SELECT lang, k, phrase, count(*) AS f FROM phrases GROUP BY lang, k, phrase),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE k = 1 GROUP BY lang),
+candidates AS (
+    SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w
+    FROM counts WHERE k > 1 AND f >= 30),
+swallowed AS (
+    SELECT DISTINCT c.lang, c.phrase
+    FROM candidates c JOIN (
+        {_phrases("candidates", "lang, k AS n_words, a", [2, 3])}) longer
+    ON c.lang = longer.lang AND c.phrase = longer.phrase AND longer.k < longer.n_words
+    WHERE 100 * CAST(longer.a AS HUGEINT) >= 80 * CAST(c.a AS HUGEINT)),
+parted AS ({_cut_phrases([1, 2, 3])}),
+cuts AS (
+    SELECT p.lang, p.phrase, a, j, x.f AS l, y.f AS r,
+           (2000000 * CAST(a AS HUGEINT)) // (CAST(x.f AS HUGEINT) + y.f) AS score
+    FROM parted p JOIN counts x ON x.lang = p.lang AND x.phrase = p.head
+                  JOIN counts y ON y.lang = p.lang AND y.phrase = p.rest),
+scored AS (
+    SELECT * FROM cuts ANTI JOIN swallowed USING (lang, phrase)
+    QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1)
+SELECT lang, row_number() OVER (
+           PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM scored JOIN totals USING (lang)
+QUALIFY rank <= 2000
+"""
