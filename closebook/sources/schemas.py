@@ -76,6 +76,8 @@ FACTS = ("gl_debit_credit", "gl", "contract_activity", "daily_time", "contract_t
 KNOWN_DATES: dict[str, str] = {
     "gl_debit_credit": "tran_date",
     "gl": "tran_date",
+    # sums by day that stand for the first ledger (`rollup.from_rollup`)
+    "ledger_sums": "tran_date",
     "contract_activity": "tran_date",
     "daily_time": "in_time",
     "ar_inquiry": "tran_date",

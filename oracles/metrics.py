@@ -7,13 +7,14 @@ from oracles.views import with_views
 _YTD = "tran_date BETWEEN DATE '{year_start}' AND DATE '{today}'"
 _MONTH = "tran_date BETWEEN DATE '{month_start}' AND DATE '{month_end}'"
 _12M = "tran_date BETWEEN DATE '{start_12m}' AND DATE '{month_end}'"
+# What counts as payable
 PAYABLE = ("is_liability = 1 AND (account_type IN ('Accounts Payable', 'Credit Card Account') "
             "OR code_name = '20700 Overbillings')")
 #: exact cents / 12 rounded half away from zero
 _TWELFTH = ("sign({cents}) * ((2 * abs({cents}) + 12) // 24) / 100.0")
 
 
-def _twelfth(total: str) -> str:
+def twelfth(total: str) -> str:
     return _TWELFTH.format(cents=f"CAST({total} * 100 AS HUGEINT)")
 
 
@@ -102,11 +103,11 @@ METRICS: dict[str, tuple[str, str]] = {
         WHERE status_id = 2 AND (original_value > 0 OR change_orders > 0)
           AND project_number <> '00.000'"""),
     "avg_monthly_idc_12m": ("AvgMonthlyIDCSpendLast12CompleteMonths", f"""
-        SELECT {_twelfth('sum(tran_amount)')}
+        SELECT {twelfth('sum(tran_amount)')}
         FROM gl JOIN cost_codes USING (cost_code_id)
         WHERE number LIKE '9%' AND gl_type_id IN (2, 7, 8, 12, 17, 18, 19, 44, 45) AND {_12M}"""),
     "avg_monthly_cogs_12m": ("AvgMonthlyCOGSSpendLast12CompleteMonths", f"""
-        SELECT {_twelfth('sum(net)')} FROM lines WHERE account_type_id = 5 AND pl AND {_12M}"""),
+        SELECT {twelfth('sum(net)')} FROM lines WHERE account_type_id = 5 AND pl AND {_12M}"""),
     "cash_balance_eom": ("CashBalanceAsOfEOM", """
         SELECT sum(round(net, 2)) FROM lines
         WHERE is_asset = 1 AND account_type_id IN (0, 1, 3) AND tran_date <= DATE '{month_end}'"""),

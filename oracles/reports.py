@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from datetime import date
 
-from oracles.metrics import METRICS, PAYABLE, report_query
+from oracles import history
+from oracles.metrics import METRICS, PAYABLE, report_query, twelfth
 from oracles.views import with_views
 
 _MONTHS = """
@@ -91,18 +92,13 @@ _RATES = """
     FROM earn GROUP BY as_of"""
 
 
-def _twelfth(name: str) -> str:
-    cents = f"CAST({name} * 100 AS HUGEINT)"
-    return f"sign({cents}) * ((2 * abs({cents}) + 12) // 24) / 100.0"
-
-
 def _pct(part: str, whole: str) -> str:
     return f"round(CAST({part} AS DOUBLE) / nullif(CAST({whole} AS DOUBLE), 0), 4)"
 
 
 _FORMULAS = {
-    "avg_monthly_idc_12m": _twelfth("idc"),
-    "avg_monthly_cogs_12m": _twelfth("cogs_12m"),
+    "avg_monthly_idc_12m": twelfth("idc"),
+    "avg_monthly_cogs_12m": twelfth("cogs_12m"),
     "cash_balance_eom": "cash",
     "net_income_last_month": "net_income",
     "ar_mom_delta": "ar_prior - ar",
@@ -268,5 +264,6 @@ def queries(dates: dict[str, str], periods: list[date], sheet_year: int) -> dict
         "department_performance": with_views(_performance()),
         "department_health": with_views(_HEALTH, money=_MONEY, worked=_WORKED),
         "external_metrics": with_views(_external(sheet_year)),
+        **history.queries(_MONTHS, _WEEKS, "SELECT * FROM snap", months),
     }
     return {key: sql.format(**dates) for key, sql in raw.items()}
