@@ -3,17 +3,20 @@ r"""Personal data: patterns, and terms that reveal what the patterns found.
 Base spans are e-mail addresses, IP addresses, card numbers (13 to 19 digits that pass Luhn's
 check) and telephone numbers, found leftmost and without overlap for each kind.
 
-Information-theoretic sanitisation: each different value of a base span is a protected entity e.
-From co-occurrence in lines over the whole corpus, a term t discloses
+Further entities are secrets: keys of known form, and long runs of letters with several digits.
+
+Information-theoretic sanitisation: each different value of a base span or secret is a protected
+entity e.  From co-occurrence in the lines of the whole corpus, a term t near e (within WINDOW
+tokens in the same line, outside e-mail addresses) discloses
 PMI(t, e) = log2(N n(t, e) / (n(t) n(e))) of the IC(e) = -log2(n(e) / N) bits that identify e.
-What stays hidden is IC - PMI = -log2 P(e | t).  A term that leaves at most
-`GENERALISE_BITS` is generalised and one that leaves at most `REMOVE_BITS` is removed, in
-the documents that name the entity.  Terms count only with `LEAST_LINES` different lines as
-evidence, because in a single line everything occurs together.
+What stays hidden is IC - PMI = -log2 P(e | t).  P(e | t) is estimated as
+n(t, e) / (n(t) + SMOOTHING), since what stands in few lines says less than what stands in many.
+A term that leaves at most `GENERALISE_BITS` is generalised and one that leaves at most
+`REMOVE_BITS` is removed, in the documents that name the entity.
 
 Only built-in functions are used.  Positions come from the lengths of the pieces between matches
-(`split` and `regexp_extract_all` walk through a text alike); they count code points, the end is
-exclusive.
+(`split` and `regexp_extract_all` walk through a text alike), added up in blocks, so the work
+follows the length of the text; they count code points, the end is exclusive.
 
 Edge cases: a null text is empty and has no spans; rows are searched one by one and judged by their
 own text (`row`, its hash), whatever their ids; ties do not arise, as each term is judged by
@@ -31,7 +34,7 @@ from closebook.llm.storage import stored
 #: no match: they keep long runs from being tried again from each of their characters.
 _LOCAL = "A-Za-z0-9._%+-"
 PATTERNS = {
-    "email": rf"(?:(?<![{_LOCAL}])|\G)[{_LOCAL}]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "email": rf"(?:(?<![{_LOCAL}])|\G)[{_LOCAL}]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9]++(?:[\x20-][0-9]++)*+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
@@ -50,7 +53,17 @@ VALID = {
     "phone": f"length({_DIGITS}) between 9 and 15",
 }
 TERM = r"\p{L}[\p{L}\p{M}\p{N}]+"
-LEAST_LETTERS, LEAST_LINES = 3, 3
+#: keys of known form, or a long run of letters, digits and joints with four digits at least
+SECRET = (r"(?<![A-Za-z0-9_-])(?:(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9_-])"
+          r"|(?=[A-Za-z0-9_-]{24})(?=[0-9_-]*+[A-Za-z])(?=(?:[A-Za-z_-]*+[0-9]){4})"
+          r"[A-Za-z0-9_-]++(?!@))")
+LEAST_LETTERS = 3
+#: tokens of a line on either side of an entity that count as near it
+WINDOW = 16
+#: lines without the entity that are supposed beside those in which a term was seen
+SMOOTHING = 2
+#: matches whose positions are added up at a time
+BLOCK = 256
 REMOVE_BITS, GENERALISE_BITS = 1.0, 2.0
 
 _SPAN = "struct<kind:string,start:int,end:int,value:string>"
@@ -61,18 +74,28 @@ def _quoted(pattern: str) -> str:
 
 
 def _matches(text: str, pattern: str) -> str:
-    """Matches of a pattern in a text as array<struct<start, end, value>>."""
+    """Matches of a pattern in a text as array<struct<start, end, value>>.
+
+    Adding to an array copies it, so matches are gathered in blocks.
+    """
+    spans = "cast(array() as array<struct<start:int,end:int,value:string>>)"
+    block = f"""aggregate(sequence(k * {BLOCK} + 1, least(size(z.found), (k + 1) * {BLOCK})),
+        named_struct('at', a.at, 'out', {spans}),
+        (b, i) -> named_struct(
+          'at', b.at + length(get(z.pieces, i - 1)) + length(get(z.found, i - 1)),
+          'out', concat(b.out, array(named_struct(
+            'start', b.at + length(get(z.pieces, i - 1)),
+            'end', b.at + length(get(z.pieces, i - 1)) + length(get(z.found, i - 1)),
+            'value', get(z.found, i - 1))))))"""
     return f"""transform(array(struct(split({text}, {_quoted(pattern)}, -1) as pieces,
           regexp_extract_all({text}, {_quoted(pattern)}, 0) as found)),
-        z -> aggregate(sequence(1, size(z.found)), named_struct('at', 0,
-               'out', cast(array() as array<struct<start:int,end:int,value:string>>)),
-          (a, i) -> named_struct(
-            'at', a.at + length(get(z.pieces, i - 1)) + length(get(z.found, i - 1)),
-            'out', concat(a.out, array(named_struct(
-              'start', a.at + length(get(z.pieces, i - 1)),
-              'end', a.at + length(get(z.pieces, i - 1)) + length(get(z.found, i - 1)),
-              'value', get(z.found, i - 1))))),
-          a -> a.out))[0]"""
+        z -> if(size(z.found) = 0, {spans}, aggregate(
+          sequence(0, (size(z.found) - 1) div {BLOCK}),
+          named_struct('at', 0, 'out', cast(array() as array<array<struct<
+            start:int,end:int,value:string>>>)),
+          (a, k) -> transform(array({block}),
+            x -> named_struct('at', x.at, 'out', concat(a.out, array(x.out))))[0],
+          a -> flatten(a.out))))[0]"""
 
 
 def base_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -93,33 +116,51 @@ def base_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return rows.withColumn("spans", F.expr(f"concat({', '.join(parts)})"))
 
 
-def _mentions(found: DataFrame) -> DataFrame:
-    """`doc_id`, `entity`, `line` (a hash) and the other terms of the line, for each base span."""
-    lines = found.select("doc_id", "spans", F.explode(F.split("text", "\n")).alias("line"))
-    named = lines.select("doc_id", "line", F.explode(F.expr(
-        "filter(spans, s -> contains(line, s.value))")).alias("s"))
-    terms = F.expr(f"""filter(array_distinct(transform(regexp_extract_all(
-        replace(line, s.value, ' '), {_quoted(TERM)}, 0), x -> lower(x))),
-        x -> length(x) >= {LEAST_LETTERS})""")
-    return named.select(
-        "doc_id", F.concat_ws(":", "s.kind", F.lower("s.value")).alias("entity"),
-        F.xxhash64("line").alias("line"), terms.alias("terms"),
-    )
+#: tokens of a line, in this order: an address hides the words it is made of.  Here an address
+#: begins behind other characters only: looked for behind each word, long runs would be read again
+_TOKEN = "|".join([rf"(?<![{_LOCAL}])[{_LOCAL}]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
+                   SECRET, PATTERNS["phone"], PATTERNS["ip"], PATTERNS["card"], TERM])
+
 
+def _entities(token: str) -> str:
+    """The entities that a token of a line is, or begins with: `kind:value`, lower case."""
+    kinds = [*((k, f"{token} rlike {_quoted('^(?:' + p + ')$')}", VALID[k])
+               for k, p in PATTERNS.items()),
+             ("secret", f"{token} rlike {_quoted('^' + SECRET + '$')}", "true")]
+    found = ", ".join(
+        f"if({match} and {valid.replace('(v,', f'({token},')}, concat('{kind}:', lower({token})), null)"
+        for kind, match, valid in kinds)
+    return f"filter(array({found}), e -> e is not null)"
 
-def disclosing_terms(docs: DataFrame, found: DataFrame, least_lines: int = LEAST_LINES,
+
+def _mentions(found: DataFrame) -> DataFrame:
+    """`entity`, `term`, `place`: the terms near each entity, once for each line it stands in."""
+    lines = found.select(F.monotonically_increasing_id().alias("document"),
+                         F.posexplode(F.split("text", "\n")).alias("number", "line"))
+    apart = f"regexp_replace(line, {_quoted(PATTERNS['email'])}, ' $0 ')"
+    tokens = lines.select(
+        F.struct("document", "number").alias("place"),
+        F.expr(f"regexp_extract_all({apart}, {_quoted(_TOKEN)}, 0)").alias("tokens"))
+    # an entity with the tokens around it; the line's other tokens stay behind
+    around = tokens.select("place", F.explode(F.expr(f"""filter(transform(tokens, (t, i) ->
+        if(t rlike '[0-9@]', struct(t as token, slice(tokens, greatest(i + 2 - {WINDOW}, 1),
+           least(i, {WINDOW - 1}) + 1 + {WINDOW}) as near), null)), c -> c is not null)""")).alias("c"))
+    near = around.select("place", "c.near", F.explode(F.expr(_entities("c.token"))).alias("entity"))
+    return near.select("entity", "place", F.explode("near").alias("token")).select(
+        "entity", "place", F.lower("token").alias("term")
+    ).where(f"term rlike {_quoted('^' + TERM + '$')} and length(term) >= {LEAST_LETTERS}"
+            f" and not term rlike {_quoted('^' + SECRET + '$')}").distinct()
+
+
+def disclosing_terms(docs: DataFrame, found: DataFrame, smoothing: int = SMOOTHING,
                      generalise_bits: float = GENERALISE_BITS,
                      text_col: str = "text") -> DataFrame:
     """`entity`, `term`, `hidden_bits`, of the terms that reveal an entity.
 
-    `found` are the documents with base spans.  Counts are lines of the whole corpus.
+    `found` are the documents with entities.  Counts are lines of the whole corpus.
     """
-    mentions = _mentions(found)
-    pairs = mentions.select("entity", "line", F.explode("terms").alias("term"))
-    joint = pairs.groupBy("entity", "term", "line").agg(F.count("*").alias("n")) \
-        .groupBy("entity", "term").agg(F.count("*").alias("lines"), F.sum("n").alias("joint")) \
-        .where(F.col("lines") >= least_lines)
-    joint = stored(joint, "joint")
+    joint = stored(_mentions(found).groupBy("entity", "term").agg(
+        F.count("*").alias("joint")), "joint")
     words = docs.select(F.explode(F.split(text_col, "\n")).alias("line")).select(
         F.explode(F.expr(f"""filter(array_distinct(transform(regexp_extract_all(
             line, {_quoted(TERM)}, 0), x -> lower(x))), x -> length(x) >= {LEAST_LETTERS})"""))
@@ -129,42 +170,47 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, least_lines: int = LEAST
     wanted = joint.select("term").distinct()
     # P(e | t) = n(t, e) / n(t): the number of lines and n(e) cancel in IC - PMI
     return joint.join(counts.join(wanted, "term", "left_semi"), "term").select(
-        "entity", "term", (F.log2("with_term") - F.log2("joint")).alias("hidden_bits")
+        "entity", "term",
+        (F.log2(F.col("with_term") + smoothing) - F.log2("joint")).alias("hidden_bits")
     ).where(F.col("hidden_bits") <= generalise_bits)
 
 
 def _term_spans(found: DataFrame, terms: DataFrame) -> DataFrame:
-    """`row`, `added`: places of the disclosing terms outside the base spans, by text."""
-    named = found.select("row", F.explode("spans").alias("s")).select(
+    """`row`, `added`: places of the disclosing terms outside the entities, by text."""
+    texts = found.dropDuplicates(["row"])
+    named = texts.select("row", F.explode(F.concat("spans", "secrets")).alias("s")).select(
         "row", F.concat_ws(":", "s.kind", F.lower("s.value")).alias("entity")).distinct()
     risky = named.join(terms, "entity").groupBy("row", "term").agg(
         F.min("hidden_bits").alias("bits"))
-    marked = risky.groupBy("row").agg(F.map_from_entries(
-        F.collect_list(F.struct("term", "bits"))).alias("risk"))
-    placed = found.join(marked, "row").withColumn(
-        "words", F.expr(_matches("text", TERM)))
-    return placed.select("row", F.expr(f"""transform(
-        filter(words, w -> map_contains_key(risk, lower(w.value))
-          and not exists(spans, s -> s.start < w.end and w.start < s.end)),
-        w -> cast(named_struct(
-          'kind', if(risk[lower(w.value)] <= {REMOVE_BITS}, 'removed', 'general'),
-          'start', w.start, 'end', w.end, 'value', w.value) as {_SPAN}))""").alias("added"))
+    # words one by one, since a lookup in a map walks through it
+    places = texts.join(risky.select("row").distinct(), "row", "left_semi").select(
+        "row", F.explode(F.expr(_matches("text", _TOKEN))).alias("w")
+    ).select("row", "w", F.lower("w.value").alias("term"))
+    return places.join(risky, ["row", "term"]).groupBy("row").agg(F.expr(f"""array_sort(
+        collect_list(cast(named_struct(
+          'kind', if(bits <= {REMOVE_BITS}, 'removed', 'general'),
+          'start', w.start, 'end', w.end, 'value', w.value) as {_SPAN})),
+        (x, y) -> x.start - y.start)""").alias("terms"))
 
 
 def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: `doc_id`, `row`, `spans` (base), `added` (disclosing terms)."""
+    """One row per document: `doc_id`, `row`, `spans` (base), `added` (secrets, then terms)."""
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    every = stored(base_spans(own).select(
-        "doc_id", F.xxhash64("text").alias("row"), "spans",
-        F.when(F.size("spans") > 0, F.col("text")).alias("text")), "personal")
-    some = every.where("size(spans) > 0")
+    none = f"cast(array() as array<{_SPAN}>)"
+    secrets = F.expr(f"""if(text rlike {_quoted(SECRET)}, transform(
+        {_matches('text', SECRET)}, s -> cast(named_struct('kind', 'secret', 'start', s.start,
+        'end', s.end, 'value', s.value) as {_SPAN})), {none})""")
+    every = stored(base_spans(own).withColumn("secrets", secrets).select(
+        "doc_id", F.xxhash64("text").alias("row"), "spans", "secrets",
+        F.when(F.size("spans") + F.size("secrets") > 0, F.col("text")).alias("text")), "personal")
+    some = every.where("size(spans) + size(secrets) > 0")
     terms = disclosing_terms(own, some)
-    added = stored(_term_spans(some, terms).where("size(added) > 0").distinct(), "terms")
-    none = F.array().cast(f"array<{_SPAN}>")
-    marked = some.join(added, "row", "left").select(
-        "doc_id", "row", "spans", F.coalesce("added", none).alias("added"))
-    return marked.unionByName(every.where("size(spans) = 0").select(
-        "doc_id", "row", "spans", none.alias("added")))
+    placed = stored(_term_spans(some, terms), "terms")
+    marked = some.join(placed, "row", "left").select(
+        "doc_id", "row", "spans",
+        F.concat("secrets", F.coalesce("terms", F.expr(none))).alias("added"))
+    return marked.unionByName(every.where("size(spans) + size(secrets) = 0").select(
+        "doc_id", "row", "spans", F.expr(none).alias("added")))
 
 
 def sanitised(docs: DataFrame, found: DataFrame) -> DataFrame:
@@ -194,6 +240,8 @@ def op2(spark, sf_dir: str) -> DataFrame:
         F.col("doc_id"),
         *[F.expr(f"cast(size(filter(spans, s -> s.kind = '{k}')) as bigint)").alias(f"n_{k}")
           for k in PATTERNS],
+        F.expr("cast(size(filter(added, s -> s.kind = 'secret')) as bigint)").alias("n_secret"),
+        F.expr("size(spans) + size(added) > 0").alias("personal"),
         F.sha2(joined("spans"), 256).alias("base_sha256"),
         joined("concat(spans, added)").alias("spans"),
     )
