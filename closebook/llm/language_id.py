@@ -7,11 +7,11 @@ through a rectifier to a softmax over the languages.  A text's language is that
 greatest mean probability over all its windows, and this mean is its score.
 
 Fitting uses about `SAMPLE_PER_LANGUAGE` labelled texts of each language, chosen by a hash of the
-id, and at most `WINDOWS_PER_TEXT` evenly spaced windows of each, by Adam in numpy.  Prediction
-covers every window of every text in one pass without a shuffle.
+id, and about `WINDOWS_PER_LANGUAGE` of all their windows, drawn by a hash from the whole texts, by
+Adam in numpy.  Prediction covers every window of every text in one pass without a shuffle.
 
 Edge cases: a null text and one without a letter are `und` with score 0, as is every text when
-no labelled text is given; null languages and rows without id are not learned; ties go to the language that sorts
+no labelled text is given; null languages and rows without id are not learned, and such rows are not held out; ties go to the language that sorts
 first; an empty table gives an empty result; only id and text are read for a prediction.
 """
 
@@ -30,7 +30,7 @@ from closebook.llm.sampling import remainder
 
 WINDOW = 128
 WIDTHS, FILTERS = (2, 3, 4), 8
-SAMPLE_PER_LANGUAGE, WINDOWS_PER_TEXT = 400, 12
+SAMPLE_PER_LANGUAGE, WINDOWS_PER_LANGUAGE = 400, 4800
 STEPS, BATCH, RATE = 500, 256, 0.02
 #: windows worked on at once
 AT_ONCE = 2048
@@ -140,24 +140,38 @@ def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Network |
         for batch in batches:
             data, offsets = words.text_bytes(batch.column(1))
             x, counts = windows(data, offsets)
-            first, parts = 0, []
-            for n in counts:
-                pick = np.unique(np.linspace(0, n - 1, min(n, WINDOWS_PER_TEXT)).astype(int))
-                parts.append(x[first + pick].tobytes())
-                first += n
+            seed = np.repeat(batch.column(3).to_numpy().view(np.uint64), counts)
+            number = np.arange(len(x)) - np.repeat(np.cumsum(counts) - counts, counts)
+            drawn = words.mix(seed + number.astype(np.uint64)) >> np.uint64(34)
+            taken = drawn < np.repeat(batch.column(4).to_numpy() * 2**30, counts)
+            ends = np.cumsum(counts)
             yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column(0), "x": pa.array(parts, pa.binary()),
+                "doc_id": batch.column(0),
+                "x": pa.array([x[e - n:e][taken[e - n:e]].tobytes()
+                               for n, e in zip(counts, ends, strict=True)], pa.binary()),
                 "lang": batch.column(2)})
     known = docs.where("doc_id is not null and lang is not null and text rlike '\\\\p{L}'").select(
         F.col("doc_id").cast("bigint"), "text", "lang")
     counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
     if not counts:
         return None
-    # a language's texts enter by a hash of the id, at a rate that expects `per_language` of them
-    bound = F.create_map(*[F.lit(v) for lang, n in counts.items()
-                           for v in (lang, min(1.0, per_language / n))])[F.col("lang")]
-    chosen = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 30)) < bound * (1 << 30)
-    found = known.where(chosen).mapInArrow(cut, "doc_id bigint, x binary, lang string").collect()
+    def rates(wanted: int, sums: dict[str, int]):
+        """For each language the share that is expected to give as many as wanted."""
+        return F.create_map(*[F.lit(v) for lang, n in sums.items()
+                              for v in (lang, min(1.0, wanted / n))])[F.col("lang")]
+
+    # a language's texts enter by a hash of the id, their windows by a hash of text and place
+    chosen = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 30)) \
+        < rates(per_language, counts) * (1 << 30)
+    texts = known.where(chosen)
+    held = {r["lang"]: r["n"] for r in texts.groupBy("lang").agg(
+        F.sum(F.expr(f"(octet_length(text) + {WINDOW - 1}) div {WINDOW}")).alias("n")).collect()}
+    if not held:
+        return None
+    found = texts.select(
+        "doc_id", "text", "lang", F.xxhash64("doc_id", "text").alias("seed"),
+        rates(WINDOWS_PER_LANGUAGE, held).alias("rate")
+    ).mapInArrow(cut, "doc_id bigint, x binary, lang string").where("octet_length(x) > 0").collect()
     found.sort(key=lambda r: (r["doc_id"], r["x"]))
     languages = sorted({r["lang"] for r in found})
     x = [np.frombuffer(r["x"], np.uint8).reshape(-1, WINDOW) for r in found]
@@ -204,4 +218,4 @@ def op5(spark, sf_dir: str) -> DataFrame:
     fold = remainder("doc_id", FOLDS)
     net = train(docs.where(fold != HELD_OUT))
     return predict(docs, net).select(
-        "doc_id", (fold == HELD_OUT).alias("held_out"), "lang_pred", "score")
+        "doc_id", F.coalesce(fold == HELD_OUT, F.lit(False)).alias("held_out"), "lang_pred", "score")

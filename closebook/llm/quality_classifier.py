@@ -29,7 +29,10 @@ from closebook.llm import words
 from closebook.llm.sampling import labelled_sample
 
 BUCKETS = 8192
-SAMPLE_PER_GRADE = 1500
+#: documents of each grade that are fitted on, and of all grades together
+SAMPLE_PER_GRADE, SAMPLE = 1500, 6000
+#: more different grades than these are refused
+MOST_GRADES = 1000
 STEPS, RATE, DECAY = 250, 0.1, 1e-4
 #: statistics of the words, each in tenths
 STATISTICS, TENTHS = 3, 11
@@ -140,7 +143,10 @@ def fit(x: np.ndarray, grade: np.ndarray) -> OrdinalModel:
 
 def train(docs: DataFrame, ratings: DataFrame, per_grade: int = SAMPLE_PER_GRADE,
           id_col: str = "doc_id") -> OrdinalModel:
-    """A model from `ratings` (id, grade) of documents."""
+    """A model from `ratings` (id, grade) of documents.
+
+    Every grade is learned, from at most `per_grade` documents and an even share of `SAMPLE`.
+    """
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = words.text_bytes(batch.column(1))
@@ -160,11 +166,14 @@ def train(docs: DataFrame, ratings: DataFrame, per_grade: int = SAMPLE_PER_GRADE
                 })
     ratings = ratings.where("grade is not null").select(
         id_col, F.col("grade").cast("int").alias("label"))
-    grades = [r[0] for r in ratings.select("label").distinct().orderBy("label").limit(64)
-              .collect()]
+    grades = [r[0] for r in ratings.select("label").distinct().limit(MOST_GRADES + 1).collect()]
     if not grades:
         return fit(np.zeros((0, WIDTH), np.float32), np.zeros(0, int))
-    sample = labelled_sample(docs, ratings, grades, per_grade, id_col).select(
+    if len(grades) > MOST_GRADES:
+        raise ValueError(f"more than {MOST_GRADES} different grades: "
+                         f"{ratings.select('label').distinct().count()}")
+    per_grade = max(1, min(per_grade, SAMPLE // len(grades)))
+    sample = labelled_sample(docs, ratings, sorted(grades), per_grade, id_col).select(
         F.col(id_col).cast("bigint"), "text", "label")
     found = sample.mapInArrow(
         rows, "doc_id bigint, place binary, value binary, label int").collect()

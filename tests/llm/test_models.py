@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from closebook.llm import language_id, license_scan, quality_classifier, toxicity
-from tests.conftest import MEDIUM
+from tests.conftest import MEDIUM, TESTDATA
 
 ODD = [(1, None, None, 1), (2, "", "x", 1), (3, "12 34", "x", 2), (3, "12 34", "x", 2),
        (None, "abc def", None, 1), (4, "word " * 30000, "x", 1)]
@@ -75,12 +75,52 @@ def test_toxicity_locates_what_labels_only_mark_by_document(spark):
 
 
 def test_toxicity_on_held_out_documents(spark):
-    labels = spark.read.parquet(f"{MEDIUM}/labels.parquet")
-    got = toxicity.op6(spark, MEDIUM)
-    assert got.count() == 1000
-    row = got.join(labels, "doc_id").where("toxic = 0").agg(
-        F.avg("predicted").alias("wrong")).first()
-    assert row["wrong"] <= 0.1
+    large = f"{TESTDATA}/sf0.1"  # the smaller tables hold out six toxic documents
+    labels = spark.read.parquet(f"{large}/labels.parquet")
+    got = toxicity.op6(spark, large)
+    assert got.count() == 10_000
+    held = got.where("held_out").join(labels, "doc_id").groupBy("toxic").agg(
+        F.avg("predicted").alias("said"), F.count("*").alias("n"))
+    said = {r["toxic"]: r["said"] for r in held.collect() if r["n"]}
+    assert said[0] <= 0.1 and said[1] >= 0.6
+    no_id = spark.createDataFrame([(None, "x")], "doc_id bigint, text string")
+    assert no_id.select(F.coalesce(toxicity.remainder("doc_id", 5) == 0, F.lit(False))).first()[0] is False
+
+
+def test_toxicity_learns_from_ten_documents(spark):
+    rows = [(k, f"fine words here number {k}. " + ("you grumble" if k % 2 else "all good"))
+            for k in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    marks = docs.selectExpr("doc_id", "CAST(doc_id % 2 AS INT) AS toxic")
+    scores = {r["doc_id"]: r["score"] for r in
+              toxicity.score(docs, toxicity.train(docs, marks)).collect()}
+    assert min(scores[k] for k in (1, 3, 5, 7, 9)) > 0.5 > max(scores[k] for k in (0, 2, 4, 6, 8))
+
+
+def test_quality_learns_every_grade(spark):
+    docs = spark.createDataFrame([(k, f"text {k} " * (k + 1)) for k in range(70)],
+                                 "doc_id bigint, text string")
+    model = quality_classifier.train(docs, docs.selectExpr("doc_id", "CAST(doc_id AS INT) AS grade"))
+    assert model.grades == list(range(70))
+    many = spark.range(2000).selectExpr("id AS doc_id", "CAST(id AS INT) AS grade")
+    with pytest.raises(ValueError, match="2000"):
+        quality_classifier.train(docs, many)
+
+
+def test_language_shows_late(spark):
+    """Windows are drawn from whole texts: what differs stands behind 100 KB of digits."""
+    draw = np.random.default_rng(3)
+    rows = []
+    for k in range(40):
+        letters = "abc" if k % 2 else "xyz"
+        words_ = " ".join("".join(draw.choice(list(letters), 6)) for _ in range(2000))
+        rows.append((k, "0 " * 50_000 + words_, "p" if k % 2 else "q"))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    net = language_id.train(docs)
+    asked = spark.createDataFrame([(1, "abcabc cba bac"), (2, "xyzzy zyx xxyz")],
+                                  "doc_id bigint, text string")
+    got = {r["doc_id"]: r["lang_pred"] for r in language_id.predict(asked, net).collect()}
+    assert got == {1: "p", 2: "q"}
 
 
 def test_toxicity_edges(spark, odd):
