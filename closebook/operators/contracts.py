@@ -25,7 +25,10 @@ def wip_totals(rel: Relations, dates: Mapping[str, date]) -> DataFrame:
     `dates` maps a column suffix to a date; all dates are answered by one pass
     over the contract activity, one row per contract.  With several dates the
     activity is first summed between them, so a line enters each sum once.
+    A given function of a date is asked for all of them instead.
     """
+    if "wip_totals" in rel.given:
+        return _given_totals(rel, dates)
     ends = sorted(set(dates.values()))
     moved = rel.contract_activity.filter(f"tran_date <= {literal(ends[-1])}")
     if len(ends) > 1:
@@ -41,6 +44,18 @@ def wip_totals(rel: Relations, dates: Mapping[str, date]) -> DataFrame:
     return rel.contract_values.join(moved.groupBy("contract_id").agg(*sums), "contract_id", "left")
 
 
+def _given_totals(rel: Relations, dates: Mapping[str, date]) -> DataFrame:
+    """The totals that a function of a date returns; the value is that of the last date."""
+    ends = sorted(set(dates.values()))
+    value = Measure("original_value", "original_value", f"as_of = {literal(ends[-1])}")
+    totals = [
+        Measure(f"{name}{suffix}", name, f"as_of = {literal(end)}")
+        for suffix, end in dates.items() for name in ("change_orders", "total_amount")
+    ]
+    return rel.given["wip_totals"](ends).groupBy("contract_id").agg(
+        *[measure.sum() for measure in (value, *totals)])
+
+
 def contract_positions(rel: Relations, dates: Mapping[str, date]) -> DataFrame:
     """`wip_totals` of the contracts that have a project."""
     return rel.projects.join(wip_totals(rel, dates), "contract_id")

@@ -99,6 +99,9 @@ def aging_bucket(rel: Relations, as_of: AsOf, name: str) -> DataFrame:
 
 def unbilled_retainage(rel: Relations, as_of: AsOf) -> DataFrame:
     """Retainage not yet billed as of the run date."""
+    if "ar_aging" in rel.given:
+        return rel.given["ar_aging"]([as_of.today]).agg(
+            F.sum("unpaid_retainage").alias("retainage"))
     return rel.retainage.filter(f"tran_date <= {literal(as_of.today)}").agg(
         F.sum("unpaid_retainage").alias("retainage")
     )

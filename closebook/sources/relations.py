@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,14 +23,21 @@ class Relations:
     """
 
     def __init__(self, tables: Mapping[str, DataFrame | Callable[[], DataFrame]],
-                 overbillings: str = OVERBILLINGS, in_staff_accounts: Iterable | None = None):
+                 overbillings: str = OVERBILLINGS, in_staff_accounts: Iterable | None = None,
+                 given: Mapping[str, Callable[[Sequence[date]], DataFrame]] | None = None):
         """`overbillings` names the account that counts as payable besides the payable types;
         `in_staff_accounts` are the ids of in-staff labour accounts, by default those that
         `accounts.is_in_staff` marks.  Every operator follows these settings.
+
+        `given` are relations that are functions of a date, for sources that offer totals and no
+        movements.  A function is asked once for all dates that an operator wants and returns its
+        rows with `as_of`: `wip_totals` (contract_id, original_value, change_orders,
+        total_amount) and `ar_aging` (unpaid_retainage).
         """
         self._tables = dict(tables)
         self.overbillings = overbillings
         self.in_staff_accounts = None if in_staff_accounts is None else tuple(in_staff_accounts)
+        self.given = dict(given or {})
 
     def __contains__(self, name: str) -> bool:
         return name in self._tables
@@ -55,7 +62,13 @@ class Relations:
         return self[next(iter(self))].sparkSession
 
     def replace(self, **tables: DataFrame | Callable[[], DataFrame]) -> Relations:
-        return Relations({**self._tables, **tables}, self.overbillings, self.in_staff_accounts)
+        return Relations({**self._tables, **tables}, self.overbillings, self.in_staff_accounts,
+                         self.given)
+
+    def with_functions(self, **given: Callable[[Sequence[date]], DataFrame]) -> Relations:
+        """The same relations with functions of a date in the place of their movements."""
+        return Relations(self._tables, self.overbillings, self.in_staff_accounts,
+                         {**self.given, **given})
 
     def known_by(self, as_of: date) -> Relations:
         """Only rows dated on or before `as_of` or not at all, for restating a past date.

@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+from datetime import date
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
+
+from closebook.functions.scalars import literal
 from closebook.sources.relations import Relations
 
 _WIP_TOTALS = """
@@ -41,3 +48,16 @@ def register(rel: Relations) -> None:
     for name, function in (("contract_values", _WIP_TOTALS), ("retainage", _AR_AGING)):
         kind = rel[name].schema["contract_id"].dataType.simpleString()
         spark.sql(function.format(contract=kind))
+
+
+def given_function(spark: SparkSession, call: str) -> Callable[[Sequence[date]], DataFrame]:
+    """A table function known to SQL as a relation of dates, for `Relations.with_functions`.
+
+    `call` is the call with `{day}` in the place of the date, as `wip_totals({day})` or
+    `ar_aging({day}, {day})`.  All dates are asked in one query.
+    """
+    def asked(dates: Sequence[date]) -> DataFrame:
+        return reduce(DataFrame.unionByName, [
+            spark.sql(f"SELECT {literal(day)} AS as_of, * FROM {call.format(day=literal(day))}")
+            for day in dates])
+    return asked

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from oracles.metrics import METRICS
+from collections.abc import Callable
+from datetime import date, timedelta
+
+from oracles.metrics import METRICS, metric_row, report_query
 from oracles.views import with_views
 
 #: fixed values: the metrics of each history, as sums by date of the views below
@@ -178,3 +181,34 @@ def queries(months: str, weeks: str, snapshot: str, snapshot_views: dict[str, st
         "aging_history": _dated(AGING, RECEIVABLE_MONTHS),
         "monthly_history": with_views(whole, dates=months, **views),
     }
+
+
+#: the tasks that the first captures did not have yet
+_TASKS = "l_suppkey % 5 <> 0"
+_LATE_TASKS = f"{_TASKS} AND CAST(l_extendedprice AS DECIMAL(18,2)) > 30000"
+
+
+def captured(weeks: list[date], corrected: date, dates_of: Callable[[date], dict[str, str]]) -> str:
+    """Two weeks captured on the day after each, the first again when its tasks were complete."""
+    def report(week: date, captured_on: date, known_on: date) -> str:
+        sql = with_views(report_query()).format(**dates_of(week))
+        if captured_on != corrected:
+            sql = sql.replace(_TASKS, _LATE_TASKS)
+        return (f"SELECT DATE '{known_on}' AS known_on, 'week' AS grain, DATE '{week}' AS as_of, "
+                f"DATE '{captured_on}' AS captured_on, * FROM ({sql})")
+
+    first, second = weeks
+    days = [week + timedelta(days=1) for week in weeks]
+    return " UNION ALL ".join([
+        report(first, days[0], days[0]), report(first, days[0], days[1]),
+        report(second, days[1], days[1]), report(first, corrected, corrected),
+        report(second, days[1], corrected)])
+
+
+#: fixed values: the metrics that functions of a date determine
+GIVEN = ("open_backlog", "budget_open_wip_eom", "wip_revised_value", "unbilled_retainage")
+
+
+def given(dates: dict[str, str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT * FROM ({with_views(metric_row(*METRICS[key])).format(**dates)})" for key in GIVEN)

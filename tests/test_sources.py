@@ -192,3 +192,25 @@ def test_readers_refuse_what_would_change_amounts(spark, make, tmp_path):
     assert budget(money("0.1234"), "decimal(18,4)") == money("0.1234")
     with pytest.raises(Exception, match="does not hold 0.125"):
         budget(0.125, "double")
+
+
+def test_functions_of_a_date_replace_movements(spark, small, as_of):
+    """The same metrics from totals that table functions return, asked once for all dates."""
+    sql_views.register(small)
+    asked = []
+    totals = sql_views.given_function(spark, "wip_totals({day})")
+
+    def counted(dates):
+        asked.append(list(dates))
+        return totals(dates)
+    given = small.replace(
+        contract_activity=small.contract_activity.limit(0), retainage=small.retainage.limit(0)
+    ).with_functions(wip_totals=counted,
+                     ar_aging=sql_views.given_function(spark, "ar_aging({day}, {day})"))
+    for key in ("open_backlog", "budget_open_wip_eom", "wip_revised_value", "unbilled_retainage"):
+        assert values(report.kpi(given, as_of, key)) == values(report.kpi(small, as_of, key))
+    assert {r[0] for r in contracts.open_contracts(given, as_of.today).collect()} == {
+        r[0] for r in contracts.open_contracts(small, as_of.today).collect()}
+    asked.clear()
+    assert values(report.kpi_report(given, as_of)) == values(report.kpi_report(small, as_of))
+    assert asked == [[as_of.month_end, as_of.today]]
