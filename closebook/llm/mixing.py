@@ -17,7 +17,7 @@ of that block are turned over to make up for it.
 Draws follow a hash of the block and the ids, so that reruns agree.
 
 Edge cases: a null or empty text has size 0 and costs nothing; null is a source of its own; a
-source of size 0 has target 0 and takes nothing; repeated rows and ids are separate units; an
+source of size 0 has target 0 and takes nothing; equal rows (id, source, size) are one counted unit; an
 empty table gives an empty result; only id, text and source are read.
 """
 
@@ -39,7 +39,10 @@ TURNS = 3
 #: probabilities this close to 0 or 1 are decided
 NEAR = 1e-9
 
-UNITS = "rank bigint, unit bigint, doc_id bigint, size bigint, share double, taken int"
+UNITS = ("rank bigint, unit bigint, doc_id bigint, size bigint, share double, taken int, "
+         "n bigint, sure bigint")
+#: equal rows that are written out at a time
+CHUNK = 1 << 16
 
 
 def with_sizes(docs: DataFrame) -> DataFrame:
@@ -143,7 +146,7 @@ def _fly(land: bool):
         sizes = rows["size"].tolist()
         shares = flight(sizes, rows["share"].tolist(), draw)
         rows["share"] = landing(sizes, shares) if land else shares
-        return rows[["rank", "unit", "doc_id", "size", "share", "taken"]]
+        return rows[["rank", "unit", "doc_id", "size", "share", "taken", "n", "sure"]]
     return run
 
 
@@ -152,11 +155,14 @@ def mix(docs: DataFrame, cycle: Iterable[int] = CYCLE, most: int = MOST) -> Data
     sized = stored(with_sizes(docs), "sizes")
     wanted = stored(targets(sized, cycle, most), "targets")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    # repeated ids stay apart by chance only; a unit is a position in the hash order
-    units = sized.join(wanted, sized["source"].eqNullSafe(wanted["source"])).select(
+    # n equal rows of share p are n p taken for sure, rounded down, and one unit of what is left;
+    # a unit is a position in the hash order
+    equal = sized.groupBy("source", "doc_id", "size").agg(F.count("*").alias("n"))
+    part = F.col("n") * (rate - F.floor(rate))
+    units = equal.join(wanted, equal["source"].eqNullSafe(wanted["source"])).select(
         "rank", F.xxhash64("doc_id", "size").alias("unit"), "doc_id", "size",
-        (rate - F.floor(rate)).alias("share"), F.floor(rate).cast("int").alias("taken"),
-        F.ceil(F.col("units") / BLOCK_UNITS).alias("blocks"))
+        (part - F.floor(part)).alias("share"), F.floor(rate).cast("int").alias("taken"), "n",
+        F.floor(part).alias("sure"), F.ceil(F.col("units") / BLOCK_UNITS).alias("blocks"))
     decided, level = [], 0
     blocks = wanted.agg(F.max(F.ceil(F.col("units") / BLOCK_UNITS))).first()[0] or 0
     while True:
@@ -177,9 +183,15 @@ def mix(docs: DataFrame, cycle: Iterable[int] = CYCLE, most: int = MOST) -> Data
     every = decided[0]
     for part in decided[1:]:
         every = every.unionByName(part)
-    return every.join(wanted, "rank").select(
+    # equal rows in chunks, which several tasks write out
+    chunks = every.withColumn("first", F.explode(F.expr(
+        f"sequence(1L, n, {CHUNK}L)"))).repartition("rank", "doc_id", "size", "first")
+    rows = chunks.withColumn("place", F.explode(F.expr(
+        f"sequence(first, least(n, first + {CHUNK - 1}))")))
+    return rows.join(wanted, "rank").select(
         "doc_id", "source", "size", "source_size", "target",
-        (F.col("taken") + F.col("share").cast("int")).alias("copies"))
+        (F.col("taken") + (F.col("place") <= F.col("sure") + F.col("share")).cast("int"))
+        .alias("copies"))
 
 
 def op10(spark, sf_dir: str) -> DataFrame:

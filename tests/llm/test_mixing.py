@@ -77,3 +77,21 @@ def test_edges(spark):
     assert got.count() == 5
     assert got.where("copies < 0 or copies > 3").count() == 0
     assert mixing.mix(docs.limit(0)).count() == 0
+
+
+def test_equal_rows_are_one_counted_unit(spark, monkeypatch):
+    """A third of all rows equal: no task gets them one by one, and the mix still comes near."""
+    monkeypatch.setattr(mixing, "CHUNK", 100)
+    flown = []
+    monkeypatch.setattr(mixing, "stored", lambda frame, purpose: (
+        flown.append(frame.cache()) or frame if purpose == "flight" else frame.cache()))
+    rows = [(7, "a b c", "hot")] * 3000 + [(k, "w " * (k % 9), f"s{k % 3}") for k in range(100, 6100)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = mixing.mix(docs)
+    assert got.count() == len(rows)
+    assert flown[0].where("size = 3 and doc_id = 7").count() == 1
+    sums = got.groupBy("source").agg(F.sum(F.expr("size * copies")).alias("taken"),
+                                     F.first("target").alias("target"))
+    for r in sums.collect():
+        assert abs(r["taken"] - r["target"]) <= 0.01 * r["target"] + 9
+    assert got.where("copies < 0 or copies > 3").count() == 0
