@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from closebook.calendar import AsOf
+from closebook.operators.controls import observed, refuse_losses
 from closebook.operators.report import kpi_report
 from closebook.sources.relations import Relations
 
@@ -46,3 +47,28 @@ def refresh(rel: Relations, as_of: AsOf, path: str, grain: str = "day",
     store_snapshot(
         report.withColumns({"grain": F.lit(grain), "as_of": F.lit(as_of.today)}), path
     )
+
+
+CONTROLS = "lines BIGINT, net DECIMAL(38,6), lines_without_date BIGINT, grain STRING, as_of DATE"
+
+
+def checked_refresh(rel: Relations, as_of: AsOf, path: str, grain: str = "day") -> None:
+    """`refresh` under `path`/reports, with control totals of the same pass under `path`/controls.
+
+    Nothing is stored, and `LostLines` is raised, if the ledger has fewer lines than at the refresh
+    of an earlier date.  The report has 36 rows, which wait for the comparison.
+    """
+    watched, seen = observed(rel)
+    report = kpi_report(watched, as_of)
+    rows = report.collect()
+    spark, now = rel.spark, {name: value or 0 for name, value in seen.get.items()}
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/controls")
+    if folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        before = spark.read.schema(CONTROLS).parquet(f"{path}/controls").filter(
+            F.col("as_of") <= F.lit(as_of.today)).agg(F.max("lines").alias("lines")).first()
+        refuse_losses(before.asDict(), now)
+    refresh(rel, as_of, f"{path}/reports", grain, spark.createDataFrame(rows, report.schema))
+    totals = (int(now["lines"]), str(now["net"]), int(now["lines_without_date"]), grain, as_of.today)
+    store_snapshot(spark.createDataFrame([totals], "lines LONG, net STRING, lines_without_date LONG, "
+                                         "grain STRING, as_of DATE").withColumn(
+        "net", F.col("net").cast("decimal(38,6)")), f"{path}/controls")

@@ -248,6 +248,22 @@ def _external(year: int) -> str:
         GROUP BY o_orderpriority, last_day(CAST(o_orderdate AS DATE))"""
 
 
+_CONTROLS = """
+    SELECT unnest(['lines', 'net', 'lines_without_account', 'net_without_account',
+                   'lines_without_date', 'lines_not_profit_and_loss',
+                   'result_lines_without_contract', 'result_net']) AS total,
+           unnest([CAST(count(*) AS DOUBLE), CAST(ifnull(sum(net), 0) AS DOUBLE),
+                   CAST(count(*) FILTER (WHERE a_id IS NULL) AS DOUBLE),
+                   CAST(ifnull(sum(net) FILTER (WHERE a_id IS NULL), 0) AS DOUBLE),
+                   CAST(count(*) FILTER (WHERE tran_date IS NULL) AS DOUBLE),
+                   CAST(count(*) FILTER (WHERE NOT pl) AS DOUBLE),
+                   CAST(count(*) FILTER (WHERE pl AND contract_id IS NULL AND result) AS DOUBLE),
+                   CAST(ifnull(sum(net) FILTER (WHERE pl AND result), 0) AS DOUBLE)]) AS value
+    FROM (SELECT g.*, a.account_id AS a_id, ifnull(debit, 0) - ifnull(credit, 0) AS net,
+                 gl_type_id NOT IN (67, 68, 69) AS pl, account_type_id IN (5, 9) AS result
+          FROM gl_debit_credit g LEFT JOIN accounts a ON a.account_id = g.account_id)"""
+
+
 def queries(dates: dict[str, str], periods: list[date], sheet_year: int) -> dict[str, str]:
     months, weeks = _snapshot_views(_MONTHS), _snapshot_views(_WEEKS)
     raw = {
@@ -263,6 +279,7 @@ def queries(dates: dict[str, str], periods: list[date], sheet_year: int) -> dict
         "morale_by_department": with_views(_MORALE),
         "department_performance": with_views(_performance()),
         "department_health": with_views(_HEALTH, money=_MONEY, worked=_WORKED),
+        "control_totals": with_views(_CONTROLS),
         "external_metrics": with_views(_external(sheet_year)),
         **history.queries(_MONTHS, _WEEKS, "SELECT * FROM snap", months),
     }
