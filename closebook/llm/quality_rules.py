@@ -20,6 +20,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from closebook.llm.storage import stored
+
 #: rules, as conditions on the measurements that are true for a failing document; bit k is rule k
 RULES: dict[str, str] = {
     "few_words": "n_words < 50",
@@ -115,6 +117,15 @@ def ablations(rows: DataFrame, policies: Mapping[str, tuple[str, ...]] = POLICIE
     )
 
 
+def rule_ablations(spark, sf_dir: str) -> DataFrame:
+    """`ablations` of every policy version, from the stored ledger of the whole table.
+
+    The texts are measured once; the stored bits answer every policy.
+    """
+    rows = ledger(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return ablations(stored(rows, "ledger"))
+
+
 def op7(spark, sf_dir: str) -> DataFrame:
     rows = ledger(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     base = F.col("failed").bitwiseAND(F.lit(mask(POLICIES["1"]))) != 0

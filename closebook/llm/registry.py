@@ -27,6 +27,7 @@ QUERIES = {
     "op5_language_id": language_id.op5,
     "op6_toxicity": toxicity.op6,
     "op7_quality_rules": quality_rules.op7,
+    "rule_ablations": quality_rules.rule_ablations,
     "op8_jaccard_join": jaccard_join.op8,
     "op9_line_dedup": line_dedup.op9,
     "op10_mixing": mixing.op10,
@@ -39,6 +40,7 @@ QUERIES = {
 ORACLE_SQL: dict[str, str] = {
     "op1_decontamination": sql.DECONTAMINATION,
     "op7_quality_rules": sql.QUALITY_RULES,
+    "rule_ablations": sql.RULE_ABLATIONS,
     "op8_jaccard_join": sql.JACCARD_JOIN,
     "op11_merkle_manifest": sql.MERKLE_MANIFEST,
     "op13_collocations": sql.COLLOCATIONS,

@@ -45,7 +45,7 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
 """
 
-QUALITY_RULES = rf"""
+_JUDGED = rf"""
 WITH d AS (
     SELECT *, [x FOR x IN string_split(t, chr(10)) IF regexp_matches(x, {_BLANK_WORDS})] AS l
     FROM ({_rows(_BLANK_WORDS, lower=False)})),
@@ -75,12 +75,27 @@ judged AS (
                THEN 16 ELSE 0 END
         + CASE WHEN 100 * n_exclamations > 30 * n_words THEN 32 ELSE 0 END
         + CASE WHEN 100 * n_letters < 50 * word_chars THEN 64 ELSE 0 END AS BIGINT) AS failed
-    FROM measured)
+    FROM measured)"""
+
+QUALITY_RULES = rf"""{_JUDGED}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        failed & 3 <> 0 AS base_failed, failed = 0 AS kept, failed
 FROM judged
 """
 
+#: fixed values: the rules in the order of their bits, and how many of them each policy has
+_RULES = ("few_words", "repeated_windows", "symbols", "repeated_lines", "word_length",
+          "exclamations", "few_letters")
+_POLICIES = {"1": 2, "2": 7}
+
+RULE_ABLATIONS = _JUDGED + "\n" + " UNION ALL ".join(
+    f"SELECT '{version}' AS policy, '{rule}' AS rule, "
+    f"CAST(coalesce(sum(CASE WHEN failed & {1 << k} <> 0 THEN 1 ELSE 0 END), 0) AS BIGINT) AS failing, "
+    f"CAST(coalesce(sum(CASE WHEN failed & {(1 << size) - 1} = 0 THEN 1 ELSE 0 END), 0) AS BIGINT) "
+    f"AS kept, CAST(coalesce(sum(CASE WHEN failed & {(1 << size) - 1 - (1 << k)} = 0 THEN 1 ELSE 0 "
+    f"END), 0) AS BIGINT) AS kept_without FROM judged"
+    for version, size in _POLICIES.items() for k, rule in enumerate(_RULES[:size]))
+
 JACCARD_JOIN = f"""
 WITH RECURSIVE d AS ({_rows(_BLANK_WORDS)}),
 shingles AS (
