@@ -40,24 +40,30 @@ def read_json(spark: SparkSession, name: str, path: str, **options: str) -> Data
 
 def read_jdbc(spark: SparkSession, url: str, tables: Mapping[str, str],
               split_on: Mapping[str, tuple[str, object, object, int]] | None = None,
-              normalise: bool = True, check_keys: bool = True, **options: str) -> Relations:
+              normalise: bool = True, check_keys: bool = True,
+              parts: Mapping[str, list[str]] | None = None, **options: str) -> Relations:
     """Relations kept in a database.
 
     `tables` maps a relation to its table or view.  `split_on` gives, for every
     relation of `FACTS`, (column, lowest, highest, partitions) so that the read
-    runs as parallel range queries instead of one connection.
+    runs as parallel range queries instead of one connection; `parts` gives the
+    predicates of the queries instead, for uneven columns (`splits.predicates`).
     """
-    split_on = split_on or {}
-    whole = sorted(set(tables) & set(FACTS) - set(split_on))
+    split_on, parts = split_on or {}, parts or {}
+    whole = sorted(set(tables) & set(FACTS) - set(split_on) - set(parts))
     if whole:
         raise ValueError(f"split_on is missing for {', '.join(whole)}")
     loaded = {}
     for name, table in tables.items():
+        if name in parts:
+            loaded[name] = conform(spark.read.jdbc(
+                url, table, predicates=parts[name], properties=dict(options)), name)
+            continue
         reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
         if name in split_on:
-            column, low, high, parts = split_on[name]
+            column, low, high, number = split_on[name]
             reader = reader.options(partitionColumn=column, lowerBound=str(low),
-                                    upperBound=str(high), numPartitions=str(parts))
+                                    upperBound=str(high), numPartitions=str(number))
         loaded[name] = conform(reader.options(**options).load(), name)
     return _relations(loaded, normalise, check_keys)
 
