@@ -43,6 +43,29 @@ def account_attributes(rel: Relations) -> DataFrame:
     )
 
 
+def _class(attributes: DataFrame) -> DataFrame:
+    """`attributes` with `class`, a number for each combination of what the metrics look at."""
+    told = F.concat_ws("|", *[
+        F.coalesce(F.lower(F.rtrim(F.col(c).cast("string"))), F.lit("-")) for c in ATTRIBUTES])
+    return attributes.withColumn("class", F.xxhash64(told))
+
+
+def account_classes(rel: Relations) -> DataFrame:
+    """(account_id, class, is_result): the account side of a join with lines is narrow.
+
+    `is_result` says whether lines of the account keep their contract.
+    """
+    return _class(account_attributes(rel)).select(
+        "account_id", "class",
+        F.expr(one_of("account_type_id", (COGS, INCOME))).alias("is_result"))
+
+
+def class_attributes(rel: Relations) -> DataFrame:
+    """The attributes of each class, a few rows whatever the number of accounts."""
+    return _class(account_attributes(rel)).groupBy("class").agg(
+        *[F.min(c).alias(c) for c in ATTRIBUTES])
+
+
 def line_amounts(lines: DataFrame) -> DataFrame:
     """What the metrics look at in a ledger line; `net` is debit minus credit.
 
@@ -185,27 +208,32 @@ def ledger_by_contract(rel: Relations, as_of: AsOf, names=None) -> DataFrame:
     return sum_measures(ledger_lines(rel), measures_at(as_of, wanted), by=["contract_id"])
 
 
-def sum_cells(lines: DataFrame, *keys: str) -> DataFrame:
-    """Sum ledger lines by `keys` and everything the flows look at."""
-    return lines.groupBy(*keys, "is_pl", *ATTRIBUTES).agg(
+def class_lines(rel: Relations) -> DataFrame:
+    """Ledger amounts with the class of their account, for sums over many flows."""
+    return amounts_of(rel).join(account_classes(rel), "account_id").drop("account_id")
+
+
+def sum_cells(rel: Relations, lines: DataFrame, *keys: str) -> DataFrame:
+    """Sum `class_lines` by `keys` and class; the sums get what the flows look at."""
+    cells = lines.groupBy(*keys, "is_pl", "class").agg(
         *[F.sum(c).alias(c) for c in ("net", "rounded", "lines")]
     )
+    return cells.join(class_attributes(rel), "class").drop("class")
 
 
 def ledger_cells(rel: Relations, as_of: AsOf) -> DataFrame:
-    """The ledger summed by account attributes and date interval.
+    """The ledger summed by account class and date interval.
 
     Only income and cost lines keep their contract, so all other lines shrink
     to a handful of cells before they leave the task that read them.  A cell
     carries the opening day of its interval as `tran_date`; windows start and
     end on interval borders, so the measures apply to cells unchanged.
     """
-    keeps_contract = f"{one_of('account_type_id', (COGS, INCOME))} AND is_pl"
-    lines = ledger_lines(rel).withColumns({
-        "contract_id": F.expr(f"CASE WHEN {keeps_contract} THEN contract_id END"),
+    lines = class_lines(rel).withColumns({
+        "contract_id": F.expr("CASE WHEN is_result AND is_pl THEN contract_id END"),
         "tran_date": F.expr(latest_boundary("tran_date", as_of.boundaries)),
     })
-    return sum_cells(lines, "contract_id", "tran_date")
+    return sum_cells(rel, lines, "contract_id", "tran_date")
 
 
 def ledger_report(rel: Relations, as_of: AsOf) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from closebook.calendar import AsOf
-from closebook.functions.scalars import literal, one_of
+from closebook.functions.scalars import literal
 from closebook.operators import labor as L
 from closebook.operators import ledger as G
 from closebook.operators.report import RATE_SUMS, RESTATABLE
@@ -62,13 +62,13 @@ def interval_flows(rel: Relations, grain: str, start: date | None = None,
     The key columns pass through the generator, so that conditions on them stay
     above the shuffle and everything that is computed from the result reuses it.
     """
-    lines = G.ledger_lines(rel).filter("tran_date IS NOT NULL")
+    lines = G.class_lines(rel).filter("tran_date IS NOT NULL")
     if end is not None:
         lines = lines.filter(f"tran_date <= {literal(end)}")
-    keeps = f"{one_of('account_type_id', (G.COGS, G.INCOME))} AND is_pl"
+    keeps = "is_result AND is_pl"
     if start is not None:
         keeps += f" AND tran_date >= {literal(start.replace(month=1, day=1))}"
-    cells = G.sum_cells(lines.withColumns({
+    cells = G.sum_cells(rel, lines.withColumns({
         "contract_id": F.expr(f"CASE WHEN {keeps} THEN contract_id END"),
         "tran_date": F.expr(interval_end(grain)),
     }), "contract_id", "tran_date")

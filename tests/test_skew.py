@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from closebook.operators import departments, report, snapshot
+from closebook.operators import departments, ledger, report, snapshot
 from closebook.sources import retail
 from tests.conftest import SMALL, values
 
@@ -85,3 +85,13 @@ def test_a_hot_account_is_split_when_accounts_do_not_fit_a_broadcast(hot, as_of,
     result.explain()
     final = capsys.readouterr().out.split("Initial Plan")[0]
     assert "SortMergeJoin(skew=true) [account_id" in final
+
+
+def test_lines_carry_one_number_for_their_account(medium, as_of):
+    # the account side of the join is narrow, and sums are grouped by the class
+    cells = ledger.sum_cells(medium, ledger.class_lines(medium), "contract_id")
+    plan = cells._jdf.queryExecution().optimizedPlan().toString()
+    grouped = next(x for x in plan.split("\n") if "Aggregate [contract_id" in x)
+    assert "class" in grouped and "account_type" not in grouped
+    classes = ledger.class_attributes(medium)
+    assert classes.count() < 40 < medium.accounts.count()
