@@ -1,386 +1,221 @@
-"""Line deduplication by an exact set-similarity join.
+"""Line deduplication by an exact set-similarity join, in built-in functions only.
 
-A line's tokens are its different words (lower case, by code point), as 64-bit hashes; other
+A line's tokens are its different words (lower case, white space `[\\x20\\x09-\\x0D]`); other
 sizes take shingles of that many words (a shorter line has one token, all its words).  Tokens are
-ordered by rarity: the tokens of the whole corpus are counted, except where one stands only once
-in what a task counts together, and the `COUNTED` most frequent ones come last, by their counts.
-Any order gives the same result; this one keeps common words out of the prefixes.
-
-Two lines with Jaccard similarity t share a token among the first n - ceil(t n) + 1 of
-each.  Candidates are lines that share such a token and pass the length filter, the positional
-filter (what can still be common from that token on) and a filter on 128-bit maps of all tokens; they are verified on their token sets,
-which are made again from the texts.
-A line is removed if an earlier line, by document id, hash of the text and line number, is that
-similar.  Rows that repeat an id, or have none, are told apart by the hash of their text.
-
-Copies of a line are counted as one before anything is compared.  Of the lines that share a token
-each is first compared with the earliest; only lines that this does not remove are
-compared with the others before them, so near copies of one line do not meet in pairs.
-
-Lines, tokens and prefixes come from numpy on batches of texts, since built-in functions
-evaluate an expression for each word of an array and need several times the time for it; each
-task sums its own tokens, all further counting and joining is Spark's.  The driver holds
-the counts and the sieve, both of bounded size.
+ordered by rarity: occurrences in the different lines of the whole corpus are counted in `BUCKETS`
+hash buckets, and a token ranks by its bucket's count, then by its hash.  Any order gives the same
+result; this one keeps common words out of the prefixes.  What the plan carries of it is one
+number for each bucket, whatever the size of the corpus.
+
+Two lines with Jaccard similarity t share a token among the first n - ceil(t n) + 1 of each.
+Candidates are lines that share such a token and pass the length filter, the positional filter
+(what can still be common from that token on) and a filter on the parity of their tokens' hash
+bits, since a token that only one of two lines has turns one of 64 bits.  All of them are
+verified on their words.  A line is removed if an earlier line, by document id, hash of the text
+and line number, is that similar, whether that one is removed or not.
+
+Equal lines (after lower case and white space) are one line in all this, by 128 bits of hash.
+Before the prefix join each line meets the earliest one that has the same smallest, or the same
+greatest, hash of a token.  This removes nearly all near copies of one line in linear time; the
+prefix join then leaves out pairs of lines that are both gone already, and finds all the rest.
 
 Edge cases: null and empty texts have no lines; lines without a word are never removed; rows of equal
-id and text count as one document; a null id sorts first; an empty table
-gives an empty result; a removed line takes its line end along; other columns pass unchanged.
+id and text count as one document, other rows that share an id, or have none, are told apart by the
+hash of their text; a null id sorts first; an empty table gives an empty result; a removed line takes
+its line end along; other columns, whatever their names, pass unchanged; ids may be numbers or text.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterable
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from closebook.llm import words
 from closebook.llm.storage import WorkingTables, stored
 
-#: words of a token in `op9` and `deduplicate`, and in `removed_lines` unless told otherwise
-TOKEN_WORDS, SHINGLE_WORDS = 1, 5
+SHINGLE_WORDS = 5
+#: the size that the operator uses: words
+TOKEN_WORDS = 1
 PERCENT = 80
-#: tokens whose counts are handed to the tasks, and bits of the sieve
-COUNTED = 1 << 18
-SIEVE = (1 << 23) - 15
-#: counts that a task gathers before it hands them on
-WAITING = 1 << 22
-_NULL_ID = -(1 << 63)
-#: what orders the lines and tells them apart
-PLACE = ["doc", "version", "line"]
-
-LINE_SCHEMA = "doc bigint, version bigint, line int, copy bigint, token bigint, times bigint"
-PREFIX_SCHEMA = ("doc bigint, version bigint, line int, copy bigint, n int, low bigint, high bigint, "
-                 "prefix array<bigint>")
-TEXT_SCHEMA = "doc bigint, version bigint, line int, copy bigint, t string"
-
-
-class _Counts:
-    """The most frequent tokens, sorted, and a rank for each that grows with its count."""
-
-    def __init__(self, tokens: np.ndarray, times: np.ndarray) -> None:
-        order = np.argsort(tokens)
-        self.tokens = tokens[order]
-        self.rank = 1 + np.minimum(125, 2 * np.log2(times[order] + 1)).astype(np.uint64)
-
-    def ranks(self, tokens: np.ndarray) -> np.ndarray:
-        """The rank of each token; the others are rarer and have rank 0."""
-        if not len(self.tokens):
-            return np.zeros(len(tokens), np.uint64)
-        each, back = np.unique(tokens, return_inverse=True)
-        at = np.minimum(np.searchsorted(self.tokens, each), len(self.tokens) - 1)
-        return np.where(self.tokens[at] == each, self.rank[at], np.uint64(0))[back]
-
-
-class _Lines:
-    """The lines with a word of some texts: `doc`, `version`, `line`, `copy` (a hash of the words)."""
-
-    def __init__(self, ids: np.ndarray, versions: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> None:
-        bounds, row, number = words.line_bounds(data, offsets)
-        self.hashes, firsts = words.hash_words(data, bounds, words.BLANK_SEPARATED)
-        some = np.diff(firsts) > 0
-        self.doc, self.version = ids[row[some]], versions[row[some]]
-        self.line = number[some].astype(np.int32)
-        self.firsts = np.append(firsts[:-1][some], firsts[-1])
-        self.copy = words.row_hashes(self.hashes, self.firsts).view(np.int64)
-
-    def columns(self) -> dict[str, pa.Array]:
-        return {name: pa.array(getattr(self, name)) for name in PLACE + ["copy"]}
-
-    def keys(self, size: int, counts: _Counts) -> tuple[np.ndarray, np.ndarray]:
-        """The different tokens of each line in their order, and where each line's begin.
-
-        The rank by count is put before 56 bits of the hash: rare first, then any.
-        """
-        tokens, at = words.shingles(self.hashes, self.firsts, size)
-        keys = (counts.ranks(tokens) << np.uint64(56)
-                | tokens & np.uint64((1 << 56) - 1)).view(np.int64)
-        return _different(keys, at)
-
-
-def _by_row(values: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
-    """An order of values by row, then value."""
-    if rows <= 1 << 16:
-        row = row.astype(np.uint16)  # sorts by digits
-    order = np.argsort(values)
-    return order[np.argsort(row[order], kind="stable")]
-
-
-def _different(values: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The sorted different values of each row, and where each row's begin."""
-    rows = len(at) - 1
-    row = np.repeat(np.arange(rows), np.diff(at))
-    order = _by_row(values, row, rows)
-    values, row = values[order], row[order]
-    new = np.ones(len(values), bool)
-    new[1:] = (values[1:] != values[:-1]) | (row[1:] != row[:-1])
-    counts = np.bincount(row[new], minlength=rows)
-    return values[new], np.concatenate([np.zeros(1, np.int64), np.cumsum(counts)])
-
-
-def _runs(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
-    """Ids, versions, lower-case bytes and offsets of a batch (doc, text, version), in runs."""
-    ids = batch.column(0).fill_null(_NULL_ID).to_numpy(zero_copy_only=False)
-    versions = batch.column(2).to_numpy()
-    data, offsets = words.text_bytes(pc.utf8_lower(batch.column(1).cast(pa.large_string())))
-    for first, last in words.runs(offsets):
-        yield (ids[first:last], versions[first:last], data[offsets[first]:offsets[last]],
-               offsets[first:last + 1] - offsets[first])
-
-
-def _lines(batch: pa.RecordBatch) -> Iterator[_Lines]:
-    for run in _runs(batch):
-        yield _Lines(*run)
-
-
-def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).alias("text"),
-                       F.xxhash64(text_col).alias("version"))
-
-
-def _summed(tokens: list[np.ndarray], times: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """The different tokens and the sums of their times."""
-    each, back = np.unique(np.concatenate(tokens), return_inverse=True)
-    return each, np.bincount(back, np.concatenate(times), len(each)).astype(np.int64)
-
-
-def _places(texts: DataFrame, size: int) -> DataFrame:
-    """The place and `copy` of each line, and from each task the counts of its tokens."""
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, times, waiting = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
-        for batch in batches:
-            for part in _lines(batch):
-                each, n = np.unique(words.shingles(part.hashes, part.firsts, size)[0],
-                                    return_counts=True)
-                tokens.append(each)
-                times.append(n)
-                waiting += len(each)
-                gaps = {name: pa.nulls(len(part.doc), pa.int64()) for name in ("token", "times")}
-                yield pa.RecordBatch.from_pydict({**part.columns(), **gaps})
-                if waiting > WAITING:
-                    yield _counted(*_summed(tokens, times))
-                    tokens, times, waiting = tokens[:1], times[:1], 0
-        yield _counted(*_summed(tokens, times))
-
-    def _counted(tokens: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
-        tokens, times = tokens[times > 1], times[times > 1]
-        return pa.RecordBatch.from_pydict({
-            "doc": pa.nulls(len(tokens), pa.int64()),
-            "version": pa.nulls(len(tokens), pa.int64()),
-            "line": pa.nulls(len(tokens), pa.int32()), "copy": pa.nulls(len(tokens), pa.int64()),
-            "token": pa.array(tokens.view(np.int64)), "times": pa.array(times)})
-    return texts.mapInArrow(places, LINE_SCHEMA)
-
-
-def _most_frequent(places: DataFrame) -> _Counts:
-    """The counts of the `COUNTED` most frequent tokens."""
-    found = places.where("token is not null").groupBy("token").agg(
-        F.sum("times").alias("times")).orderBy(
-        F.desc("times"), "token").limit(COUNTED).toArrow()
-    return _Counts(found["token"].to_numpy().view(np.uint64), found["times"].to_numpy())
-
-
-def _bitmaps(keys: np.ndarray, at: np.ndarray) -> dict[str, pa.Array]:
-    """128 bits for each line, set by its tokens."""
-    if not len(keys):
-        return {name: pa.array([], pa.int64()) for name in ("low", "high")}
-    bits = np.int64(1) << (keys & 63)
-    upper = (keys & 64) > 0
-    return {name: pa.array(np.bitwise_or.reduceat(np.where(there, bits, 0), at[:-1]))
-            for name, there in (("low", ~upper), ("high", upper))}
-
-
-def _prefixes(texts: DataFrame, size: int, percent: int, counts: _Counts) -> DataFrame:
-    """For each line the number of its tokens and the first of them, as many as must be met."""
-    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in _lines(batch):
-                keys, at = part.keys(size, counts)
-                n = np.diff(at)
-                length = n + percent * n // -100 + 1
-                place = np.arange(len(keys)) - np.repeat(at[:-1], n)
-                ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(length)])
-                yield pa.RecordBatch.from_pydict({
-                    **part.columns(), "n": pa.array(n.astype(np.int32)),
-                    **_bitmaps(keys, at),
-                    "prefix": pa.ListArray.from_arrays(
-                        pa.array(ends, pa.int32()),
-                        pa.array(keys[place < np.repeat(length, n)]))})
-    return texts.mapInArrow(prefixes, PREFIX_SCHEMA)
-
-
-#: a number for a line, which the sieve is asked for
-_PLACE = (f"pmod(pmod(doc, {SIEVE}) * 1000003 + pmod(version, {SIEVE}) + line * 7368787L, "
-          f"{SIEVE})")
-
-
-def _place(doc: np.ndarray, version: np.ndarray, line: np.ndarray) -> np.ndarray:
-    return (doc % SIEVE * 1000003 + version % SIEVE + line * 7368787) % SIEVE
-
-
-def _sieve(places: DataFrame) -> np.ndarray:
-    """Bits that are set for all given lines and for few others.
-
-    It only spares work: what it lets through is joined.  A full sieve lets everything through.
-    """
-    rows = places.selectExpr(f"{_PLACE} AS k").groupBy(
-        F.expr("cast(k div 8 as int)").alias("byte")).agg(
-        F.bit_or(F.expr("shiftleft(1, cast(k % 8 as int))")).alias("bits")).toArrow()
-    table = np.zeros(SIEVE // 8 + 1, np.uint8)
-    table[rows["byte"].to_numpy()] = rows["bits"].to_numpy()  # at most SIEVE / 8 + 1 rows
-    return table
-
-
-def _line_texts(texts: DataFrame, sieve: np.ndarray) -> DataFrame:
-    """The lower-case texts of the lines that the sieve lets through."""
-    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for ids, versions, data, offsets in _runs(batch):
-                bounds, row, line = words.line_bounds(data, offsets)
-                place = _place(ids[row], versions[row], line)
-                chosen = np.flatnonzero(sieve[place >> 3] >> (place & 7).astype(np.uint8) & 1)
-                every = pa.LargeStringArray.from_buffers(
-                    len(row), pa.py_buffer(bounds), pa.py_buffer(data))
-                lines = every.take(pa.array(chosen))
-                yield pa.RecordBatch.from_pydict({
-                    "doc": pa.array(ids[row[chosen]]),
-                    "version": pa.array(versions[row[chosen]]),
-                    "line": pa.array(line[chosen].astype(np.int32)),
-                    "copy": pa.array(words.row_hashes(*words.hash_words(
-                        *words.text_bytes(lines), words.BLANK_SEPARATED)).view(np.int64)),
-                    "t": lines.cast(pa.string())})
-    return texts.mapInArrow(found, TEXT_SCHEMA)
-
-
-def _need(percent: int) -> str:
-    """Common tokens that sets of n and m tokens need."""
-    return f"ceil({percent} * (n + m) / {100 + percent})"
-
-
-def _filters(percent: int) -> str:
-    """Length, positional and bitmap filter for a shared token at places p and q (from 0).
-
-    A bit of one line that the other lacks comes from a token that the other lacks.
-    """
-    need = _need(percent)
-    return (f"100 * least(n, m) >= {percent} * greatest(n, m) "
-            f"and 1 + least(n - p - 1, m - q - 1) >= {need} "
-            f"and bit_count(low & ~low2) + bit_count(high & ~high2) <= n - {need} "
-            f"and bit_count(low2 & ~low) + bit_count(high2 & ~high) <= m - {need}")
-
-
-def _similar(pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """`copy` of the pairs of lines (copy, x, y) whose sets are similar."""
-    def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            one, two = (words.text_bytes(batch.column(k)) for k in (1, 2))
-            for first, last in words.runs(one[1] + two[1]):
-                sets = []
-                for data, offsets in (one, two):
-                    hashes, firsts = words.hash_words(
-                        data[offsets[first]:offsets[last]],
-                        offsets[first:last + 1] - offsets[first], words.BLANK_SEPARATED)
-                    sets.append(_different(*words.shingles(hashes, firsts, size)))
-                n, m = (np.diff(at) for _, at in sets)
-                row = np.concatenate([np.repeat(np.arange(len(k)), k) for k in (n, m)])
-                tokens = np.concatenate([tokens for tokens, _ in sets])
-                order = _by_row(tokens, row, len(n))
-                tokens, row = tokens[order], row[order]
-                twice = (tokens[1:] == tokens[:-1]) & (row[1:] == row[:-1])
-                common = np.bincount(row[1:][twice], minlength=len(n))
-                alike = np.flatnonzero(100 * common >= percent * (n + m - common))
-                yield pa.RecordBatch.from_pydict(
-                    {"copy": batch.column(0).take(pa.array(first + alike))})
-    return pairs.select("copy", "x", "y").mapInArrow(similar, "copy bigint")
-
-
-def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """`copy` of the lines that are similar to their partner `other`.
-
-    Lines travel as texts, which compress; their tokens would be three times as large.
-    """
-    one = texts.select("copy", F.col("t").alias("x"))
-    two = texts.select(F.col("copy").alias("other"), F.col("t").alias("y"))
-    both = pairs.select("copy", "other").distinct().join(one, "copy").join(two, "other")
-    return _similar(both, size, percent).distinct()
 
+#: counts that the order of tokens goes by; a power of two
+BUCKETS = 1 << 18
 
-def removed_lines(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT,
-                  id_col: str = "doc_id", text_col: str = "text",
-                  work: WorkingTables | None = None) -> DataFrame:
-    """`doc`, `line`: the lines to remove; null ids appear as the smallest number."""
-    return _removed(_texts(docs, id_col, text_col), size, percent, work).select("doc", "line")
+_BLANK = r"[\\x20\\x09-\\x0D]"
+_WORD = r"[^\\x20\\x09-\\x0D]"
+_PLACE = ["doc", "version", "line"]
+
+
+def _tokens(size: int) -> Column:
+    """The different tokens of a line `t` whose words stand one blank apart."""
+    if size == 1:
+        return F.expr("array_distinct(split(t, ' '))")
+    # the words are bound once, not split again for each shingle
+    return F.expr(f"""array_distinct(flatten(transform(array(split(t, ' ')), w -> transform(
+        sequence(1, greatest(size(w) - {size - 1}, 1)),
+        i -> array_join(slice(w, i, {size}), ' ')))))""")
+
+
+def _need(percent: int, n: str, m: str) -> str:
+    """The least number of common tokens of similar lines with n and m tokens."""
+    return f"(({percent} * ({n} + {m}) + {99 + percent}) div {100 + percent})"
 
 
-def _removed(texts: DataFrame, size: int, percent: int, work: WorkingTables | None) -> DataFrame:
-    """The places of the lines to remove.
+def _could_be_similar(percent: int, n: str = "n", m: str = "m") -> str:
+    """The filter on lengths, and on the bits in which two lines differ."""
+    return (f"100 * {n} >= {percent} * {m} and 100 * {m} >= {percent} * {n} "
+            f"and bit_count(parity ^ parity2) <= {n} + {m} - 2 * {_need(percent, n, m)}")
 
-    With `work` the tables on the way are stored there, and the result must be stored before
-    they go.
+
+def _different(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
+    """One row for each different line: its first place, its words and sums of its tokens."""
+    lines = docs.select(
+        F.col(id_col).alias("doc"), F.xxhash64(text_col).alias("version"),
+        F.posexplode(F.split(text_col, "\n")).alias("line", "t")).where(f"t rlike '{_WORD}'")
+    low = lines.withColumn("t", F.lower("t")).withColumn("t", F.expr(
+        f"trim(if(t rlike '[\\\\x09-\\\\x0D]|  ', regexp_replace(t, '{_BLANK}+', ' '), t))"))
+    first = low.groupBy(F.xxhash64("t").alias("k1"), F.xxhash64(F.lit(1), "t").alias("k2")).agg(
+        F.min(F.struct(*_PLACE, "t")).alias("s")).select("s.*")
+    hashed = first.withColumn("hashes", F.transform(_tokens(size), lambda x: F.xxhash64(x)))
+    return hashed.select(
+        F.monotonically_increasing_id().alias("num"), *_PLACE, "t", F.size("hashes").alias("n"),
+        F.expr("aggregate(hashes, 0L, (a, h) -> a ^ shiftleft(1L, cast(h & 63 as int)))")
+        .alias("parity"),
+        F.array_min("hashes").alias("least"), F.array_max("hashes").alias("greatest"))
+
+
+def _ranks(different: DataFrame, size: int) -> str:
+    """For each bucket the rank of its count (thirds of its logarithm), comma-joined."""
+    counts = different.select(F.explode(_tokens(size)).alias("token")).groupBy(
+        F.pmod(F.xxhash64("token"), F.lit(BUCKETS)).alias("id")).count()
+    every = different.sparkSession.range(BUCKETS).join(counts, "id", "left").select(
+        "id", F.expr("least(cast(3 * log2(coalesce(count, 1)) as int), 126)").alias("rank"))
+    return every.agg(F.expr(
+        "array_join(transform(array_sort(collect_list(struct(id, rank))), x -> x.rank), ',')")
+        .alias("ranks")).first()["ranks"]
+
+
+def _prefixes(different: DataFrame, gone: DataFrame, size: int, percent: int,
+              ranks: str) -> DataFrame:
+    """`key`, `num`, `shape`, `parity`: the prefix tokens of every line.
+
+    `shape` holds the number of tokens, the place of this one, and whether the line is gone.
     """
-    keep = work.stored if work else stored
-    places = keep(_places(texts, size), "places")
-    counts = _most_frequent(places)
-    # one row for each different line: its first place and its prefix
-    different = keep(
-        _prefixes(texts, size, percent, counts)
-        .groupBy("copy").agg(F.min(F.struct(*PLACE, "n", "prefix", "low", "high")).alias("s"))
-        .select("copy", "s.*"), "lines",
-    )
-    near = _near_lines(different, texts, size, percent, keep)
-    first = different.select("copy", F.struct(*PLACE).alias("first"))
-    verdict = first.join(near.withColumn("near", F.lit(True)), "copy", "left")
-    every = places.where("copy is not null").select(*PLACE, "copy").distinct()
-    return every.join(verdict, "copy").where(
-        F.col("near") | (F.struct(*PLACE) != F.col("first"))).select(*PLACE)
-
-
-def _near_lines(different: DataFrame, texts: DataFrame, size: int, percent: int,
-                keep: Callable[..., DataFrame]) -> DataFrame:
-    """`copy` of the different lines that resemble an earlier one."""
-    tokens = different.select("copy", "n", F.posexplode("prefix").alias("p", "key"))
-    shared = tokens.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1")
-    meeting = tokens.join(shared.select("key"), "key")
-    places = different.select("copy", *PLACE, "low", "high")
-    meeting = keep(
-        meeting.join(places, "copy").select(
-            "key", "copy", "n", "p", "low", "high", F.struct(*PLACE).alias("at")),
-        "prefixes")
-    # texts of the lines that meet others, at their first places
-    met = keep(meeting.select("copy", "at.*").distinct(), "met")
-    own = keep(
-        _line_texts(texts, _sieve(met)).groupBy("copy", *PLACE).agg(F.min("t").alias("t"))
-        .join(met, ["copy", *PLACE], "left_semi").select("copy", "t"), "texts")
-    # a line as the partner of another
-    partner = [F.col(name).alias(other) for name, other in (
-        ("copy", "other"), ("n", "m"), ("p", "q"), ("low", "low2"), ("high", "high2"))]
-    earliest = meeting.groupBy("key").agg(F.min(F.struct("at", *partner)).alias("e"))
-    star = meeting.join(earliest.select("key", "e.other", "e.m", "e.q", "e.low2", "e.high2"),
-                        "key").where("copy <> other").where(_filters(percent))
-    found = keep(_verified(star, own, size, percent), "near")
-    # the rest: lines that are still there, with all that stand before them at a shared token
-    rest = meeting.join(found, "copy", "left_anti")
-    before = meeting.select("key", F.col("at").alias("before"), *partner)
-    pairs = rest.join(before, "key").where("before < at").where(_filters(percent))
-    return found.unionByName(_verified(pairs, own, size, percent))
-
-
-def _by_document(docs: DataFrame, size: int = TOKEN_WORDS,
-                 percent: int = PERCENT) -> DataFrame:
-    """`doc`, `version`, `removed`: the removed lines of each document that has some, stored."""
+    order = F.split(F.lit(ranks), ",").cast("array<tinyint>")
+    marked = different.join(gone.withColumn("gone", F.lit(1)), "num", "left")
+    ranked = marked.withColumn("tokens", F.sort_array(F.transform(_tokens(size), lambda x: (
+        F.shiftleft(F.get(order, F.pmod(F.xxhash64(x), F.lit(BUCKETS)).cast("int"))
+                    .cast("bigint"), 56).bitwiseOR(
+            F.xxhash64(x).bitwiseAND(F.lit((1 << 56) - 1)))))))
+    placed = ranked.select(
+        "num", "n", "gone", "parity",
+        F.posexplode(F.expr(f"slice(tokens, 1, n - ({percent} * n + 99) div 100 + 1)"))
+        .alias("p", "key"))
+    return placed.select("key", "num", "parity", F.expr(
+        "shiftleft(cast(n as bigint), 32) | shiftleft(cast(p as bigint), 1) "
+        "| coalesce(gone, 0)").alias("shape"))
+
+
+def _stars(different: DataFrame, percent: int) -> DataFrame:
+    """Pairs `a`, `b` of a line and the earliest with the same extreme hash."""
+    keyed = different.select(
+        F.explode(F.array("least", "greatest")).alias("key"),
+        F.struct(*_PLACE).alias("at"), "num", "n", "parity")
+    first = keyed.groupBy("key").agg(F.min(F.struct("at", "num", "n", "parity")).alias("s"),
+                                     F.count("*").alias("rows")).where("rows > 1")
+    hubs = first.select("key", F.col("s.num").alias("b"), F.col("s.n").alias("m"),
+                        F.col("s.parity").alias("parity2"))
+    return keyed.drop("at").join(hubs, "key").where("num <> b").where(
+        _could_be_similar(percent)).select(F.col("num").alias("a"), "b").distinct()
+
+
+def _meetings(prefixes: DataFrame, percent: int) -> DataFrame:
+    """Pairs `a`, `b` of lines, not both gone, that share a prefix token and pass the filters."""
+    other = prefixes.select("key", F.col("num").alias("b"), F.col("parity").alias("parity2"),
+                            F.col("shape").alias("shape2"))
+    n, p = "(shape >> 32)", "((shape >> 1) & 2147483647)"
+    m, q = "(shape2 >> 32)", "((shape2 >> 1) & 2147483647)"
+    # every condition names both sides, so none goes below the exchange that both read
+    return prefixes.join(other, "key").where(
+        f"num > b and (shape & shape2 & 1) = 0 "
+        f"and least({n} - {p}, {m} - {q}) >= {_need(percent, n, m)} "
+        f"and {_could_be_similar(percent, n, m)}").select(F.col("num").alias("a"), "b").distinct()
+
+
+def _later(pairs: DataFrame, different: DataFrame, size: int, percent: int) -> DataFrame:
+    """`num` of the later line of each pair whose tokens are similar indeed.
+
+    Only the lines of the pairs are moved, and the two of a pair meet in one group.
+    """
+    sides = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("num"))
+    both = sides.join(different.select("num", F.struct(*_PLACE).alias("at"), "t"), "num").groupBy(
+        "a", "b").agg(F.array_sort(F.collect_list(F.struct("at", "num", "t"))).alias("s"))
+    words = both.select(F.expr("s[1].num").alias("num"), F.expr("s[0].t").alias("t"),
+                        F.expr("s[1].t").alias("t2"))
+    sets = words.select("num", _tokens(size).alias("x"), "t2").withColumnRenamed("t2", "t").select(
+        "num", "x", _tokens(size).alias("y"))
+    common = sets.select("num", F.size(F.array_intersect("x", "y")).alias("common"),
+                         F.expr("size(x) + size(y)").alias("total"))
+    return common.where(f"100 * common >= {percent} * (total - common)").select("num").distinct()
+
+
+def _kept(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """`doc`, `version`, `kept`: the lines with a word that stay, by document; stored."""
     with WorkingTables(docs.sparkSession) as work:
-        removed = _removed(_texts(docs, "doc_id", "text"), size, percent, work)
-        return stored(removed.groupBy("doc", "version").agg(
-            F.array_sort(F.collect_set("line")).alias("removed")), "removed")
+        different = work.stored(_different(docs, size, id_col, text_col), "lines")
+        stars = work.stored(_stars(different, percent), "stars")
+        gone = work.stored(_later(stars, different, size, percent), "gone")
+        prefixes = _prefixes(different, gone, size, percent, _ranks(different, size))
+        pairs = work.stored(_meetings(prefixes, percent), "pairs")
+        near = work.stored(_later(pairs, different, size, percent), "near")
+        left = different.join(gone, "num", "left_anti").join(near, "num", "left_anti")
+        return stored(left.groupBy("doc", "version").agg(F.collect_list("line").alias("kept")),
+                      "kept")
+
+
+def _free(columns: Iterable[str], *names: str) -> list[str]:
+    """Column names like `names` that the table does not have."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
+def _with_kept(docs: DataFrame, rows: DataFrame, size: int, percent: int, id_col: str,
+               text_col: str, version: str, kept: str) -> DataFrame:
+    """`rows`, which have the hash of their text as `version`, with the lines `kept` of each."""
+    doc, other = _free([*rows.columns, kept], "doc", "its_version")
+    found = _kept(docs, size, percent, id_col, text_col).toDF(doc, other, kept)
+    return rows.join(found, rows[id_col].eqNullSafe(F.col(doc)) & (F.col(version) == F.col(other)),
+                     "left").drop(doc, other)
+
+
+def _worded(text: str) -> str:
+    """The numbers of the lines that have a word."""
+    return (f"filter(transform(split({text}, '\n'), (x, i) -> if(x rlike '{_WORD}', i, -1)), "
+            "i -> i >= 0)")
+
+
+def removed(docs: DataFrame, size: int = TOKEN_WORDS, percent: int = PERCENT,
+            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: its id, `n_lines`, and `removed`, the numbers of its removed lines."""
+    lines = docs.select(
+        id_col, F.xxhash64(text_col).alias("version"),
+        F.expr(f"coalesce(size(split(`{text_col}`, '\n')), 0)").alias("n_lines"),
+        F.expr(f"coalesce({_worded(f'`{text_col}`')}, array())").alias("worded"))
+    found = _with_kept(docs, lines, size, percent, id_col, text_col, "version", "kept")
+    return found.select(id_col, "n_lines", F.expr(
+        "array_except(worded, coalesce(kept, array()))").alias("removed"))
 
 
-def _own_row(doc: str, version: str):
-    """Whether a document is the one that a verdict was given for."""
-    return F.expr(f"coalesce(cast(doc_id as bigint), {_NULL_ID}L) = {doc} "
-                  f"and xxhash64(text) = {version}")
+def removed_lines(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT,
+                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """`doc`, `line`: the lines to remove."""
+    return removed(docs, size, percent, id_col, text_col).select(
+        F.col(id_col).alias("doc"), F.explode("removed").alias("line"))
 
 
 def deduplicate(docs: DataFrame, size: int = TOKEN_WORDS, percent: int = PERCENT) -> DataFrame:
@@ -388,19 +223,17 @@ def deduplicate(docs: DataFrame, size: int = TOKEN_WORDS, percent: int = PERCENT
 
     `text` is replaced; documents without a removed line keep theirs byte for byte.
     """
-    gone = _by_document(docs, size, percent).select(
-        F.col("doc").alias("_doc"), F.col("version").alias("_version"),
-        F.col("removed").alias("_removed"))
-    kept = F.expr(r"""if(_removed is null, text, array_join(
-        filter(split(text, '\n'), (x, i) -> not array_contains(_removed, i)), '\n'))""")
-    out = docs.join(gone, _own_row("_doc", "_version"), "left")
-    return out.select(*[kept.alias("text") if c == "text" else docs[c] for c in docs.columns])
+    version, kept = _free(docs.columns, "version", "kept")
+    rows = docs.withColumn(version, F.xxhash64("text"))
+    found = _with_kept(docs, rows, size, percent, "doc_id", "text", version, kept)
+    gone = f"array_except({_worded('text')}, coalesce({kept}, array()))"
+    # array_except is linear, and the lines are bound once
+    text = F.expr(f"""get(transform(array(split(text, '\\n')), x -> array_join(transform(
+        array_except(sequence(0, size(x) - 1), {gone}), i -> get(x, i)), '\\n')), 0)""")
+    return found.select(*[text.alias("text") if c == "text" else F.col(f"`{c}`")
+                          for c in docs.columns])
 
 
 def op9(spark, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    gone = _by_document(docs)
-    return docs.join(gone, _own_row("doc", "version"), "left").select(
-        "doc_id", F.expr("coalesce(size(split(text, '\n')), 0)").alias("n_lines"),
-        F.coalesce(F.size("removed"), F.lit(0)).alias("n_removed"),
-        F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
+    return removed(spark.read.parquet(f"{sf_dir}/documents.parquet")).select(
+        "doc_id", "n_lines", F.size("removed").alias("n_removed"), "removed")

@@ -90,3 +90,40 @@ def test_rows_that_share_an_id_are_judged_by_their_own_text(spark):
     assert sorted(left, key=str) == sorted([
         (None, "alpha beta"), (None, "only here"), (None, "one more"), (4, "p q r"),
         (4, "own one"), (4, "own two"), (5, "same place"), (5, "more")], key=str)
+
+
+def test_registered_form_against_all_pairs(spark):
+    table = spark.read.parquet(f"{SMALL}/documents.parquet")
+    docs = [tuple(r) for r in table.select("doc_id", "text").collect()]
+    found = {(r["doc_id"], k) for r in line_dedup.op9(spark, SMALL).collect() for k in r["removed"]}
+    assert found == removed(docs, size=1)
+
+
+def test_built_in_functions_only(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    different = line_dedup._different(docs, 1, "doc_id", "text")
+    gone = different.select("num").limit(0)
+    pairs = line_dedup._meetings(
+        line_dedup._prefixes(different, gone, 1, 80, line_dedup._ranks(different, 1)), 80)
+    for frame in (line_dedup._stars(different, 80), line_dedup._later(pairs, different, 1, 80)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert not any(x in plan for x in ("Python", "Arrow", "Cartesian", "NestedLoop"))
+
+
+def test_names_that_clash_and_text_ids(spark):
+    rows = [("a", "x y\nkeep", 1, 2, 3, 4), ("b", "x  Y\nown", 5, 6, 7, 8), (None, "own", 9, 9, 9, 9)]
+    docs = spark.createDataFrame(
+        rows, "doc_id string, text string, doc int, version int, kept int, its_version int")
+    out = line_dedup.deduplicate(docs)
+    assert out.columns == docs.columns
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(
+        [("a", "x y\nkeep", 1, 2, 3, 4), ("b", "", 5, 6, 7, 8), (None, "own", 9, 9, 9, 9)], key=str)
+
+
+def test_very_long_line_and_many_lines(spark):
+    long = " ".join(f"w{k}" for k in range(60_000))
+    rows = [(1, long), (2, f"{long} more"), (3, "\n".join(f"n{k}" for k in range(60_000)) + "\n"),
+            (4, "n7\n" * 5 + "\n" * 20_000)]
+    out = {r["doc_id"]: r["removed"] for r in line_dedup.removed(
+        spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert out == {1: [], 2: [0], 3: [], 4: [0, 1, 2, 3, 4]}
