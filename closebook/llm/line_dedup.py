@@ -10,7 +10,7 @@ number for each bucket, whatever the size of the corpus.
 Two lines with Jaccard similarity t share a token among the first n - ceil(t n) + 1 of each.
 Candidates are lines that share such a token and pass the length filter, the positional filter
 (what can still be common from that token on) and a filter on the parity of their tokens' hash
-bits, since a token that only one of two lines has turns one of 64 bits.  All of them are
+bits, since a token that only one of two lines has turns one of 64 or 128 bits.  All of them are
 verified on their words.  A line is removed if an earlier line, by document id, hash of the text
 and line number, is that similar, whether that one is removed or not.
 
@@ -28,6 +28,7 @@ its line end along; other columns, whatever their names, pass unchanged; ids may
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,20 +42,32 @@ PERCENT = 80
 
 #: counts that the order of tokens goes by; a power of two
 BUCKETS = 1 << 18
+#: lines of more tokens have 128 bits of parity, others 64
+WIDE = 64
 
-_BLANK = r"[\\x20\\x09-\\x0D]"
+_BLANKS = " \t\x0b\x0c\r"
+_BLANK = r"[\x20\x09-\x0D]"
 _WORD = r"[^\\x20\\x09-\\x0D]"
 _PLACE = ["doc", "version", "line"]
 
 
-def _tokens(size: int) -> Column:
-    """The different tokens of a line `t` whose words stand one blank apart."""
+def _all_tokens(size: int) -> str:
+    """The tokens of a line `t` whose words stand one blank apart, with repetitions."""
     if size == 1:
-        return F.expr("array_distinct(split(t, ' '))")
+        return "split(t, ' ')"
     # the words are bound once, not split again for each shingle
-    return F.expr(f"""array_distinct(flatten(transform(array(split(t, ' ')), w -> transform(
+    return f"""flatten(transform(array(split(t, ' ')), w -> transform(
         sequence(1, greatest(size(w) - {size - 1}, 1)),
-        i -> array_join(slice(w, i, {size}), ' ')))))""")
+        i -> array_join(slice(w, i, {size}), ' '))))"""
+
+
+def _tokens(size: int) -> Column:
+    return F.expr(f"array_distinct({_all_tokens(size)})")
+
+
+def _hashes(size: int) -> Column:
+    """The hashes of a line's tokens; different tokens of equal hash count as one in the filters."""
+    return F.array_distinct(F.transform(F.expr(_all_tokens(size)), lambda x: F.xxhash64(x)))
 
 
 def _need(percent: int, n: str, m: str) -> str:
@@ -64,31 +77,38 @@ def _need(percent: int, n: str, m: str) -> str:
 
 def _could_be_similar(percent: int, n: str = "n", m: str = "m") -> str:
     """The filter on lengths, and on the bits in which two lines differ."""
+    low, high = "x.low ^ y.low", "x.high ^ y.high"
     return (f"100 * {n} >= {percent} * {m} and 100 * {m} >= {percent} * {n} "
-            f"and bit_count(parity ^ parity2) <= {n} + {m} - 2 * {_need(percent, n, m)}")
+            f"and if({n} > {WIDE} and {m} > {WIDE}, bit_count({low}) + bit_count({high}), "
+            f"bit_count({low} ^ {high})) <= {n} + {m} - 2 * {_need(percent, n, m)}")
 
 
 def _different(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
     """One row for each different line: its first place, its words and sums of its tokens."""
     lines = docs.select(
         F.col(id_col).alias("doc"), F.xxhash64(text_col).alias("version"),
-        F.posexplode(F.split(text_col, "\n")).alias("line", "t")).where(f"t rlike '{_WORD}'")
-    low = lines.withColumn("t", F.lower("t")).withColumn("t", F.expr(
-        f"trim(if(t rlike '[\\\\x09-\\\\x0D]|  ', regexp_replace(t, '{_BLANK}+', ' '), t))"))
-    first = low.groupBy(F.xxhash64("t").alias("k1"), F.xxhash64(F.lit(1), "t").alias("k2")).agg(
+        F.posexplode(F.split(text_col, "\n")).alias("line", "t"))
+    low = lines.withColumn("t", F.lower(F.btrim("t", F.lit(_BLANKS)))).where("t <> ''")
+    odd = reduce(Column.__or__, [F.contains("t", F.lit(x)) for x in ("  ", *_BLANKS[1:])])
+    plain = low.withColumn("t", F.when(odd, F.regexp_replace("t", _BLANK + "+", " "))
+                           .otherwise(F.col("t")))
+    first = plain.groupBy(F.xxhash64("t").alias("k1"), F.xxhash64(F.lit(1), "t").alias("k2")).agg(
         F.min(F.struct(*_PLACE, "t")).alias("s")).select("s.*")
-    hashed = first.withColumn("hashes", F.transform(_tokens(size), lambda x: F.xxhash64(x)))
-    return hashed.select(
-        F.monotonically_increasing_id().alias("num"), *_PLACE, "t", F.size("hashes").alias("n"),
-        F.expr("aggregate(hashes, 0L, (a, h) -> a ^ shiftleft(1L, cast(h & 63 as int)))")
-        .alias("parity"),
+    hashed = first.withColumn("hashes", _hashes(size)).withColumn("n", F.size("hashes"))
+    bit = "a ^ shiftleft(1L, cast(h & 63 as int))"
+    folded = hashed.withColumn("folded", F.expr(f"aggregate(hashes, 0L, (a, h) -> {bit})")) \
+        .withColumn("high", F.expr(f"""if(n > {WIDE}, aggregate(hashes, 0L,
+            (a, h) -> if(h & 64 = 0, a, {bit})), 0L)"""))
+    return folded.select(
+        F.monotonically_increasing_id().alias("num"), *_PLACE, "t", "n",
+        F.expr("folded ^ high").alias("low"), "high",
         F.array_min("hashes").alias("least"), F.array_max("hashes").alias("greatest"))
 
 
 def _ranks(different: DataFrame, size: int) -> str:
     """For each bucket the rank of its count (thirds of its logarithm), comma-joined."""
-    counts = different.select(F.explode(_tokens(size)).alias("token")).groupBy(
-        F.pmod(F.xxhash64("token"), F.lit(BUCKETS)).alias("id")).count()
+    counts = different.select(F.explode(F.expr(_all_tokens(size))).alias("token")).groupBy(
+        F.xxhash64("token").bitwiseAND(F.lit(BUCKETS - 1)).alias("id")).count()
     every = different.sparkSession.range(BUCKETS).join(counts, "id", "left").select(
         "id", F.expr("least(cast(3 * log2(coalesce(count, 1)) as int), 126)").alias("rank"))
     return every.agg(F.expr(
@@ -98,21 +118,22 @@ def _ranks(different: DataFrame, size: int) -> str:
 
 def _prefixes(different: DataFrame, gone: DataFrame, size: int, percent: int,
               ranks: str) -> DataFrame:
-    """`key`, `num`, `shape`, `parity`: the prefix tokens of every line.
+    """`key`, `num`, `shape`, `low`, `high`: the prefix tokens of every line.
 
     `shape` holds the number of tokens, the place of this one, and whether the line is gone.
     """
-    order = F.split(F.lit(ranks), ",").cast("array<tinyint>")
+    order = F.split(F.lit(ranks), ",").cast("array<bigint>")
     marked = different.join(gone.withColumn("gone", F.lit(1)), "num", "left")
-    ranked = marked.withColumn("tokens", F.sort_array(F.transform(_tokens(size), lambda x: (
-        F.shiftleft(F.get(order, F.pmod(F.xxhash64(x), F.lit(BUCKETS)).cast("int"))
-                    .cast("bigint"), 56).bitwiseOR(
-            F.xxhash64(x).bitwiseAND(F.lit((1 << 56) - 1)))))))
+    # numbers that are never null are sorted without boxes
+    ranked = marked.withColumn("tokens", F.sort_array(F.transform(_hashes(size), lambda h: (
+        F.shiftleft(F.coalesce(F.get(order, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")),
+                               F.lit(0).cast("bigint")), 56)
+        .bitwiseOR(h.bitwiseAND(F.lit((1 << 56) - 1)))))))
     placed = ranked.select(
-        "num", "n", "gone", "parity",
+        "num", "n", "gone", "low", "high",
         F.posexplode(F.expr(f"slice(tokens, 1, n - ({percent} * n + 99) div 100 + 1)"))
         .alias("p", "key"))
-    return placed.select("key", "num", "parity", F.expr(
+    return placed.select("key", "num", "low", "high", F.expr(
         "shiftleft(cast(n as bigint), 32) | shiftleft(cast(p as bigint), 1) "
         "| coalesce(gone, 0)").alias("shape"))
 
@@ -120,27 +141,25 @@ def _prefixes(different: DataFrame, gone: DataFrame, size: int, percent: int,
 def _stars(different: DataFrame, percent: int) -> DataFrame:
     """Pairs `a`, `b` of a line and the earliest with the same extreme hash."""
     keyed = different.select(
-        F.explode(F.array("least", "greatest")).alias("key"),
-        F.struct(*_PLACE).alias("at"), "num", "n", "parity")
-    first = keyed.groupBy("key").agg(F.min(F.struct("at", "num", "n", "parity")).alias("s"),
-                                     F.count("*").alias("rows")).where("rows > 1")
-    hubs = first.select("key", F.col("s.num").alias("b"), F.col("s.n").alias("m"),
-                        F.col("s.parity").alias("parity2"))
-    return keyed.drop("at").join(hubs, "key").where("num <> b").where(
-        _could_be_similar(percent)).select(F.col("num").alias("a"), "b").distinct()
+        F.explode(F.array("least", "greatest")).alias("key"), "num", "n", "low", "high", *_PLACE)
+    first = keyed.groupBy("key").agg(
+        F.min(F.struct(*_PLACE, "num", "n", "low", "high")).alias("s"),
+        F.count("*").alias("rows")).where("rows > 1").select("key", "s.*")
+    return keyed.drop(*_PLACE).alias("x").join(first.alias("y"), "key").where(
+        f"x.num <> y.num and {_could_be_similar(percent, 'x.n', 'y.n')}").select(
+            F.col("x.num").alias("a"), F.col("y.num").alias("b")).distinct()
 
 
 def _meetings(prefixes: DataFrame, percent: int) -> DataFrame:
     """Pairs `a`, `b` of lines, not both gone, that share a prefix token and pass the filters."""
-    other = prefixes.select("key", F.col("num").alias("b"), F.col("parity").alias("parity2"),
-                            F.col("shape").alias("shape2"))
-    n, p = "(shape >> 32)", "((shape >> 1) & 2147483647)"
-    m, q = "(shape2 >> 32)", "((shape2 >> 1) & 2147483647)"
-    # every condition names both sides, so none goes below the exchange that both read
-    return prefixes.join(other, "key").where(
-        f"num > b and (shape & shape2 & 1) = 0 "
+    n, p = "(x.shape >> 32)", "((x.shape >> 1) & 2147483647)"
+    m, q = "(y.shape >> 32)", "((y.shape >> 1) & 2147483647)"
+    # both sides are the same, and every condition names both, so that they read one exchange
+    return prefixes.alias("x").join(prefixes.alias("y"), F.col("x.key") == F.col("y.key")).where(
+        f"x.num > y.num and (x.shape & y.shape & 1) = 0 "
         f"and least({n} - {p}, {m} - {q}) >= {_need(percent, n, m)} "
-        f"and {_could_be_similar(percent, n, m)}").select(F.col("num").alias("a"), "b").distinct()
+        f"and {_could_be_similar(percent, n, m)}").select(
+            F.col("x.num").alias("a"), F.col("y.num").alias("b")).distinct()
 
 
 def _later(pairs: DataFrame, different: DataFrame, size: int, percent: int) -> DataFrame:
