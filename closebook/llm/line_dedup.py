@@ -2,7 +2,7 @@
 
 A line's tokens are its different words (lower case, white space `[\\x20\\x09-\\x0D]`); other
 sizes take shingles of that many words (a shorter line has one token, all its words).  Tokens are
-ordered by rarity: occurrences in the different lines of the whole corpus are counted in `BUCKETS`
+ordered by rarity: occurrences in the whole corpus are counted in `BUCKETS`
 hash buckets, and a token ranks by its bucket's count, then by its hash.  Any order gives the same
 result; this one keeps common words out of the prefixes.  What the plan carries of it is one
 number for each bucket, whatever the size of the corpus.
@@ -44,6 +44,8 @@ PERCENT = 80
 BUCKETS = 1 << 18
 #: lines of more tokens have 128 bits of parity, others 64
 WIDE = 64
+#: candidate pairs, counted, up to which their line numbers are broadcast to find the lines
+FEW_PAIRS = 1 << 20
 
 _BLANKS = " \t\x0b\x0c\r"
 _BLANK = r"[\x20\x09-\x0D]"
@@ -83,12 +85,32 @@ def _could_be_similar(percent: int, n: str = "n", m: str = "m") -> str:
             f"bit_count({low} ^ {high})) <= {n} + {m} - 2 * {_need(percent, n, m)}")
 
 
-def _different(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """One row for each different line: its first place, its words and sums of its tokens."""
+def _ranks(docs: DataFrame, size: int, text_col: str) -> str:
+    """For each bucket the rank of its count (thirds of its logarithm), comma-joined."""
+    if size == 1:
+        # whole texts, since words do not cross lines; rare white space only alters the order
+        tokens = docs.select(F.explode(F.split(
+            F.replace(F.lower(text_col), F.lit("\n"), F.lit(" ")), " ")).alias("token"))
+    else:
+        tokens = docs.select(F.explode(F.split(F.lower(text_col), "\n")).alias("t")).select(
+            F.explode(F.expr(_all_tokens(size))).alias("token"))
+    counts = tokens.groupBy(
+        F.xxhash64("token").bitwiseAND(F.lit(BUCKETS - 1)).alias("id")).count()
+    every = docs.sparkSession.range(BUCKETS).join(counts, "id", "left").select(
+        "id", F.expr("least(cast(3 * log2(coalesce(count, 1)) as int), 126)").alias("rank"))
+    return every.agg(F.expr(
+        "array_join(transform(array_sort(collect_list(struct(id, rank))), x -> x.rank), ',')")
+        .alias("ranks")).first()["ranks"]
+
+
+def _different(docs: DataFrame, ranks: str, size: int, percent: int, id_col: str,
+               text_col: str) -> DataFrame:
+    """One row for each different line: first place, words, sums of its tokens and its prefix."""
     lines = docs.select(
         F.col(id_col).alias("doc"), F.xxhash64(text_col).alias("version"),
         F.posexplode(F.split(text_col, "\n")).alias("line", "t"))
-    low = lines.withColumn("t", F.lower(F.btrim("t", F.lit(_BLANKS)))).where("t <> ''")
+    low = lines.where(F.btrim("t", F.lit(_BLANKS)) != "").withColumn(
+        "t", F.lower(F.btrim("t", F.lit(_BLANKS))))
     odd = reduce(Column.__or__, [F.contains("t", F.lit(x)) for x in ("  ", *_BLANKS[1:])])
     plain = low.withColumn("t", F.when(odd, F.regexp_replace("t", _BLANK + "+", " "))
                            .otherwise(F.col("t")))
@@ -99,41 +121,29 @@ def _different(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFr
     folded = hashed.withColumn("folded", F.expr(f"aggregate(hashes, 0L, (a, h) -> {bit})")) \
         .withColumn("high", F.expr(f"""if(n > {WIDE}, aggregate(hashes, 0L,
             (a, h) -> if(h & 64 = 0, a, {bit})), 0L)"""))
+    order = F.split(F.lit(ranks), ",").cast("array<bigint>")
+    # numbers that are never null are sorted without boxes
+    tokens = F.sort_array(F.transform("hashes", lambda h: F.shiftleft(
+        F.coalesce(F.get(order, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")),
+                   F.lit(0).cast("bigint")), 56).bitwiseOR(
+            h.bitwiseAND(F.lit((1 << 56) - 1)))))
     return folded.select(
         F.monotonically_increasing_id().alias("num"), *_PLACE, "t", "n",
         F.expr("folded ^ high").alias("low"), "high",
-        F.array_min("hashes").alias("least"), F.array_max("hashes").alias("greatest"))
+        F.array_min("hashes").alias("least"), F.array_max("hashes").alias("greatest"),
+        F.slice(tokens, F.lit(1), F.expr(f"n - ({percent} * n + 99) div 100 + 1").cast("int"))
+        .alias("prefix"))
 
 
-def _ranks(different: DataFrame, size: int) -> str:
-    """For each bucket the rank of its count (thirds of its logarithm), comma-joined."""
-    counts = different.select(F.explode(F.expr(_all_tokens(size))).alias("token")).groupBy(
-        F.xxhash64("token").bitwiseAND(F.lit(BUCKETS - 1)).alias("id")).count()
-    every = different.sparkSession.range(BUCKETS).join(counts, "id", "left").select(
-        "id", F.expr("least(cast(3 * log2(coalesce(count, 1)) as int), 126)").alias("rank"))
-    return every.agg(F.expr(
-        "array_join(transform(array_sort(collect_list(struct(id, rank))), x -> x.rank), ',')")
-        .alias("ranks")).first()["ranks"]
-
-
-def _prefixes(different: DataFrame, gone: DataFrame, size: int, percent: int,
-              ranks: str) -> DataFrame:
-    """`key`, `num`, `shape`, `low`, `high`: the prefix tokens of every line.
+def _prefixes(different: DataFrame, gone: DataFrame) -> DataFrame:
+    """`key`, `low`, `num`, `high`, `shape`: the prefix tokens of every line.
 
     `shape` holds the number of tokens, the place of this one, and whether the line is gone.
     """
-    order = F.split(F.lit(ranks), ",").cast("array<bigint>")
     marked = different.join(gone.withColumn("gone", F.lit(1)), "num", "left")
-    # numbers that are never null are sorted without boxes
-    ranked = marked.withColumn("tokens", F.sort_array(F.transform(_hashes(size), lambda h: (
-        F.shiftleft(F.coalesce(F.get(order, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")),
-                               F.lit(0).cast("bigint")), 56)
-        .bitwiseOR(h.bitwiseAND(F.lit((1 << 56) - 1)))))))
-    placed = ranked.select(
-        "num", "n", "gone", "low", "high",
-        F.posexplode(F.expr(f"slice(tokens, 1, n - ({percent} * n + 99) div 100 + 1)"))
-        .alias("p", "key"))
-    return placed.select("key", "num", "low", "high", F.expr(
+    placed = marked.select("num", "n", "gone", "low", "high",
+                           F.posexplode("prefix").alias("p", "key"))
+    return placed.select("key", "low", "num", "high", F.expr(
         "shiftleft(cast(n as bigint), 32) | shiftleft(cast(p as bigint), 1) "
         "| coalesce(gone, 0)").alias("shape"))
 
@@ -168,7 +178,12 @@ def _later(pairs: DataFrame, different: DataFrame, size: int, percent: int) -> D
     Only the lines of the pairs are moved, and the two of a pair meet in one group.
     """
     sides = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("num"))
-    both = sides.join(different.select("num", F.struct(*_PLACE).alias("at"), "t"), "num").groupBy(
+    nums = sides.select("num").distinct()
+    if pairs.count() <= FEW_PAIRS:
+        nums = F.broadcast(nums)
+    lines = different.join(nums, "num", "left_semi").select(
+        "num", F.struct(*_PLACE).alias("at"), "t")
+    both = sides.join(lines, "num").groupBy(
         "a", "b").agg(F.array_sort(F.collect_list(F.struct("at", "num", "t"))).alias("s"))
     words = both.select(F.expr("s[1].num").alias("num"), F.expr("s[0].t").alias("t"),
                         F.expr("s[1].t").alias("t2"))
@@ -182,11 +197,11 @@ def _later(pairs: DataFrame, different: DataFrame, size: int, percent: int) -> D
 def _kept(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """`doc`, `version`, `kept`: the lines with a word that stay, by document; stored."""
     with WorkingTables(docs.sparkSession) as work:
-        different = work.stored(_different(docs, size, id_col, text_col), "lines")
+        ranks = _ranks(docs, size, text_col)
+        different = work.stored(_different(docs, ranks, size, percent, id_col, text_col), "lines")
         stars = work.stored(_stars(different, percent), "stars")
         gone = work.stored(_later(stars, different, size, percent), "gone")
-        prefixes = _prefixes(different, gone, size, percent, _ranks(different, size))
-        pairs = work.stored(_meetings(prefixes, percent), "pairs")
+        pairs = work.stored(_meetings(_prefixes(different, gone), percent), "pairs")
         near = work.stored(_later(pairs, different, size, percent), "near")
         left = different.join(gone, "num", "left_anti").join(near, "num", "left_anti")
         return stored(left.groupBy("doc", "version").agg(F.collect_list("line").alias("kept")),

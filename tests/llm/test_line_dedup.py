@@ -101,10 +101,10 @@ def test_registered_form_against_all_pairs(spark):
 
 def test_built_in_functions_only(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
-    different = line_dedup._different(docs, 1, "doc_id", "text")
-    gone = different.select("num").limit(0)
+    ranks = line_dedup._ranks(docs, 1, "text")
+    different = line_dedup._different(docs, ranks, 1, 80, "doc_id", "text")
     pairs = line_dedup._meetings(
-        line_dedup._prefixes(different, gone, 1, 80, line_dedup._ranks(different, 1)), 80)
+        line_dedup._prefixes(different, different.select("num").limit(0)), 80)
     for frame in (line_dedup._stars(different, 80), line_dedup._later(pairs, different, 1, 80)):
         plan = frame._jdf.queryExecution().executedPlan().toString()
         assert not any(x in plan for x in ("Python", "Arrow", "Cartesian", "NestedLoop"))
