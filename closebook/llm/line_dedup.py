@@ -270,4 +270,5 @@ def deduplicate(docs: DataFrame, size: int = TOKEN_WORDS, percent: int = PERCENT
 
 def op9(spark, sf_dir: str) -> DataFrame:
     return removed(spark.read.parquet(f"{sf_dir}/documents.parquet")).select(
-        "doc_id", "n_lines", F.size("removed").alias("n_removed"), "removed")
+        "doc_id", "n_lines", F.size("removed").alias("n_removed"),
+        F.array_join("removed", ",").alias("removed"))

@@ -42,6 +42,7 @@ ORACLE_SQL: dict[str, str] = {
     "op7_quality_rules": sql.QUALITY_RULES,
     "rule_ablations": sql.RULE_ABLATIONS,
     "op8_jaccard_join": sql.JACCARD_JOIN,
+    "op9_line_dedup": sql.LINE_DEDUP,
     "op11_merkle_manifest": sql.MERKLE_MANIFEST,
     "op13_collocations": sql.COLLOCATIONS,
 }

@@ -237,3 +237,39 @@ SELECT lang, row_number() OVER (
 FROM scored JOIN totals USING (lang)
 QUALIFY rank <= 2000
 """
+
+LINE_DEDUP = r"""
+WITH texts AS (SELECT doc_id, string_split(text, chr(10)) AS x FROM documents),
+lines AS (
+    SELECT doc_id, CAST(i - 1 AS INTEGER) AS line, list_sort(list_distinct(
+        regexp_extract_all(lower(x[i]), '[^\x20\x09-\x0D]+'))) AS w
+    FROM texts, unnest(range(1, len(x) + 1)) AS p(i)),
+sets AS (
+    SELECT w, len(w) AS n, min({'d': doc_id, 'l': line}) AS first,
+           row_number() OVER () AS id
+    FROM lines WHERE len(w) > 0 GROUP BY w),
+words AS (SELECT id, n, unnest(w) AS word FROM sets),
+counts AS (SELECT word, count(*) AS c FROM words GROUP BY word),
+ranked AS (
+    SELECT id, n, word, row_number() OVER (PARTITION BY id ORDER BY c, word) AS p
+    FROM words JOIN counts USING (word)),
+prefixes AS (SELECT * FROM ranked WHERE p <= n - (80 * n + 99) // 100 + 1),
+pairs AS (
+    SELECT DISTINCT x.id AS a, y.id AS b
+    FROM prefixes x JOIN prefixes y ON x.word = y.word AND x.id <> y.id
+    WHERE 100 * x.n >= 80 * y.n AND 100 * y.n >= 80 * x.n),
+near AS (
+    SELECT DISTINCT a FROM (
+        SELECT a, len(list_intersect(x.w, y.w)) AS c, x.n + y.n AS total
+        FROM pairs JOIN sets x ON x.id = a JOIN sets y ON y.id = b WHERE y.first < x.first)
+    WHERE 100 * c >= 80 * (total - c)),
+gone AS (
+    SELECT lines.doc_id, lines.line FROM lines JOIN sets USING (w) LEFT JOIN near ON near.a = sets.id
+    WHERE near.a IS NOT NULL OR {'d': lines.doc_id, 'l': lines.line} <> sets.first),
+by_document AS (
+    SELECT doc_id, CAST(count(*) AS INTEGER) AS n, string_agg(line, ',' ORDER BY line) AS removed
+    FROM gone GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(len(x), 0) AS INTEGER) AS n_lines, coalesce(n, 0) AS n_removed,
+       coalesce(removed, '') AS removed
+FROM texts LEFT JOIN by_document USING (doc_id)
+"""
