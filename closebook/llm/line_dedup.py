@@ -208,7 +208,7 @@ def _kept(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str)
                       "kept")
 
 
-def _free(columns: Iterable[str], *names: str) -> list[str]:
+def free_names(columns: Iterable[str], *names: str) -> list[str]:
     """Column names like `names` that the table does not have."""
     taken, out = {c.lower() for c in columns}, []
     for name in names:
@@ -221,7 +221,7 @@ def _free(columns: Iterable[str], *names: str) -> list[str]:
 def _with_kept(docs: DataFrame, rows: DataFrame, size: int, percent: int, id_col: str,
                text_col: str, version: str, kept: str) -> DataFrame:
     """`rows`, which have the hash of their text as `version`, with the lines `kept` of each."""
-    doc, other = _free([*rows.columns, kept], "doc", "its_version")
+    doc, other = free_names([*rows.columns, kept], "doc", "its_version")
     found = _kept(docs, size, percent, id_col, text_col).toDF(doc, other, kept)
     return rows.join(found, rows[id_col].eqNullSafe(F.col(doc)) & (F.col(version) == F.col(other)),
                      "left").drop(doc, other)
@@ -257,7 +257,7 @@ def deduplicate(docs: DataFrame, size: int = TOKEN_WORDS, percent: int = PERCENT
 
     `text` is replaced; documents without a removed line keep theirs byte for byte.
     """
-    version, kept = _free(docs.columns, "version", "kept")
+    version, kept = free_names(docs.columns, "version", "kept")
     rows = docs.withColumn(version, F.xxhash64("text"))
     found = _with_kept(docs, rows, size, percent, "doc_id", "text", version, kept)
     gone = f"array_except({_worded('text')}, coalesce({kept}, array()))"
