@@ -23,8 +23,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies and near copies of lines go, and documents of nothing else with them."""
-    clean = line_dedup.deduplicate(docs.withColumn("_before", F.length("text")))
-    emptied = (F.col("_before") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    before, = line_dedup.free_names(docs.columns, "before")
+    clean = line_dedup.deduplicate(docs.withColumn(before, F.length("text")))
+    emptied = (F.col(before) > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
     return clean.where(~F.coalesce(emptied, F.lit(False))) \
         .withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) \
         .select(*docs.columns)
