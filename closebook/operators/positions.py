@@ -40,6 +40,9 @@ ALWAYS = date(1, 1, 1)
 _TOTAL = "DECIMAL(38,8)"
 _RUNNING = ("change_orders", "total_amount", "contract_revenue", "contract_cogs",
             "actual_hours", "staff_hours", "staff_cost")
+#: contracts that one task sweeps, about 80,000 rows of seven years; the rows are wide but compress
+#: to a few bytes, so that adaptive execution, which goes by bytes, would give a task millions
+CONTRACTS_PER_TASK = {S.DAY: 32, S.WEEK: 192, S.MONTH: 960}
 #: sums of the report that contract states determine
 CONTRACT_SUMS = {
     name: measure for name, (parts, measure) in report.CONTRACT_SUMS.items()
@@ -93,10 +96,19 @@ def _worked(rel: Relations, grain: str) -> DataFrame:
     )
 
 
-def _swept(rel: Relations, moves: list[DataFrame], sides: list[DataFrame]) -> DataFrame:
+def _tasks(rel: Relations, grain: str) -> int:
+    """Partitions in which the contracts are swept; no fewer than the session has."""
+    contracts = rel.contract_values.count()
+    return max(int(rel.spark.conf.get("spark.sql.shuffle.partitions")),
+               -(-contracts // CONTRACTS_PER_TASK[grain]))
+
+
+def _swept(rel: Relations, grain: str, moves: list[DataFrame],
+           sides: list[DataFrame]) -> DataFrame:
     """For each contract with a project its running sums after each interval that moved them.
 
-    Every contract has a first row at the beginning.  `sides` hold one row per contract.
+    Every contract has a first row at the beginning.  `sides` hold one row per contract.  The
+    memory of a task is that of `CONTRACTS_PER_TASK` contracts, whatever their number.
     """
     known = rel.projects.join(rel.contract_values, "contract_id")
     for side in sides:
@@ -106,7 +118,8 @@ def _swept(rel: Relations, moves: list[DataFrame], sides: list[DataFrame]) -> Da
         events = events.unionByName(move, allowMissingColumns=True)
     amounts = [c for c in events.columns if c not in ("contract_id", "at")]
     # each source has one row per contract and interval already
-    events = events.groupBy("contract_id", "at").agg(*[F.sum(c).alias(c) for c in amounts])
+    events = events.repartition(_tasks(rel, grain), "contract_id").groupBy(
+        "contract_id", "at").agg(*[F.sum(c).alias(c) for c in amounts])
     so_far = Window.partitionBy("contract_id").orderBy("at").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     return events.select(
@@ -121,7 +134,7 @@ def contract_states(rel: Relations) -> DataFrame:
     one.  The contracts open on a date are those of one interval each: the sets of all dates in one
     table.
     """
-    states = _swept(rel, [_moved(rel, S.DAY)], []).selectExpr(
+    states = _swept(rel, S.DAY, [_moved(rel, S.DAY)], []).selectExpr(
         "contract_id", "at", f"coalesce({C.in_backlog()}, false) AS in_backlog",
         f"coalesce({C.is_open()}, false) AS is_open")
     order = Window.partitionBy("contract_id").orderBy("at")
@@ -139,7 +152,7 @@ def contract_changes(rel: Relations, grain: str) -> DataFrame:
     `n` counts what adds to a sum, because a sum of nothing is null.
     """
     states = _swept(
-        rel, [_moved(rel, grain), _earned(rel, grain), _worked(rel, grain)],
+        rel, grain, [_moved(rel, grain), _earned(rel, grain), _worked(rel, grain)],
         [C.tasks_by_contract(rel), C.budget_by_contract(rel)])
     # conditions and values of the report; both of its dates are this one here
     both = [F.col(c).alias(f"{c}{suffix}") for c in ("change_orders", "total_amount")

@@ -31,6 +31,17 @@ def test_other_grains(small, grain):
     assert len(found) == (9 if grain == snapshot.DAY else 1)
 
 
+def test_a_task_sweeps_few_contracts_however_small_their_rows(small, monkeypatch):
+    before = by_date(positions.positions(small, snapshot.WEEK))
+    monkeypatch.setitem(positions.CONTRACTS_PER_TASK, snapshot.WEEK, 1)
+    swept = positions._swept(
+        small, snapshot.WEEK, [positions._moved(small, snapshot.WEEK)], [])
+    contracts_known = small.contract_values.count()
+    assert contracts_known > 4  # as many partitions as the session has would not do
+    assert swept.rdd.getNumPartitions() == contracts_known
+    assert by_date(positions.positions(small, snapshot.WEEK)) == before
+
+
 def test_open_contracts_of_a_date_are_one_interval_each(small):
     states = positions.contract_states(small)
     for today in (date(1996, 2, 29), date(1999, 7, 1), date(2001, 7, 15)):
