@@ -9,13 +9,16 @@ from closebook.sources.shared import shared_folder
 
 #: small rows that one task may write to one file
 ROWS_PER_FILE, LEAST_FILES = 250_000, 8
+#: Spark's setting by which the shuffle files of a query go when it has ended
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def stored(frame: DataFrame, purpose: str, rows: int | None = None) -> DataFrame:
     """`frame` written as Parquet to the shared folder and read again.
 
     This cuts the lineage: what follows reads files that survive a lost executor.  `rows`, an
-    upper bound of the number of rows, lets few rows go to few files.
+    upper bound of the number of rows, lets few rows go to few files.  The shuffle files of
+    `frame` go when it is written, not when the driver happens to collect its garbage.
     """
     return _written(frame, f"{shared_folder(frame.sparkSession, purpose)}/part", rows)
 
@@ -23,7 +26,16 @@ def stored(frame: DataFrame, purpose: str, rows: int | None = None) -> DataFrame
 def _written(frame: DataFrame, path: str, rows: int | None) -> DataFrame:
     if rows is not None:
         frame = frame.coalesce(max(LEAST_FILES, rows // ROWS_PER_FILE))
-    frame.write.parquet(path)
+    conf = frame.sparkSession.conf
+    before = conf.get(SHUFFLE_CLEANUP, None)
+    conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        frame.write.parquet(path)
+    finally:
+        if before is None:
+            conf.unset(SHUFFLE_CLEANUP)
+        else:
+            conf.set(SHUFFLE_CLEANUP, before)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
