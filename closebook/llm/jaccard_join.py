@@ -5,8 +5,10 @@ only the class's smallest id is compared further.
 
 Routing: two sets whose Jaccard similarity reaches the threshold differ in a number of shingles
 that is bounded by their sizes.  Shingles are dealt by hash to more parts than that, so two
-similar sets agree completely in at least one part; the hash of a part is a bucket key.  Sets of
-similar size only share keys (size ranges), and no key is dropped.
+similar sets agree completely in at least one part; the hash of a part is a bucket key.  Empty
+parts, which unlike sets share too, are no keys: there are spare parts for them, and sets with more
+empty parts meet by a prefix filter on their smallest shingles.  Sets of similar size only share
+keys (size ranges), and no key is dropped.
 
 Comparison: the sets that share a bucket with the bucket's smallest id form a group, cut into
 blocks of `BLOCK_SETS`.  Sets whose bitmaps
@@ -24,6 +26,7 @@ null component; an empty table gives an empty result.  Only the id and the text
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -68,12 +71,26 @@ class _Ranges:
         """
         largest = self.first[level + 1] - 1
         parts = largest * (100 - self.percent) // self.percent + 1
-        spare = SPARE_PARTS if parts > FEW_PARTS else 0
+        if parts <= FEW_PARTS:
+            return parts, 0
+        # a part is empty with about this probability; twice the expected number is hardly
+        # exceeded, and with low thresholds, where parts are mostly empty, is not worth its keys
+        empty = math.exp(-self.percent / max(100 - self.percent, 1))
+        spare = SPARE_PARTS + int(parts * min(2 * empty, 0.1))
         return parts + spare, spare
 
+    def prefix(self, size: int) -> int:
+        """Similar sets have one of so many smallest tokens in common."""
+        return size - (self.percent * size + 99) // 100 + 1
+
 
 def _keys(tokens: np.ndarray, ranges: _Ranges) -> list[np.ndarray]:
-    """Bucket keys of one set."""
+    """Bucket keys of one set.
+
+    An empty part has no key, which all sets with this part empty would share.  Similar sets agree
+    in more parts than `spare`, so in a filled one if either has at most `spare` empty ones.  Sets
+    with more have their smallest tokens as further keys; two similar ones share one of these.
+    """
     out = []
     own = ranges.of(len(tokens))
     high = tokens >> np.uint64(32)
@@ -89,7 +106,10 @@ def _keys(tokens: np.ndarray, ranges: _Ranges) -> list[np.ndarray]:
             np.arange(parts, dtype=np.uint64) + np.uint64(level << 32) + np.uint64(1)
         ))
         filled = np.bincount(part, minlength=parts) > 0
-        out.append(keys[filled] if (~filled).sum() <= spare and spare else keys)
+        out.append(keys[filled])
+        if (~filled).sum() > spare:
+            salt = words.mix(np.array([(level << 32) + (1 << 31)], np.uint64))
+            out.append(words.mix(tokens[:ranges.prefix(len(tokens))] ^ salt))
     return out
 
 
@@ -139,9 +159,10 @@ def _routed(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 own = _sums(tokens)
                 if len(tokens) and own not in seen:
                     seen.add(own)
-                    keys += _keys(tokens, ranges)
-                    sums += [own[0]] * (len(keys) - len(sums))
-                    waiting += sum(map(len, keys[-2:]))
+                    own_keys = _keys(tokens, ranges)
+                    keys += own_keys
+                    sums += [own[0]] * len(own_keys)
+                    waiting += sum(map(len, own_keys))
                 if waiting > KEY_ROWS:
                     yield _key_batch(keys, sums)
                     keys, sums, waiting = [], [], 0

@@ -36,6 +36,41 @@ def near_copies(seed: int, groups: int, copies: int, edits: float) -> list[tuple
     return out
 
 
+def some_tokens(draw: random.Random, size: int) -> set[int]:
+    return {draw.randrange(1 << 64) for _ in range(size)}
+
+
+def bucket_keys(tokens: set[int], percent: int) -> set[int]:
+    sets = np.array(sorted(tokens), np.uint64)
+    return {int(k) for keys in jj._keys(sets, jj._Ranges(percent)) for k in keys}
+
+
+@pytest.mark.parametrize("percent", [30, 80, 90, 100])
+def test_similar_sets_share_a_bucket(percent):
+    draw = random.Random(percent)
+    for size in (*range(1, 60), *range(60, 700, 37)):
+        common = some_tokens(draw, size)
+        # as many further tokens as the threshold allows, on one side and on both
+        more = size * (100 - percent) // percent
+        for own in (0, more // 2):
+            x = common | some_tokens(draw, own)
+            y = common | some_tokens(draw, more - own)
+            assert bucket_keys(x, percent) & bucket_keys(y, percent), (size, own)
+
+
+def test_unlike_sets_share_no_bucket_though_parts_of_both_are_empty():
+    draw = random.Random(5)
+    for size in (5, 20, 90, 400):
+        found = [bucket_keys(some_tokens(draw, size), 80) for _ in range(60)]
+        assert len(set().union(*found)) == sum(map(len, found)), size
+
+
+def test_near_copies_of_long_texts_at_the_pipelines_threshold(spark):
+    docs = near_copies(3, groups=12, copies=20, edits=0.08)
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    assert result(jj.near_duplicates(frame, 5, 80)) == brute.linked_components(docs, 5, 80)
+
+
 def test_near_copies_around_the_threshold(spark):
     docs = near_copies(1, groups=12, copies=25, edits=0.06)
     frame = spark.createDataFrame(docs, "doc_id bigint, text string")
