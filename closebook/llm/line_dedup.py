@@ -15,9 +15,11 @@ verified on their words.  A line is removed if an earlier line, by document id,
 and line number, is that similar, whether that one is removed or not.
 
 Equal lines (after lower case and white space) are one line in all this, by 128 bits of hash.
-Before the prefix join each line meets the earliest one that has the same smallest, or the same
-greatest, hash of a token.  This removes nearly all near copies of one line in linear time; the
-prefix join then leaves out pairs of lines that are both gone already, and finds all the rest.
+Before the prefix join each line meets the earliest `LEADERS` that have the same two smallest, or
+the same two greatest, hashes of tokens.  This removes nearly all near copies of one line in linear
+time; the prefix join then leaves out pairs whose later line is gone already, and finds all the
+rest.  Which line is later it tells from numbers that ascend with the document ids; pairs of equal
+numbers stay in unless both lines are gone.
 
 Edge cases: null and empty texts have no lines; lines without a word are never removed; rows of equal
 id and text count as one document, other rows that share an id, or have none, are told apart by the
@@ -32,6 +34,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, IntegralType, StringType
 
 from closebook.llm.storage import WorkingTables, stored
 
@@ -42,14 +45,18 @@ PERCENT = 80
 
 #: counts that the order of tokens goes by; a power of two
 BUCKETS = 1 << 18
+#: buckets whose counts share a row
+SHARED = 4
+#: earlier lines, of as many shares of the lines, that a line meets by each pair of hashes
+LEADERS = 8
 #: lines of more tokens have 128 bits of parity, others 64
 WIDE = 64
-#: candidate pairs, counted, up to which their line numbers are broadcast to find the lines
+#: candidate pairs or lines, counted, up to which line numbers are broadcast to find the lines
 FEW_PAIRS = 1 << 20
 
 _BLANKS = " \t\x0b\x0c\r"
 _BLANK = r"[\x20\x09-\x0D]"
-_WORD = r"[^\\x20\\x09-\\x0D]"
+_WORD = r"[^\x20\x09-\x0D]"
 _PLACE = ["doc", "version", "line"]
 
 
@@ -63,10 +70,6 @@ def _all_tokens(size: int) -> str:
         i -> array_join(slice(w, i, {size}), ' '))))"""
 
 
-def _tokens(size: int) -> Column:
-    return F.expr(f"array_distinct({_all_tokens(size)})")
-
-
 def _hashes(size: int) -> Column:
     """The hashes of a line's tokens; different tokens of equal hash count as one in the filters."""
     return F.array_distinct(F.transform(F.expr(_all_tokens(size)), lambda x: F.xxhash64(x)))
@@ -94,13 +97,17 @@ def _ranks(docs: DataFrame, size: int, text_col: str) -> str:
     else:
         tokens = docs.select(F.explode(F.split(F.lower(text_col), "\n")).alias("t")).select(
             F.explode(F.expr(_all_tokens(size))).alias("token"))
-    counts = tokens.groupBy(
-        F.xxhash64("token").bitwiseAND(F.lit(BUCKETS - 1)).alias("id")).count()
-    every = docs.sparkSession.range(BUCKETS).join(counts, "id", "left").select(
-        "id", F.expr("least(cast(3 * log2(coalesce(count, 1)) as int), 126)").alias("rank"))
-    return every.agg(F.expr(
-        "array_join(transform(array_sort(collect_list(struct(id, rank))), x -> x.rank), ',')")
-        .alias("ranks")).first()["ranks"]
+    rows = BUCKETS // SHARED
+    hashed = tokens.select(F.xxhash64("token").alias("h"))
+    counts = hashed.groupBy(F.expr(f"h & {rows - 1}").alias("id")).agg(*[
+        F.count_if(F.expr(f"h & {BUCKETS - rows} = {k * rows}")).alias(f"c{k}")
+        for k in range(SHARED)])
+    every = docs.sparkSession.range(rows).join(counts, "id", "left").select("id", *[
+        F.expr(f"least(cast(3 * log2(greatest(coalesce(c{k}, 1), 1)) as int), 126)").alias(f"r{k}")
+        for k in range(SHARED)])
+    parts = ", ".join(f"transform(s, x -> x.r{k})" for k in range(SHARED))
+    return every.agg(F.array_sort(F.collect_list(F.struct("*"))).alias("s")).select(F.expr(
+        f"array_join(flatten(array({parts})), ',')").alias("ranks")).first()["ranks"]
 
 
 def _different(docs: DataFrame, ranks: str, size: int, percent: int, id_col: str,
@@ -109,14 +116,14 @@ def _different(docs: DataFrame, ranks: str, size: int, percent: int, id_col: str
     lines = docs.select(
         F.col(id_col).alias("doc"), F.xxhash64(text_col).alias("version"),
         F.posexplode(F.split(text_col, "\n")).alias("line", "t"))
-    low = lines.where(F.btrim("t", F.lit(_BLANKS)) != "").withColumn(
-        "t", F.lower(F.btrim("t", F.lit(_BLANKS))))
+    low = lines.where(F.col("t").rlike(_WORD)).withColumn("t", F.lower("t"))
     odd = reduce(Column.__or__, [F.contains("t", F.lit(x)) for x in ("  ", *_BLANKS[1:])])
-    plain = low.withColumn("t", F.when(odd, F.regexp_replace("t", _BLANK + "+", " "))
-                           .otherwise(F.col("t")))
+    plain = low.withColumn("t", F.trim(F.when(odd, F.regexp_replace("t", _BLANK + "+", " "))
+                                       .otherwise(F.col("t"))))
     first = plain.groupBy(F.xxhash64("t").alias("k1"), F.xxhash64(F.lit(1), "t").alias("k2")).agg(
         F.min(F.struct(*_PLACE, "t")).alias("s")).select("s.*")
-    hashed = first.withColumn("hashes", _hashes(size)).withColumn("n", F.size("hashes"))
+    hashed = first.withColumn("hashes", F.sort_array(_hashes(size))).withColumn(
+        "n", F.size("hashes"))
     bit = "a ^ shiftleft(1L, cast(h & 63 as int))"
     folded = hashed.withColumn("folded", F.expr(f"aggregate(hashes, 0L, (a, h) -> {bit})")) \
         .withColumn("high", F.expr(f"""if(n > {WIDE}, aggregate(hashes, 0L,
@@ -124,51 +131,81 @@ def _different(docs: DataFrame, ranks: str, size: int, percent: int, id_col: str
     order = F.split(F.lit(ranks), ",").cast("array<bigint>")
     # numbers that are never null are sorted without boxes
     tokens = F.sort_array(F.transform("hashes", lambda h: F.shiftleft(
-        F.coalesce(F.get(order, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")),
-                   F.lit(0).cast("bigint")), 56).bitwiseOR(
+        order[h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")], 56).bitwiseOR(
             h.bitwiseAND(F.lit((1 << 56) - 1)))))
     return folded.select(
         F.monotonically_increasing_id().alias("num"), *_PLACE, "t", "n",
         F.expr("folded ^ high").alias("low"), "high",
-        F.array_min("hashes").alias("least"), F.array_max("hashes").alias("greatest"),
+        F.expr("xxhash64(get(hashes, 0), get(hashes, 1))").alias("least"),
+        F.expr("xxhash64(get(hashes, n - 1), get(hashes, n - 2))").alias("greatest"),
         F.slice(tokens, F.lit(1), F.expr(f"n - ({percent} * n + 99) div 100 + 1").cast("int"))
         .alias("prefix"))
 
 
+def _turn(doc_type: DataType) -> Column:
+    """A number that never falls as ids ascend; ids of other types all have the same."""
+    if isinstance(doc_type, IntegralType):
+        turn = F.col("doc").cast("bigint")
+    elif isinstance(doc_type, StringType):
+        # the first seven bytes
+        turn = F.expr("""cast(conv(rpad(hex(substring(cast(doc as binary), 1, 7)), 14, '0'), 16, 10)
+            as bigint)""")
+    else:
+        turn = F.lit(0).cast("bigint")
+    return F.coalesce(turn, F.lit(-1 << 63))
+
+
 def _prefixes(different: DataFrame, gone: DataFrame) -> DataFrame:
-    """`key`, `low`, `num`, `high`, `shape`: the prefix tokens of every line.
+    """`key`, `low`, `num`, `high`, `turn`, `shape`: the prefix tokens of every line.
 
     `shape` holds the number of tokens, the place of this one, and whether the line is gone.
     """
-    marked = different.join(gone.withColumn("gone", F.lit(1)), "num", "left")
+    gone = gone.withColumn("gone", F.lit(1))
+    if gone.count() <= FEW_PAIRS:
+        # the lines with their prefixes are not moved
+        gone = F.broadcast(gone)
+    marked = different.join(gone, "num", "left")
     placed = marked.select("num", "n", "gone", "low", "high",
+                           _turn(different.schema["doc"].dataType).alias("turn"),
                            F.posexplode("prefix").alias("p", "key"))
-    return placed.select("key", "low", "num", "high", F.expr(
+    return placed.select("key", "low", "num", "high", "turn", F.expr(
         "shiftleft(cast(n as bigint), 32) | shiftleft(cast(p as bigint), 1) "
         "| coalesce(gone, 0)").alias("shape"))
 
 
 def _stars(different: DataFrame, percent: int) -> DataFrame:
-    """Pairs `a`, `b` of a line and the earliest with the same extreme hash."""
-    keyed = different.select(
-        F.explode(F.array("least", "greatest")).alias("key"), "num", "n", "low", "high", *_PLACE)
-    first = keyed.groupBy("key").agg(
-        F.min(F.struct(*_PLACE, "num", "n", "low", "high")).alias("s"),
-        F.count("*").alias("rows")).where("rows > 1").select("key", "s.*")
-    return keyed.drop(*_PLACE).alias("x").join(first.alias("y"), "key").where(
-        f"x.num <> y.num and {_could_be_similar(percent, 'x.n', 'y.n')}").select(
-            F.col("x.num").alias("a"), F.col("y.num").alias("b")).distinct()
+    """Pairs `a`, `b` of a line and one of the earliest with the same extreme hashes.
+
+    A key's lines are dealt into `LEADERS` shares, and the earliest of each share leads.  Each
+    line meets one of its leaders: the one from which it differs in the fewest bits.
+    """
+    keyed = different.select(F.explode(F.array("least", "greatest")).alias("key"), "num", "n",
+                             "low", "high", F.struct(*_PLACE).alias("at"))
+    leaders = keyed.groupBy("key", F.expr(f"num % {LEADERS}")).agg(
+        F.min(F.struct("at", "num", "n", "low", "high")).alias("s")).select("key", "s.*")
+    return keyed.alias("x").join(leaders.alias("y"), "key").where(
+        f"y.at < x.at and {_could_be_similar(percent, 'x.n', 'y.n')}").select(
+            F.col("x.num").alias("a"), F.col("y.num").alias("b"), F.expr(
+                "bit_count(x.low ^ y.low) + bit_count(x.high ^ y.high)").alias("bits")).groupBy(
+            "a").agg(F.min(F.struct("bits", "b")).alias("s")).select("a", "s.b")
 
 
 def _meetings(prefixes: DataFrame, percent: int) -> DataFrame:
-    """Pairs `a`, `b` of lines, not both gone, that share a prefix token and pass the filters."""
+    """Pairs `a`, `b` of lines that share a prefix token and pass the filters.
+
+    Of the shorter line a token among the first m - need(m, m) + 1 is shared already.  Pairs
+    whose later line is gone, or both, are left out.
+    """
     n, p = "(x.shape >> 32)", "((x.shape >> 1) & 2147483647)"
     m, q = "(y.shape >> 32)", "((y.shape >> 1) & 2147483647)"
     # both sides are the same, and every condition names both, so that they read one exchange
     return prefixes.alias("x").join(prefixes.alias("y"), F.col("x.key") == F.col("y.key")).where(
-        f"x.num > y.num and (x.shape & y.shape & 1) = 0 "
-        f"and least({n} - {p}, {m} - {q}) >= {_need(percent, n, m)} "
-        f"and {_could_be_similar(percent, n, m)}").select(
+        f"({n} > {m} or {n} = {m} and x.num > y.num) "
+        f"and {_could_be_similar(percent, n, m)} "
+        f"and ((x.shape & 1) = 0 or x.turn <= y.turn and (y.shape & 1) = 0) "
+        f"and ((y.shape & 1) = 0 or y.turn <= x.turn) "
+        f"and least({n} - {p} - {_need(percent, n, m)}, {m} - {q} - {_need(percent, n, m)}, "
+        f"{m} - {q} - {_need(percent, m, m)}) >= 0").select(
             F.col("x.num").alias("a"), F.col("y.num").alias("b")).distinct()
 
 
@@ -187,11 +224,10 @@ def _later(pairs: DataFrame, different: DataFrame, size: int, percent: int) -> D
         "a", "b").agg(F.array_sort(F.collect_list(F.struct("at", "num", "t"))).alias("s"))
     words = both.select(F.expr("s[1].num").alias("num"), F.expr("s[0].t").alias("t"),
                         F.expr("s[1].t").alias("t2"))
-    sets = words.select("num", _tokens(size).alias("x"), "t2").withColumnRenamed("t2", "t").select(
-        "num", "x", _tokens(size).alias("y"))
-    common = sets.select("num", F.size(F.array_intersect("x", "y")).alias("common"),
-                         F.expr("size(x) + size(y)").alias("total"))
-    return common.where(f"100 * common >= {percent} * (total - common)").select("num").distinct()
+    x, y = _all_tokens(size), _all_tokens(size).replace("(t,", "(t2,")
+    # what both have, of what either has; a filter makes a column anew wherever it names it
+    return words.where(f"100 * size(array_intersect({x}, {y})) "
+                       f">= {percent} * size(array_union({x}, {y}))").select("num").distinct()
 
 
 def _kept(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str) -> DataFrame:
@@ -229,7 +265,7 @@ def _with_kept(docs: DataFrame, rows: DataFrame, size: int, percent: int, id_col
 
 def _worded(text: str) -> str:
     """The numbers of the lines that have a word."""
-    return (f"filter(transform(split({text}, '\n'), (x, i) -> if(x rlike '{_WORD}', i, -1)), "
+    return (f"filter(transform(split({text}, '\n'), (x, i) -> if(x rlike r'{_WORD}', i, -1)), "
             "i -> i >= 0)")
 
 

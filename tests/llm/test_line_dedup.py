@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from decimal import Decimal
 
 import pytest
 
@@ -128,3 +129,46 @@ def test_very_long_line_and_many_lines(spark):
     out = {r["doc_id"]: r["removed"] for r in line_dedup.removed(
         spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
     assert out == {1: [], 2: [0], 3: [], 4: [0, 1, 2, 3, 4]}
+
+
+def test_near_copies_of_one_line_meet_few_others(spark):
+    draw, size = random.Random(5), 150
+    words = spark.range(5000).selectExpr("concat('c', id) w").selectExpr("w", "xxhash64(w) h")
+    low, *_, high = [r["w"] for r in words.orderBy("h").collect()]
+    base = [f"b{k}" for k in range(58)]
+    # an unlike line, the first of all, has the smallest and the greatest hash of a token
+    docs = [(0, " ".join([low, high, *(f"other{k}" for k in range(58))])), (1, f"{low} {high} " + " ".join(base))]
+    for doc in range(2, size):
+        line = list(base)
+        for k in draw.sample(range(58), 3):
+            line[k] = f"e{draw.randrange(10**9)}"
+        docs.append((doc, f"{low} {high} " + " ".join(line)))
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    different = line_dedup._different(frame, line_dedup._ranks(frame, 1, "text"), 1, 80, "doc_id", "text").cache()
+    stars = line_dedup._stars(different, 80).cache()
+    gone = line_dedup._later(stars, different, 1, 80)
+    pairs = line_dedup._meetings(line_dedup._prefixes(different, gone), 80)
+    assert stars.count() + pairs.count() < 4 * size
+    assert {(d, 0) for d in range(2, size)} == {
+        (r["doc_id"], 0) for r in line_dedup.removed(frame).collect() if r["removed"]}
+
+
+@pytest.mark.parametrize("kind", ["string", "int", "decimal(9,2)"])
+def test_earlier_lines_by_ids_of_any_type(spark, kind):
+    draw = random.Random(6)
+    ids = {"string": ["", "a", "abcdefg", "abcdefgh", "abcdefgha", "abcdefg\x00", "z\u00e9", "\u00e9"],
+           "int": [-5, -1, 0, 3, 10, 2**31 - 1, -2**31, 77]}.get(kind) or [
+               Decimal(x) for x in ("-1.5", "0", "0.25", "3", "7.75", "8", "100", "-20")]
+    base = [f"w{k}" for k in range(30)]
+    docs = []
+    for doc in draw.sample(ids, 8):
+        rows = []
+        for _ in range(6):
+            line = list(base)
+            for k in draw.sample(range(30), draw.randint(0, 5)):
+                line[k] = f"e{draw.randrange(20)}"
+            rows.append(" ".join(line))
+        docs.append((doc, "\n".join(rows)))
+    frame = spark.createDataFrame(docs, f"doc_id {kind}, text string")
+    found = {(r["doc_id"], k) for r in line_dedup.removed(frame).collect() for k in r["removed"]}
+    assert found == removed(docs, size=1)
