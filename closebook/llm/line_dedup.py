@@ -174,10 +174,9 @@ def _prefixes(different: DataFrame, gone: DataFrame) -> DataFrame:
 
 
 def _stars(different: DataFrame, percent: int) -> DataFrame:
-    """Pairs `a`, `b` of a line and one of the earliest with the same extreme hashes.
+    """Pairs `a`, `b` of a line and the earliest ones with the same extreme hashes.
 
-    A key's lines are dealt into `LEADERS` shares, and the earliest of each share leads.  Each
-    line meets one of its leaders: the one from which it differs in the fewest bits.
+    A key's lines are dealt into `LEADERS` shares, and the earliest of each share leads.
     """
     keyed = different.select(F.explode(F.array("least", "greatest")).alias("key"), "num", "n",
                              "low", "high", F.struct(*_PLACE).alias("at"))
@@ -185,9 +184,7 @@ def _stars(different: DataFrame, percent: int) -> DataFrame:
         F.min(F.struct("at", "num", "n", "low", "high")).alias("s")).select("key", "s.*")
     return keyed.alias("x").join(leaders.alias("y"), "key").where(
         f"y.at < x.at and {_could_be_similar(percent, 'x.n', 'y.n')}").select(
-            F.col("x.num").alias("a"), F.col("y.num").alias("b"), F.expr(
-                "bit_count(x.low ^ y.low) + bit_count(x.high ^ y.high)").alias("bits")).groupBy(
-            "a").agg(F.min(F.struct("bits", "b")).alias("s")).select("a", "s.b")
+            F.col("x.num").alias("a"), F.col("y.num").alias("b")).distinct()
 
 
 def _meetings(prefixes: DataFrame, percent: int) -> DataFrame:
