@@ -30,7 +30,6 @@ its line end along; other columns, whatever their names, pass unchanged; ids may
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,10 +53,13 @@ WIDE = 64
 #: candidate pairs or lines, counted, up to which line numbers are broadcast to find the lines
 FEW_PAIRS = 1 << 20
 
-_BLANKS = " \t\x0b\x0c\r"
 _BLANK = r"[\x20\x09-\x0D]"
+#: a blank that is no space, or a space before another
+_ODD = r"[\x20\x09-\x0D](?:(?<!\x20)|(?=\x20))"
 _WORD = r"[^\x20\x09-\x0D]"
 _PLACE = ["doc", "version", "line"]
+#: what bounds in doubles are loosened by
+_LOOSE = "1e-6D"
 
 
 def _all_tokens(size: int) -> str:
@@ -75,17 +77,17 @@ def _hashes(size: int) -> Column:
     return F.array_distinct(F.transform(F.expr(_all_tokens(size)), lambda x: F.xxhash64(x)))
 
 
-def _need(percent: int, n: str, m: str) -> str:
-    """The least number of common tokens of similar lines with n and m tokens."""
-    return f"(({percent} * ({n} + {m}) + {99 + percent}) div {100 + percent})"
-
-
 def _could_be_similar(percent: int, n: str = "n", m: str = "m") -> str:
-    """The filter on lengths, and on the bits in which two lines differ."""
+    """The filter on lengths, and on the bits in which two lines differ.
+
+    These have the parity of n + m, so that n + m - 2 need(n, m) can be left unrounded.  Doubles
+    have no overflow to be checked for each pair.
+    """
     low, high = "x.low ^ y.low", "x.high ^ y.high"
-    return (f"100 * {n} >= {percent} * {m} and 100 * {m} >= {percent} * {n} "
-            f"and if({n} > {WIDE} and {m} > {WIDE}, bit_count({low}) + bit_count({high}), "
-            f"bit_count({low} ^ {high})) <= {n} + {m} - 2 * {_need(percent, n, m)}")
+    return (f"100D * {n} >= {percent}D * {m} and 100D * {m} >= {percent}D * {n} "
+            f"and if({n} > {WIDE} and {m} > {WIDE}, 1D * bit_count({low}) + bit_count({high}), "
+            f"bit_count({low} ^ {high})) <= (1D * {n} + {m}) * {(100 - percent) / (100 + percent)}D "
+            f"+ {_LOOSE}")
 
 
 def _ranks(docs: DataFrame, size: int, text_col: str) -> str:
@@ -117,25 +119,27 @@ def _different(docs: DataFrame, ranks: str, size: int, percent: int, id_col: str
         F.col(id_col).alias("doc"), F.xxhash64(text_col).alias("version"),
         F.posexplode(F.split(text_col, "\n")).alias("line", "t"))
     low = lines.where(F.col("t").rlike(_WORD)).withColumn("t", F.lower("t"))
-    odd = reduce(Column.__or__, [F.contains("t", F.lit(x)) for x in ("  ", *_BLANKS[1:])])
-    plain = low.withColumn("t", F.trim(F.when(odd, F.regexp_replace("t", _BLANK + "+", " "))
-                                       .otherwise(F.col("t"))))
+    plain = low.withColumn("t", F.trim(F.when(
+        F.col("t").rlike(_ODD), F.regexp_replace("t", _BLANK + "+", " ")).otherwise(F.col("t"))))
     first = plain.groupBy(F.xxhash64("t").alias("k1"), F.xxhash64(F.lit(1), "t").alias("k2")).agg(
         F.min(F.struct(*_PLACE, "t")).alias("s")).select("s.*")
     hashed = first.withColumn("hashes", F.sort_array(_hashes(size))).withColumn(
         "n", F.size("hashes"))
-    bit = "a ^ shiftleft(1L, cast(h & 63 as int))"
-    folded = hashed.withColumn("folded", F.expr(f"aggregate(hashes, 0L, (a, h) -> {bit})")) \
-        .withColumn("high", F.expr(f"""if(n > {WIDE}, aggregate(hashes, 0L,
-            (a, h) -> if(h & 64 = 0, a, {bit})), 0L)"""))
+    # of many hashes the negative ones turn the bits of a second number; each is met once
+    parted = hashed.withColumn("below", F.expr(f"""if(n > {WIDE},
+        cast(array_position(sort_array(concat(hashes, array(0L))), 0L) as int) - 1, 0)"""))
+    bits = "aggregate({}, 0L, (a, h) -> a ^ shiftleft(1L, cast(h & 63 as int)))"
+    low = f"""if(n > {WIDE}, {bits.format('slice(hashes, below + 1, n - below)')},
+        {bits.format('hashes')})"""
+    high = f"if(n > {WIDE}, {bits.format('slice(hashes, 1, below)')}, 0L)"
     order = F.split(F.lit(ranks), ",").cast("array<bigint>")
     # numbers that are never null are sorted without boxes
-    tokens = F.sort_array(F.transform("hashes", lambda h: F.shiftleft(
-        order[h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")], 56).bitwiseOR(
+    tokens = F.sort_array(F.transform("hashes", lambda h: F.shiftleft(F.coalesce(
+        order[h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")], F.lit(0).cast("bigint")), 56).bitwiseOR(
             h.bitwiseAND(F.lit((1 << 56) - 1)))))
-    return folded.select(
+    return parted.select(
         F.monotonically_increasing_id().alias("num"), *_PLACE, "t", "n",
-        F.expr("folded ^ high").alias("low"), "high",
+        F.expr(low).alias("low"), F.expr(high).alias("high"),
         F.expr("xxhash64(get(hashes, 0), get(hashes, 1))").alias("least"),
         F.expr("xxhash64(get(hashes, n - 1), get(hashes, n - 2))").alias("greatest"),
         F.slice(tokens, F.lit(1), F.expr(f"n - ({percent} * n + 99) div 100 + 1").cast("int"))
@@ -168,7 +172,7 @@ def _prefixes(different: DataFrame, gone: DataFrame) -> DataFrame:
     placed = marked.select("num", "n", "gone", "low", "high",
                            _turn(different.schema["doc"].dataType).alias("turn"),
                            F.posexplode("prefix").alias("p", "key"))
-    return placed.select("key", "low", "num", "high", "turn", F.expr(
+    return placed.select(F.hash("key").alias("key"), "low", "num", "high", "turn", F.expr(
         "shiftleft(cast(n as bigint), 32) | shiftleft(cast(p as bigint), 1) "
         "| coalesce(gone, 0)").alias("shape"))
 
@@ -182,27 +186,45 @@ def _stars(different: DataFrame, percent: int) -> DataFrame:
                              "low", "high", F.struct(*_PLACE).alias("at"))
     leaders = keyed.groupBy("key", F.expr(f"num % {LEADERS}")).agg(
         F.min(F.struct("at", "num", "n", "low", "high")).alias("s")).select("key", "s.*")
-    return keyed.alias("x").join(leaders.alias("y"), "key").where(
+    return keyed.alias("x").join(leaders.hint("shuffle_hash").alias("y"), "key").where(
         f"y.at < x.at and {_could_be_similar(percent, 'x.n', 'y.n')}").select(
             F.col("x.num").alias("a"), F.col("y.num").alias("b")).distinct()
 
 
+def _sides(prefixes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The rows as those that ask and those that are asked, both with the `band` they meet in.
+
+    `n` is the number of tokens, `rest` of those from this one on, `gone` 1 or 0.  A line asks in
+    the bands of all sizes that it can be similar to, its own the greatest.  Of the shorter line
+    a token among the first m - need(m, m) + 1 is shared already, so that it is asked, in its own
+    band, for these only.  Bands are dealt after the exchange, which both read.
+    """
+    rows = prefixes.repartition("key").select("*", F.expr("cast(shape >> 32 as double)").alias("n"))
+    rows = rows.select("key", "low", "num", "high", "turn", "n", F.expr("shape & 1").alias("gone"),
+                       F.expr("n - ((shape >> 1) & 2147483647)").alias("rest"))
+    least, own = f"cast(3 * log2({percent / 100}D * n) as int)", "cast(3 * log2(n) as int)"
+    need = f"{2 * percent / (100 + percent)}D * n - {_LOOSE}"
+    asking = rows.select("*", F.explode(F.expr(f"sequence({least}, {own})")).alias("band"))
+    asked = rows.select("*", F.explode(F.expr(
+        f"if(rest >= {need}, sequence({own}, {own}), null)")).alias("band"))
+    return asking, asked
+
+
 def _meetings(prefixes: DataFrame, percent: int) -> DataFrame:
     """Pairs `a`, `b` of lines that share a prefix token and pass the filters.
 
-    Of the shorter line a token among the first m - need(m, m) + 1 is shared already.  Pairs
-    whose later line is gone, or both, are left out.
+    Pairs whose later line is gone, or both, are left out.
     """
-    n, p = "(x.shape >> 32)", "((x.shape >> 1) & 2147483647)"
-    m, q = "(y.shape >> 32)", "((y.shape >> 1) & 2147483647)"
-    # both sides are the same, and every condition names both, so that they read one exchange
-    return prefixes.alias("x").join(prefixes.alias("y"), F.col("x.key") == F.col("y.key")).where(
-        f"({n} > {m} or {n} = {m} and x.num > y.num) "
-        f"and {_could_be_similar(percent, n, m)} "
-        f"and ((x.shape & 1) = 0 or x.turn <= y.turn and (y.shape & 1) = 0) "
-        f"and ((y.shape & 1) = 0 or y.turn <= x.turn) "
-        f"and least({n} - {p} - {_need(percent, n, m)}, {m} - {q} - {_need(percent, n, m)}, "
-        f"{m} - {q} - {_need(percent, m, m)}) >= 0").select(
+    asking, asked = _sides(prefixes, percent)
+    # two numbers of four bytes are one of eight in a hash join
+    return asking.alias("x").join(
+        asked.hint("shuffle_hash").alias("y"),
+        (F.col("x.key") == F.col("y.key")) & (F.col("x.band") == F.col("y.band"))).where(
+        f"(x.n > y.n or x.n = y.n and x.num > y.num) "
+        f"and {_could_be_similar(percent, 'x.n', 'y.n')} "
+        f"and (x.gone = 0 or x.turn <= y.turn and y.gone = 0) "
+        f"and (y.gone = 0 or y.turn <= x.turn) and least(x.rest, y.rest) "
+        f">= (x.n + y.n) * {percent / (100 + percent)}D - {_LOOSE}").select(
             F.col("x.num").alias("a"), F.col("y.num").alias("b")).distinct()
 
 
@@ -231,10 +253,13 @@ def _kept(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str)
     """`doc`, `version`, `kept`: the lines with a word that stay, by document; stored."""
     with WorkingTables(docs.sparkSession) as work:
         ranks = _ranks(docs, size, text_col)
-        different = work.stored(_different(docs, ranks, size, percent, id_col, text_col), "lines")
+        # hardly a value comes twice
+        different = work.stored(_different(docs, ranks, size, percent, id_col, text_col), "lines",
+                                **{"parquet.enable.dictionary": "false"})
         stars = work.stored(_stars(different, percent), "stars")
         gone = work.stored(_later(stars, different, size, percent), "gone")
-        pairs = work.stored(_meetings(_prefixes(different, gone), percent), "pairs")
+        pairs = work.stored(_meetings(_prefixes(different, gone), percent), "pairs",
+                            as_they_lie=True)
         near = work.stored(_later(pairs, different, size, percent), "near")
         left = different.join(gone, "num", "left_anti").join(near, "num", "left_anti")
         return stored(left.groupBy("doc", "version").agg(F.collect_list("line").alias("kept")),

@@ -5,7 +5,7 @@ from decimal import Decimal
 
 import pytest
 
-from closebook.llm import line_dedup
+from closebook.llm import line_dedup, storage
 from tests.conftest import SMALL
 from tests.llm import brute
 
@@ -172,3 +172,29 @@ def test_earlier_lines_by_ids_of_any_type(spark, kind):
     frame = spark.createDataFrame(docs, f"doc_id {kind}, text string")
     found = {(r["doc_id"], k) for r in line_dedup.removed(frame).collect() for k in r["removed"]}
     assert found == removed(docs, size=1)
+
+
+@pytest.mark.parametrize("percent", [50, 80, 100])
+def test_lines_of_a_common_token_meet_by_size(spark, percent):
+    sizes = range(1, 301)
+    rows = spark.range(1, 301).selectExpr(
+        "7 key", "0L low", "id num", "0L high", "id turn", "shiftleft(id, 32) shape")
+    asking, asked = line_dedup._sides(rows, percent)
+    met = [(a, b) for a, b in asking.alias("x").join(asked.alias("y"), ["key", "band"])
+           .selectExpr("x.num", "y.num").collect()]
+    assert len(met) == len(set(met)) < len(sizes) ** 2 / (2 if percent == 50 else 3)
+    assert {(a, b) for a, b in set(met) if a > b and 100 * b >= percent * a} == {
+        (a, b) for a in sizes for b in sizes if a > b and 100 * b >= percent * a}
+
+
+def test_prefix_rows_are_moved_once(spark, tmp_path):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    different = line_dedup._different(docs, line_dedup._ranks(docs, 1, "text"), 1, 80, "doc_id", "text")
+    different.write.parquet(f"{tmp_path}/lines")
+    lines = spark.read.parquet(f"{tmp_path}/lines")
+    with storage._setting(spark, **{storage.ALL_KEYS: "false"}):
+        pairs = line_dedup._meetings(line_dedup._prefixes(lines, lines.select("num").limit(0)), 80)
+        plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+    assert plan.count("REPARTITION_BY_COL") == 2 and "hashpartitioning(key" in plan
+    assert ", band#" not in "".join(x for x in plan.split("\n") if "Exchange hashpartitioning" in x)
